@@ -7,18 +7,44 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_documents
 from .common import read_table
+from .packing import pack_documents
+from .sharding import shard_rows
 from .simhash import near_duplicate_components
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file; a parameter everywhere else."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe_word_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False)
+
+
+def op4_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_rows(read_table(spark, sf_dir, "documents"), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicate_components(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_bpe_word_ranks": op3_bpe_word_ranks,
+        "op4_feistel_sharding": op4_feistel_sharding,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op10_hierarchical_packing": op10_hierarchical_packing,
     }
 
 
