@@ -144,7 +144,10 @@ class WordBpe:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
-coder = functools.cache(WordBpe)
+@functools.cache
+def coder(path: str) -> WordBpe:
+    """One coder for each vocabulary file and Python worker."""
+    return WordBpe(path)
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
