@@ -19,7 +19,7 @@ from .common import by_batch, slices, text_bytes
 from .packing import byte_alphabet
 
 WHITE = "\t-\r \x85\xa0  -     　"
-NEVER = 1 << 40
+NEVER = 1 << 40  # rank of a pair that does not merge
 CACHED = 120_000
 
 

@@ -12,6 +12,7 @@ from .common import read_table
 from .packing import pack_documents
 from .sharding import shard_rows
 from .simhash import near_duplicate_components
+from .substrings import dedup_substrings
 
 
 def vocabulary(name: str) -> str:
@@ -35,6 +36,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return cleaned.select("doc_id", "text", removed.alias("removed_chars"), "removed_spans", "first_doc_ids")
+
+
 def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -44,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe_word_ranks": op3_bpe_word_ranks,
         "op4_feistel_sharding": op4_feistel_sharding,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op8_chunk_dedup": op8_chunk_dedup,
         "op10_hierarchical_packing": op10_hierarchical_packing,
     }
 
