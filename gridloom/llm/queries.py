@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode_documents
 from .common import read_table
+from .language import identify_languages
 from .packing import pack_documents
 from .sharding import shard_rows
 from .simhash import near_duplicate_components
@@ -36,6 +37,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("removed_spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
@@ -51,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe_word_ranks": op3_bpe_word_ranks,
         "op4_feistel_sharding": op4_feistel_sharding,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op7_cross_parsing_language": op7_cross_parsing_language,
         "op8_chunk_dedup": op8_chunk_dedup,
         "op10_hierarchical_packing": op10_hierarchical_packing,
     }
