@@ -14,6 +14,7 @@ from .packing import pack_documents
 from .sharding import shard_rows
 from .simhash import near_duplicate_components
 from .substrings import dedup_substrings
+from .toxicity import classify_toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -23,6 +24,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_fuzzy_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classify_toxicity(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.col("_held_out").alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
+
+
 def op3_bpe_word_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False)
 
@@ -53,6 +59,7 @@ def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_fuzzy_lexicon_toxicity": op2_fuzzy_lexicon_toxicity,
         "op3_bpe_word_ranks": op3_bpe_word_ranks,
         "op4_feistel_sharding": op4_feistel_sharding,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
