@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import cut, slices, text_bytes
 
 BITS = 5  # a boundary after one in 2**BITS characters
 WINDOW = 16  # characters that decide on a boundary
@@ -85,10 +85,10 @@ def repeated_chunks(table: DataFrame) -> DataFrame:
     """own, place, digest, first of every chunk whose digest stands in a document with a smaller id.
 
     The aggregate keeps two ids for a digest and combines on the map side, so a passage that all
-    documents share costs a row per task; the join back is an inner one, whose hot digests adaptive
-    execution splits.
+    documents share costs a row per task. The repeated digests are written down, so the join back has
+    exchanges of its own on both sides, whose hot digests adaptive execution splits.
     """
-    spread = table.groupBy("digest").agg(F.min("own").alias("first"), F.max("own").alias("_last")).filter("first < _last").drop("_last")
+    spread = cut(table.groupBy("digest").agg(F.min("own").alias("first"), F.max("own").alias("_last")).filter("first < _last").drop("_last"))
     return table.join(spread, "digest").filter("own > first").select("own", "place", "digest", "first")
 
 
