@@ -11,6 +11,7 @@ from .bpe import encode_documents
 from .common import read_table
 from .language import identify_languages
 from .packing import pack_documents
+from .secrets import KINDS, with_secrets, written
 from .sharding import shard_rows
 from .simhash import near_duplicate_components
 from .substrings import dedup_substrings
@@ -24,6 +25,13 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_randomness_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("_base", lambda s: s["kind"])
+    number = [F.size(F.filter(kinds, lambda kind: kind == F.lit(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    return found.select("doc_id", *number, F.sha2(written(F.col("_base")), 256).alias("base_sha256"), written(F.col("_spans")).alias("spans"))
+
+
 def op2_fuzzy_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classify_toxicity(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels"))
     return scored.select("doc_id", F.col("_held_out").alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
@@ -59,6 +67,7 @@ def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_randomness_secret_scan": op1_randomness_secret_scan,
         "op2_fuzzy_lexicon_toxicity": op2_fuzzy_lexicon_toxicity,
         "op3_bpe_word_ranks": op3_bpe_word_ranks,
         "op4_feistel_sharding": op4_feistel_sharding,
