@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest_in_partitions
 from .bpe import encode_documents
 from .common import read_table
 from .language import identify_languages
@@ -15,6 +16,7 @@ from .secrets import KINDS, with_secrets, written
 from .sharding import shard_rows
 from .simhash import near_duplicate_components
 from .substrings import dedup_substrings
+from .topk import exact_top_k
 from .toxicity import classify_toxicity
 
 
@@ -51,6 +53,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_dual_cover_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_cross_parsing_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +67,10 @@ def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", removed.alias("removed_chars"), "removed_spans", "first_doc_ids")
 
 
+def op9_learned_partitions_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_in_partitions(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -72,8 +82,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_bpe_word_ranks": op3_bpe_word_ranks,
         "op4_feistel_sharding": op4_feistel_sharding,
         "op5_simhash_near_dedup": op5_simhash_near_dedup,
+        "op6_dual_cover_tree_top_k": op6_dual_cover_tree_top_k,
         "op7_cross_parsing_language": op7_cross_parsing_language,
         "op8_chunk_dedup": op8_chunk_dedup,
+        "op9_learned_partitions_ann": op9_learned_partitions_ann,
         "op10_hierarchical_packing": op10_hierarchical_packing,
     }
 
