@@ -86,9 +86,9 @@ def year_gaps(df: DataFrame, group: str, year: Column) -> DataFrame:
     return df.groupBy(group).agg((F.max(year) - F.min(year) + 1 - F.count_distinct(year)).cast("long").alias("gaps"), F.count_distinct(year).alias("years"))
 
 
-def first_per_sheet(observations: DataFrame) -> DataFrame:
+def first_per_sheet(observations: DataFrame, *tie_breakers: str) -> DataFrame:
     """Row counts and the first observation of each sheet."""
-    first = F.min_by(F.struct("source_filename", "report_year", "period_type"), F.struct("source_row_index", "source_column_index", "indicator_observation_id"))
+    first = F.min_by(F.struct("source_filename", "report_year", "period_type"), F.struct("source_row_index", "source_column_index", "indicator_observation_id", *tie_breakers))
     return observations.filter("sheet_report_id is not null").groupBy("sheet_report_id").agg(F.count("*").alias("observations"), first.alias("_f")).select("sheet_report_id", "observations", "_f.*")
 
 
