@@ -137,21 +137,23 @@ def candidates(text: Column) -> Column:
     return found
 
 
-def cutoffs(docs: DataFrame, rate: float = 0.05, text_col: str = "text") -> dict[tuple[int, int], int]:
-    """(encoding, length class) -> first p-value class that is rejected as not random.
+def cutoffs_of(counts: DataFrame, rate: float) -> dict[tuple[int, int], int]:
+    """(encoding, length class) -> first p-value class that step-up control at the rate rejects.
 
-    Step-up false-discovery control over all tokens of all documents: the p-values are counted in
-    classes, so the table that the windows see has a bounded number of rows (encodings x length
-    classes x classes) however many tokens there are; at most one row per encoding and length class
-    reaches the driver.
+    counts: encoding, length_class, bin, n - as many rows as there are classes, however many tokens.
     """
-    found = docs.select(F.explode(candidates(F.coalesce(F.col(text_col), F.lit("")))).alias("c")).groupBy("c.encoding", "c.length_class", "c.bin").agg(F.count("*").alias("n"))
     group = W.partitionBy("encoding", "length_class")
-    ranked = found.withColumn("below", F.sum("n").over(group.orderBy(F.desc("bin")))).withColumn("all", F.sum("n").over(group))
+    ranked = counts.withColumn("below", F.sum("n").over(group.orderBy(F.desc("bin")))).withColumn("all", F.sum("n").over(group))
     rejected = ranked.filter(F.pow(F.lit(10.0), -F.col("bin") * BIN) <= rate * F.col("below") / F.col("all"))
     return {(r.encoding, r.length_class): r.bin for r in rejected.groupBy("encoding", "length_class").agg(F.min("bin").alias("bin")).collect()}
 
 
+def cutoffs(docs: DataFrame, rate: float = 0.05, text_col: str = "text") -> dict[tuple[int, int], int]:
+    """cutoffs_of all tested tokens of all documents; at most one row per encoding and length class reaches the driver."""
+    found = docs.select(F.explode(candidates(F.coalesce(F.col(text_col), F.lit("")))).alias("c"))
+    return cutoffs_of(found.groupBy("c.encoding", "c.length_class", "c.bin").agg(F.count("*").alias("n")), rate)
+
+
 def secret_spans(text: Column, rejected: dict[tuple[int, int], int]) -> tuple[Column, Column]:
     """(base spans, added spans), each array<struct<start, kind, end>> in order."""
     base = F.array_sort(F.concat(spans_of(text, ASSIGN, 0, 6), spans_of(text, ACCESS, 1), spans_of(text, HEX, 2)))
