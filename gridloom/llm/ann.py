@@ -86,7 +86,7 @@ def train_router(points: np.ndarray, label: np.ndarray, parts: int, rng: np.rand
 def fit_router(sample: np.ndarray, levels: int = 4, k: int = 20, recall: float = 0.94, seed: int = 5) -> Router:
     """Fit on the sample; probes is the smallest number of parts that reaches `recall` on points left out of the fit."""
     rng, parts = np.random.default_rng(seed), 2**levels
-    scale = np.sqrt((sample**2).sum(axis=1).mean()) or 1.0
+    scale = float(np.sqrt((sample**2).sum(axis=1).mean())) if len(sample) else 1.0
     points = sample / scale
     held = np.arange(len(points)) % 8 == 0
     fit, asked = points[~held], points[held]
