@@ -27,9 +27,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("_predicted") == 0).select(*docs.columns)
 
 
+#: Fingerprints of a document in the near-duplicate stage: a link of any of them counts.
+SEEDS = (42, 43, 44, 45)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of every group of near-duplicates."""
-    return drop_near_duplicates(docs).select(*docs.columns)
+    return drop_near_duplicates(docs, seeds=SEEDS).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

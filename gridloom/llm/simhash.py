@@ -23,30 +23,33 @@ from .components import connected_components
 ODD_BITS = 0x5555555555555555
 
 
-def simhash(text: bytes, width: int = 3, seed: int = 42) -> int:
-    """Fingerprint of one text: majority bits of the XXH64 of its word shingles; no words: zero."""
+def simhashes(text: bytes, width: int = 3, seeds: tuple[int, ...] = (42,)) -> list[int]:
+    """Fingerprints of one text: majority bits of the XXH64 of its word shingles, one for each seed; no words: zeros."""
     words = text.lower().split()  # bytes: A-Z and the six ASCII blanks only
     if not words:
-        return 0
+        return [0] * len(seeds)
     shingles = [b" ".join(s) for s in zip(*(words[i:] for i in range(width)))] or [b" ".join(words)]
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, seed) for s in shingles), np.uint64, len(shingles))
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 4096):
-        block = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+    digest, out = xxhash.xxh64_intdigest, []
+    for seed in seeds:
+        hashes = np.fromiter((digest(s, seed) for s in shingles), np.uint64, len(shingles))
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 4096):
+            block = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
+            counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]))
+    return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a long). Null texts count as empty; extra columns are not read."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a long), fp1, ... for further seeds. Null texts count as empty; extra columns are not read."""
+    names = ["fp", *(f"fp{i}" for i in range(1, len(seeds)))]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = np.array([simhash(t, width) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc_id", "fp"])
+        values = np.array([simhashes(t, width, seeds) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in values.T)], ["doc_id", *names])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(F.col(text_col)).alias("body"))
-    return rows.mapInArrow(by_batch(run), "doc_id long, fp long")
+    return rows.mapInArrow(by_batch(run), "doc_id long, " + ", ".join(f"{n} long" for n in names))
 
 
 def block_masks(radius: int, agreeing: int = 3) -> list[int]:
@@ -128,31 +131,46 @@ def links(distinct_fps: DataFrame, radius: int = 3, cell_rows: int = 2048) -> Da
     return dealt.mapInArrow(by_batch(run), "u long, v long").distinct()
 
 
-def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, cell_rows: int = 2048) -> DataFrame:
+def _further_links(rows: DataFrame, name: str, radius: int, cell_rows: int) -> DataFrame:
+    """Links that another seed's fingerprints give, as edges between first fingerprints."""
+    least = F.min("fp").alias("rep")
+    pairs = cut(rows.select("fp", name).distinct())
+    reps = cut(pairs.groupBy(name).agg(least))
+    equal = pairs.join(reps, name).filter("fp <> rep").select(F.col("fp").alias("u"), F.col("rep").alias("v"))
+    near = links(reps.select(F.col(name).alias("fp")), radius, cell_rows)
+    of = lambda end, to: reps.select(F.col(name).alias(end), F.col("rep").alias(to))
+    return equal.unionByName(near.join(of("u", "a"), "u").join(of("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
+def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, cell_rows: int = 2048, seeds: tuple[int, ...] = (42,)) -> DataFrame:
     """doc_id, fp, component_id for every row of docs.
 
     Fingerprints within `radius` bits link; component_id is the smallest doc_id that can be reached.
+    With several seeds a link of any of them counts, which finds copies that differ in more words.
     Exact copies share a fingerprint and are folded into one before any join, so a group of copies
     costs one row. Null and empty texts have fingerprint zero and link like any other. Rows with a
     null id get the component of their fingerprint, or null when no row of it has an id. Repeated
     rows are returned as often as they occur; an empty table gives an empty result.
     """
-    rows = cut(fingerprints(docs, id_col, text_col, width))
+    rows = cut(fingerprints(docs, id_col, text_col, width, seeds))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(links(distinct.select("fp"), radius, cell_rows))
+    edges = links(distinct.select("fp"), radius, cell_rows)
+    for i in range(1, len(seeds)):
+        edges = edges.unionByName(_further_links(rows, f"fp{i}", radius, cell_rows))
+    roots = connected_components(edges)
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = joined.join(smallest, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
     """The documents without near-duplicates: of each component only the document with its smallest id stays.
 
     Rows without an id cannot be named by a component and all stay; of repeated rows one stays.
     """
     named = docs.filter(F.col(id_col).isNotNull())
-    parts = near_duplicate_components(named, id_col, text_col, width, radius)
+    parts = near_duplicate_components(named, id_col, text_col, width, radius, seeds=seeds)
     keep = parts.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = named.join(keep, id_col, "left_semi")
     return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))

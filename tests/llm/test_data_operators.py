@@ -414,3 +414,24 @@ def test_pipeline_and_queries_run_on_the_tables(spark):
     for name, fn in queries().items():
         rows = fn(spark, DIR)
         assert rows.count() >= 0 and len(set(rows.columns)) == len(rows.columns), name
+
+
+def test_further_seeds_add_links(spark):
+    texts = near_corpus()
+    df = docs(spark, texts)
+    seeds = (42, 43, 44)
+    rows = simhash.near_duplicate_components(df, seeds=seeds).collect()
+    prints = [simhash.simhashes((t or "").encode(), 3, seeds) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if any((x ^ y).bit_count() <= 3 for x, y in zip(a, prints[j])):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    assert {r.doc_id: r.component_id for r in rows} == {i: find(i) for i in range(len(texts))}
