@@ -49,6 +49,16 @@ def _mapping() -> list[Column]:
     return [F.lit("rule_normalized_raw").alias("mapping_method"), F.lit(0.80).alias("confidence_score"), F.lit(False).alias("needs_review")]
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder, so that it is computed once; as it is where none is configured."""
+    context, shared = df.sparkSession.sparkContext, df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if context.getCheckpointDir() is None:
+        if shared is None:
+            return df
+        context.setCheckpointDir(shared)
+    return df.checkpoint()
+
+
 def _small(dim: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size is checked; a larger one is left to the optimiser."""
     return F.broadcast(dim) if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else dim
@@ -68,9 +78,9 @@ def curate(observations: DataFrame, reports: DataFrame, indicators: DataFrame |
     since a dimension has one row per key.
     """
     e = latest_observations(observations, *tie_breakers).alias("e")
-    di = _small(indicators if indicators is not None else dim_indicator(observations)).alias("di")
-    dg = _small(geographies if geographies is not None else dim_geography(observations)).alias("dg")
-    du = _small(units if units is not None else dim_unit(observations)).alias("du")
+    di = _small(indicators if indicators is not None else settled(dim_indicator(observations))).alias("di")
+    dg = _small(geographies if geographies is not None else settled(dim_geography(observations))).alias("dg")
+    du = _small(units if units is not None else settled(dim_unit(observations))).alias("du")
     r = reports.select("report_id", "report_url", F.col("title_raw").alias("report_title"), "published_date").alias("r")
     c = F.col
     on_indicator = c("e.indicator_name_normalized").eqNullSafe(c("di.indicator_name_normalized")) & c("e.indicator_domain").eqNullSafe(c("di.indicator_domain")) & c("e.indicator_subdomain").eqNullSafe(c("di.indicator_subdomain"))

@@ -63,22 +63,29 @@ def lineage_reconciliation(observations: DataFrame, curated: DataFrame) -> DataF
     return one.withColumn("curated_minus_sheet_summary_observations", c("curated_rows") - c("curated_sheet_summary_observations"))
 
 
-def semantic_validation(curated: DataFrame) -> DataFrame:
+def _semantic() -> list[Column]:
     sheet = F.lower(F.trim("source_sheet_name"))
     growth = c("metric_type").isin("index_yoy_base100", *GROWTH)
-    return curated.agg(
+    return [
         total(sheet.rlike("^14[. _-]*xk") & (c("indicator_domain") != "trade_prices")).alias("export_rows_wrong_domain"),
         total(sheet.rlike("^15[. _-]*nk") & (c("indicator_domain") != "trade_prices")).alias("import_rows_wrong_domain"),
         total(sheet.rlike("^2[. _-]*iip") & ~c("metric_type").isin("index", "index_yoy_base100")).alias("iip_rows_wrong_metric_type"),
         total(growth & c("value_growth_pct").isNotNull() & (F.abs(c("value_growth_pct") - (c("value_numeric") - 100.0)) > 1e-6)).alias("invalid_growth_conversion"),
         total(c("metric_type").isin(*GROWTH) & (c("value_growth_pct") == c("value_numeric"))).alias("unconverted_growth_rows"),
-        total(c("unit_raw").rlike("[ÃÂÄ]")).alias("rows_with_mojibake_unit"), F.count("*").alias("curated_rows"),
-    )
+        total(c("unit_raw").rlike("[ÃÂÄ]")).alias("rows_with_mojibake_unit"),
+    ]
+
+
+def semantic_validation(curated: DataFrame) -> DataFrame:
+    return curated.agg(*_semantic(), F.count("*").alias("curated_rows"))
+
+
+def _age(as_of: str) -> Column:
+    return F.date_diff(F.lit(as_of).cast("date"), F.max("published_date")).cast("long")
 
 
 def freshness(curated: DataFrame, as_of: str) -> DataFrame:
-    latest = F.max("published_date")
-    return curated.agg(latest.alias("latest_published"), F.max("period_end_date").alias("latest_period_end"), F.date_diff(F.lit(as_of).cast("date"), latest).cast("long").alias("days_since_publish"), F.count_distinct("report_id").alias("reports"), F.count("*").alias("curated_rows"))
+    return curated.agg(F.max("published_date").alias("latest_published"), F.max("period_end_date").alias("latest_period_end"), _age(as_of).alias("days_since_publish"), F.count_distinct("report_id").alias("reports"), F.count("*").alias("curated_rows"))
 
 
 def ambiguous_groups(curated: DataFrame, *keys: str) -> DataFrame:
@@ -91,16 +98,20 @@ def business_key_uniqueness(curated: DataFrame) -> DataFrame:
     return groups.groupBy("indicator_domain").agg(F.count("*").alias("ambiguous_groups"), F.sum("n").cast("long").alias("rows_in_ambiguous_groups"), F.count_distinct("sheet_report_id").alias("sheets_affected"))
 
 
-def unit_metric_coherence(curated: DataFrame) -> DataFrame:
+def _coherence() -> list[Column]:
     growth = c("metric_type").isin(*GROWTH)
     justified = c("metric_name_raw").rlike("(?i)%|phan tram|co cau|chi so|tang|giam|so voi")
-    return curated.agg(
+    return [
         total(growth & c("unit_raw").isNotNull() & (c("unit_raw") != "%")).alias("growth_type_with_level_unit"),
         total(growth & (F.abs("value_numeric") > 1000)).alias("growth_value_implausible"),
         total((c("unit_raw") == "%") & ~justified).alias("pct_unit_unjustified_by_header"),
         total(c("metric_type").isin("share", "percent") & ((c("value_numeric") < 0) | (c("value_numeric") > 100))).alias("share_out_of_range"),
         total(c("metric_name_raw").rlike("^column_[0-9]+$")).alias("placeholder_metric_rows"),
-    )
+    ]
+
+
+def unit_metric_coherence(curated: DataFrame) -> DataFrame:
+    return curated.agg(*_coherence())
 
 
 def calendar_model(curated: DataFrame) -> DataFrame:
@@ -145,13 +156,16 @@ def year_missing(name: Column) -> Column:
     return name.rlike("(?i)(^|/) *nam *(/|$)") & name.rlike("(?i)so bo|uoc tinh|thang|quy ") & ~name.rlike("[0-9]{4}")
 
 
+def _decomposition() -> list[Column]:
+    return [total(year_missing(c("metric_name_raw"))).alias("metric_year_missing"), total((c("metric_measure") == "quantity") & c("unit_raw").rlike("(?i)usd|vnd|dong")).alias("quantity_with_currency_unit")]
+
+
 def metric_decomposition(curated: DataFrame) -> DataFrame:
     name = c("metric_name_raw")
     return curated.agg(
-        F.count("*").alias("rows_total"), total(year_missing(name)).alias("metric_year_missing"),
+        F.count("*").alias("rows_total"), *_decomposition(),
         total(c("metric_ref_year").isNull() & c("metric_ref_month").isNotNull()).alias("metric_month_without_year"), total(c("metric_period_grain").isNull()).alias("metric_grain_unknown"),
         F.count_distinct("metric_period_grain").alias("distinct_grain"), total(c("metric_measure").isNull() & name.rlike("(?i)(^|/) *(luong|tri gia)")).alias("measure_unparsed"),
-        total((c("metric_measure") == "quantity") & c("unit_raw").rlike("(?i)usd|vnd|dong")).alias("quantity_with_currency_unit"),
         total(c("metric_ref_year").isNotNull() & (c("metric_ref_year") != c("report_year"))).alias("metric_year_differs_from_report"),
         F.count_distinct("metric_basis").alias("distinct_basis"), F.count_distinct("metric_measure").alias("distinct_measure"),
     )
@@ -177,16 +191,19 @@ GATE = [
 def gate(observations: DataFrame, curated: DataFrame, as_of: str, thresholds: dict[str, int] | None = None, null_fails: bool = False) -> DataFrame:
     """One row per check: check_name, value, threshold, known_open_issue, status.
 
-    A null value passes unless null_fails. The measures come from one-row aggregates laid side by
-    side and turned into rows.
+    A null value passes unless null_fails. All measures that are sums over the curated rows share one
+    pass; with three more one-row aggregates beside it they are turned into rows.
     """
+    missing, rows = total(c("sheet_report_id").isNull()), F.count("*")
+    measured = curated.agg(
+        _age(as_of).alias("freshness_days_since_publish"), *_semantic(), *_coherence(), *_decomposition(),
+        (rows - F.count_distinct("indicator_observation_id")).alias("duplicate_observation_extra_rows"), missing.alias("rows_missing_sheet_report_id"),
+    )
     ambiguous = business_key_uniqueness(curated).agg(F.coalesce(F.sum("rows_in_ambiguous_groups"), F.lit(0)).cast("long").alias("rows_in_ambiguous_groups"))
-    fresh = freshness(curated, as_of).select(c("days_since_publish").alias("freshness_days_since_publish"))
     lineage = lineage_reconciliation(observations, curated).select(F.abs("curated_minus_sheet_summary_observations").alias("curated_minus_sheet_summary"))
     filed = domain_classification(curated).select(c("misclassified_rows").alias("domain_misclassified_rows"))
-    summary = curated.agg((F.count("*") - F.count_distinct("indicator_observation_id")).alias("duplicate_observation_extra_rows"), total(c("sheet_report_id").isNull()).alias("rows_missing_sheet_report_id"))
-    one = fresh
-    for part in (semantic_validation(curated).drop("curated_rows"), summary, lineage, ambiguous, unit_metric_coherence(curated), filed, metric_decomposition(curated).select("metric_year_missing", "quantity_with_currency_unit")):
+    one = measured
+    for part in (lineage, ambiguous, filed):
         one = one.join(part, F.lit(True))
     limits = {name: limit for name, limit, _ in GATE} | (thresholds or {})
     rows = F.array(*[F.struct(F.lit(n).alias("check_name"), c(n).cast("long").alias("value"), F.lit(limits[n]).cast("long").alias("threshold"), F.lit(known).alias("known_open_issue")) for n, _, known in GATE])
