@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import oracle as O
@@ -18,10 +19,13 @@ from .functions.ids import md5_16
 from .operators import checks as K
 from .operators import classify as C
 from .operators import curated as CU
+from .operators import gaps as X
 from .operators import grid as G
 from .operators import quality as Q
 from .operators import reports as R
 from .operators import upsert as D
+from .plans.extract import extract_observations
+from .plans.repair import repair_observations
 from .sources import observations as S
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -600,3 +604,126 @@ def scale_currency(spark, sf_dir):
 @query(O.over_fx("SELECT DISTINCT metric_name_raw, CASE WHEN regexp_matches(lower(metric_name_raw), 'thang truoc') THEN 'mom_growth' WHEN regexp_matches(lower(metric_name_raw), 'cung ky|nam truoc|so voi') THEN 'yoy_growth' WHEN regexp_matches(lower(metric_name_raw), '(^|[^0-9a-z_])[0-9]+ thang($|[^0-9a-z_])') THEN 'ytd_value' ELSE 'value' END AS metric_type FROM fx"))
 def metric_type(spark, sf_dir):
     return S.observations(spark, sf_dir).select("metric_name_raw").distinct().select("metric_name_raw", U.metric_type(c("metric_name_raw")).alias("metric_type"))
+
+
+# --- gap checks, repair, whole extraction -------------------------------------------------------------
+
+
+@query(O.over_curated(f"""SELECT {O.total(f"{_GROWING} AND value_growth_pct = value_numeric")} AS unconverted_growth_rows, {O.total("metric_type = 'yoy_growth' AND value_numeric BETWEEN 50 AND 200")} AS index_like_yoy_rows,
+ {O.total("metric_type IN ('yoy_growth', 'mom_growth', 'index') AND value_growth_pct IS NULL")} AS growth_rows_missing_growth_pct FROM curated"""))
+def growth_gaps(spark, sf_dir):
+    return X.growth_gaps(curated(spark, sf_dir))
+
+
+@query(f"""WITH {O.ALL}, g AS (SELECT sheet_report_id, indicator_name_raw, metric_name_raw, count(*) AS n FROM curated GROUP BY 1, 2, 3 HAVING count(*) > 1 AND count(DISTINCT value_numeric) > 1)
+ SELECT count(*) AS ambiguous_groups, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_in_ambiguous_groups, count(DISTINCT sheet_report_id) AS sheets_affected, round(CAST(100.0 AS DOUBLE) * coalesce(sum(n), 0) / (SELECT count(*) FROM curated), 2) AS pct_of_corpus FROM g""")
+def ambiguous_overall(spark, sf_dir):
+    return X.ambiguous_overall(curated(spark, sf_dir))
+
+
+@query(O.over_curated(f"""SELECT {O.total("contains(indicator_name_raw, '\"')")} AS rows_with_ditto_mark, {O.total("length(trim(indicator_name_raw)) <= 3")} AS rows_label_len_le_3 FROM curated"""))
+def label_pathologies(spark, sf_dir):
+    return X.label_pathologies(curated(spark, sf_dir))
+
+
+@query(O.over_curated("SELECT report_month, count(DISTINCT report_id) AS reports, count(*) AS rows FROM curated GROUP BY 1"))
+def reports_by_month(spark, sf_dir):
+    return X.reports_by_month(curated(spark, sf_dir))
+
+
+@query(O.over_curated(f"SELECT {O.percent(O.total('indicator_name_en = indicator_name_raw'), 'count(*)', 1)} AS indicator_en_untranslated_pct, {O.percent(O.total('unit_en = unit_raw'), 'count(*)', 1)} AS unit_en_untranslated_pct, {O.total('''regexp_matches(indicator_name_raw, '[Ạ-ỹ]')''')} AS rows_retaining_vietnamese_unicode FROM curated"))
+def translation_coverage(spark, sf_dir):
+    return X.translation_coverage(curated(spark, sf_dir))
+
+
+@query(O.over_curated("SELECT extraction_confidence, review AS needs_review, count(*) AS rows, count(DISTINCT indicator_domain) AS domains FROM curated GROUP BY 1, 2"))
+def confidence_mix(spark, sf_dir):
+    return X.confidence_mix(curated(spark, sf_dir))
+
+
+_PARSED = f"parsed AS (SELECT attachment_id, CASE s_suppkey % 3 WHEN 0 THEN 'possible_legacy_low_confidence' WHEN 1 THEN 'unicode' ELSE 'tcvn3' END AS detected_text_encoding, s_suppkey * 3 + n AS cells FROM attachments)"
+
+
+def _parsed(spark, sf_dir):
+    kinds = F.when(c("s_suppkey") % 3 == 0, "possible_legacy_low_confidence").when(c("s_suppkey") % 3 == 1, "unicode").otherwise("tcvn3")
+    return S.attachments(spark, sf_dir).select("attachment_id", kinds.alias("detected_text_encoding"), (c("s_suppkey") * 3 + c("n")).alias("cells"))
+
+
+@query(f"WITH {O.ALL}, {O.ATTACHMENTS}, {_PARSED} SELECT {O.total('''regexp_matches(metric_name_raw, '^column_[0-9]+$')''')} AS placeholder_metric_rows, {O.total('''attachment_id IN (SELECT attachment_id FROM parsed WHERE detected_text_encoding = 'possible_legacy_low_confidence')''')} AS rows_from_unvalidated_legacy_sheets FROM curated")
+def legacy_residuals(spark, sf_dir):
+    return X.legacy_residuals(curated(spark, sf_dir), _parsed(spark, sf_dir))
+
+
+@query(f"WITH {O.ATTACHMENTS}, {_PARSED} SELECT detected_text_encoding, count(DISTINCT attachment_id) AS workbooks, count(*) AS sheets, CAST(sum(cells) AS BIGINT) AS cells FROM parsed GROUP BY 1")
+def workbook_sizes(spark, sf_dir):
+    return X.workbook_sizes(_parsed(spark, sf_dir))
+
+
+@query(f"{_STATUS} SELECT l.report_id, r.report_year, r.sub_category, l.attachment_type, substr(r.title_raw, 1, 70) AS title FROM log l JOIN reports r ON l.report_id = r.report_id WHERE l.parse_status = 'failed'")
+def failed_downloads(spark, sf_dir):
+    log = S.processing_log(spark, sf_dir).drop("download_status").withColumnRenamed("parse_status", "download_status")
+    return X.failed_downloads(log, S.reports(spark, sf_dir))
+
+
+@query(O.over_fx("SELECT count(*) AS rows, " + ", ".join(f"{O.total(f'{n} IS NULL')} AS null_{n}" for n in ("sheet_report_id", "report_id", "attachment_id", "table_id", "source_sheet_name")) + " FROM fx"))
+def lineage_nulls(spark, sf_dir):
+    return X.lineage_nulls(S.observations(spark, sf_dir))
+
+
+@query(O.over_fx("""SELECT indicator_observation_id, part_key, 'industry' AS indicator_domain, 'Index (comparison period=100)' AS unit_raw, CASE WHEN regexp_matches(lower(metric_name_raw), 'cung ky|nam truoc') THEN 'index_yoy_base100' ELSE 'index' END AS metric_type, CAST(NULL AS VARCHAR) AS currency, 'index' AS scale FROM fx WHERE source_sheet_name = 'IIP'
+ UNION ALL SELECT indicator_observation_id, part_key, 'trade_prices', CASE WHEN regexp_matches(lower(metric_name_raw), 'so voi|cung ky') THEN 'Index (same period previous year=100)' WHEN contains(lower(metric_name_raw), 'tri gia') THEN 'Million USD' ELSE unit_raw END,
+ CASE WHEN regexp_matches(lower(metric_name_raw), 'so voi|cung ky') THEN 'index_yoy_base100' ELSE metric_type END, CASE WHEN contains(lower(metric_name_raw), 'tri gia') THEN 'USD' ELSE currency END,
+ CASE WHEN regexp_matches(lower(metric_name_raw), 'so voi|cung ky') THEN 'index' WHEN contains(lower(metric_name_raw), 'tri gia') THEN 'million' ELSE scale END FROM fx WHERE source_sheet_name = '18XK'
+ UNION ALL SELECT indicator_observation_id, part_key, indicator_domain, unit_raw, metric_type, currency, scale FROM fx WHERE source_sheet_name NOT IN ('IIP', '18XK')"""))
+def semantic_repair(spark, sf_dir):
+    named = {"IIP": "2.IIP", "18XK": "14 XK"}
+    rows = S.observations(spark, sf_dir).withColumn("source_sheet_name", F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in named.items() for x in kv]), c("source_sheet_name")), c("source_sheet_name")))
+    return repair_observations(rows).select("indicator_observation_id", "part_key", "indicator_domain", "unit_raw", "metric_type", "currency", "scale")
+
+
+_LINES = "(SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, CAST(min(l_quantity) AS INTEGER) AS q FROM lineitem GROUP BY 1, 2)"
+
+
+@query(f"""SELECT CAST(l_orderkey AS VARCHAR) AS report_id, CAST(l_linenumber + 3 AS INTEGER) AS source_row_index, col AS source_column_index, 'Part ' || CAST(part AS VARCHAR) AS indicator_name_raw, 'national_accounts' AS indicator_domain,
+ ['Uoc tinh / Luong', 'Uoc tinh / Tri gia', 'nam 2024 / Luong'][col - 1] AS metric_name_raw, CAST(q * (col - 1) AS DOUBLE) AS value_numeric FROM {_LINES}, (VALUES (2), (3), (4)) AS k(col)""")
+def extract_pipeline(spark, sf_dir):
+    grid = _grid(spark, sf_dir)
+    cell = F.struct(c("row").alias("row_index"), c("col").alias("column_index"), c("value").alias("cell_value_raw"), c("indent").alias("indent_level"))
+    sheets = grid.groupBy(c("sheet_id").alias("report_id")).agg(F.to_json(F.collect_list(cell)).alias("raw_cells_json"))
+    parsed = sheets.select("report_id", c("report_id").alias("attachment_id"), F.lit(0).alias("sheet_index"), F.lit("1.GDP-HH").alias("sheet_name_raw"), F.lit("f.xlsx").alias("filename"), "raw_cells_json", F.lit("[]").alias("merged_ranges_json"))
+    rows = extract_observations(parsed, "2025-01-01 00:00:00")
+    return rows.select("report_id", "source_row_index", "source_column_index", "indicator_name_raw", "indicator_domain", "metric_name_raw", "value_numeric")
+
+
+def _ditto_grid(spark, sf_dir):
+    """A sheet per customer: a row per order with a unit on every third and a ditto mark on the others."""
+    orders = S.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    numbered = orders.withColumn("row", (F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")) + 1).cast("int"))
+    unit = F.when((c("row") - 2) % 3 == 0, F.concat(F.lit("Nghin "), F.when(c("o_orderkey") % 2 == 0, "tan").otherwise("ha"))).otherwise('"')
+    cells = [F.struct("row", F.lit(1).alias("col"), F.concat(F.lit("Nhom "), c("o_orderkey").cast("string")).alias("value")), F.struct("row", F.lit(2).alias("col"), unit.alias("value")), F.struct("row", F.lit(3).alias("col"), (c("o_orderkey") + 3000).cast("string").alias("value"))]
+    heads = orders.select("o_custkey").distinct().select(c("o_custkey").cast("string").alias("sheet_id"), F.lit(1).alias("row"), F.lit(1).alias("col"), F.lit("Bieu").alias("value"), F.lit(0).alias("indent"))
+    return heads.unionByName(numbered.select(c("o_custkey").cast("string").alias("sheet_id"), F.explode(F.array(*cells)).alias("x")).select("sheet_id", "x.*", F.lit(0).alias("indent")))
+
+
+_DITTO = """WITH n AS (SELECT o_custkey, o_orderkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) + 1 AS INTEGER) AS row, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders),
+ h AS (SELECT *, last_value(CASE WHEN (row - 2) % 3 = 0 THEN o_orderkey END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY row) AS head FROM n),
+ q AS (SELECT *, n >= 4 AND n - (n + 2) // 3 >= 2 AS has_units FROM h)"""
+
+
+@query(f"{_DITTO} SELECT CAST(o_custkey AS VARCHAR) AS sheet_id, 2 AS unit_col FROM q WHERE has_units GROUP BY 1")
+def unit_column(spark, sf_dir):
+    return G.unit_columns(G.with_zones(_ditto_grid(spark, sf_dir)))
+
+
+@query(f"{_DITTO} SELECT CAST(o_custkey AS VARCHAR) AS sheet_id, row, CASE WHEN has_units AND head <> o_orderkey THEN 'Nhom ' || CAST(head AS VARCHAR) END AS parent, CASE WHEN has_units THEN CASE WHEN head % 2 = 0 THEN 'Nghin tan' ELSE 'Nghin ha' END END AS row_unit FROM q")
+def parent_propagation(spark, sf_dir):
+    zoned = G.with_zones(_ditto_grid(spark, sf_dir))
+    return G.row_context(zoned, G.unit_columns(zoned)).select("sheet_id", "row", "parent", "row_unit")
+
+
+@query(O.over_fx("SELECT DISTINCT strategy, label, CASE WHEN strategy = 'geography' THEN label END AS geography_raw, CASE WHEN strategy IN ('sector', 'mixed_geo_sector') THEN label END AS sector_raw, CASE WHEN strategy IN ('product', 'mixed_agri') THEN label END AS product_raw FROM (SELECT indicator_name_raw AS label, ['geography', 'sector', 'product', 'mixed_geo_sector', 'mixed_agri', 'indicator'][part_key % 6 + 1] AS strategy FROM fx)"))
+def dimension_routing(spark, sf_dir):
+    strategies = F.array(*[F.lit(s) for s in ("geography", "sector", "product", "mixed_geo_sector", "mixed_agri", "indicator")])
+    rows = S.observations(spark, sf_dir).select(c("indicator_name_raw").alias("label"), F.element_at(strategies, (c("part_key") % 6 + 1).cast("int")).alias("strategy")).distinct()
+    nothing = F.lit(None).cast("string")
+    return rows.withColumns(G.route(c("strategy"), c("label"), F.lit("title"), nothing, c("label"))).select("strategy", "label", "geography_raw", "sector_raw", "product_raw")
