@@ -435,3 +435,16 @@ def test_further_seeds_add_links(spark):
                 x, y = find(i), find(j)
                 root[max(x, y)] = min(x, y)
     assert {r.doc_id: r.component_id for r in rows} == {i: find(i) for i in range(len(texts))}
+
+
+def test_exact_search_equals_its_sql(spark):
+    import duckdb
+
+    from gridloom.llm.queries import oracle_sql
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{DIR}/embeddings.parquet')")
+    for name, sql in oracle_sql().items():
+        rows = queries()[name](spark, DIR)
+        want = con.execute(sql).fetchdf()[rows.columns]
+        assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, want.values.tolist()))
