@@ -9,6 +9,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import repeat
 
 import pyarrow as pa
 import regex
@@ -20,14 +21,15 @@ from .packing import byte_alphabet
 
 WHITE = "\t-\r \x85\xa0  -     　"
 NEVER = 1 << 40  # rank of a pair that does not merge
-CACHED = 120_000
+CACHED = 250_000  # entries of each cache; a full one starts again
 
 
 def merge_short(parts: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """Merge a short word: keep the rank of every adjacent pair in one array, find the smallest
     (leftmost on ties), delete that boundary and refresh the two neighbouring ranks, until none merges."""
     none = (NEVER, -1)
-    near = [ranks.get(p, none) for p in zip(parts, parts[1:])]
+    get = ranks.get
+    near = list(map(get, zip(parts, parts[1:]), repeat(none)))
     while near:
         best = min(near)
         if best is none:
@@ -36,9 +38,9 @@ def merge_short(parts: list[int], ranks: dict[tuple[int, int], tuple[int, int]])
         parts[at] = best[1]
         del parts[at + 1], near[at]
         if at:
-            near[at - 1] = ranks.get((parts[at - 1], parts[at]), none)
+            near[at - 1] = get((parts[at - 1], parts[at]), none)
         if at < len(near):
-            near[at] = ranks.get((parts[at], parts[at + 1]), none)
+            near[at] = get((parts[at], parts[at + 1]), none)
     return parts
 
 
@@ -94,8 +96,9 @@ class WordBpe:
         self.blank = re.compile(f"[{WHITE}]+")
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.find_added = re.compile("|".join(map(re.escape, self.added))) if self.added else None
-        self.ids_of: dict[str, str] = {}
+        self.ids_of: dict[str, str] = {}  # of what stands between blanks
         self.decoded_of: dict[str, str] = {}
+        self.word_of: dict[str, tuple[str, str]] = {}  # of single words and runs of punctuation
 
     def encode_word(self, word: str) -> list[int]:
         raw = word.encode()
@@ -103,15 +106,25 @@ class WordBpe:
         parts = [p for p in parts if p is not None]  # a symbol that the vocabulary lacks is dropped
         return (merge_short if len(parts) <= self.SHORT else merge_long)(parts, self.ranks)
 
+    def _word(self, word: str) -> tuple[str, str]:
+        ids = self.encode_word(word)
+        out = self.word_of[word] = " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids))
+        return out
+
     def _learn(self, chunks: list[str]) -> None:
         if len(self.ids_of) > CACHED:
             self.ids_of.clear()
             self.decoded_of.clear()
-        for chunk in chunks:
-            if chunk not in self.ids_of:
-                ids = [i for word in self.words(chunk) for i in self.encode_word(word)]
-                self.ids_of[chunk] = " ".join(map(str, ids))
-                self.decoded_of[chunk] = " ".join(map(self.tokens.__getitem__, ids))
+        if len(self.word_of) > CACHED:
+            self.word_of.clear()
+        known = self.word_of.get
+        for chunk in set(chunks).difference(self.ids_of):
+            parts = [known(w) or self._word(w) for w in self.words(chunk)]
+            if len(parts) == 1:
+                self.ids_of[chunk], self.decoded_of[chunk] = parts[0]
+            else:
+                self.ids_of[chunk] = " ".join(filter(None, (p[0] for p in parts)))
+                self.decoded_of[chunk] = " ".join(filter(None, (p[1] for p in parts)))
 
     def _spans(self, text: str) -> Iterator[tuple[str, int | None]]:
         at = 0
