@@ -22,10 +22,24 @@ def use_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gridloom-checkpoint-"))
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared checkpoint folder and go on from there."""
-    use_checkpoints(df.sparkSession)
-    return df.checkpoint(eager=True)
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def cut(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+    """Write the rows to the shared checkpoint folder and go on from there.
+
+    batch_rows bounds the Arrow batches of Python steps in df while they run.
+    """
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    if batch_rows is None:
+        return df.checkpoint(eager=True)
+    before = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(batch_rows))
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(BATCH, before)
 
 
 def crc_of_id(doc_id: Column) -> Column:

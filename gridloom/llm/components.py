@@ -8,38 +8,43 @@ from pyspark.sql import functions as F
 from .common import cut
 
 
-def _towards_minimum(edges: DataFrame, keep_own: bool) -> DataFrame:
-    """One star step: hang the far ends of every node's edges on the node's smallest neighbour.
+def _with_minimum(edges: DataFrame) -> DataFrame:
+    """u, v, m: every edge with the smallest of u and its neighbours.
 
-    The minimum comes from an aggregate and a join back, so a node with a huge neighbourhood is
-    pre-aggregated and its rows can be split over tasks by a skew join.
+    A node with a huge neighbourhood is pre-aggregated for its minimum, and since the minima are
+    written down the join back has exchanges of its own, so that adaptive execution splits the rows
+    of such a node over tasks.
     """
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = edges.join(least, "u")
-    far = joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-    if keep_own:
-        far = far.unionByName(joined.select("u", F.col("m").alias("v")))
-    return far.filter("u <> v").distinct()
+    least = cut(edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+    return edges.join(least, "u")
+
+
+def _edges(joined: DataFrame, u: str, v: str) -> DataFrame:
+    return joined.select(F.col(u).alias("u"), F.col(v).alias("v")).filter("u <> v")
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(u, v) long pairs -> (node, root), root being the smallest node of the component.
 
-    Large-star and small-star rounds alternate until the edge set no longer changes; every round is
-    written to the checkpoint folder, so a lost executor costs one round at most. No edges: no rows.
+    A round hangs the larger neighbours of every node on its smallest one (large star), then all
+    smaller neighbours and the node itself (small star); edges run from larger to smaller nodes.
+    Rounds go on until the edge set no longer changes. Every step is written to the checkpoint
+    folder, so a lost executor costs one step at most. No edges: no rows.
     """
-    pairs = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
+    pairs = cut(_edges(edges.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")), "a", "b").distinct())
     seen = None
     for _ in range(most_rounds):
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        pairs = cut(_towards_minimum(large.filter("u <> v"), keep_own=True))
+        large = cut(_edges(_with_minimum(pairs.unionByName(_edges(pairs, "v", "u"))).filter("v > u"), "v", "m").distinct())
+        small = _with_minimum(large)
+        pairs = cut(_edges(small, "v", "m").unionByName(_edges(small, "u", "m")).distinct())
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
             break
         seen = now
     else:
         raise RuntimeError("components did not settle")
-    roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+    return _named(pairs, "u").unionByName(_named(pairs, "v").distinct())
+
+
+def _named(pairs: DataFrame, node: str) -> DataFrame:
+    return pairs.select(F.col(node).alias("node"), F.col("v").alias("root"))

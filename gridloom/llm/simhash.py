@@ -152,14 +152,14 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     null id get the component of their fingerprint, or null when no row of it has an id. Repeated
     rows are returned as often as they occur; an empty table gives an empty result.
     """
-    rows = cut(fingerprints(docs, id_col, text_col, width, seeds))
+    rows = cut(fingerprints(docs, id_col, text_col, width, seeds), batch_rows=1000)
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     edges = links(distinct.select("fp"), radius, cell_rows)
     for i in range(1, len(seeds)):
         edges = edges.unionByName(_further_links(rows, f"fp{i}", radius, cell_rows))
     roots = connected_components(edges)
     joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    smallest = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))  # written down: see components
     of_fp = joined.join(smallest, "root").select("fp", "component_id")
     return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
