@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.metrics import analytical_unit, base_scale, growth_pct, metric_parts, multiplier
+from ..settle import settled
 
 #: Rows of a dimension that are broadcast without asking; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -49,16 +50,6 @@ def _mapping() -> list[Column]:
     return [F.lit("rule_normalized_raw").alias("mapping_method"), F.lit(0.80).alias("confidence_score"), F.lit(False).alias("needs_review")]
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df written to the checkpoint folder, so that it is computed once; as it is where none is configured."""
-    context, shared = df.sparkSession.sparkContext, df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        if shared is None:
-            return df
-        context.setCheckpointDir(shared)
-    return df.checkpoint()
-
-
 def _small(dim: DataFrame) -> DataFrame:
     """Broadcast a dimension whose size is checked; a larger one is left to the optimiser."""
     return F.broadcast(dim) if dim.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else dim

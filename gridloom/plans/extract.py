@@ -10,6 +10,7 @@ from ..functions.ids import md5_16
 from ..functions.text import CORRECTIONS, correct_labels, norm
 from ..operators import grid as G
 from ..operators.classify import classification
+from ..settle import settled
 
 
 def number_sheets(parsed: DataFrame) -> DataFrame:
@@ -33,10 +34,10 @@ def extract_observations(parsed: DataFrame, run_ts: str, period_columns: tuple[s
     merged_ranges_json and those of period_columns that it has. Sheets without data rows give none.
     """
     sheets = number_sheets(parsed)
-    zoned = G.with_zones(G.parse_cells(sheets))
+    zoned = settled(G.with_zones(G.parse_cells(sheets)))  # read by everything below
     names = sheets.select("sheet_id", F.col("sheet_name_raw").alias("sheet_name")).distinct()
     filed = classify_sheets(zoned, names)
-    spans = G.expand_headers(zoned, G.parse_ranges(sheets))
+    spans = settled(G.expand_headers(zoned, G.parse_ranges(sheets)))
     metric = G.header_names(spans, zoned).withColumn("kind", U.metric_type(F.col("metric_name")))
     context = G.context_units(zoned, spans, filed)
     labels = G.row_context(zoned, G.unit_columns(zoned)).filter(G.keeps_row(F.col("label")))
@@ -49,8 +50,8 @@ def extract_observations(parsed: DataFrame, run_ts: str, period_columns: tuple[s
     )
     unit = U.observation_unit(F.col("label"), F.col("row_unit"), F.col("kind"), F.col("explicit"), F.col("metric_name"), F.col("header_unit"), F.col("title_unit"))
     with_unit = joined.withColumn("unit", unit).withColumn("scale_0", F.coalesce(U.scale(F.col("metric_name")), U.scale(F.col("unit"))))
-    settled = with_unit.withColumn("_s", U.settle_semantics(F.col("sheet_name"), F.col("rule.subdomain"), F.col("metric_name"), F.col("unit"), F.col("kind"), F.col("scale_0"), F.col("combined"), F.col("explicit"), F.col("title_unit"))).select("*", "_s.*").drop("_s")
-    typed = settled.withColumn("metric_type", U.reconcile_type(F.col("metric_type"), F.col("unit_raw"), F.col("number"), F.col("metric_name")))
+    corrected = with_unit.withColumn("_s", U.settle_semantics(F.col("sheet_name"), F.col("rule.subdomain"), F.col("metric_name"), F.col("unit"), F.col("kind"), F.col("scale_0"), F.col("combined"), F.col("explicit"), F.col("title_unit"))).select("*", "_s.*").drop("_s")
+    typed = corrected.withColumn("metric_type", U.reconcile_type(F.col("metric_type"), F.col("unit_raw"), F.col("number"), F.col("metric_name")))
     routed = typed.withColumns(G.route(F.col("rule.dimension_strategy"), F.col("label"), F.col("title"), F.col("parent"), F.col("child")))
     named = correct_labels(routed.withColumn("_name", F.col("label")), "_name", CORRECTIONS)
     return named.select(
