@@ -134,17 +134,15 @@ def header_names(expanded: DataFrame, columns: DataFrame) -> DataFrame:
     listed = expanded.filter(F.col("number").isNull() | F.col("year")).select("sheet_id", "col", F.struct("row", "value", norm(F.col("value")).alias("key"), "year").alias("h"))
     stacks = listed.groupBy("sheet_id", "col").agg(F.array_sort(F.collect_list("h")).alias("stack"))
     empty = F.array().cast("array<string>")
-    start = F.struct(empty.alias("parts"), empty.alias("keys"))
+    start = F.struct(empty.alias("parts"), empty.alias("seen"), F.lit("").alias("last"))
 
     def step(acc: Column, h: Column) -> Column:
         text = F.when(h["year"], F.concat(F.lit("nam "), h["key"])).otherwise(h["value"])
         key = F.when(h["year"], F.concat(F.lit("nam "), h["key"])).otherwise(h["key"])
-        n = F.size(acc["parts"])
-        absorbed = h["year"] & (F.coalesce(F.try_element_at(acc["keys"], F.lit(-1)), F.lit("")) == "nam")
-        pushed = lambda items, x: F.concat(items, F.array(x))
-        replaced = F.struct(pushed(F.slice(acc["parts"], 1, F.greatest(n - 1, F.lit(0))), text).alias("parts"), pushed(F.slice(acc["keys"], 1, F.greatest(n - 1, F.lit(0))), key).alias("keys"))
-        added = F.struct(pushed(acc["parts"], text).alias("parts"), pushed(acc["keys"], key).alias("keys"))
-        return F.when(absorbed, replaced).when(F.array_contains(acc["keys"], key), acc).otherwise(added)
+        absorbed = h["year"] & (acc["last"] == "nam")
+        kept = F.when(absorbed, F.slice(acc["parts"], 1, F.greatest(F.size(acc["parts"]) - 1, F.lit(0)))).otherwise(acc["parts"])
+        pushed = F.struct(F.concat(kept, F.array(text)).alias("parts"), F.concat(acc["seen"], F.array(key)).alias("seen"), key.alias("last"))
+        return F.when(absorbed | ~F.array_contains(acc["seen"], key), pushed).otherwise(acc)
 
     folded = stacks.select("sheet_id", "col", F.array_join(F.aggregate("stack", start, step)["parts"], " / ").alias("name"))
     named = columns.select("sheet_id", "col").distinct().join(folded, ["sheet_id", "col"], "left")
