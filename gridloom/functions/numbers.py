@@ -13,7 +13,7 @@ BLANKS = ["", "-", "–", "—", "...", "."]
 
 
 def looks_like_year(c: Column) -> Column:
-    return clean_cell(c).rlike("^(19|20)[0-9]{2}$")
+    return F.coalesce(c.rlike(r"(?U)^\s*(19|20)[0-9]{2}\s*$"), F.lit(False))
 
 
 def to_number(c: Column) -> Column:
@@ -21,7 +21,8 @@ def to_number(c: Column) -> Column:
 
     A cell counts only if it is digits, blanks, dots and commas altogether, after a sign, brackets
     for negatives and percent signs are taken off. A final comma with other than three digits behind
-    it is a decimal comma, and dots before it are separators; otherwise commas are separators.
+    it is a decimal comma, and dots before it are separators; otherwise commas are separators. Plain
+    numbers and cells without a digit, which are nearly all, are settled by a pattern each.
     """
 
     def unwrap(s: Column) -> Column:
@@ -40,7 +41,8 @@ def to_number(c: Column) -> Column:
         value = F.when(s["some"] & body.rlike(r"^[0-9 .,]+$"), plain.try_cast("double"))
         return F.when(s["negative"], -value).otherwise(value)
 
-    return let(let(let(clean_cell(c), unwrap), unsign), read)
+    careful = let(let(let(clean_cell(c), unwrap), unsign), read)
+    return F.when(c.rlike(r"^[0-9]+(\.[0-9]+)?$"), c.try_cast("double")).when(c.rlike("[0-9]"), careful)
 
 
 def column_index(letters: Column) -> Column:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.bind import let
 from .quality import GROWTH, total, year_missing
 
 c = F.col
@@ -147,8 +148,7 @@ NAME_CHECKS = [Check("year_gaps_with_source", "coverage", None, "==", 0), Check(
 
 def named_domains(sheet_name: Column) -> Column:
     """All domains that a sheet name speaks of."""
-    name = F.lower(sheet_name)
-    return F.filter(F.array(*[F.when(name.rlike(p), F.lit(d)) for d, p in SHEET_NAMES.items()]), lambda d: d.isNotNull())
+    return let(F.lower(sheet_name), lambda name: F.filter(F.array(*[F.when(name.rlike(p), F.lit(d)) for d, p in SHEET_NAMES.items()]), lambda d: d.isNotNull()))
 
 
 def _by_name(curated: DataFrame) -> DataFrame:
@@ -156,7 +156,8 @@ def _by_name(curated: DataFrame) -> DataFrame:
     names = curated.groupBy("source_sheet_name", "report_year", "indicator_domain").agg(F.count("*").alias("n")).withColumn("named", named_domains(c("source_sheet_name")))
     misfiled = (F.size("named") == 1) & ~F.array_contains("named", c("indicator_domain"))
     leaked = names.groupBy("indicator_domain").agg(F.coalesce(F.sum(F.when(F.coalesce(misfiled, F.lit(False)), c("n")).otherwise(0)), F.lit(0)).cast("double").alias("misfiled_from_other_domain"))
-    seen = names.withColumn("d", F.explode("named")).groupBy("d", "report_year").agg(F.max(c("d") == c("indicator_domain")).alias("own"))
+    # explode_outer: a plain explode would push a filter on the patterns below the count
+    seen = names.withColumn("d", F.explode_outer("named")).groupBy("d", "report_year").agg(F.max(c("d") == c("indicator_domain")).alias("own"))
     gaps = seen.groupBy(c("d").alias("indicator_domain")).agg(total(~F.coalesce("own", F.lit(False))).cast("double").alias("year_gaps_with_source"))
     known = F.when(c("indicator_domain").isin(*SHEET_NAMES), F.coalesce("year_gaps_with_source", F.lit(0.0)))
     return leaked.join(gaps, "indicator_domain", "left").select("indicator_domain", "misfiled_from_other_domain", known.alias("year_gaps_with_source"))

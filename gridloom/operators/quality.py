@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bind import let
+
 c = F.col
 GROWTH = ("yoy_growth", "mom_growth")
 
@@ -139,16 +141,21 @@ NAMED_DOMAINS = {
 
 def expected_domain(sheet_name: Column) -> Column:
     """The one domain that a sheet name speaks of; null if it speaks of none or several."""
-    name = F.lower(F.regexp_replace(sheet_name, "[^a-zA-Z0-9 ._-]", "d"))
-    hits = F.filter(F.array(*[F.when(name.rlike(p), F.lit(d)) for d, p in NAMED_DOMAINS.items()]), lambda d: d.isNotNull())
-    return F.when(F.size(hits) == 1, F.try_element_at(hits, F.lit(1)))
+    hits = lambda name: F.filter(F.array(*[F.when(name.rlike(p), F.lit(d)) for d, p in NAMED_DOMAINS.items()]), lambda d: d.isNotNull())
+    only = lambda found: F.when(F.size(found) == 1, F.try_element_at(found, F.lit(1)))
+    return let(let(F.lower(F.regexp_replace(sheet_name, "[^a-zA-Z0-9 ._-]", "d")), hits), only)
 
 
 def domain_classification(curated: DataFrame) -> DataFrame:
-    """Distinct (domain, sheet name) pairs are counted first, so the patterns run once a name."""
-    names = curated.groupBy("indicator_domain", "source_sheet_name").agg(F.count("*").alias("n")).withColumn("expected", expected_domain(c("source_sheet_name"))).filter("expected is not null")
+    """Distinct (domain, sheet name) pairs are counted first, so the patterns run once a name.
+
+    Names that speak of no domain are left out by conditional sums: a filter on them would be pushed
+    below the count and run the patterns on every row.
+    """
+    names = curated.groupBy("indicator_domain", "source_sheet_name").agg(F.count("*").alias("n")).withColumn("expected", expected_domain(c("source_sheet_name")))
     wrong = c("expected") != c("indicator_domain")
-    rows, bad = F.coalesce(F.sum("n"), F.lit(0)).cast("long"), F.sum(F.when(wrong, c("n")).otherwise(0)).cast("long")
+    rows = F.coalesce(F.sum(F.when(c("expected").isNotNull(), c("n"))), F.lit(0)).cast("long")
+    bad = F.sum(F.when(c("expected").isNotNull(), F.when(wrong, c("n")).otherwise(0))).cast("long")
     return names.agg(rows.alias("rows_with_named_domain"), bad.alias("misclassified_rows"), percent(bad, rows, 1).alias("misclassified_pct"), F.count_distinct(F.when(wrong, c("source_sheet_name"))).alias("sheets_affected"))
 
 
