@@ -16,7 +16,7 @@ from gridloom.llm.common import read_table
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.queries import vocabulary
 from gridloom.llm.secrets import redact_secrets
-from gridloom.llm.simhash import drop_near_duplicates
+from gridloom.llm.similar import drop_similar
 from gridloom.llm.substrings import dedup_substrings
 from gridloom.llm.toxicity import classify_toxicity
 
@@ -27,13 +27,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("_predicted") == 0).select(*docs.columns)
 
 
-#: Fingerprints of a document in the near-duplicate stage: a link of any of them counts.
-SEEDS = (42, 43, 44, 45)
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group of near-duplicates."""
-    return drop_near_duplicates(docs, seeds=SEEDS).select(*docs.columns)
+    """Keep the document with the smallest id of every group linked by a five-word-shingle similarity of 0.8 or more."""
+    return drop_similar(docs, width=5, least=0.8).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -170,7 +170,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows without an id cannot be named by a component and all stay; of repeated rows one stays.
     """
     named = docs.filter(F.col(id_col).isNotNull())
-    parts = near_duplicate_components(named, id_col, text_col, width, radius, seeds=seeds)
+    return keep_smallest(docs, near_duplicate_components(named, id_col, text_col, width, radius, seeds=seeds), id_col)
+
+
+def keep_smallest(docs: DataFrame, parts: DataFrame, id_col: str) -> DataFrame:
+    """The documents named by their component's smallest id, once each, and all rows without an id."""
+    named = docs.filter(F.col(id_col).isNotNull())
     keep = parts.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
     kept = named.join(keep, id_col, "left_semi")
     return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
