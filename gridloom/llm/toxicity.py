@@ -30,20 +30,18 @@ class FuzzyTrie:
     """Words and stems in a trie, intersected with the Levenshtein automata of all its words at once.
 
     A state is the set of (trie node, edits so far) that some automaton can be in; the deterministic
-    table is filled as tokens ask for it. An edit is an inserted, dropped or changed character or a
-    swap of neighbours. Stems match without edits, as the beginning of a token.
+    table is filled as tokens ask for it, and begun anew when it holds most_positions positions. An
+    edit is an inserted, dropped or changed character or a swap of neighbours. Stems match without
+    edits, as the beginning of a token.
     """
 
-    MOST_FUZZY = 200  # words that may be misspelled: the first ones, by evidence
-
-    def __init__(self, words: dict[str, float], stems: dict[str, float]):
-        loose = set(list(words)[: self.MOST_FUZZY])
+    def __init__(self, words: dict[str, float], stems: dict[str, float], most_positions: int = 500_000):
         self.child: list[dict[str, int]] = [{}]
         self.word: list[tuple[float, int] | None] = [None]
         self.stem: list[float | None] = [None]
         self.most = [0]
         for term, weight, fuzzy in [*((w, x, True) for w, x in words.items()), *((s, x, False) for s, x in stems.items())]:
-            node, k = 0, edits_allowed(term) if fuzzy and term in loose else 0
+            node, k = 0, edits_allowed(term) if fuzzy else 0
             self.most[0] = max(self.most[0], k)
             for c in term:
                 if c not in self.child[node]:
@@ -58,9 +56,15 @@ class FuzzyTrie:
                 self.word[node] = (weight, k)
             else:
                 self.stem[node] = weight
+        self.most_positions = most_positions
+        self._begin()
+
+    def _begin(self) -> None:
         self.ids: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
+        self.stems_of: dict[int, float | None] = {}
+        self.positions = 0
         self.start = self._state({(0, 0, "")})
 
     def _state(self, positions: set[tuple[int, int, str]]) -> int:
@@ -78,6 +82,7 @@ class FuzzyTrie:
             self.ids[key] = len(self.sets)
             self.sets.append(key)
             self.moves.append({})
+            self.positions += len(key)
         return self.ids[key]
 
     def _move(self, state: int, c: str) -> int:
@@ -102,6 +107,8 @@ class FuzzyTrie:
 
     def match(self, token: str) -> tuple[float, int] | None:
         """(weight, edits) of the best term in the token: fewest edits, then the largest weight."""
+        if self.positions > self.most_positions:
+            self._begin()
         state, best, moves = self.start, None, self.moves
         for c in token:
             to = moves[state].get(c)
@@ -118,7 +125,7 @@ class FuzzyTrie:
         return best
 
     def _stem_of(self, state: int) -> float | None:
-        found = self.__dict__.setdefault("_stems", {})
+        found = self.stems_of
         if state not in found:
             found[state] = max((self.stem[n] for n, e, owed in self.sets[state] if not e and not owed and self.stem[n] is not None), default=None)
         return found[state]
@@ -259,7 +266,8 @@ def choose_terms(counts: list[tuple[str, int, int, float]]) -> tuple[dict[str, f
     """Words and stems of a lexicon from (term, toxic documents, clean documents, weight).
 
     A stem stands only where it covers clearly more than its best word; of nested stems with nearly
-    the same documents the longest stands, otherwise the shortest, and words under a stem go.
+    the same documents the longest stands, otherwise the shortest. Words under a stem stay, so that
+    they may be misspelled.
     """
     word = {t: (n, w) for t, n, _, w in counts if not t.endswith("*")}
     stem = {t[:-1]: (n, w) for t, n, _, w in counts if t.endswith("*")}
@@ -275,8 +283,7 @@ def choose_terms(counts: list[tuple[str, int, int, float]]) -> tuple[dict[str, f
         n, weight = stem[s]
         if n > 1.3 * best_word[s] and longer[s] < 0.97 * n and not any(s[:i] in stems for i in range(4, len(s))):
             stems[s] = weight
-    words = {w: x for w, (_, x) in word.items() if not any(w[:i] in stems for i in range(4, len(w) + 1))}
-    return words, stems
+    return {w: x for w, (_, x) in word.items()}, stems
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_rows: int = 20_000, most_terms: int = 4_000, least_evidence: float = 9.0, least_docs: int = 4, least_odds: float = 15.0) -> Scorer:

@@ -3,7 +3,7 @@
 import random
 
 import corpus_pipeline
-from gridloom.llm import similar
+from gridloom.llm import similar, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -64,3 +64,24 @@ def test_components_in_small_cells_equal_all_pairs(spark):
     rows = similar.similar_components(docs(spark, texts), cell_rows=3).collect()
     assert {r.doc_id: r.component_id for r in rows} == dict(enumerate(plain_groups(texts)))
     assert similar.similar_components(docs(spark, texts).limit(0)).count() == 0
+
+
+# --- toxicity --------------------------------------------------------------------------------------
+
+
+def test_every_word_may_be_misspelled_and_the_table_stays_bounded():
+    rng = random.Random(22)
+    lexicon = {"".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(6, 12))): 5.0 for _ in range(600)}
+    wide, small = toxicity.FuzzyTrie(lexicon, {}), toxicity.FuzzyTrie(lexicon, {}, most_positions=5000)
+    for w in list(lexicon)[::7]:
+        swapped = w[:2] + w[3] + w[2] + w[4:]
+        assert wide.match(swapped) and wide.match(swapped) == small.match(swapped)
+    assert small.positions < wide.positions
+
+
+def test_words_under_a_stem_may_be_misspelled():
+    counts = [("idiot", 10, 0, 4.0), ("idiots", 9, 0, 4.0), ("idiotic", 9, 0, 4.0), ("idio*", 28, 0, 4.5), ("idiot*", 28, 0, 4.5)]
+    words_, stems = toxicity.choose_terms(counts)
+    trie = toxicity.FuzzyTrie(words_, stems)
+    assert stems and trie.match("idiotically")[1] == 0
+    assert all(trie.match(t) for t in ("idoit", "id1ot", "idoits", "idi0tic"))
