@@ -289,15 +289,20 @@ def choose_terms(counts: list[tuple[str, int, int, float]]) -> tuple[dict[str, f
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_rows: int = 20_000, most_terms: int = 4_000, least_evidence: float = 9.0, least_docs: int = 4, least_odds: float = 15.0) -> Scorer:
     """Learn a lexicon and a logistic model from labelled rows.
 
-    At most most_rows labelled rows are used (one of each hash bucket of ids) and at most most_terms
-    terms kept: those with the largest log-likelihood ratio, of at least least_evidence, in least_docs toxic
+    The lexicon is counted over all labelled rows; the logistic model is fitted on at most most_rows
+    of them (one of each hash bucket of ids, one row of docs for an id). Labels that name an id more
+    than once count as their smallest. At most most_terms
+    terms are kept: those with the largest log-likelihood ratio, of at least least_evidence, in least_docs toxic
     documents with different words around and with odds of least_odds or more. Tokens of clean documents that are only near a term are kept as
     benign. Without labels nothing is known and every score is zero.
     """
-    named = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y is not null")
-    one = named.groupBy(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(most_rows)).alias("bucket")).agg(F.min(F.struct(F.xxhash64(F.lit(3), "id").alias("h"), "id", "y")).alias("r"))
+    named = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y is not null").groupBy("id").agg(F.min("y").alias("y"))
+    texts = docs.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("body"))
+    rows = texts.join(named, "id").select("body", "y")
+    h = F.xxhash64(F.lit(3), "id")
+    one = named.groupBy(F.pmod(h, F.lit(most_rows)).alias("bucket")).agg(F.min(F.struct(h.alias("h"), "id", "y")).alias("r"))
     chosen = F.broadcast(one.select("r.id", "r.y"))  # at most most_rows rows
-    rows = docs.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("body")).join(chosen, "id").select("body", "y")
+    sample = texts.join(chosen, "id").groupBy("id").agg(F.min("body").alias("body"), F.first("y").alias("y")).select("body", "y")
     share = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("t")).first()
     toxic, clean = share.t, share.n - share.t
     if not toxic or not clean:
@@ -316,7 +321,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     benign = _counted(rows, near).filter(c >= 2 * t + 1).orderBy(F.desc("c"), "term").limit(most_terms).collect()
     second = Scorer(words, stems, frozenset(r.term for r in benign))
-    found = _features(rows, second).collect()
+    found = _features(sample, second).collect()
     model = fit_logistic(np.array([list(r.x) for r in found]), np.array([r.y for r in found], float))
     return Scorer(words, stems, second.benign, model)
 

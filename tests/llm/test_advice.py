@@ -85,3 +85,29 @@ def test_words_under_a_stem_may_be_misspelled():
     trie = toxicity.FuzzyTrie(words_, stems)
     assert stems and trie.match("idiotically")[1] == 0
     assert all(trie.match(t) for t in ("idoit", "id1ot", "idoits", "idi0tic"))
+
+
+def test_lexicon_is_counted_over_all_labelled_rows(spark):
+    rng = random.Random(23)
+    plain = words(rng, 300)
+    texts = [" ".join(rng.choices(plain, k=30) + (["vilescum", rng.choice(plain)] if i % 20 == 0 else [])) for i in range(400)]
+    texts[20] += " rareslur x"
+    for i in (60, 120, 200, 340):
+        texts[i] += f" rareslur {plain[i]}"
+    table = docs(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(400)], "doc_id long, toxic int")
+    scorer = toxicity.fit_toxicity(table.union(table), labels, most_rows=60)
+    assert scorer.words.keys() | {s + "*" for s in scorer.stems} >= {"vilescum", "rareslur"}
+
+
+def test_fit_sees_one_row_of_an_id(spark):
+    real, seen = toxicity.fit_logistic, []
+    toxicity.fit_logistic = lambda x, y: seen.append(len(x)) or real(x, y)
+    try:
+        texts = ["good day all of you", "vilescum is what you are"] * 30
+        table = docs(spark, texts)
+        labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+        toxicity.fit_toxicity(table.union(table).union(table), labels, most_rows=40)
+    finally:
+        toxicity.fit_logistic = real
+    assert seen and seen[0] <= 40
