@@ -130,10 +130,12 @@ def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, leve
     The router is fitted on at most sample_rows vectors (one of each hash bucket of ids); every row
     is indexed. Vectors that are null, empty or zero or hold null or non-finite components take no
     part, nor do rows without an id or, since one router serves one length, rows whose length is not
-    the sample's most frequent one. Repeated rows of one id count once. No rows: no result.
+    the sample's most frequent one. Repeated rows of one id and vector count once. No rows: no
+    result.
     """
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.filter(usable(F.col(vector_col)) & F.exists(v, lambda x: x != 0) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), queries.alias("asked"))
+    rows = rows.groupBy("vec_id", "v").agg(F.max("asked").alias("asked"))
     bucket = F.pmod(F.xxhash64(F.lit(11), "vec_id"), F.lit(sample_rows))
     picked = rows.groupBy(bucket.alias("bucket")).agg(F.min_by("v", F.xxhash64(F.lit(12), "vec_id")).alias("v")).collect()  # at most sample_rows vectors
     lengths = [len(r.v) for r in picked]

@@ -28,18 +28,21 @@ def block_search(data: DataFrame, queries: DataFrame, search: Callable, k: int,
     """query_id, rank, vec_id, score of each query's k best rows.
 
     data: vec_id, v, part; queries: query_id, v, parts (the parts it searches). `part` has few
-    values. Every part is cut into blocks of about data_rows rows by a hash of vec_id, the queries
+    values. Every part is cut into blocks of about data_rows rows by a hash, the queries
     into blocks of about query_rows; search(query ids, query matrix, ids, matrix) sees one pair of
     blocks and returns arrays (query index, id, score) of at most k rows a query. So a group never
-    grows with the data, whichever vector or part is common.
+    grows with the data, whichever vector or part is common. Repeated rows are dropped before any
+    search, or the copies of one would fill the k places of its block; the hash covers the vector
+    too, so rows of one id with different vectors spread.
     """
+    data, queries = data.distinct(), queries.distinct()
     sizes = {r.part: -(-r["count"] // data_rows) for r in data.groupBy("part").count().collect()}  # one row per part
     wanted = max(1, -(-queries.count() // query_rows))
     if not sizes:
         sizes = {-1: 1}
     blocks = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
-    rows = data.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.element_at(blocks, F.col("part"))).cast("int")).withColumn("own", F.explode(F.sequence(F.lit(0), F.lit(wanted - 1))))
-    asked = queries.withColumn("own", F.pmod(F.xxhash64("query_id"), F.lit(wanted)).cast("int")).withColumn("part", F.explode("parts")).drop("parts")
+    rows = data.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.element_at(blocks, F.col("part"))).cast("int")).withColumn("own", F.explode(F.sequence(F.lit(0), F.lit(wanted - 1))))
+    asked = queries.withColumn("own", F.pmod(F.xxhash64("query_id", "v"), F.lit(wanted)).cast("int")).withColumn("part", F.explode("parts")).drop("parts")
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("part")) - 1)))
     key = ["part", "block", "own"]
     kind = pa.int64() if score == "long" else pa.float64()
@@ -55,4 +58,4 @@ def block_search(data: DataFrame, queries: DataFrame, search: Callable, k: int,
 
     near = asked.groupBy(*key).cogroup(rows.groupBy(*key)).applyInArrow(pair, f"query_id long, vec_id long, score {score}")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return near.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -3,7 +3,9 @@
 import random
 
 import corpus_pipeline
-from gridloom.llm import similar, toxicity
+import numpy as np
+from gridloom.llm import ann, blocks, similar, topk, toxicity
+from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -111,3 +113,31 @@ def test_fit_sees_one_row_of_an_id(spark):
     finally:
         toxicity.fit_logistic = real
     assert seen and seen[0] <= 40
+
+
+# --- nearest vectors -------------------------------------------------------------------------------
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+
+
+def found(result):
+    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in result.collect())
+
+
+def test_a_row_repeated_more_than_k_times_counts_once(spark):
+    rows = [(0, [1.0, 0.0])] + [(i, [float(i), 1.0]) for i in range(1, 40)]
+    copied = vectors(spark, rows + rows[-1:] * 30 + rows[-2:-1] * 30 + rows[:1] * 3)
+    asked = F.col("vec_id") == 0
+    for search, scale in ((topk.exact_top_k, 65536), (ann.nearest_in_partitions, 1)):
+        assert found(search(copied, asked, k=5)) == [(0, n + 1, 39 - n, scale * (39 - n)) for n in range(5)]
+
+
+def test_vectors_of_one_id_spread_over_blocks(spark):
+    rows = [(7, [float(i), 1.0]) for i in range(400)] + [(0, [1.0, 1.0])]
+    df = vectors(spark, rows)
+    data = df.select("vec_id", F.col("embedding").alias("v"), F.lit(0).alias("part"))
+    asked = df.filter("vec_id = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("v"), F.array(F.lit(0)).alias("parts"))
+    sizes = blocks.block_search(data, asked, lambda qid, q, did, d: (np.zeros(1, int), did[:1] * 0 + len(did), np.zeros(1)), 100, "double", 50).collect()
+    assert len(sizes) > 4 and max(r.vec_id for r in sizes) < 150
