@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import by_batch, cut, text_bytes
@@ -142,9 +143,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = cut(_prefixes(docs, id_col, text_col, width, least, common_shingles(docs, id_col, text_col, width)), batch_rows=1000)
     ids = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least")))
-    found = rows.select("node", "n", "doc_id", F.explode("prefix").alias("h")).groupBy("h", "node").agg(F.first("n").alias("n"))
-    shared = found.groupBy("h").agg(F.count("*").alias("many")).filter("many > 1").select("h")
-    cells = cut(found.join(shared, "h"))
+    found, cell = rows.select("node", "n", F.explode("prefix").alias("h")), W.partitionBy("h")
+    shared = found.withColumn("lo", F.min("node").over(cell)).withColumn("hi", F.max("node").over(cell)).filter("lo <> hi")
+    cells = cut(shared.groupBy("h", "node").agg(F.first("n").alias("n")))  # in place: all of it is one exchange by h
     stars = cut(_pairs(cells.withColumn("root", F.col("node")), least, cell_rows, True))
     edges = _verified(stars, docs, ids, id_col, text_col, width, least)
     rooted = cells.join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
