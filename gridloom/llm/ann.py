@@ -128,9 +128,9 @@ def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, leve
     """query_id, rank, vec_id, score: each query's k largest inner products found.
 
     The router is fitted on at most sample_rows vectors (one of each hash bucket of ids); every row
-    is indexed. Vectors that are null, empty or zero or hold null or non-finite components take no
-    part, nor do rows without an id or, since one router serves one length, rows whose length is not
-    the sample's most frequent one. Repeated rows of one id and vector count once. No rows: no
+    is indexed. One router serves one length, the sample's most frequent one; the rows of each further
+    length are a part of their own and searched in full. Vectors that are null, empty or zero or hold
+    null or non-finite components take no part, nor do rows without an id. Repeated rows of one id and vector count once. No rows: no
     result.
     """
     v = F.col(vector_col).cast("array<double>")
@@ -150,6 +150,8 @@ def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, leve
         return pa.RecordBatch.from_arrays([*batch.columns, parts], ["vec_id", "v", "asked", "parts"])
 
     routed = rows.filter(F.size("v") == dim).mapInArrow(by_batch(route), "vec_id long, v array<double>, asked boolean, parts array<int>")
+    others = rows.filter(F.size("v") != dim).withColumn("parts", F.array(-F.size("v")))
+    routed = routed.unionByName(others)
     data = routed.select("vec_id", "v", F.element_at("parts", 1).alias("part"))
     asked = routed.filter("asked").select(F.col("vec_id").alias("query_id"), "v", "parts")
     search = lambda qid, q, did, d: search_block(qid, q, did, d, k)

@@ -141,3 +141,10 @@ def test_vectors_of_one_id_spread_over_blocks(spark):
     asked = df.filter("vec_id = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("v"), F.array(F.lit(0)).alias("parts"))
     sizes = blocks.block_search(data, asked, lambda qid, q, did, d: (np.zeros(1, int), did[:1] * 0 + len(did), np.zeros(1)), 100, "double", 50).collect()
     assert len(sizes) > 4 and max(r.vec_id for r in sizes) < 150
+
+
+def test_vectors_of_every_length_are_searched(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(40)] + [(100 + i, [1.0, float(i), 2.0]) for i in range(6)] + [(200, [1.0, 1.0, 1.0, 1.0])]
+    asked = F.col("vec_id").isin(0, 100, 105, 200)
+    got = found(ann.nearest_in_partitions(vectors(spark, rows), asked, k=2))
+    assert got == [(0, 1, 1, 1), (0, 2, 2, 1), (100, 1, 101, 5), (100, 2, 102, 5), (105, 1, 104, 25), (105, 2, 103, 20)]
