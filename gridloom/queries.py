@@ -480,6 +480,18 @@ def artifact_fix(spark, sf_dir):
     return T.correct_labels(rows, "label", rules).select("doc_id", F.md5("label").alias("label"))
 
 
+_GARBLED_WHOLE = _GARBLED.replace("substr(text, 1, 200)", "coalesce(text, '')")
+
+
+@query(f"SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CLEAN.format(x=_GARBLED_WHOLE)}, '\\bHang hua\\b', 'Hang hoa', 'g'), '\\bhang hua\\b', 'hang hoa', 'g'), '\\bbon le\\b', 'ban le', 'g'), '\\bhua\\b', 'hoa', 'g')) AS label FROM documents")
+def artifact_fix_whole(spark, sf_dir):
+    """The whole texts of all documents."""
+    rules = [("Hang hua", "Hang hoa"), ("hang hua", "hang hoa"), ("bon le", "ban le"), ("hua", "hoa")]
+    garbled = F.replace(F.replace("text", F.lit(" the "), F.lit(" Hang hua ")), F.lit(" and "), F.lit(" bon le "))
+    rows = S.table(spark, sf_dir, "documents").select("doc_id", T.clean_cell(garbled).alias("label"))
+    return T.correct_labels(rows, "label", rules).select("doc_id", F.md5("label").alias("label"))
+
+
 @query(f"SELECT doc_id, md5(translate(text, '{T.LEGACY_GLYPHS}', '{T.LEGACY_LETTERS}')) AS letters, CAST(length(regexp_replace(text, '[^{T.LEGACY_EVIDENCE}]', '', 'g')) AS INTEGER) AS hits FROM documents")
 def legacy_translate(spark, sf_dir):
     return S.table(spark, sf_dir, "documents").select("doc_id", F.md5(F.translate("text", T.LEGACY_GLYPHS, T.LEGACY_LETTERS)).alias("letters"), T.legacy_hits(c("text")).alias("hits"))
