@@ -558,6 +558,17 @@ def classify_report(spark, sf_dir):
     return found.select("o_orderkey", "p.sub_category", "p.report_year", "p.report_month", "p.period_start_date", "p.period_end_date")
 
 
+@query("SELECT o_orderkey, 'monthly_single_month' AS sub_category, CAST(2000 + o_orderkey % 26 AS INTEGER) AS report_year, CAST(1 AS INTEGER) AS report_month, CAST(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), 1, 1) AS DATE) AS period_start_date, CAST(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), 1, 31) AS DATE) AS period_end_date FROM orders WHERE month(o_orderdate) = 1")
+def classify_report_january(spark, sf_dir):
+    """The orders that classify_report leaves out; a title of January and one month covers a single month."""
+    year = (2000 + c("o_orderkey") % 26).cast("string")
+    single = F.concat(F.lit("Báo cáo tình hình kinh tế tháng 1 năm "), year)
+    longer = F.concat(F.lit("Báo cáo tình hình kinh tế tháng 1 và 1 tháng đầu năm "), year)
+    rows = S.table(spark, sf_dir, "orders").filter(F.month("o_orderdate") == 1)
+    found = rows.select("o_orderkey", P.classify_report(F.when(c("o_orderkey") % 2 == 0, single).otherwise(longer)).alias("p"))
+    return found.select("o_orderkey", "p.sub_category", "p.report_year", "p.report_month", "p.period_start_date", "p.period_end_date")
+
+
 @query("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_props(spark, sf_dir):
     return S.table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))

@@ -161,3 +161,10 @@ def test_artefacts_are_corrected_in_whole_texts_of_all_documents(spark, tmp_path
     want = ["x" * 300 + " ban le hoa", "a Hang hoa b", "", "chua hoa"]
     got = queries.queries()["artifact_fix_whole"](spark, str(tmp_path)).collect()
     assert {r.doc_id: r.label for r in got} == {i: hashlib.md5(w.encode()).hexdigest() for i, w in enumerate(want)}
+
+
+def test_titles_of_every_month_are_classified(spark, tmp_path):
+    spark.range(24).selectExpr("id AS o_orderkey", "make_date(1995, CAST(id DIV 2 AS INT) + 1, 9) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = [r for q in ("classify_report", "classify_report_january") for r in queries.queries()[q](spark, str(tmp_path)).collect()]
+    assert sorted((r.o_orderkey, r.report_month) for r in rows) == [(i, i // 2 + 1) for i in range(24)]
+    assert {(r.sub_category, r.period_end_date.day) for r in rows if r.o_orderkey < 2} == {("monthly_single_month", 31)}
