@@ -222,6 +222,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02, steps: int =
     return beta[:-1], float(beta[-1])
 
 
+BROADCAST_LABELS = 1_000_000  # 16 bytes each; how labels are joined, not which
+
+
 def _counted(rows: DataFrame, terms_of) -> DataFrame:
     """term, c (clean documents with it) and t (toxic ones, or their distinct contexts if those are fewer).
 
@@ -298,7 +301,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     """
     named = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y is not null").groupBy("id").agg(F.min("y").alias("y"))
     texts = docs.select(F.col(id_col).alias("id"), text_bytes(F.col(text_col)).alias("body"))
-    rows = texts.join(named, "id").select("body", "y")
+    few = named.count() <= BROADCAST_LABELS  # or else the texts are shuffled, twice
+    rows = texts.join(F.broadcast(named) if few else named, "id").select("body", "y")
     h = F.xxhash64(F.lit(3), "id")
     one = named.groupBy(F.pmod(h, F.lit(most_rows)).alias("bucket")).agg(F.min(F.struct(h.alias("h"), "id", "y")).alias("r"))
     chosen = F.broadcast(one.select("r.id", "r.y"))  # at most most_rows rows

@@ -97,7 +97,7 @@ def test_lexicon_is_counted_over_all_labelled_rows(spark):
     texts = [" ".join(rng.choices(plain, k=30) + (["vilescum", rng.choice(plain)] if i % 20 == 0 else [])) for i in range(400)]
     texts[20] += " rareslur x"
     for i in (60, 120, 200, 340):
-        texts[i] += f" rareslur {plain[i]}"
+        texts[i] += f" rareslur {plain[i % 300]}"
     table = docs(spark, texts)
     labels = spark.createDataFrame([(i, int(i % 20 == 0)) for i in range(400)], "doc_id long, toxic int")
     scorer = toxicity.fit_toxicity(table.union(table), labels, most_rows=60)
