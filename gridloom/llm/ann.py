@@ -2,12 +2,14 @@
 
 A neighbour graph of a bounded sample is cut into balanced parts by spectral bisection, a small
 softmax network learns to predict the part from the vector, every row is indexed under its most
-probable part, and a query searches the several parts that the network finds most probable.
+probable part, and a query searches the several parts that the network finds most probable. Large
+tables have parts of parts, so that a part does not grow with the data.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import pickle
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import block_search, matrix, usable
-from .common import by_batch
+from .common import by_batch, cut
 
 
 def neighbour_graph(points: np.ndarray, k: int) -> np.ndarray:
@@ -51,18 +53,44 @@ def balanced_parts(graph: np.ndarray, levels: int, rng: np.random.Generator) ->
 
 @dataclass
 class Router:
-    """One hidden layer and a softmax over parts; `probes` parts are searched."""
+    """One hidden layer and a softmax over parts; with `inner` routers, one for each part, over parts of parts. `probes` parts are searched."""
 
     weights: list[np.ndarray]
     probes: int
+    inner: list[list[np.ndarray]] = field(default_factory=list)
 
-    def ranked(self, points: np.ndarray) -> np.ndarray:
-        """Parts of each point, most probable first."""
-        a, b, c, d = self.weights
-        return np.argsort(-(np.maximum(points @ a + b, 0) @ c + d), axis=1, kind="stable")
-
-
-def train_router(points: np.ndarray, label: np.ndarray, parts: int, rng: np.random.Generator, hidden: int = 128, steps: int = 250) -> Router:
+    @staticmethod
+    def log_softmax(points: np.ndarray, weights: list[np.ndarray]) -> np.ndarray:
+        a, b, c, d = weights
+        z = np.maximum(points @ a + b, 0) @ c + d
+        z = z - z.max(axis=1, keepdims=True)
+        return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+    def home(self, points: np.ndarray) -> np.ndarray:
+        """The part of each point: the most probable one, level by level."""
+        part = self.log_softmax(points, self.weights).argmax(axis=1)
+        if not self.inner:
+            return part
+        wide = self.inner[0][3].shape[0]
+        out = np.zeros(len(points), np.int64)
+        for p in np.unique(part):
+            at = np.flatnonzero(part == p)
+            out[at] = p * wide + self.log_softmax(points[at], self.inner[p]).argmax(axis=1)
+        return out
+
+    def ranked(self, points: np.ndarray, most: int | None = None) -> np.ndarray:
+        """Parts of each point, most probable first, at most `most` of them."""
+        out = []
+        for lo in range(0, len(points), 256):  # parts of parts are many
+            own = points[lo : lo + 256]
+            score = self.log_softmax(own, self.weights)
+            if self.inner:
+                score = np.concatenate([score[:, [p]] + self.log_softmax(own, w) for p, w in enumerate(self.inner)], axis=1)
+            out.append(np.argsort(-score, axis=1, kind="stable")[:, :most].astype(np.int32))
+        return np.concatenate(out) if out else np.zeros((0, most or 1), np.int32)
+
+
+def train_router(points: np.ndarray, label: np.ndarray, parts: int, rng: np.random.Generator, hidden: int = 128, steps: int = 250) -> list[np.ndarray]:
     """Cross-entropy by Adam over the whole sample."""
     dim, target = points.shape[1], np.eye(parts)[label]
     weights = [rng.standard_normal((dim, hidden)) * (2 / dim) ** 0.5, np.zeros(hidden), rng.standard_normal((hidden, parts)) * hidden**-0.5, np.zeros(parts)]
@@ -80,32 +108,44 @@ def train_router(points: np.ndarray, label: np.ndarray, parts: int, rng: np.rand
             first[i] = 0.9 * first[i] + 0.1 * g
             second[i] = 0.999 * second[i] + 0.001 * g * g
             weights[i] = weights[i] - 0.01 * (first[i] / (1 - 0.9**step)) / (np.sqrt(second[i] / (1 - 0.999**step)) + 1e-8)
-    return Router(weights, parts)
-
-
-def fit_router(sample: np.ndarray, levels: int = 4, k: int = 20, recall: float = 0.94, seed: int = 5) -> Router:
-    """Fit on the sample; probes is the smallest number of parts that reaches `recall` on points left out of the fit."""
-    rng, parts = np.random.default_rng(seed), 2**levels
-    scale = float(np.sqrt((sample**2).sum(axis=1).mean())) if len(sample) else 1.0
-    points = sample / scale
-    held = np.arange(len(points)) % 8 == 0
-    fit, asked = points[~held], points[held]
-    if len(fit) <= 4 * parts:
-        dim = sample.shape[1] if len(sample) else 1
-        return Router([np.zeros((dim, 1)), np.zeros(1), np.zeros((1, parts)), np.zeros(parts)], parts)
-    router = train_router(fit, balanced_parts(neighbour_graph(fit, 10), levels, rng), parts, rng)
-    router.weights[0] = router.weights[0] / scale
-    home = router.ranked(fit * scale)[:, 0]
-    order = router.ranked(asked * scale)
-    near = np.argsort(-(asked @ fit.T), axis=1)[:, :k]
-    depth = (order[:, None, :] == home[near][:, :, None]).argmax(axis=2)  # how many parts down a neighbour's part stands
-    reached = [(depth <= m).mean() for m in range(parts)]
-    router.probes = next((m + 1 for m in range(parts) if reached[m] >= recall), parts)
-    return router
+    return weights
+
+
+def fit_parts(points: np.ndarray, levels: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """Weights of a network that tells apart 2**levels balanced parts of the points' neighbour graph."""
+    scale = float(np.sqrt((points**2).sum(axis=1).mean())) if len(points) else 1.0
+    scaled = points / (scale or 1.0)
+    if not len(points):
+        scaled = np.zeros((1, points.shape[1]))
+    weights = train_router(scaled, balanced_parts(neighbour_graph(scaled, 10), levels, rng), 2**levels, rng)
+    weights[0] = weights[0] / (scale or 1.0)
+    return weights
+
 
+def probes_needed(router: Router, parts: int, fit: np.ndarray, asked: np.ndarray, k: int, recall: float) -> int:
+    """The smallest number of parts that holds `recall` of the k nearest of `fit` for the points asked."""
+    if not len(fit) or not len(asked):
+        return parts
+    home, reached, total = router.home(fit), np.zeros(parts), 0
+    for lo in range(0, len(asked), 256):
+        own = asked[lo : lo + 256]
+        score = own @ fit.T
+        score[(own**2).sum(axis=1)[:, None] + (fit**2).sum(axis=1)[None, :] - 2 * score <= 1e-12] = -np.inf  # the point itself
+        near = np.argsort(-score, axis=1)[:, :k]
+        place = np.argsort(router.ranked(own), axis=1)  # how many parts down each part stands
+        depth = np.take_along_axis(place, home[near], axis=1)
+        reached += np.bincount(depth.ravel(), minlength=parts)
+        total += depth.size
+    return min(parts, int(np.searchsorted(np.cumsum(reached) / total, recall)) + 1)
 
-def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query index, id, score) of each query's k largest inner products in a block, itself left out.
+
+def part_levels(rows: int, part_rows: int) -> int:
+    """Bisections that leave about part_rows to twice as many rows in a part: 2 (four parts) to 14."""
+    return int(np.clip(np.floor(np.log2(max(1, rows) / part_rows)), 2, 14))
+
+
+def search_block(query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query index, id, score) of each query's k largest inner products in a block, itself left out; `least` is not used.
 
     The matrix product only preselects; scores are summed row by row, so equal vectors have equal
     scores and ties go to smaller ids.
@@ -124,35 +164,85 @@ def search_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, ro
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, levels: int = 4, sample_rows: int = 4096, recall: float = 0.94, id_col: str = "vec_id", vector_col: str = "embedding", data_rows: int = 2048, query_rows: int = 512) -> DataFrame:
+def _samples(rows: DataFrame, key: str, sample_rows: int) -> DataFrame:
+    """key, bucket, v: one vector of each of sample_rows hash buckets of ids and key."""
+    bucket = F.pmod(F.xxhash64(F.lit(11), "vec_id"), F.lit(sample_rows))
+    return rows.groupBy(key, bucket.alias("bucket")).agg(F.min_by("v", F.xxhash64(F.lit(12), "vec_id", "v")).alias("v"))
+
+
+def _fit_inner(sample: DataFrame, levels: int, dim: int, seed: int) -> dict[int, list[np.ndarray]]:
+    """Part -> weights of the network over its own parts, each fitted in a task on the part's sample."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        points = matrix(table.sort_by("bucket").column("v"), np.float64)
+        weights = fit_parts(points, levels, np.random.default_rng([seed, key[0].as_py()]))
+        return pa.table([pa.array([key[0].as_py()], pa.int32()), pa.array([pickle.dumps([w.astype(np.float32) for w in weights])])], names=["part", "weights"])
+
+    fitted = sample.groupBy("part").applyInArrow(run, "part int, weights binary").collect()  # a row per part
+    return {r.part: [w.astype(np.float64) for w in pickle.loads(r.weights)] for r in fitted}
+
+
+def _homes(rows: DataFrame, router: Router, name: str) -> DataFrame:
+    model = rows.sparkSession.sparkContext.broadcast(router)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        home = model.value.home(matrix(batch.column(1), np.float64)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(home)], [*batch.schema.names, name])
+
+    return rows.mapInArrow(by_batch(run), f"vec_id long, v array<double>, asked boolean, {name} int")
+
+
+def fit_router(rows: DataFrame, dim: int, total: int, k: int, recall: float, part_rows: int, sample_rows: int, seed: int = 5) -> Router:
+    """A router over about total / part_rows parts of the rows (vec_id, v, asked), all of length dim.
+
+    Up to 64 parts come from one network, fitted on at most sample_rows vectors; more come from two levels, each
+    part of the first having a sample of at most sample_rows vectors and a network of its own.
+    """
+    rng, levels = np.random.default_rng(seed), part_levels(total, part_rows)
+    picked = _samples(rows.withColumn("part", F.lit(0)), "part", sample_rows).orderBy("bucket").collect()  # at most sample_rows vectors
+    points = np.array([r.v for r in picked], np.float64).reshape(-1, dim)
+    held = np.arange(len(points)) % 8 == 0 if len(points) >= 64 else np.zeros(len(points), bool)
+    fit, asked = points[~held], points[held] if held.any() else points
+    outer = levels if levels <= 6 else (levels + 1) // 2
+    router = Router(fit_parts(fit, outer, rng), 2**outer)
+    if outer < levels:
+        wide = 2 ** (levels - outer)
+        inner = _fit_inner(_samples(_homes(rows, router, "part"), "part", sample_rows), levels - outer, dim, seed)
+        empty = [np.zeros((dim, 1)), np.zeros(1), np.zeros((1, wide)), np.zeros(wide)]
+        router.inner = [inner.get(p, empty) for p in range(2**outer)]
+    router.probes = probes_needed(router, 2**levels, fit, asked, k, recall)
+    return router
+
+
+def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = 1024, sample_rows: int = 4096, recall: float = 0.94, id_col: str = "vec_id", vector_col: str = "embedding", data_rows: int = 2048, query_rows: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k largest inner products found.
 
-    The router is fitted on at most sample_rows vectors (one of each hash bucket of ids); every row
-    is indexed. One router serves one length, the sample's most frequent one; the rows of each further
-    length are a part of their own and searched in full. Vectors that are null, empty or zero or hold
-    null or non-finite components take no part, nor do rows without an id. Repeated rows of one id and vector count once. No rows: no
-    result.
+    Parts grow in number with the rows (part_rows to twice as many rows each, 4 parts at least and
+    16,384 at most). Networks are fitted on samples of at most sample_rows vectors (one of each hash
+    bucket of ids); every row is indexed under its most probable part, and a query searches as many
+    parts as hold `recall` of the neighbours of points left out of the fit. One router serves one
+    length, the most frequent one; the rows of each further length are a part of their own and searched in full.
+    Vectors that are null, empty or zero or hold null or non-finite components take no part, nor do
+    rows without an id. Repeated rows of one id and vector count once. No rows: no result.
     """
     v = F.col(vector_col).cast("array<double>")
-    rows = vectors.filter(usable(F.col(vector_col)) & F.exists(v, lambda x: x != 0) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), queries.alias("asked"))
-    rows = rows.groupBy("vec_id", "v").agg(F.max("asked").alias("asked"))
-    bucket = F.pmod(F.xxhash64(F.lit(11), "vec_id"), F.lit(sample_rows))
-    picked = rows.groupBy(bucket.alias("bucket")).agg(F.min_by("v", F.xxhash64(F.lit(12), "vec_id")).alias("v")).collect()  # at most sample_rows vectors
-    lengths = [len(r.v) for r in picked]
-    dim = max(sorted(set(lengths)), key=lengths.count) if lengths else 1
-    sample = np.array([r.v for r in sorted(picked, key=lambda r: r.bucket) if len(r.v) == dim], np.float64).reshape(-1, dim)
-    router = fit_router(sample, levels, k, recall)
-    weights, probes = router.weights, router.probes
-
-    def route(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ranked = Router(weights, probes).ranked(matrix(batch.column(1), np.float64))[:, :probes].astype(np.int32)
-        parts = pa.ListArray.from_arrays(pa.array(np.arange(len(ranked) + 1, dtype=np.int32) * probes), pa.array(ranked.ravel()))
-        return pa.RecordBatch.from_arrays([*batch.columns, parts], ["vec_id", "v", "asked", "parts"])
-
-    routed = rows.filter(F.size("v") == dim).mapInArrow(by_batch(route), "vec_id long, v array<double>, asked boolean, parts array<int>")
-    others = rows.filter(F.size("v") != dim).withColumn("parts", F.array(-F.size("v")))
-    routed = routed.unionByName(others)
-    data = routed.select("vec_id", "v", F.element_at("parts", 1).alias("part"))
-    asked = routed.filter("asked").select(F.col("vec_id").alias("query_id"), "v", "parts")
-    search = lambda qid, q, did, d: search_block(qid, q, did, d, k)
+    kept = vectors.filter(usable(F.col(vector_col)) & F.exists(v, lambda x: x != 0) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("v"), F.coalesce(queries, F.lit(False)).alias("asked"))
+    rows = cut(kept.groupBy("vec_id", "v").agg(F.max("asked").alias("asked")))
+    lengths = {r.size: r["count"] for r in rows.groupBy(F.size("v").alias("size")).count().collect()}  # one row per vector length
+    dim = max(sorted(lengths), key=lengths.get) if lengths else 1
+    usual = rows.filter(F.size("v") == dim)
+    router = fit_router(usual, dim, lengths.get(dim, 0), k, recall, part_rows, sample_rows)
+    model = vectors.sparkSession.sparkContext.broadcast(router)
+
+    def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ranked = model.value.ranked(matrix(batch.column(1), np.float64), model.value.probes)
+        parts = pa.ListArray.from_arrays(pa.array(np.arange(len(ranked) + 1, dtype=np.int32) * ranked.shape[1]), pa.array(ranked.ravel()))
+        return pa.RecordBatch.from_arrays([*batch.columns, parts], ["vec_id", "v", "home", "parts"])
+
+    placed = cut(_homes(usual, router, "home").unionByName(rows.filter(F.size("v") != dim).withColumn("home", -F.size("v"))))
+    data = placed.select("vec_id", "v", F.col("home").alias("part"))
+    inquiring = placed.filter("asked").select("vec_id", "v", "home")
+    routed = inquiring.filter("home >= 0").mapInArrow(by_batch(probe), "vec_id long, v array<double>, home int, parts array<int>")
+    asked = cut(routed.unionByName(inquiring.filter("home < 0").withColumn("parts", F.array("home"))).withColumnRenamed("vec_id", "query_id").withColumn("least", F.lit(None).cast("double")))
+    search = lambda qid, q, least, did, d: search_block(qid, q, least, did, d, k)
     return block_search(data, asked, search, k, "double", data_rows, query_rows)
