@@ -14,12 +14,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all hosts share, as spark.checkpoint.dir names it.
+
+    Where it is unset, a local master (tests) gets a folder of its own; a cluster has none to fall back on.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all hosts share")
+    return tempfile.mkdtemp(prefix="gridloom-checkpoint-")
+
+
 def use_checkpoints(spark: SparkSession) -> None:
-    """Make checkpoint() usable: the cluster's shared folder, or a private one where none is named (tests)."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="gridloom-checkpoint-"))
+    """Make checkpoint() usable."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -42,6 +53,14 @@ def cut(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
         spark.conf.set(BATCH, before)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, with as many underscores before it as make it none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def crc_of_id(doc_id: Column) -> Column:
     """crc32 of the id as text; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))

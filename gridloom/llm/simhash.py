@@ -17,39 +17,41 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, cut, text_bytes
+from .common import by_batch, cut, text_bytes, unused
 from .components import connected_components
 
 ODD_BITS = 0x5555555555555555
 
 
-def simhashes(text: bytes, width: int = 3, seeds: tuple[int, ...] = (42,)) -> list[int]:
-    """Fingerprints of one text: majority bits of the XXH64 of its word shingles, one for each seed; no words: zeros."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """XXH64 (seed 42) of the word shingles, repeats included; a text of fewer words is one shingle, one without words none."""
     words = text.lower().split()  # bytes: A-Z and the six ASCII blanks only
     if not words:
-        return [0] * len(seeds)
+        return np.zeros(0, np.uint64)
     shingles = [b" ".join(s) for s in zip(*(words[i:] for i in range(width)))] or [b" ".join(words)]
-    digest, out = xxhash.xxh64_intdigest, []
-    for seed in seeds:
-        hashes = np.fromiter((digest(s, seed) for s in shingles), np.uint64, len(shingles))
-        counts = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), 4096):
-            block = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
-            counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0]))
-    return out
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(s, 42) for s in shingles), np.uint64, len(shingles))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a long), fp1, ... for further seeds. Null texts count as empty; extra columns are not read."""
-    names = ["fp", *(f"fp{i}" for i in range(1, len(seeds)))]
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes; none: zero."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 4096):
+        block = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(block, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
+    """doc_id, digest (of the text), fp (the fingerprint's bits as a long). Null texts count as empty; extra columns are not read."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = np.array([simhashes(t, width, seeds) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in values.T)], ["doc_id", *names])
+        values = np.array([majority(shingle_hashes(t, width)) for t in batch.column(2).to_pylist()], np.uint64).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(values)], ["doc_id", "digest", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(F.col(text_col)).alias("body"))
-    return rows.mapInArrow(by_batch(run), "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    body = text_bytes(F.col(text_col))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(body).alias("digest"), body.alias("body"))
+    return rows.mapInArrow(by_batch(run), "doc_id long, digest long, fp long")
 
 
 def block_masks(radius: int, agreeing: int = 3) -> list[int]:
@@ -97,13 +99,15 @@ def _local_edges(fps: np.ndarray, radius: int, strip: int = 512) -> list[tuple[i
     return [(int(fps[x]), int(fps[r])) for x in range(len(u)) if (r := root(x)) != x]
 
 
-def links(distinct_fps: DataFrame, radius: int = 3, cell_rows: int = 2048) -> DataFrame:
+def links(distinct_fps: DataFrame, radius: int = 3, cell_rows: int = 2048, agreeing: int = 3) -> DataFrame:
     """(u, v) edges of fingerprints whose components equal those of all pairs within the radius.
 
+    `agreeing` says how many blocks of coordinates a cell fixes: more make more cells of fewer
+    fingerprints, for tables of many documents; the links are the same.
     A cell of more than cell_rows fingerprints is cut into chunks, and each pair of chunks is one
     group of bounded size, so nothing is lost and no group grows with the data.
     """
-    masks = block_masks(radius)
+    masks = block_masks(radius, agreeing)
     cells = F.array(*[F.struct(F.lit(i).alias("m"), F.col("emb").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks)])
     placed = distinct_fps.select("fp", embedding(F.col("fp")).alias("emb")).select("fp", F.explode(cells).alias("cell")).select("fp", "cell.*")
     shared = placed.groupBy("m", "key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -131,51 +135,55 @@ def links(distinct_fps: DataFrame, radius: int = 3, cell_rows: int = 2048) -> Da
     return dealt.mapInArrow(by_batch(run), "u long, v long").distinct()
 
 
-def _further_links(rows: DataFrame, name: str, radius: int, cell_rows: int) -> DataFrame:
-    """Links that another seed's fingerprints give, as edges between first fingerprints."""
-    least = F.min("fp").alias("rep")
-    pairs = cut(rows.select("fp", name).distinct())
-    reps = cut(pairs.groupBy(name).agg(least))
-    equal = pairs.join(reps, name).filter("fp <> rep").select(F.col("fp").alias("u"), F.col("rep").alias("v"))
-    near = links(reps.select(F.col(name).alias("fp")), radius, cell_rows)
-    of = lambda end, to: reps.select(F.col(name).alias(end), F.col("rep").alias(to))
-    return equal.unionByName(near.join(of("u", "a"), "u").join(of("v", "b"), "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
+def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, radius: int, cell_rows: int, agreeing: int) -> DataFrame:
+    """doc_id, digest, fp, root, component_id for every row of docs."""
+    rows = cut(fingerprints(docs, id_col, text_col, width), batch_rows=1000)
+    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    roots = connected_components(links(distinct.select("fp"), radius, cell_rows, agreeing))
+    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    smallest = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))  # written down: see components
+    of_fp = joined.join(smallest, "root").select("fp", "root", "component_id")
+    return rows.join(of_fp, "fp").select("doc_id", "digest", "fp", "root", "component_id")
 
 
-def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, cell_rows: int = 2048, seeds: tuple[int, ...] = (42,)) -> DataFrame:
+def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, cell_rows: int = 2048, agreeing: int = 3) -> DataFrame:
     """doc_id, fp, component_id for every row of docs.
 
     Fingerprints within `radius` bits link; component_id is the smallest doc_id that can be reached.
-    With several seeds a link of any of them counts, which finds copies that differ in more words.
     Exact copies share a fingerprint and are folded into one before any join, so a group of copies
     costs one row. Null and empty texts have fingerprint zero and link like any other. Rows with a
     null id get the component of their fingerprint, or null when no row of it has an id. Repeated
     rows are returned as often as they occur; an empty table gives an empty result.
     """
-    rows = cut(fingerprints(docs, id_col, text_col, width, seeds), batch_rows=1000)
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    edges = links(distinct.select("fp"), radius, cell_rows)
-    for i in range(1, len(seeds)):
-        edges = edges.unionByName(_further_links(rows, f"fp{i}", radius, cell_rows))
-    roots = connected_components(edges)
-    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))  # written down: see components
-    of_fp = joined.join(smallest, "root").select("fp", "component_id")
-    return rows.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    return _parts(docs, id_col, text_col, width, radius, cell_rows, agreeing).select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, seeds: tuple[int, ...] = (42,)) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3) -> DataFrame:
     """The documents without near-duplicates: of each component only the document with its smallest id stays.
 
-    Rows without an id cannot be named by a component and all stay; of repeated rows one stays.
+    Rows without an id cannot be named by a component and all stay; of repeated rows one stays; of
+    different texts under one id each stays that leads a component of its own.
     """
     named = docs.filter(F.col(id_col).isNotNull())
-    return keep_smallest(docs, near_duplicate_components(named, id_col, text_col, width, radius, seeds=seeds), id_col)
+    return keep_smallest(docs, _parts(named, id_col, text_col, width, radius, 2048, 3), id_col, text_col)
 
 
-def keep_smallest(docs: DataFrame, parts: DataFrame, id_col: str) -> DataFrame:
-    """The documents named by their component's smallest id, once each, and all rows without an id."""
-    named = docs.filter(F.col(id_col).isNotNull())
-    keep = parts.filter("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    kept = named.join(keep, id_col, "left_semi")
-    return kept.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+BROADCAST_ROWS = 2_000_000  # of 16 bytes; how rows are dropped, not which
+
+
+def keep_smallest(docs: DataFrame, parts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs less all rows but one of every root of parts (doc_id, digest, root): its smallest id, then digest, stays.
+
+    Rows are named by their id and a digest of their text, so texts move only when the rows to drop
+    are too many to broadcast; of repeated rows, which are looked at apart, one stays.
+    """
+    keys = parts.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n"))
+    leads = cut(keys.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("lead")))
+    named = keys.join(leads, "root").withColumn("leads", F.struct("doc_id", "digest") == F.col("lead"))
+    gone = cut(named.filter("NOT leads OR n > 1").select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest"), "leads"))
+    small = F.broadcast if gone.count() <= BROADCAST_ROWS else lambda df: df
+    same = (docs[id_col].cast("long") == F.col("_gone")) & (F.xxhash64(text_bytes(docs[text_col])) == F.col("_digest"))
+    kept = docs.join(small(gone), same, "left_anti")
+    digest = unused(docs, "digest")
+    repeated = docs.join(small(gone.filter("leads")), same, "left_semi").withColumn(digest, F.xxhash64(text_bytes(F.col(text_col))))
+    return kept.unionByName(repeated.dropDuplicates([id_col, digest]).drop(digest))

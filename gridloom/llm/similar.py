@@ -1,56 +1,75 @@
-"""Near-duplicates by the exact similarity of word shingles.
+"""Near-duplicates by SimHash, settled and completed by the exact similarity of word shingles.
 
 Two documents link when the sets of their shingles of `width` words have a Jaccard similarity of
-`least` or more. With shingles in one common order, such a pair shares one of the first
-n - ceil(least * n) + 1 shingles of both, so documents that share one of these are the candidates and no pair
-is lost. The order puts the commonest shingles of a bounded sample last; any order gives the same
-links, this one keeps the candidates few. Every candidate is settled by its whole shingle sets.
+`least` or more. Candidates come from the SimHash links of the fingerprints and, because 64 bits
+cannot reach every such pair, from shared shingles: with shingles in one common order, a pair
+shares one of the first n - ceil(least * n) + 1 shingles of both, so documents that share one of
+these are candidates and no pair is lost. The order puts the commonest shingles of a bounded sample last; any
+order gives the same links, this one keeps the candidates few. A bitmap of every set bounds the
+difference of two sets from below and drops most candidates; the texts themselves settle the rest.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import by_batch, cut, text_bytes
 from .components import connected_components
-from .simhash import keep_smallest
+from .simhash import keep_smallest, links, majority, shingle_hashes
+
+WORDS = 8  # 64-bit words of a set's bitmap
+BROADCAST_ROWS = 2_000_000  # of 8 to 24 bytes; how a side is joined, not which
+KEPT_SETS = 256  # sets that a task remembers while it settles pairs
 
 
 def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
     """Sorted distinct XXH64 of the word shingles; a text of fewer words is one shingle, one without words none."""
-    words = text.lower().split()  # bytes: A-Z and the six ASCII blanks only
-    if not words:
-        return np.zeros(0, np.uint64)
-    shingles = {b" ".join(s) for s in zip(*(words[i:] for i in range(width)))} or {b" ".join(words)}
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s) for s in shingles), np.uint64, len(shingles)))
+    return np.unique(shingle_hashes(text, width))
 
 
 def prefix_length(n: int, least: float) -> int:
     return n - math.ceil(least * n - 1e-9) + 1 if n else 0
 
 
+def set_digest(own: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(own.tobytes())
+
+
+def bitmap(own: np.ndarray) -> np.ndarray:
+    """WORDS 64-bit words; the bits that differ between two sets are no more than the elements that do."""
+    bits = np.zeros(64 * WORDS, bool)
+    bits[((own * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(64 * WORDS)] = True
+    return np.packbits(bits).view(np.uint64)
+
+
+def most_difference(n_u, n_v, least: float):
+    """The elements in which sets of these sizes may differ."""
+    return (1 - least) / (1 + least) * (n_u + n_v) + 1e-6
+
+
+def _small(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it has few rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     offsets = np.zeros(len(arrays) + 1, np.int32)
     np.cumsum([len(a) for a in arrays], out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays).view(np.int64)))
 
 
-def _node(own: np.ndarray) -> int:
-    return xxhash.xxh3_64_intdigest(own.tobytes())
-
-
 def _bodies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(F.col(text_col)).alias("body"))
 
 
-def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sample_rows: int = 4096, sample_docs: int = 4, most: int = 100_000) -> np.ndarray:
+def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sample_rows: int = 4096, sample_docs: int = 3, most: int = 100_000) -> np.ndarray:
     """Sorted shingles of sample_docs or more of about sample_rows documents; they only order the others."""
     every = max(1, docs.count() // sample_rows)
     rows = _bodies(docs, id_col, text_col).filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
@@ -62,75 +81,155 @@ def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sam
     return np.sort(np.array([r.h for r in found.orderBy(F.desc("n"), "h").limit(most).collect()], np.int64).view(np.uint64))
 
 
-def _prefixes(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, common: np.ndarray) -> DataFrame:
-    """doc_id, node (digest of the shingle set), n (its size), prefix (the shingles by which it is found)."""
+BITS = [f"b{i}" for i in range(WORDS)]
+
+
+def _digests(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, common: np.ndarray) -> DataFrame:
+    """doc_id, digest (of the text), node (digest of the shingle set), n (its size), fp (SimHash), bits, prefix (the shingles by which it is found)."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nodes, sizes, prefixes, late = [], [], [], shared.value
-        for body in batch.column(1).to_pylist():
-            own = shingle_set(body, width)
+        nodes, sizes, fps, bits, prefixes, late = [], [], [], [], [], shared.value
+        for body in batch.column(2).to_pylist():
+            hashes = shingle_hashes(body, width)
+            own = np.unique(hashes)
             at = np.searchsorted(late, own)
             is_late = late[np.minimum(at, len(late) - 1)] == own if len(late) else np.zeros(len(own), bool)
-            nodes.append(_node(own))
+            nodes.append(set_digest(own))
             sizes.append(len(own))
+            fps.append(majority(hashes))
+            bits.append(bitmap(own))
             prefixes.append(np.concatenate([own[~is_late], own[is_late]])[: prefix_length(len(own), least)])
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _lists(prefixes)], ["doc_id", "node", "n", "prefix"])
+        words = pa.StructArray.from_arrays([pa.array(c) for c in np.array(bits).view(np.int64).T], BITS)
+        signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), signed(nodes), pa.array(sizes, pa.int32()), signed(fps), words, _lists(prefixes)], ["doc_id", "digest", "node", "n", "fp", "bits", "prefix"])
+
+    rows = _bodies(docs, id_col, text_col).select("doc_id", F.xxhash64("body").alias("digest"), "body")
+    return rows.mapInArrow(by_batch(run), f"doc_id long, digest long, node long, n int, fp long, bits struct<{', '.join(b + ': long' for b in BITS)}>, prefix array<long>")
+
+
+def _cells(rows: DataFrame) -> DataFrame:
+    """h, node, hub of every prefix shingle that several different sets have; the hub is the smallest of them."""
+    found = rows.select("node", F.explode("prefix").alias("h"))
+    shared = cut(found.groupBy("h").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).filter("hub < _last").select("h", "hub"))
+    return cut(found.join(_small(shared), "h").groupBy("h", "node").agg(F.first("hub").alias("hub")))
+
 
-    return _bodies(docs, id_col, text_col).mapInArrow(by_batch(run), "doc_id long, node long, n int, prefix array<long>")
+def _bounded(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs (u, v) that set sizes and bitmaps allow."""
+    side = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
+    differ: Column = sum((F.bit_count(F.col(f"bits_u.{b}").bitwiseXOR(F.col(f"bits_v.{b}"))) for b in BITS), F.lit(0))
+    fits = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * F.lit(least) - 1e-9
+    kept = pairs.join(side("u"), "u").join(side("v"), "v").filter(fits & (differ <= most_difference(F.col("n_u"), F.col("n_v"), least)))
+    return cut(kept.select("u", "v"))
 
 
-def _pairs(cells: DataFrame, least: float, cell_rows: int, star: bool) -> DataFrame:
-    """(u, v), u < v: candidates of the cells h, node, n, root, of fitting sizes and different roots.
+def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, cell_rows: int) -> DataFrame:
+    """(u, v), u < v: pairs of a cell with different roots that set sizes and bitmaps allow.
 
-    star: only those of each cell's smallest node. A cell of more than cell_rows rows is cut into chunks, and each pair of chunks
-    is one group of bounded size.
+    A cell is dealt into chunks of about cell_rows rows, a root of cell_rows rows and more having
+    chunks of its own; each pair of chunks is one group of bounded size, and chunks of one root are
+    not compared, so a cell in which one root is common costs no square.
     """
-    counts = cells.groupBy("h").agg(F.ceil(F.count("*") / cell_rows).cast("int").alias("k"), F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"), F.min_by("root", "node").alias("hub_root"))
-    sized = cells.join(counts, "h")
-    if star:
-        fits = (F.least("n", "hub_n") >= F.greatest("n", "hub_n") * F.lit(least) - 1e-9) & (F.col("node") != F.col("hub"))
-        return sized.filter(fits).select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    several = cells.groupBy("h").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("h")
+    with_root = nodes.select("node", "n", "bits").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = cut(cells.select("h", "node").join(with_root.select("node", "root"), "node"))
+    per_root = rooted.groupBy("h", "root").agg(F.count("*").alias("rows"))
+    wide = F.col("rows") >= cell_rows
+    per_cell = cut(
+        per_root.groupBy("h")
+        .agg(F.count("*").alias("roots"), F.collect_list(F.when(wide, F.struct("root", F.ceil(F.col("rows") / cell_rows).cast("int").alias("k")))).alias("large"), F.sum(F.when(~wide, F.col("rows")).otherwise(0)).alias("small"))
+        .filter("roots > 1")
+        .select("h", "large", F.ceil(F.col("small") / cell_rows).cast("int").alias("k"))
+    )
+    own_large = F.element_at(F.filter("large", lambda x: x["root"] == F.col("root")), 1)
+    spread = lambda k: F.pmod(F.xxhash64("node"), F.greatest(k, F.lit(1))).cast("int")
+    chunk = lambda root, i: F.struct(root.alias("root"), i.alias("i"))
+    counted = lambda k, root: F.transform(F.sequence(F.lit(1), k), lambda i: chunk(root, i - 1))
+    none = F.lit(None).cast("long")
+    small = F.when(F.col("k") > 0, counted(F.col("k"), none)).otherwise(F.array().cast("array<struct<root: bigint, i: int>>"))
+    chunks = F.concat(small, F.flatten(F.transform("large", lambda x: counted(x["k"], x["root"]))))
+    mine = F.col("_large")
     dealt = (
-        sized.join(several, "h", "left_semi")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-        .groupBy("h", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-        .agg(F.collect_list("node").alias("node"), F.collect_list("n").alias("n"), F.collect_list("root").alias("root"))
-        .select("node", "n", "root")
+        rooted.join(_small(per_cell), "h")
+        .withColumn("_large", F.when(F.size("large") > 0, own_large))
+        .withColumn("own", F.when(mine.isNull(), chunk(none, spread(F.col("k")))).otherwise(chunk(mine["root"], spread(mine["k"]))))
+        .withColumn("other", F.explode(F.filter(chunks, lambda x: mine.isNull() | x["root"].isNull() | (x["root"] != mine["root"]))))
+        .select("h", "node", "root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+        .join(with_root.select("node", "n", "bits"), "node")
+        .groupBy("h", "a", "b")
+        .agg(*(F.collect_list(c).alias(c) for c in ("node", "root", "n", "bits")))
+        .select("node", "root", "n", "bits")
     )
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [c.values.to_numpy(zero_copy_only=False) for c in batch.columns]
-            for lo, hi in zip(batch.column(0).offsets.to_pylist(), batch.column(0).offsets.to_pylist()[1:]):
-                node, n, root = (c[lo:hi] for c in columns)
+            offsets = batch.column(0).offsets.to_pylist()
+            columns = [c.values.to_numpy(zero_copy_only=False) for c in batch.columns[:3]]
+            words = np.stack([batch.column(3).values.field(b).to_numpy(zero_copy_only=False).view(np.uint64) for b in BITS], axis=1)
+            for lo, hi in zip(offsets, offsets[1:]):
+                node, root, n, bits = (c[lo:hi] for c in (*columns, words))
                 order = np.argsort(n, kind="stable")
-                node, n, root = node[order], n[order], root[order]
+                node, root, n, bits = node[order], root[order], n[order], bits[order]
                 ends = np.searchsorted(n, n / least + 1e-6, side="right")
                 for i, end in enumerate(ends):
-                    rest = node[i + 1 : end][root[i + 1 : end] != root[i]]
-                    if len(rest):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rest, node[i])), pa.array(np.maximum(rest, node[i]))], ["u", "v"])
-
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+                    at = np.flatnonzero(root[i + 1 : end] != root[i]) + i + 1
+                    at = at[np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most_difference(n[at].astype(float), float(n[i]), least)]
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[at], node[i])), pa.array(np.maximum(node[at], node[i]))], ["u", "v"])
 
+    return cut(dealt.mapInArrow(run, "u long, v long").distinct())
 
-def _verified(pairs: DataFrame, docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, width: int, least: float) -> DataFrame:
-    """The pairs whose whole shingle sets have a similarity of least or more."""
-    wanted = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(ids, "node"))
-    bodies = _bodies(docs, id_col, text_col).join(wanted.select(F.col("least").alias("doc_id")), "doc_id", "left_semi")
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        own = [shingle_set(b, width) for b in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([pa.array(np.array([_node(s) for s in own], np.uint64).view(np.int64)), _lists(own)], ["node", "s"])
+def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, least: float) -> DataFrame:
+    """The pairs whose whole shingle sets have a similarity of `least` or more, from one text of each set."""
+    wanted = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", F.col("least").alias("doc_id")), "node"))
+    texts = cut(_bodies(docs, id_col, text_col).join(_small(wanted), "doc_id").select("node", "body").distinct())
+    side = lambda end: texts.select(F.col("node").alias(end), F.col("body").alias(f"body_{end}"))
 
-    sets = cut(bodies.mapInArrow(by_batch(run), "node long, s array<long>").dropDuplicates(["node"]), batch_rows=500)
-    side = lambda end: sets.select(F.col("node").alias(end), F.col("s").alias(f"s_{end}"))
-    both: Column = F.size(F.array_intersect("s_u", "s_v"))
-    share = both / (F.size("s_u") + F.size("s_v") - both)
-    return cut(pairs.join(side("u"), "u").join(side("v"), "v").filter(share >= least).select("u", "v"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, np.ndarray | None] = {}
+        for batch in batches:
+            kept = []
+            for row, ends in enumerate(zip(*(c.to_pylist() for c in batch.columns[:2]))):
+                for at, end in enumerate(ends):
+                    if end not in known:
+                        if len(known) >= KEPT_SETS:
+                            known.pop(next(iter(known)))
+                        own = shingle_set(batch.column(2 + at)[row].as_py(), width)
+                        if np.uint64(set_digest(own)).astype(np.int64) != end:
+                            break  # another text under the same id
+                        known[end] = own
+                else:
+                    a, b = known.get(ends[0]), known.get(ends[1])
+                    a = shingle_set(batch.column(2)[row].as_py(), width) if a is None else a
+                    both = np.intersect1d(a, b, assume_unique=True).size
+                    kept.append(both >= least * (len(a) + len(b) - both) - 1e-9)
+                    continue
+                kept.append(False)
+            yield batch.select([0, 1]).filter(pa.array(kept))
+
+    joined = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "body_u", "body_v")
+    return cut(joined.mapInArrow(run, "u long, v long").distinct(), batch_rows=500)
+
+
+def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, cell_rows: int) -> DataFrame:
+    """doc_id, digest, root, component_id for every row of docs."""
+    rows = cut(_digests(docs, id_col, text_col, width, least, common_shingles(docs, id_col, text_col, width)), batch_rows=1000)
+    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits")))
+    cells = _cells(rows)
+    ordered = lambda df: df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v").distinct()
+    of_fp = cut(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
+    equal = nodes.join(of_fp, "fp").select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    hub = lambda end: of_fp.select(F.col("fp").alias(f"fp_{end}"), F.col("hub").alias(end))
+    near = links(of_fp.select("fp"), cell_rows=cell_rows).toDF("fp_u", "fp_v").join(hub("u"), "fp_u").join(hub("v"), "fp_v").select("u", "v")
+    stars = cells.select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    first = _bounded(ordered(stars.unionByName(equal).unionByName(near)), nodes, least)
+    edges = _settled(first, docs, nodes, id_col, text_col, width, least)
+    rest = _rest(cells, nodes, connected_components(edges), least, cell_rows).join(first, ["u", "v"], "left_anti")
+    edges = edges.unionByName(_settled(cut(rest), docs, nodes, id_col, text_col, width, least))
+    joined = cut(nodes.select("node", "least").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
+    smallest = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))
+    return rows.select("doc_id", "digest", "node").join(joined.join(smallest, "root").select("node", "root", "component_id"), "node").select("doc_id", "digest", "root", "component_id")
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, cell_rows: int = 2048) -> DataFrame:
@@ -138,27 +237,18 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Documents link when their shingle sets have a similarity of `least` or more; component_id is the smallest
     doc_id that can be reached. Equal sets are folded into one before any join. Texts without words
-    are alike. First every cell's smallest node is compared with the others; pairs that this leaves
-    in different components are then compared in full, so a tight group of copies costs no square.
+    (null and empty ones among them) are alike. SimHash links and every cell's smallest set are
+    settled first; pairs that this leaves in different components are then compared in full, so a
+    tight group of copies costs no square. Repeated rows are returned as often as they occur, null
+    ids have no component of their own, an empty table gives no rows.
     """
-    rows = cut(_prefixes(docs, id_col, text_col, width, least, common_shingles(docs, id_col, text_col, width)), batch_rows=1000)
-    ids = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least")))
-    found, cell = rows.select("node", "n", F.explode("prefix").alias("h")), W.partitionBy("h")
-    shared = found.withColumn("lo", F.min("node").over(cell)).withColumn("hi", F.max("node").over(cell)).filter("lo <> hi")
-    cells = cut(shared.groupBy("h", "node").agg(F.first("n").alias("n")))  # in place: all of it is one exchange by h
-    stars = cut(_pairs(cells.withColumn("root", F.col("node")), least, cell_rows, True))
-    edges = _verified(stars, docs, ids, id_col, text_col, width, least)
-    rooted = cells.join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = cut(_pairs(cut(rooted), least, cell_rows, False).join(stars, ["u", "v"], "left_anti"))
-    edges = edges.unionByName(_verified(rest, docs, ids, id_col, text_col, width, least))
-    joined = ids.join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))
-    return rows.select("doc_id", "node").join(joined.join(smallest, "root").select("node", "component_id"), "node").select("doc_id", "component_id")
+    return _parts(docs, id_col, text_col, width, least, cell_rows).select("doc_id", "component_id")
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8) -> DataFrame:
     """The documents without near-duplicates: of each component only the document with its smallest id stays.
 
-    Rows without an id cannot be named by a component and all stay; of repeated rows one stays.
+    Rows without an id cannot be named by a component and all stay; of repeated rows one stays; of
+    different texts under one id each stays that leads a component of its own.
     """
-    return keep_smallest(docs, similar_components(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, width, least), id_col)
+    return keep_smallest(docs, _parts(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, width, least, 2048), id_col, text_col)

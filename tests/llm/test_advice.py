@@ -140,8 +140,8 @@ def test_vectors_of_one_id_spread_over_blocks(spark):
     rows = [(7, [float(i), 1.0]) for i in range(400)] + [(0, [1.0, 1.0])]
     df = vectors(spark, rows)
     data = df.select("vec_id", F.col("embedding").alias("v"), F.lit(0).alias("part"))
-    asked = df.filter("vec_id = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("v"), F.array(F.lit(0)).alias("parts"))
-    sizes = blocks.block_search(data, asked, lambda qid, q, did, d: (np.zeros(1, int), did[:1] * 0 + len(did), np.zeros(1)), 100, "double", 50).collect()
+    asked = df.filter("vec_id = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("v"), F.lit(0).alias("home"), F.array(F.lit(0)).alias("parts"), F.lit(None).cast("double").alias("least"))
+    sizes = blocks.block_search(data, asked, lambda qid, q, least, did, d: (np.zeros(1, int), did[:1] * 0 + len(did), np.zeros(1)), 100, "double", 50).collect()
     assert len(sizes) > 4 and max(r.vec_id for r in sizes) < 150
 
 

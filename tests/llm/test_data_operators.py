@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from gridloom.llm import ann, blocks, packing, sharding, simhash, substrings, topk
+from gridloom.llm import ann, blocks, packing, sharding, similar, simhash, substrings, topk
 from gridloom.llm.components import connected_components
 from gridloom.llm.queries import queries
 
@@ -156,6 +156,24 @@ def test_drop_near_duplicates(spark):
     assert simhash.near_duplicate_components(df.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_told_apart(spark):
+    """Of an id's different texts each leads its own component; repeated rows stay once, whatever the columns are called."""
+    one, two = " ".join(words(random.Random(3), 40)), " ".join(words(random.Random(4), 40))
+    rows = [(1, one), (1, two), (1, one), (2, one), (3, two), (4, None), (4, ""), (5, None)] + [(1, one)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("digest", F.lit(1)).withColumn("root", F.lit(2))
+    for drop in (simhash.drop_near_duplicates, similar.drop_similar):
+        kept = drop(df)
+        assert kept.columns == df.columns and sorted((r.doc_id, r.text or "") for r in kept.collect()) == sorted([(1, one), (1, two), (4, "")])
+
+
+def test_any_number_of_agreeing_blocks_gives_the_same_links(spark):
+    rng = random.Random(5)
+    base = [rng.getrandbits(63) for _ in range(10)]
+    fps = spark.createDataFrame([(b ^ sum(1 << i for i in rng.sample(range(63), rng.randrange(6))),) for b in base for _ in range(20)], "fp long").distinct()
+    got = [{(r.node, r.root) for r in connected_components(simhash.links(fps, agreeing=g)).collect()} for g in (1, 3, 5)]
+    assert got[0] == got[1] == got[2] and got[0]
+
+
 # --- substring dedup -------------------------------------------------------------------------------
 
 
@@ -282,11 +300,11 @@ def test_cover_tree_bounds_and_pruning():
 
     walk(tree.root)
     assert seen == 3000 and sorted(tree.rows.tolist()) == list(range(3000))
-    at, ids, scores = topk.dual_tree_search(np.arange(3000), x, np.arange(3000), x, 3)
+    at, ids, scores = topk.dual_tree_search(np.arange(3000), x, np.full(3000, -np.inf), np.arange(3000), x, 3)
     for i in range(0, 3000, 301):
         assert sorted(scores[at == i].tolist(), reverse=True) == [s for _, s in plain_top(np.arange(3000), x, i, 3)]
     huge = x[:50] * (1 << 20)  # outside the exact range of doubles
-    at, ids, scores = topk.dual_tree_search(np.arange(50), huge, np.arange(50), huge, 2)
+    at, ids, scores = topk.dual_tree_search(np.arange(50), huge, np.full(50, -np.inf), np.arange(50), huge, 2)
     assert all(s == int(sum(int(a) * int(b) for a, b in zip(huge[q], huge[i]))) for q, i, s in zip(at, ids, scores))
 
 
@@ -305,6 +323,41 @@ def test_recall_of_learned_partitions(spark):
         assert hits / (150 * 20) >= 0.9, seed
 
 
+def test_parts_of_parts_reach_the_recall_with_few_probes(spark):
+    x = clustered(np.random.default_rng(6), 3000)
+    seen, fit = [], ann.fit_router
+    ann.fit_router = lambda *a: seen.append(fit(*a)) or seen[-1]
+    try:
+        df = vectors(spark, [(i, x[i].tolist(), 0) for i in range(3000)])
+        got = defaultdict(set)
+        for r in ann.nearest_in_partitions(df, F.col("vec_id") % 20 == 0, k=10, part_rows=8).collect():
+            got[r.query_id].add(r.vec_id)
+    finally:
+        ann.fit_router = fit
+    router, wide = seen[0], x.astype(np.float64)
+    assert len(router.inner) == 16 and router.inner[0][3].shape == (16,) and router.probes <= 64
+    assert sum(len({v for v, _ in plain_top(np.arange(3000), wide, i, 10)} & got[i]) for i in range(0, 3000, 20)) >= 0.9 * 1500
+
+
+def test_balls_apart_are_never_compared(spark):
+    """Clusters along different axes: the pairs that the radii leave are a small part of all, and nothing is lost."""
+    rng = np.random.default_rng(8)
+    x = (np.eye(16)[rng.integers(16, size=2000)] * 4 + 0.05 * rng.standard_normal((2000, 16))).astype(np.float32)
+    seen, plain = [], topk.surviving_balls
+    topk.surviving_balls = lambda groups, data, *a: seen.append((len(groups), len(data), plain(groups, data, *a))) or seen[-1][2]
+    try:
+        rows = topk.exact_top_k(vectors(spark, [(i, x[i].tolist(), 0) for i in range(2000)]), F.col("vec_id") % 50 == 0, 5, ball_rows=100, data_rows=60, query_rows=5).collect()
+    finally:
+        topk.surviving_balls = plain
+    groups, balls, kept = seen[0]
+    assert groups * balls > 200 and sum(map(len, kept.values())) < 0.25 * groups * balls
+    q = np.floor(256 * x.astype(np.float64)).astype(np.int64)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in rows}
+    assert len(got) == 200
+    for i in range(0, 2000, 50):
+        assert [got[i, n + 1] for n in range(5)] == plain_top(np.arange(2000), q, i, 5)
+
+
 def test_search_edges(spark):
     rows = [(i, [float(i + 1), 1.0], 0) for i in range(5)] + [(20, [0.0, 0.0], 0), (40, None, 0), (60, [float("nan"), 1.0], 0), (None, [1.0, 1.0], 0), (0, [1.0, 1.0], 0)]
     df = vectors(spark, rows)
@@ -416,26 +469,6 @@ def test_pipeline_and_queries_run_on_the_tables(spark):
         assert rows.count() >= 0 and len(set(rows.columns)) == len(rows.columns), name
 
 
-def test_further_seeds_add_links(spark):
-    texts = near_corpus()
-    df = docs(spark, texts)
-    seeds = (42, 43, 44)
-    rows = simhash.near_duplicate_components(df, seeds=seeds).collect()
-    prints = [simhash.simhashes((t or "").encode(), 3, seeds) for t in texts]
-    root = list(range(len(texts)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for i, a in enumerate(prints):
-        for j in range(i):
-            if any((x ^ y).bit_count() <= 3 for x, y in zip(a, prints[j])):
-                x, y = find(i), find(j)
-                root[max(x, y)] = min(x, y)
-    assert {r.doc_id: r.component_id for r in rows} == {i: find(i) for i in range(len(texts))}
-
 
 def test_exact_search_equals_its_sql(spark):
     import duckdb
