@@ -22,6 +22,7 @@ from .packing import byte_alphabet
 WHITE = "\t-\r \x85\xa0  -     　"
 NEVER = 1 << 40  # rank of a pair that does not merge
 CACHED = 250_000  # entries of each cache; a full one starts again
+CACHED_CHARACTERS = 40_000_000  # of all entries of a cache together
 
 
 def merge_short(parts: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
@@ -99,6 +100,7 @@ class WordBpe:
         self.ids_of: dict[str, str] = {}  # of what stands between blanks
         self.decoded_of: dict[str, str] = {}
         self.word_of: dict[str, tuple[str, str]] = {}  # of single words and runs of punctuation
+        self.chunk_size = self.word_size = 0  # characters held by the caches
 
     def encode_word(self, word: str) -> list[int]:
         raw = word.encode()
@@ -109,14 +111,17 @@ class WordBpe:
     def _word(self, word: str) -> tuple[str, str]:
         ids = self.encode_word(word)
         out = self.word_of[word] = " ".join(map(str, ids)), " ".join(map(self.tokens.__getitem__, ids))
+        self.word_size += len(word) + len(out[0]) + len(out[1])
         return out
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.ids_of) > CACHED:
+        if len(self.ids_of) > CACHED or self.chunk_size > CACHED_CHARACTERS:
             self.ids_of.clear()
             self.decoded_of.clear()
-        if len(self.word_of) > CACHED:
+            self.chunk_size = 0
+        if len(self.word_of) > CACHED or self.word_size > CACHED_CHARACTERS:
             self.word_of.clear()
+            self.word_size = 0
         known = self.word_of.get
         for chunk in set(chunks).difference(self.ids_of):
             parts = [known(w) or self._word(w) for w in self.words(chunk)]
@@ -125,10 +130,11 @@ class WordBpe:
             else:
                 self.ids_of[chunk] = " ".join(filter(None, (p[0] for p in parts)))
                 self.decoded_of[chunk] = " ".join(filter(None, (p[1] for p in parts)))
+            self.chunk_size += len(chunk) + len(self.ids_of[chunk]) + len(self.decoded_of[chunk])
 
     def _spans(self, text: str) -> Iterator[tuple[str, int | None]]:
         at = 0
-        for m in self.find_added.finditer(text) if self.find_added and "<" in text else ():
+        for m in self.find_added.finditer(text) if self.find_added else ():
             yield text[at : m.start()], self.added[m[0]]
             at = m.end()
         yield text[at:], None

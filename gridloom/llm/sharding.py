@@ -23,7 +23,8 @@ def _mix(x: np.ndarray, key: int) -> np.ndarray:
 
 
 def _round_keys(seed: int) -> list[int]:
-    return [int(k) for k in np.random.default_rng(seed).integers(0, 1 << 63, ROUNDS)]
+    """Fixed by the seed and the mixing rule alone, so a shuffle can be repeated anywhere."""
+    return [int(k) for k in _mix(np.arange(1, ROUNDS + 1, dtype=np.uint64), (seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & ((1 << 64) - 1))]
 
 
 def _feistel(x: np.ndarray, bits: int, keys: list[int], inverse: bool) -> np.ndarray:
@@ -91,8 +92,10 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 0, id_col: str = "
 
     size is the text's UTF-8 bytes plus 1 (a null text has none). The rows are numbered by doc_id
     (nulls first), then by text; place p of the shuffled numbering goes to shard p mod shards, slot
-    p div shards, so shard counts differ by one at most and slots have no gaps. Equal rows may
-    change places with each other only. Texts themselves are not shuffled.
+    p div shards, so shard counts differ by one at most and slots have no gaps. Documents of equal
+    text are spread over the shards like any others. Equal rows may change places with each other
+    only. Null ids are kept, an empty table gives no rows, extra columns are not read. Texts
+    themselves are not shuffled.
     """
     body = text_bytes(F.col(text_col))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(body).cast("long") + 1).alias("size"), F.crc32(body).alias("text_crc32"), F.xxhash64(body).alias("_digest"))
