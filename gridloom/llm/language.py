@@ -8,11 +8,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import crc_of_id, slices, text_bytes
 
-BLOCK = 256  # characters parsed by one lane; a phrase ends at a block's end
+BLOCK = 256  # characters read by one lane at a time; phrases run across its end
 UNKNOWN = "und"
 BUCKETS = 1024  # the sample takes one document of each hash bucket of a language
 
@@ -27,16 +28,12 @@ class Alphabet:
     def __init__(self, letters: str):
         self.letters = letters
         self.size = len(letters) + 2
-        self.table = np.fromiter(((self.size - 1) * chr(i).isalpha() for i in range(0x10000)), np.int32, 0x10000)
+        self.table = np.fromiter(((self.size - 1) * chr(i).isalpha() for i in range(0x110000)), np.int32, 0x110000)
         self.table[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1, dtype=np.int32)
 
     def codes(self, text: str) -> np.ndarray:
         """Codes of a text, runs of non-letters as one blank, none at the ends."""
-        points = code_points(text)
-        out = self.table[np.minimum(points, 0xFFFF)]
-        if len(points) and points.max() > 0xFFFF:
-            far = np.flatnonzero(points > 0xFFFF)
-            out[far] = [(self.size - 1) * chr(points[i]).isalpha() for i in far]
+        out = self.table[code_points(text)]
         keep = out != 0
         keep[1:] |= out[:-1] != 0
         out = out[keep]
@@ -45,8 +42,8 @@ class Alphabet:
         return out[:-1] if len(out) and out[-1] == 0 else out
 
 
-def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
-    """Transitions (states x size, -1: none) of the automaton that reads exactly the factors of codes."""
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """The moves of each state of the automaton that reads exactly the factors of codes."""
     step: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -71,34 +68,83 @@ def suffix_automaton(codes: list[int], size: int) -> np.ndarray:
                     step[at][c] = copy
                     at = link[at]
         last = new
-    table = np.full((len(step), size), -1, np.int32)
-    for state, moves in enumerate(step):
-        for c, to in moves.items():
-            table[state, c] = to
-    return table
+    return step
+
+
+class Moves:
+    """(state, code) -> state in a hash table of arrays, so its size follows the moves that exist, whatever the alphabet."""
+
+    MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        slot, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            at = slot[left]
+            free = self.keys[at] < 0
+            first = np.zeros(len(left), bool)
+            first[np.unique(at, return_index=True)[1]] = True
+            put = free & first
+            self.keys[at[put]], self.values[at[put]] = keys[left[put]], values[left[put]]
+            left = left[~put]
+            slot[left] = (slot[left] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * self.MULTIPLIER) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, -1 where there is none."""
+        slot = self._slots(keys)
+        held = self.keys[slot]
+        out = self.values[slot]
+        lost = np.flatnonzero((held != keys) & (held >= 0))
+        out[held != keys] = -1
+        while len(lost):
+            slot[lost] = (slot[lost] + 1) & self.mask
+            held = self.keys[slot[lost]]
+            hit = held == keys[lost]
+            out[lost[hit]] = self.values[slot[lost[hit]]]
+            lost = lost[~hit & (held >= 0)]
+        return out
 
 
 @dataclass
 class CrossParser:
-    """One automaton per language, laid out in one transition table, and each language's own phrase rate."""
+    """One automaton per language in one table of moves, and each language's own phrase rate."""
 
     languages: list[str]
     letters: str
-    table: np.ndarray
+    keys: np.ndarray
+    values: np.ndarray
     roots: np.ndarray
     rates: np.ndarray
 
     def __post_init__(self) -> None:
         self.alphabet = Alphabet(self.letters)
+        self.moves = Moves(self.keys, self.values)
         size = self.alphabet.size
-        self.flat = self.table.ravel()
-        self.restart = self.flat[(self.roots[:, None] * size + np.arange(size)).ravel()]
+        self.restart = self.moves((self.roots[:, None] * size + np.arange(size)).ravel()).reshape(len(self.roots), size)
+
+    def _walk(self, state: np.ndarray, lang: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states, and whether a phrase ended before c."""
+        to = self.moves(state * self.alphabet.size + c)
+        ended = to < 0
+        to[ended] = self.restart[lang[ended], c[ended]]
+        return to.astype(np.int64), ended
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
-        """(texts x languages) counts of longest-match phrases, all blocks of all texts in step."""
+        """(texts x languages) counts of longest-match phrases of whole texts.
+
+        Texts are cut into blocks that are read in step, each as if a phrase began with it. A block
+        behind another is then read again from the state in which that one ends, until both readings
+        begin a phrase at the same place, from where they agree; what this changes in the state at
+        a block's end is passed on to the next block. So the counts are those of an unbroken parse.
+        """
         sizes = np.array([len(t) for t in texts], np.int64)
         blocks = -(-sizes // BLOCK)
-        n, k, size = int(blocks.sum()), len(self.languages), self.alphabet.size
+        n, k = int(blocks.sum()), len(self.languages)
         out = np.zeros((len(texts), k))
         if not n:
             return out
@@ -109,23 +155,63 @@ class CrossParser:
         lanes = np.zeros((n, BLOCK), np.int32)
         lanes[np.arange(BLOCK) < lengths[:, None]] = np.concatenate(texts)
         lanes = np.ascontiguousarray(lanes[order].T)
-        active = np.searchsorted(-lengths[order], -np.arange(1, BLOCK + 1), side="right")
+        owner, within, lengths = owner[order], within[order], lengths[order]
+        active = np.searchsorted(-lengths, -np.arange(1, BLOCK + 1), side="right")
         state = np.repeat(self.roots.astype(np.int64)[:, None], n, axis=1)
-        count = np.ones((k, n), np.int32)
-        base = (np.arange(k) * size)[:, None]
-        for i in range(BLOCK):
+        begins = np.zeros((BLOCK, k, n), bool)
+        language = np.arange(k)[:, None]
+        for i in range(int(lengths[0])):
             m = int(active[i])
-            if not m:
-                break
-            c = lanes[i, :m]
-            to = self.flat[state[:, :m] * size + c]
-            dead = to < 0
-            count[:, :m] += dead
-            state[:, :m] = np.where(dead, self.restart[base + c], to)
-        for lang in range(k):
-            out[:, lang] = np.bincount(owner[order], weights=count[lang], minlength=len(texts))
+            to, ended = self._walk(state[:, :m].ravel(), np.broadcast_to(language, (k, m)).ravel(), np.broadcast_to(lanes[i, :m], (k, m)).ravel())
+            state[:, :m], begins[i, :, :m] = to.reshape(k, m), ended.reshape(k, m)
+        begins[0] = True
+        counts = begins.sum(axis=0, dtype=np.int32)
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)  # where a block stands in the lanes
+        behind = np.full(n, -1)
+        more = np.flatnonzero(within[place] + 1 < blocks[owner[place]])
+        behind[place[more]] = place[more + 1]  # the lane of the next block
+        first = within == 0
+        lang, lane = (x.ravel() for x in np.meshgrid(np.arange(k), np.flatnonzero(~first), indexing="ij"))
+        before = np.full(n, -1)
+        before[behind[behind >= 0]] = np.flatnonzero(behind >= 0)
+        while len(lane):
+            lang, lane = self._join(lang, lane, before, behind, lengths, lanes, state, begins, counts)
+        for i in range(k):
+            out[:, i] = np.bincount(owner, weights=counts[i], minlength=len(texts))
         return out
 
+    def _join(self, lang, lane, before, behind, lengths, lanes, state, begins, counts) -> tuple[np.ndarray, np.ndarray]:
+        """Read blocks again from their predecessors' last states; returns the blocks whose predecessor's state has changed by it."""
+        at, own, open_ = state[lang, before[lane]], np.zeros(len(lane), np.int32), np.arange(len(lane))
+        moved = np.zeros(len(lane), bool)
+        for i in range(BLOCK):
+            done = lengths[lane[open_]] <= i  # read to its end without agreeing
+            if done.any():
+                over = open_[done]
+                moved[over] = state[lang[over], lane[over]] != at[over]
+                state[lang[over], lane[over]] = at[over]
+                counts[lang[over], lane[over]] = own[over]
+                open_ = open_[~done]
+            if not len(open_):
+                break
+            g, b = lang[open_], lane[open_]
+            at[open_], ended = self._walk(at[open_], g, lanes[i, b])
+            old = begins[i, g, b]
+            begins[i, g, b] = ended
+            own[open_] += ended
+            agree = ended & old
+            both = open_[agree]
+            counts[lang[both], lane[both]] = own[both] + begins[i + 1 :, lang[both], lane[both]].sum(axis=0, dtype=np.int32)
+            open_ = open_[~agree]
+        else:
+            moved[open_] = state[lang[open_], lane[open_]] != at[open_]
+            state[lang[open_], lane[open_]] = at[open_]
+            counts[lang[open_], lane[open_]] = own[open_]
+        next_ = behind[lane]
+        again = moved & (next_ >= 0)
+        return lang[again], next_[again]
+
     def predict(self, bodies: list[str]) -> tuple[list[str], list[float]]:
         codes = [self.alphabet.codes(b) for b in bodies]
         sizes = np.array([len(c) for c in codes])
@@ -142,14 +228,13 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and length(body) > 0")
     h = F.xxhash64(F.lit(7), "id")
     best = known.select("id", "lang", h.alias("h")).groupBy("lang", F.pmod("h", F.lit(BUCKETS)).alias("bucket")).agg(F.min(F.struct("h", "id")).alias("best"))
-    chosen = best.select("lang", "best.*")  # at most BUCKETS rows of a language
+    ranked = best.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("best")))  # at most BUCKETS rows of a language
+    chosen = ranked.filter(F.col("place") <= per_language).select("lang", "place", "best.*")
     start = F.pmod("h", F.greatest(F.lit(1), F.length("body") - characters)) + 1
-    pieces = known.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "h", "id", F.substring("body", start.cast("int"), F.lit(characters)).alias("piece"))
-    rows = sorted(pieces.distinct().collect(), key=lambda r: (r.lang, r.h, r.id, r.piece))
+    pieces = known.join(F.broadcast(chosen), ["id", "lang"]).groupBy("lang", "place").agg(F.min(F.substring("body", start.cast("int"), F.lit(characters))).alias("piece"))  # one row of an id
     out: dict[str, list[str]] = {}
-    for r in rows:
-        if len(out.setdefault(r.lang, [])) < per_language:
-            out[r.lang].append(r.piece)
+    for r in sorted(pieces.collect(), key=lambda r: (r.lang, r.place)):
+        out.setdefault(r.lang, []).append(r.piece)
     return out
 
 
@@ -157,7 +242,8 @@ def fit_language_parser(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Learn from the labelled rows of docs; None when there is none.
 
     The sample is bounded: per_language pieces of at most `characters` for each language, and no
-    more than most_characters in all automata together. Three quarters of a language's pieces make
+    more than most_characters in all automata together. Every letter of the sample has a code of its
+    own, all others share one. Three quarters of a language's pieces make
     its automaton, the rest give its own phrase rate, by which counts are normalised.
     """
     sample = _sample(docs, id_col, text_col, lang_col, per_language, characters)
@@ -166,19 +252,17 @@ def fit_language_parser(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return None
     share = most_characters // len(languages)
     build = {k: " ".join(p for i, p in enumerate(sample[k]) if i % 4 != 3 or len(sample[k]) < 4)[:share] for k in languages}
-    seen: dict[str, int] = {}
-    for text in build.values():
-        for c in set(text.lower()):
-            seen[c] = seen.get(c, 0) + text.count(c)
-    letters = "".join(sorted(sorted((c for c in seen if c.isalpha() and ord(c) < 0x10000), key=lambda c: -seen[c])[:120]))
-    alphabet, tables, roots, total = Alphabet(letters), [], [], 0
+    letters = "".join(sorted(c for c in set("".join(build.values()).lower()) if c.isalpha()))
+    alphabet, keys, values, roots, total = Alphabet(letters), [], [], [], 0
     for k in languages:
-        codes = [*alphabet.codes(build[k]).tolist(), *range(alphabet.size)]  # every code is a phrase at least
-        table = suffix_automaton(codes, alphabet.size)
-        tables.append(np.where(table >= 0, table + total, -1).astype(np.int32))
+        step = suffix_automaton([*alphabet.codes(build[k]).tolist(), *range(alphabet.size)])  # every code is a phrase at least
+        sizes = np.fromiter(map(len, step), np.int64, len(step))
+        state = np.repeat(np.arange(total, total + len(step)), sizes)
+        keys.append(state * alphabet.size + np.fromiter((c for m in step for c in m), np.int64, int(sizes.sum())))
+        values.append(np.fromiter((to for m in step for to in m.values()), np.int32, int(sizes.sum())) + np.int32(total))
         roots.append(total)
-        total += len(table)
-    parser = CrossParser(languages, letters, np.concatenate(tables), np.array(roots, np.int64), np.ones(len(languages)))
+        total += len(step)
+    parser = CrossParser(languages, letters, np.concatenate(keys), np.concatenate(values), np.array(roots, np.int64), np.ones(len(languages)))
     for i, k in enumerate(languages):
         held = [alphabet.codes(p) for j, p in enumerate(sample[k]) if j % 4 == 3 or len(sample[k]) < 4]
         size = sum(map(len, held))
@@ -195,7 +279,7 @@ def predict_languages(docs: DataFrame, parser: CrossParser | None, id_col: str =
     tie, which goes to the first language by name). One narrow pass; the model has a bounded size.
     """
     spark: SparkSession = docs.sparkSession
-    model = spark.sparkContext.broadcast(parser and (parser.languages, parser.letters, parser.table, parser.roots, parser.rates))
+    model = spark.sparkContext.broadcast(parser and (parser.languages, parser.letters, parser.keys, parser.values, parser.roots, parser.rates))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = CrossParser(*model.value) if model.value else None

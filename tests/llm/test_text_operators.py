@@ -213,12 +213,12 @@ def test_encoded_documents(spark, library):
 def test_suffix_automaton_reads_exactly_the_factors():
     rng = random.Random(5)
     text = [rng.randrange(3) for _ in range(40)]
-    table = language.suffix_automaton(text, 3)
+    step = language.suffix_automaton(text)
     factors = {tuple(text[i:j]) for i in range(40) for j in range(i + 1, 41)}
     for _ in range(3000):
         word, state = [rng.randrange(3) for _ in range(rng.randint(1, 8))], 0
         for c in word:
-            state = table[state, c] if state >= 0 else -1
+            state = step[state].get(c, -1) if state >= 0 else -1
         assert (state >= 0) == (tuple(word) in factors)
 
 
@@ -232,17 +232,40 @@ def greedy_phrases(text, training):
     return count
 
 
+def test_moves_hold_what_was_put_in():
+    rng = np.random.default_rng(7)
+    keys = np.unique(rng.integers(0, 1 << 40, 5000))
+    moves = language.Moves(keys, np.arange(len(keys), dtype=np.int32))
+    asked = np.concatenate([keys, rng.integers(1 << 41, 1 << 42, 5000)])
+    assert moves(asked).tolist() == [*range(len(keys)), *[-1] * 5000]
+
+
 def test_phrase_counts_equal_a_greedy_parse():
+    """Whole texts are parsed as one, over any number of blocks, repetitive ones (whose readings never meet) included."""
     rng = random.Random(6)
-    training = [[rng.randrange(1, 4) for _ in range(60)] + [0, 1, 2, 3, 4] for _ in range(2)]
-    tables = [language.suffix_automaton(t, 5) for t in training]
-    joined = np.concatenate([tables[0], np.where(tables[1] >= 0, tables[1] + len(tables[0]), -1)]).astype(np.int32)
-    parser = language.CrossParser(["a", "b"], "xyz", joined, np.array([0, len(tables[0])]), np.ones(2))
-    texts = [np.array([rng.randrange(0, 5) for _ in range(n)], np.int32) for n in (0, 1, 7, 100, 700)]
-    got = parser.phrases(texts)
-    for t, row in zip(texts, got):
-        blocks = [t[i : i + language.BLOCK].tolist() for i in range(0, len(t), language.BLOCK)]
-        assert row.tolist() == [sum(greedy_phrases(b, k) for b in blocks) for k in training]
+    training = [[rng.randrange(1, 4) for _ in range(60)] + [1, 2] * 20 + [0, 1, 2, 3, 4] for _ in range(2)]
+    steps = [language.suffix_automaton(t) for t in training]
+    keys = [(s + (len(steps[0]) if n else 0)) * 5 + c for n, step in enumerate(steps) for s, m in enumerate(step) for c in m]
+    values = [to + (len(steps[0]) if n else 0) for n, step in enumerate(steps) for m in step for to in m.values()]
+    parser = language.CrossParser(["a", "b"], "xyz", np.array(keys), np.array(values, np.int32), np.array([0, len(steps[0])]), np.ones(2))
+    texts = [np.array([rng.randrange(0, 5) for _ in range(n)], np.int32) for n in (0, 1, 7, 100, 256, 257, 700, 1800)] + [np.array(([1, 2] * 400)[:n], np.int32) for n in (511, 800)]
+    before, language.BLOCK = language.BLOCK, 256
+    try:
+        for language.BLOCK in (256, 16):
+            assert parser.phrases(texts).tolist() == [[greedy_phrases(t.tolist(), k) if len(t) else 0 for k in training] for t in texts]
+    finally:
+        language.BLOCK = before
+
+
+def test_scripts_with_many_letters_are_told_apart(spark):
+    rng = random.Random(8)
+    pools = {"aa": [chr(0x4E00 + i) for i in range(400)], "bb": [chr(0x4E00 + i) for i in range(350, 750)]}
+    rows = [(i, " ".join("".join(rng.choices(pools[k], k=6)) for _ in range(12)), k) for i, k in enumerate(["aa", "bb"] * 60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.identify_languages(df.union(df.filter("doc_id = 1").crossJoin(spark.range(300)).drop("id"))).collect()
+    assert all(r.lang_pred == ["aa", "bb"][r.doc_id % 2] for r in got) and len(got) == 420
+    parser = language.fit_language_parser(df)
+    assert parser.alphabet.size > 700
 
 
 def test_language_held_out_accuracy(spark):
