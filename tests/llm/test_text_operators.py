@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -72,6 +73,46 @@ def test_redaction_keeps_rows_and_columns(spark):
     assert secrets.redact_secrets(df.limit(0)).count() == 0
 
 
+def test_a_long_text_with_ten_thousand_tokens(spark):
+    """Positions, overlaps and redaction stay right, and the work far from the square of the matches."""
+    rng = random.Random(3)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    kinds = [lambda: hexes(32), lambda: "token=" + hexes(30), lambda: "AKIA" + hexes(16).upper(), lambda: "password: é" + hexes(8)]
+    parts = [x for _ in range(10_000) for x in ("é plain words between the tokens of a long text that goes on", kinds[rng.randrange(4)]())]
+    text = " ".join(parts)
+    df = clash(docs(spark, [text, "short"]))
+    began = time.time()
+    row = secrets.with_secrets(df).filter("doc_id = 0").select("_base", "_spans").first()
+    assert [(s.start, s.kind, s.end) for s in row._base] == base_spans(text) and len(text) > 800_000
+    merged, at = [], 0
+    for s in row._spans:
+        if s.start >= at:
+            merged.append(text[at : s.start] + "[secret]")
+        at = max(at, s.end)
+    out = secrets.redact_secrets(df)
+    assert out.filter("doc_id = 0").first().text == "".join(merged) + text[at:]
+    assert out.columns == df.columns and out.filter("doc_id = 1").first()._base == "x"
+    assert time.time() - began < 90
+
+
+def test_planted_tokens_in_real_texts(spark):
+    """Precision and recall of the random spans: planted keys of every encoding against identifiers, paths and dates."""
+    rng = random.Random(4)
+    pools = ["0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"]
+    real = [r.text or "" for r in spark.read.parquet(f"{DIR}/documents.parquet").orderBy("doc_id").limit(150).collect()]
+    plain = ["path/to/the/annual/report/2024/tables", "customer_order_line_number_1", "2024-01-31-monthly-statistics-final-v2", "getCustomerOrderLineNumber2ForReport", "zzzzzzzzzzzzzzzzzzzzzzzz1", "1234567890-1234567890-x"]
+    texts = []
+    for i, t in enumerate(real * 2):
+        token = "".join(rng.choice(pools[i % 4]) for _ in range(rng.choice([24, 32, 40, 64]))) + "7" if i % 2 else plain[i // 2 % len(plain)]
+        texts.append(f"{token} {t}")
+    rows = secrets.with_secrets(docs(spark, texts)).select("doc_id", "_spans").collect()
+    found = {r.doc_id for r in rows if any(s.start == 0 and s.kind in (2, 3) for s in r._spans)}
+    planted = {i for i in range(len(texts)) if i % 2}
+    precision, recall = len(found & planted) / len(found), len(found & planted) / len(planted)
+    print(f"precision {precision:.3f} recall {recall:.3f}", {texts[i].split(" ")[0] for i in found - planted})
+    assert precision >= 0.97 and recall >= 0.9
+
+
 def test_secret_query_is_native(spark):
     plan = queries()["op1_randomness_secret_scan"](spark, DIR)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
