@@ -168,7 +168,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return keep_smallest(docs, _parts(named, id_col, text_col, width, radius, 2048, 3), id_col, text_col)
 
 
-BROADCAST_ROWS = 2_000_000  # of 16 bytes; how rows are dropped, not which
+BROADCAST_ROWS = 200_000  # of 16 bytes; how rows are dropped, not which
 
 
 def keep_smallest(docs: DataFrame, parts: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -25,7 +25,7 @@ from .components import connected_components
 from .simhash import keep_smallest, links, majority, shingle_hashes
 
 WORDS = 8  # 64-bit words of a set's bitmap
-BROADCAST_ROWS = 2_000_000  # of 8 to 24 bytes; how a side is joined, not which
+BROADCAST_ROWS = 200_000  # of 8 to 24 bytes; how a side is joined, not which
 KEPT_SETS = 256  # sets that a task remembers while it settles pairs
 
 
@@ -171,11 +171,14 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
                 order = np.argsort(n, kind="stable")
                 node, root, n, bits = node[order], root[order], n[order], bits[order]
                 ends = np.searchsorted(n, n / least + 1e-6, side="right")
+                found = []
                 for i, end in enumerate(ends):
                     at = np.flatnonzero(root[i + 1 : end] != root[i]) + i + 1
                     at = at[np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most_difference(n[at].astype(float), float(n[i]), least)]
                     if len(at):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[at], node[i])), pa.array(np.maximum(node[at], node[i]))], ["u", "v"])
+                        found.append((np.minimum(node[at], node[i]), np.maximum(node[at], node[i])))
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["u", "v"])
 
     return cut(dealt.mapInArrow(run, "u long, v long").distinct())
 
