@@ -7,15 +7,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, slices, text_bytes
+from .common import cut, slices, text_bytes, unused
 
-BITS = 5  # a boundary after one in 2**BITS characters
+ONE_IN = 20  # a boundary after one in so many characters, before LEAST
 WINDOW = 16  # characters that decide on a boundary
 LEAST = 8  # characters between boundaries
 MOST = 2048  # a longer stretch without a boundary is cut
+BROADCAST_ENTRIES = 200_000  # of 16 bytes; how repeated chunks are joined, not which
 
 
 def _gear(size: int = 1 << 16) -> np.ndarray:
@@ -44,8 +45,8 @@ def chunk_bounds(points: np.ndarray) -> np.ndarray:
         grown = h.copy()
         grown[reach:] += h[:-reach] << np.uint32(reach)
         h, reach = grown, reach * 2
-    mask = np.uint32(((1 << BITS) - 1) << (WINDOW - BITS))
-    at = np.flatnonzero((h & mask) == 0) + 1
+    tested = (h >> np.uint32(WINDOW - 10)) & np.uint32(1023)  # ten bits, set by 7 to WINDOW characters
+    at = np.flatnonzero(tested < 1024 // ONE_IN) + 1
     at = at[np.diff(at, prepend=-LEAST) >= LEAST]
     ends = np.concatenate([[0], at[at < n], [n]])
     if (wide := np.diff(ends)).max() > MOST:
@@ -63,42 +64,56 @@ def chunks(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return points, bounds, np.array([digest(raw[a:b]) for a, b in zip(ends, ends[1:])], np.uint64).view(np.int64)
 
 
-def chunk_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per chunk: own (the document), place (its ordinal), digest."""
+def pair_keys(digests: np.ndarray) -> np.ndarray:
+    """64-bit digests of all pairs of neighbouring chunks."""
+    d = digests.view(np.uint64)
+    with np.errstate(over="ignore"):
+        x = d[:-1] * np.uint64(0x9E3779B97F4A7C15) + (d[1:] ^ (d[1:] >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return (x ^ (x >> np.uint64(29))).view(np.int64)
+
+
+def pair_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """own (the document), row (a digest of id and text), key for every distinct pair of neighbouring chunks of a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, 1):
-                digests = [chunks(t)[2] for t in part.column(1).to_pylist()]
-                sizes = [len(d) for d in digests]
+            for part in slices(batch, 2):
+                keys = [np.unique(pair_keys(chunks(t)[2])) for t in part.column(2).to_pylist()]
+                sizes = [len(k) for k in keys]
                 if not sum(sizes):
                     continue
-                own = np.repeat(part.column(0).to_numpy(zero_copy_only=False), sizes)
-                place = np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(place), pa.array(np.concatenate(digests))], ["own", "place", "digest"])
+                own, row = (np.repeat(part.column(i).to_numpy(zero_copy_only=False), sizes) for i in range(2))
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(row), pa.array(np.concatenate(keys))], ["own", "row", "key"])
 
-    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("own"), text_bytes(F.col(text_col)).alias("body"))
-    return rows.mapInArrow(run, "own long, place int, digest long")
+    body = text_bytes(F.col(text_col))
+    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("own"), row_digest(docs, id_col, text_col).alias("row"), body.alias("body"))
+    return rows.mapInArrow(run, "own long, row long, key long")
 
 
-def repeated_chunks(table: DataFrame) -> DataFrame:
-    """own, place, digest, first of every chunk whose digest stands in a document with a smaller id.
+def row_digest(docs: DataFrame, id_col: str, text_col: str) -> Column:
+    return F.xxhash64(docs[id_col].cast("long"), text_bytes(docs[text_col]))
 
-    The aggregate keeps two ids for a digest and combines on the map side, so a passage that all
-    documents share costs a row per task. The repeated digests are written down, so the join back has
-    exchanges of its own on both sides, whose hot digests adaptive execution splits.
+
+def repeated_pairs(table: DataFrame) -> DataFrame:
+    """row, found (array of key, first) of the rows whose pairs stand in a document with a smaller id.
+
+    The aggregate keeps two ids for a key and combines on the map side, so a passage that all
+    documents share costs a row per task. The repeated keys are written down: few are broadcast;
+    many are joined by exchanges of both sides, whose hot keys adaptive execution splits. `found`
+    is bounded by the row's own text, and equal rows fold into one.
     """
-    spread = cut(table.groupBy("digest").agg(F.min("own").alias("first"), F.max("own").alias("_last")).filter("first < _last").drop("_last"))
-    return table.join(spread, "digest").filter("own > first").select("own", "place", "digest", "first")
+    spread = cut(table.groupBy("key").agg(F.min("own").alias("first"), F.max("own").alias("_last")).filter("first < _last").drop("_last"))
+    small = F.broadcast if spread.count() <= BROADCAST_ENTRIES else lambda df: df
+    return cut(table.join(small(spread), "key").filter("own > first").groupBy("row").agg(F.collect_set(F.struct("key", "first")).alias("found")))
 
 
-def _runs(points: np.ndarray, bounds: np.ndarray, flagged: np.ndarray, min_words: int) -> list[tuple[int, int, int, int]]:
-    """Runs of flagged chunks that hold min_words whole words: chunk range and character span, cut at white space."""
-    edge = np.diff(np.concatenate([[0], flagged.astype(np.int8), [0]]))
+def _runs(points: np.ndarray, bounds: np.ndarray, repeated: np.ndarray, min_words: int) -> list[tuple[int, int, int, int]]:
+    """Runs of repeated pairs of chunks that hold min_words whole words: pair range and character span, cut at white space."""
+    edge = np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]]))
     found = []
     white = np.isin(points, BLANKS)
     for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-        start, end = int(bounds[a]), int(bounds[b])
+        start, end = int(bounds[a]), int(bounds[b + 1])
         if start and not white[start - 1] and not white[start]:  # inside a word: begin behind it
             inside = np.flatnonzero(white[start:end])
             start = start + int(inside[0]) if len(inside) else end
@@ -116,40 +131,40 @@ BLANKS = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x2
 RESULT = pa.struct([("text", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("firsts", pa.list_(pa.int64()))])
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 16) -> DataFrame:
-    """docs with passages removed that another document with a smaller id holds too.
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 24) -> DataFrame:
+    """docs with passages removed that documents with smaller ids hold too.
 
     Added columns: removed_spans (start, end in characters of the old text) and first_doc_ids (the
-    documents that keep the passages). A run of consecutive repeated chunks goes when it holds
-    min_words whole words. Chunk borders cost a passage some words at both ends, so passages of
-    fifty words and more are found while repeated lines of fewer than min_words words never are.
-    A chunk digest has 64 bits; a run needs several equal digests in a row, so one collision removes
+    first documents that hold what was removed); columns of docs with these names are replaced. A run of
+    repeated pairs of neighbouring chunks goes when it holds min_words whole words. Each pair stands
+    as it is in one document with a smaller id; a longer run may be made of overlapping pairs of
+    several documents. Chunk borders cost a passage some words at both ends, so passages of
+    fifty words and more are found while lines of fewer than min_words words never are.
+    A key has 64 bits; a run needs several equal keys in a row, so one collision removes
     nothing. Passages repeated inside one document stay. Null texts stay null and empty texts empty;
     rows without an id stay whole, as do rows that share an id with the keeper of the passage, so
     repeated rows are never emptied against each other. All other columns and all rows are kept.
     """
-    flags = (
-        repeated_chunks(chunk_table(docs, id_col, text_col))
-        .groupBy("own")
-        .agg(F.collect_list(F.struct("place", "digest", "first")).alias("_flags"))  # bounded by the document's own chunks
-        .withColumnRenamed("own", "_own")
-    )
+    docs = docs.drop("removed_spans", "first_doc_ids")
+    flags = repeated_pairs(pair_table(docs, id_col, text_col))
+    entries = flags.agg(F.sum(F.size("found"))).first()[0] or 0
+    row, found, done = (unused(docs, name) for name in ("row", "found", "done"))
+    flags = flags.toDF(row, found)
 
     @F.arrow_udf("struct<text string, spans array<struct<start int, end int>>, firsts array<long>>")
-    def cut_out(bodies: pa.Array, flag_lists: pa.Array) -> pa.Array:
+    def cut_out(bodies: pa.Array, found_lists: pa.Array) -> pa.Array:
         out = []
-        for body, found in zip(bodies.to_pylist(), flag_lists):
+        for body, found in zip(bodies.to_pylist(), found_lists):
             if body is None or not found.is_valid:
                 out.append(None)
                 continue
             points, bounds, digests = chunks(body)
-            table = {k: found.values.field(k).to_numpy(zero_copy_only=False) for k in ("place", "digest", "first")}
-            sure = table["place"] < len(digests)  # an id shared by two texts: trust what the text itself says
-            sure[sure] = digests[table["place"][sure]] == table["digest"][sure]
-            flagged, first = np.zeros(len(digests), bool), np.zeros(len(digests), np.int64)
-            flagged[table["place"][sure]] = True
-            first[table["place"][sure]] = table["first"][sure]
-            runs = _runs(points, bounds, flagged, min_words)
+            keys = pair_keys(digests)
+            known, first_of = (found.values.field(k).to_numpy(zero_copy_only=False) for k in ("key", "first"))
+            order = np.argsort(known)
+            at = np.minimum(np.searchsorted(known[order], keys), len(known) - 1)
+            repeated, first = known[order][at] == keys, first_of[order][at]
+            runs = _runs(points, bounds, repeated, min_words)
             if not runs:
                 out.append(None)
                 continue
@@ -159,10 +174,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             out.append({"text": points[keep].tobytes().decode("utf-32-le"), "spans": [{"start": s, "end": e} for _, _, s, e in runs], "firsts": sorted({int(f) for a, b, _, _ in runs for f in first[a:b]})})
         return pa.array(out, RESULT)
 
-    joined = docs.join(flags, F.col(id_col) == F.col("_own"), "left")
-    done = joined.withColumn("_cut", F.when(F.col("_flags").isNotNull(), cut_out(F.col(text_col).cast("binary"), "_flags")))
-    return done.select(
-        *[F.coalesce("_cut.text", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.coalesce("_cut.spans", F.array().cast("array<struct<start:int,end:int>>")).alias("removed_spans"),
-        F.coalesce("_cut.firsts", F.array().cast("array<bigint>")).alias("first_doc_ids"),
+    side = F.broadcast(flags) if entries <= BROADCAST_ENTRIES else flags
+    joined = docs.join(side, F.when(docs[id_col].isNotNull(), row_digest(docs, id_col, text_col)) == flags[row], "left")
+    cleaned = joined.withColumn(done, F.when(F.col(found).isNotNull(), cut_out(F.col(text_col).cast("binary"), found)))
+    return cleaned.select(
+        *[F.coalesce(f"{done}.text", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
+        F.coalesce(f"{done}.spans", F.array().cast("array<struct<start:int,end:int>>")).alias("removed_spans"),
+        F.coalesce(f"{done}.firsts", F.array().cast("array<bigint>")).alias("first_doc_ids"),
     )

@@ -192,10 +192,9 @@ def test_gear_hash_of_all_places_equals_the_rolling_one():
     rng = random.Random(4)
     text = "".join(rng.choice("abcdefgh ") for _ in range(5000))
     points, h, want = np.frombuffer(text.encode("utf-32-le"), np.uint32), 0, []
-    mask = ((1 << substrings.BITS) - 1) << (substrings.WINDOW - substrings.BITS)
     for i, p in enumerate(points):
         h = ((h << 1) + int(substrings.GEAR[p])) & 0xFFFFFFFF
-        if h & mask == 0:
+        if (h >> substrings.WINDOW - 10) % 1024 < 1024 // substrings.ONE_IN:
             want.append(i + 1)
     kept = [a for i, a in enumerate(want) if i == 0 or a - want[i - 1] >= substrings.LEAST]
     assert substrings.chunk_bounds(points).tolist() == [0] + [a for a in kept if a < len(points)] + [len(points)]
@@ -225,13 +224,86 @@ def test_passages_go_and_clean_texts_stay(spark):
         else:
             kept, at = [], 0
             for s in rows[i].removed_spans:
-                assert t[s.start : s.end] in passages[i // 2 % 12]
+                assert t[s.start : s.end].strip() in passages[i // 2 % 12]  # the blanks around it stand in both documents
                 kept.append(t[at : s.start])
                 at = s.end
             assert rows[i].text == "".join(kept) + t[at:] and (not kept or keepers[i // 2 % 12] in rows[i].first_doc_ids)
             assert all(d < i and d // 2 % 12 == i // 2 % 12 for d in rows[i].first_doc_ids)
 
 
+def plain_chunks(text):
+    """Chunks by the rolling hash, character by character."""
+    h, ends, last = 0, [], -substrings.LEAST
+    for i, c in enumerate(text):
+        h = ((h << 1) + int(substrings.GEAR[ord(c) & 0xFFFF])) & 0xFFFFFFFF
+        if (h >> substrings.WINDOW - 10) % 1024 < 1024 // substrings.ONE_IN:
+            if i + 1 - last >= substrings.LEAST and i + 1 < len(text):
+                ends.append(i + 1)
+            last = i + 1
+    return [text[a:b] for a, b in zip([0, *ends], [*ends, len(text)])]
+
+
+def plain_dedup(rows, min_words):
+    """Pairs of neighbouring chunks that a smaller id holds, joined to runs of min_words whole words, cut out of each text."""
+    first, cut = {}, [plain_chunks(t) for _, t in rows]
+    for (own, _), c in zip(rows, cut):
+        for pair in zip(c, c[1:]):
+            first[pair] = min(own, first.get(pair, own))
+    out = []
+    for (own, text), c in zip(rows, cut):
+        at, spans, edges = 0, [], [0]
+        for piece in c:
+            edges.append(edges[-1] + len(piece))
+        again = [first[pair] < own for pair in zip(c, c[1:])] + [False]
+        for i, flag in enumerate(again):
+            if flag and not (i and again[i - 1]):
+                j = next(n for n in range(i, len(again)) if not again[n])
+                a, b = edges[i], edges[j + 1]
+                while a < b and a and not text[a - 1].isspace() and not text[a].isspace():
+                    a += 1
+                if b < len(text) and not text[b].isspace() and not text[b - 1].isspace():  # inside a word: end before the blank in front of it
+                    while b > a and not text[b].isspace():
+                        b -= 1
+                if len(text[a:b].split()) >= min_words:
+                    spans.append((a, b))
+        kept = ""
+        for a, b in spans:
+            kept, at = kept + text[at:a], b
+        out.append((own, kept + text[at:]))
+    return out
+
+
+def test_removed_text_equals_a_plain_version(spark):
+    rng = random.Random(15)
+    passages = [" ".join(words(rng, rng.choice([15, 30, 60, 200]))) for _ in range(15)]
+    rows = []
+    for i in range(150):
+        own = words(rng, rng.choice([5, 40, 150]), 10**9)
+        for _ in range(rng.randrange(4)):
+            own.insert(rng.randrange(len(own)), rng.choice(passages))
+        rows.append((rng.randrange(120), rng.choice([" ", "\n", "  "]).join(own)))
+    rows += rows[:5]
+    got = substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text").collect()
+    assert sorted(map(tuple, got)) == sorted(plain_dedup(rows, 24))
+    assert sum(len(t) for _, t in rows) > sum(len(r.text) for r in got) + 10_000
+
+
+def test_chunks_of_unrelated_documents_make_no_run(spark):
+    """Neighbouring chunks that stand apart in other documents are no passage; one id with many texts, and columns of all names, are fine."""
+    rng = random.Random(16)
+    own = " ".join(words(rng, 120, 10**9))
+    parts = substrings.chunks(own.encode())
+    pieces = [own[a:b] for a, b in zip(parts[1], parts[1][1:])]
+    texts = [f"{' '.join(words(rng, 30, 10**9))} {p} {' '.join(words(rng, 30, 10**9))}" for p in pieces] + [own]
+    df = docs(spark, texts)
+    for name in ("removed_spans", "first_doc_ids", "row", "found", "done", "key", "own"):
+        df = df.withColumn(name, F.lit(1))
+    rows = {r.doc_id: r for r in substrings.dedup_substrings(df).collect()}
+    assert rows[len(pieces)].text == own and rows[0].own == 1 and rows[0].removed_spans == []
+    same = spark.createDataFrame([(7, " ".join(words(rng, 60, 10**9)) + " " + own) for _ in range(40)] + [(3, own)], "doc_id long, text string")
+    assert sum(len(r.text) < 0.8 * len(own) + 500 for r in substrings.dedup_substrings(same).filter("doc_id = 7").collect()) >= 38
+
+
 def test_substring_edges(spark):
     rng = random.Random(6)
     long_text = " ".join(words(rng, 300))
