@@ -140,8 +140,8 @@ def probes_needed(router: Router, parts: int, fit: np.ndarray, asked: np.ndarray
 
 
 def part_levels(rows: int, part_rows: int) -> int:
-    """Bisections that leave about part_rows to twice as many rows in a part: 2 (four parts) to 14."""
-    return int(np.clip(np.floor(np.log2(max(1, rows) / part_rows)), 2, 14))
+    """Bisections that leave about part_rows to twice as many rows in a part: 4 (16 parts) to 14."""
+    return int(np.clip(np.floor(np.log2(max(1, rows) / part_rows)), 4, 14))
 
 
 def search_block(query_ids: np.ndarray, queries: np.ndarray, least: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -214,11 +214,12 @@ def fit_router(rows: DataFrame, dim: int, total: int, k: int, recall: float, par
     return router
 
 
-def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = 1024, sample_rows: int = 4096, recall: float = 0.94, id_col: str = "vec_id", vector_col: str = "embedding", data_rows: int = 2048, query_rows: int = 512) -> DataFrame:
+def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, part_rows: int = 16_384, sample_rows: int = 4096, recall: float = 0.94, id_col: str = "vec_id", vector_col: str = "embedding", data_rows: int | None = None, query_rows: int = 512) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k largest inner products found.
 
-    Parts grow in number with the rows (part_rows to twice as many rows each, 4 parts at least and
-    16,384 at most). Networks are fitted on samples of at most sample_rows vectors (one of each hash
+    Parts grow in number with the rows (part_rows to twice as many rows each, 16 parts at least and
+    16,384 at most). A part is searched in blocks of data_rows rows, by default as many as hold 2**20
+    components (8 MB), so that most parts are one block. Networks are fitted on samples of at most sample_rows vectors (one of each hash
     bucket of ids); every row is indexed under its most probable part, and a query searches as many
     parts as hold `recall` of the neighbours of points left out of the fit. One router serves one
     length, the most frequent one; the rows of each further length are a part of their own and searched in full.
@@ -245,4 +246,4 @@ def nearest_in_partitions(vectors: DataFrame, queries: Column, k: int = 20, part
     routed = inquiring.filter("home >= 0").mapInArrow(by_batch(probe), "vec_id long, v array<double>, home int, parts array<int>")
     asked = cut(routed.unionByName(inquiring.filter("home < 0").withColumn("parts", F.array("home"))).withColumnRenamed("vec_id", "query_id").withColumn("least", F.lit(None).cast("double")))
     search = lambda qid, q, least, did, d: search_block(qid, q, least, did, d, k)
-    return block_search(data, asked, search, k, "double", data_rows, query_rows)
+    return block_search(data, asked, search, k, "double", data_rows or max(256, 2**20 // dim), query_rows)

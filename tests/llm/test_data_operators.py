@@ -407,7 +407,7 @@ def test_parts_of_parts_reach_the_recall_with_few_probes(spark):
     finally:
         ann.fit_router = fit
     router, wide = seen[0], x.astype(np.float64)
-    assert len(router.inner) == 16 and router.inner[0][3].shape == (16,) and router.probes <= 64
+    assert len(router.inner) == 16 and router.inner[0][3].shape == (16,) and router.probes <= 64, router.probes
     assert sum(len({v for v, _ in plain_top(np.arange(3000), wide, i, 10)} & got[i]) for i in range(0, 3000, 20)) >= 0.9 * 1500
 
 
