@@ -62,9 +62,21 @@ def safe_filename(name: Column) -> Column:
     return F.regexp_replace(name, r"(?U)[^\w.\-]+", "_")
 
 
-def is_workbook(kind: Column, url: Column) -> Column:
-    """A workbook by its type, or by a URL that ends so before any query."""
-    return kind.isin("xls", "xlsx", "xlsm") | F.lower(url).rlike(r"\.(xls|xlsx|xlsm)(\?|$)")
+#: Types that are workbooks; fixed values.
+WORKBOOK_TYPES = ["xls", "xlsx", "excel", "spreadsheet"]
+
+
+def is_workbook(kind: Column, url: Column, name: Column | None = None) -> Column:
+    """A workbook by its type, by its file name, or by a URL that ends so before any query."""
+    by = lambda c, pattern: F.lower(F.coalesce(c, F.lit(""))).rlike(pattern)
+    named = by(name, "[.](xls|xlsx|xlsm)$") if name is not None else F.lit(False)
+    return F.lower(F.coalesce(kind, F.lit(""))).isin(WORKBOOK_TYPES) | named | by(url, "[.](xls|xlsx|xlsm)($|[?])")
+
+
+def is_workbook_file(kind: Column, name: Column, url: Column) -> Column:
+    """The stricter form for a file at hand: its name, or its URL where it has none, must end so."""
+    file = F.lower(F.coalesce(F.nullif(name, F.lit("")), F.nullif(url, F.lit("")), F.lit("")))
+    return F.lower(F.coalesce(kind, F.lit(""))).isin(WORKBOOK_TYPES) | file.rlike("[.](xls|xlsx|xlsm)$")
 
 
 def storage_path(year: Column, month: Column, period_type: Column, attachment_id: Column, name: Column) -> Column:

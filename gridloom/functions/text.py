@@ -12,6 +12,8 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bind import let
+
 NBSP = " "
 
 #: Legacy single-byte glyphs and the letters they stand for; fixed values.
@@ -58,7 +60,7 @@ def normalize_name(c: Column) -> Column:
     return F.lower(clean_cell(c))
 
 
-def trim_cell_text(c: Column, most: int = 20_000, mark: str = "...[truncated]") -> Column:
+def trim_cell_text(c: Column, most: int = 20_000, mark: str = "…[truncated]") -> Column:
     """Cap a cell's text and mark the cut."""
     return F.when(F.length(c) > most, F.concat(F.substring(c, 1, most), F.lit(mark))).otherwise(c)
 
@@ -109,6 +111,13 @@ def apply_corrections(c: Column, rules: list[tuple[str, str]]) -> Column:
     return c
 
 
+def normalized_cell(c: Column) -> Column:
+    """A repaired cell text without marks, with the artefacts that were known when cells were first read corrected."""
+    rules = CORRECTIONS[:CELL_RULES]
+    suspicious = "|".join(wrong for wrong, _ in rules)
+    return let(strip_accents(c), lambda t: F.nullif(F.when(t.rlike(suspicious), clean_cell(apply_corrections(t, rules))).otherwise(clean_cell(t)), F.lit("")))
+
+
 def correct_labels(df: DataFrame, column: str, rules: list[tuple[str, str]]) -> DataFrame:
     """df with a column's known artefacts corrected.
 
@@ -123,6 +132,8 @@ def correct_labels(df: DataFrame, column: str, rules: list[tuple[str, str]]) ->
     return joined.withColumn(column, F.coalesce("_fixed", F.col(column))).drop("_label", "_fixed")
 
 
+#: Of the corrections, those that cells get as they are read; labels get all of them.
+CELL_RULES = 124
 #: Corrections of labels garbled by an old conversion, in order; fixed values.
 CORRECTIONS = [
     ("Hang hoo khoc", "Hang hoa khac"), ("hang hoo khoc", "hang hoa khac"), ("Hang hua", "Hang hoa"), ("hang hua", "hang hoa"),

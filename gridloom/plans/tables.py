@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.upsert import align
@@ -24,27 +25,68 @@ OBSERVATION = T.StructType([
 ])
 
 
+def _files(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and a function that names paths on it."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return name(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), name
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, name = _files(spark, path)
+    return files.exists(name(path))
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as a URI, as Spark's readers write it."""
+    files, name = _files(spark, path)
+    return files.makeQualified(name(path)).toString()
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; a rename that the file system refuses is an error."""
+    files, name = _files(spark, source)
+    if not files.rename(name(source), name(target)):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def write_swapped(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace the table at path: write beside it, then rename, so that readers see the old or the new rows.
+    """Replace the table at path: write the whole new one beside it, then swap folders.
 
-    df may read the table that it replaces.
+    df may read the table that it replaces. Until the new rows are complete the old table is not
+    touched; if they cannot be put in its place it is put back, and it is deleted last of all. Between the two
+    renames there is no table for a moment, so readers that must not see that need a catalog.
     """
-    spark = df.sparkSession
-    fresh, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    fresh, old = f"{path}.{mark}.new", f"{path}.{mark}.old"
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(fresh)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(target):
-        files.rename(target, jvm.org.apache.hadoop.fs.Path(old))
-    files.rename(jvm.org.apache.hadoop.fs.Path(fresh), target)
-    files.delete(jvm.org.apache.hadoop.fs.Path(old), True)
+    files, name = _files(spark, path)
+    had = files.exists(name(path))
+    if had:
+        rename(spark, path, old)
+    try:
+        rename(spark, fresh, path)
+    except Exception:
+        if had:
+            rename(spark, old, path)
+        raise
+    if had:
+        files.delete(name(old), True)
+
+
+def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Replace only the partitions that df has rows of; all others stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def write_observations(df: DataFrame, path: str) -> None:
-    """Observations by domain: one table that serves all topic views by partition pruning."""
-    write_swapped(align(df, OBSERVATION).repartition("indicator_domain", "report_year"), path, ["indicator_domain"])
+    """Observations by domain: one table that serves all topic views by partition pruning.
+
+    Rows are dealt by domain and year where adaptive execution may split a large share, so no
+    domain-year is one task or one file.
+    """
+    dealt = align(df, OBSERVATION).hint("rebalance", F.col("indicator_domain"), F.col("report_year"))
+    write_swapped(dealt, path, ["indicator_domain"])
 
 
 def topic_views(spark: SparkSession, path: str, domains: list[str]) -> None:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -86,35 +88,78 @@ def pending_downloads(candidates: DataFrame) -> DataFrame:
     return candidates.filter("NOT reused")
 
 
+def attempts(get: Callable[[str], bytes], url: str, tries: int, pause: float) -> tuple[bytes | None, int, str | None]:
+    """(content, tries made, error) of get(url), with growing pauses between tries."""
+    for attempt in range(1, tries + 1):
+        try:
+            return get(url), attempt, None
+        except Exception as e:  # noqa: BLE001  any failure of a fetch is a status, not an end
+            error = str(e)[:500]
+            time.sleep(pause * attempt if attempt < tries else 0)
+    return None, tries, error
+
+
 def fetch(files: DataFrame, get: Callable[[str], bytes], tries: int = 3, pause: float = 1.5) -> DataFrame:
-    """attachment_id, content, download_status, attempts, error: get(url) with growing pauses between tries.
+    """attachment_id, content, download_status, attempts, error of files (attachment_id, attachment_url).
 
-    The only step that needs the network; it runs in tasks, one row at a time.
+    With download(), the only steps that need the network; they run in tasks, one row at a time.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for key, url in zip(batch["attachment_id"], batch["attachment_url"]):
-                content, error, attempt = None, None, 0
-                for attempt in range(1, tries + 1):
-                    try:
-                        content, error = get(url), None
-                        break
-                    except Exception as e:  # noqa: BLE001  any failure of a fetch is a status, not an end
-                        error = str(e)[:500]
-                        time.sleep(pause * attempt if attempt < tries else 0)
-                rows.append((key, content, "success" if error is None else "failed", attempt, error))
+            rows = [(key, *attempts(get, url, tries, pause)) for key, url in zip(batch["attachment_id"], batch["attachment_url"])]
+            rows = [(key, content, "success" if error is None else "failed", made, error) for key, content, made, error in rows]
             yield pd.DataFrame(rows, columns=["attachment_id", "content", "download_status", "download_attempts", "download_error_message"])
 
     return files.select("attachment_id", "attachment_url").mapInPandas(run, "attachment_id string, content binary, download_status string, download_attempts int, download_error_message string")
 
 
+def _system(root: str):
+    """A file system that tasks can write to, and the path of root on it."""
+    from pyarrow import fs
+
+    if root.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + root[5:].lstrip("/")
+    return fs.FileSystem.from_uri(root.replace("s3a://", "s3://", 1))
+
+
+def download(files: DataFrame, get: Callable[[str], bytes], root: str, tries: int = 3, pause: float = 1.5) -> DataFrame:
+    """attachment_id, local_path, file_size_bytes, content_hash, download_status, download_attempts, download_error_message.
+
+    files: attachment_id, attachment_url, storage_path. A task fetches a file and writes it under root
+    (a URI that all hosts share), beside its place first and then moved there, so that a rerun of a
+    task gives the same files. No content leaves its task.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, base = _system(root)
+        names = ["attachment_id", "local_path", "file_size_bytes", "content_hash", "download_status", "download_attempts", "download_error_message"]
+        for batch in batches:
+            rows = []
+            for key, url, path in zip(batch["attachment_id"], batch["attachment_url"], batch["storage_path"]):
+                content, attempt, error = attempts(get, url, tries, pause)
+                if error is not None:
+                    rows.append((key, None, None, None, "failed", attempt, error))
+                    continue
+                place, folder = f"{base}/{path}", f"{base}/{path}".rsplit("/", 1)[0]
+                system.create_dir(folder, recursive=True)
+                fresh = f"{folder}/.{key}.{uuid.uuid4().hex}"
+                with system.open_output_stream(fresh) as out:
+                    out.write(content)
+                system.move(fresh, place)
+                rows.append((key, f"{root}/{path}", len(content), hashlib.md5(content).hexdigest(), "success", attempt, None))
+            yield pd.DataFrame(rows, columns=names).astype({"file_size_bytes": "Int64", "download_attempts": "Int32"})
+
+    schema = "attachment_id string, local_path string, file_size_bytes long, content_hash string, download_status string, download_attempts int, download_error_message string"
+    return files.select("attachment_id", "attachment_url", "storage_path").mapInPandas(run, schema)
+
+
 def pending_parses(log: DataFrame, files: DataFrame) -> DataFrame:
-    """Workbooks that are downloaded and not parsed."""
+    """Workbooks that are downloaded and not parsed, with their address and, if files has it, their local_path."""
+    wanted = [c for c in ("attachment_url", "filename", "local_path") if c in files.columns]
     waiting = log.filter("download_status = 'success' AND coalesce(parse_status, 'pending') IN ('pending', 'failed')")
-    joined = waiting.join(files.select("attachment_id", "attachment_url"), "attachment_id", "left")
-    return joined.filter(H.is_workbook(F.col("attachment_type"), F.col("attachment_url")))
+    joined = waiting.drop(*wanted).join(files.select("attachment_id", *wanted), "attachment_id", "left")
+    return joined.filter(H.is_workbook(F.col("attachment_type"), F.col("attachment_url"), F.col("filename") if "filename" in wanted else None))
 
 
 def pending_sheets(parsed: DataFrame, reports: DataFrame, log: DataFrame) -> DataFrame:

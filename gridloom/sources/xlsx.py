@@ -11,17 +11,21 @@ import json
 import re
 import zipfile
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import encoding_from_hits, legacy_hits
+from ..functions.text import encoding_from_hits, legacy_hits, normalize_name, normalized_cell, repair_unicode
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 SCHEMA = "path string, sheet_index int, sheet_name_raw string, max_row int, max_column int, raw_cells_json string, merged_ranges_json string, parse_status string, parse_error string"
+MOST_TEXT, MARK = 20_000, "…[truncated]"  # of a cell; fixed values
+#: Built-in number formats that show dates or times; fixed values.
+DATE_FORMATS = {*range(14, 23), *range(27, 37), 45, 46, 47, *range(50, 59)}
 
 
 def sniff(content: Column, name: Column) -> Column:
@@ -44,8 +48,21 @@ def place(reference: str) -> tuple[int, int]:
     return int(digits), column
 
 
-def text_of(value: str, kind: str, shared: list[str]) -> str | None:
-    """A cell's cached value as text: shared strings, booleans, whole numbers without a fraction."""
+def shows_date(code: str) -> bool:
+    """Whether a number format has date or time letters outside of quotes, escapes and brackets."""
+    bare = re.sub(r'"[^"]*"|\\.|_.|\*.|\[(?!h+\]|m+\]|s+\])[^\]]*\]', "", code.split(";")[0], flags=re.I)
+    return "general" not in bare.lower() and re.search("[dmhysDMHYS]", bare) is not None
+
+
+def date_of(number: float, from_1904: bool) -> str:
+    """ISO text of a date serial; a serial below one is a time of day."""
+    base, days = (datetime(1904, 1, 1), number) if from_1904 else (datetime(1899, 12, 30), number + (1 if 1 <= number < 60 else 0))
+    moment = base + timedelta(milliseconds=round(days * 86_400_000))
+    return moment.time().isoformat() if 0 <= number < 1 and not from_1904 else moment.isoformat()
+
+
+def text_of(value: str, kind: str, shared: list[str], dated: bool = False, from_1904: bool = False) -> str | None:
+    """A cell's cached value as text: shared strings, booleans, ISO dates, whole numbers without a fraction."""
     if kind == "s":
         return shared[int(value)]
     if kind == "b":
@@ -54,42 +71,55 @@ def text_of(value: str, kind: str, shared: list[str]) -> str | None:
         return value
     try:
         number = float(value)
-    except ValueError:
+        if dated:
+            return date_of(number, from_1904)
+    except (ValueError, OverflowError):
         return value
-    return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
+    if re.fullmatch("-?[0-9]+", value):
+        return str(int(value))
+    return str(int(number)) if number.is_integer() else repr(number)
+
+
+def trimmed(text: str) -> str:
+    return text[:MOST_TEXT] + MARK if len(text) > MOST_TEXT else text
 
 
 def read_workbook(content: bytes) -> Iterator[dict]:
-    """The sheets of one workbook with their non-empty cells and merged ranges."""
+    """The sheets of one workbook, numbered from 1, with their non-empty cells and merged ranges."""
     book = zipfile.ZipFile(io.BytesIO(content))
     files = set(book.namelist())
     xml = lambda name: ElementTree.fromstring(book.read(name))
     joined = lambda node: "".join(t.text or "" for t in node.iter(f"{MAIN}t"))
     shared = [joined(si) for si in xml("xl/sharedStrings.xml").iter(f"{MAIN}si")] if "xl/sharedStrings.xml" in files else []
-    indents: list[int] = []
+    styles: list[tuple[int, bool]] = []  # indent, shows a date
     if "xl/styles.xml" in files:
-        formats = xml("xl/styles.xml").find(f"{MAIN}cellXfs")
+        sheet = xml("xl/styles.xml")
+        own = {int(f.get("numFmtId")): shows_date(f.get("formatCode", "")) for f in sheet.iter(f"{MAIN}numFmt")}
+        formats = sheet.find(f"{MAIN}cellXfs")
         for xf in formats if formats is not None else []:
-            alignment = xf.find(f"{MAIN}alignment")
-            indents.append(int(alignment.get("indent", 0)) if alignment is not None else 0)
+            alignment, number = xf.find(f"{MAIN}alignment"), int(xf.get("numFmtId", 0))
+            styles.append((int(float(alignment.get("indent", 0))) if alignment is not None else 0, own.get(number, number in DATE_FORMATS)))
     targets = {r.get("Id"): r.get("Target") for r in xml("xl/_rels/workbook.xml.rels")}
-    for index, sheet in enumerate(xml("xl/workbook.xml").iter(f"{MAIN}sheet")):
+    root = xml("xl/workbook.xml")
+    settings = root.find(f"{MAIN}workbookPr")
+    from_1904 = settings is not None and settings.get("date1904") in ("1", "true")
+    for index, sheet in enumerate(root.iter(f"{MAIN}sheet"), start=1):
         target = targets[sheet.get(f"{REL}id")]
-        root = xml(target.lstrip("/") if target.startswith("/") else f"xl/{target}")
+        body = xml(target.lstrip("/") if target.startswith("/") else f"xl/{target}")
         cells = []
-        for c in root.iter(f"{MAIN}c"):
+        for c in body.iter(f"{MAIN}c"):
             inline, v = c.find(f"{MAIN}is"), c.find(f"{MAIN}v")
             raw = joined(inline) if inline is not None else v.text if v is not None else None
-            text = None if raw is None else text_of(raw, c.get("t", "n"), shared)
-            text = " ".join((text or "").replace(" ", " ").split())
+            indent, dated = styles[style] if (style := int(c.get("s", 0))) < len(styles) else (0, False)
+            text = None if raw is None else text_of(raw, c.get("t", "n"), shared, dated, from_1904)
+            text = " ".join((text or "").split())
             if not text:
                 continue
             row, column = place(c.get("r"))
-            style = int(c.get("s", 0))
-            cells.append({"row_index": row, "column_index": column, "cell_ref": c.get("r"), "cell_value_raw": text[:20_000], "indent_level": indents[style] if style < len(indents) else 0})
+            cells.append({"row_index": row, "column_index": column, "cell_ref": c.get("r"), "cell_value_raw": trimmed(text), "indent_level": indent})
         yield {
             "sheet_index": index, "sheet_name_raw": sheet.get("name"), "max_row": max((c["row_index"] for c in cells), default=0), "max_column": max((c["column_index"] for c in cells), default=0),
-            "raw_cells_json": json.dumps(cells, ensure_ascii=False), "merged_ranges_json": json.dumps([m.get("ref") for m in root.iter(f"{MAIN}mergeCell")]),
+            "raw_cells_json": json.dumps(cells, ensure_ascii=False), "merged_ranges_json": json.dumps([m.get("ref") for m in body.iter(f"{MAIN}mergeCell")]),
         }
 
 
@@ -109,7 +139,36 @@ def read_workbooks(files: DataFrame) -> DataFrame:
     return files.filter(sniff(F.col("content"), F.col("path")) == "xlsx").select("path", "content").mapInPandas(run, SCHEMA)
 
 
+CELL = "struct<row_index:int,column_index:int,cell_ref:string,cell_value_raw:string,indent_level:int>"
+SAMPLE = 300  # texts of a sheet that settle its encoding
+
+
+def repair_sheets(sheets: DataFrame) -> DataFrame:
+    """sheets with what their cells tell: encoding, repaired texts, counts and warnings.
+
+    The encoding is settled by the sheet's first SAMPLE texts and then holds for all of its cells,
+    which get cell_value_unicode (legacy glyphs translated) and cell_value_normalized (without
+    marks, known artefacts corrected). Sheets without cells stay as they are.
+    """
+    cells = F.from_json("raw_cells_json", f"array<{CELL}>")
+    read = sheets.withColumn("_cells", cells)
+    texts = F.transform(F.slice("_cells", 1, SAMPLE), lambda x: x["cell_value_raw"])
+    found = read.withColumn("detected_text_encoding", F.when(F.col("_cells").isNotNull(), encoding_from_hits(legacy_hits(F.array_join(texts, " ")))))
+    legacy = F.col("detected_text_encoding") == "tcvn3"
+
+    def repaired(x: Column) -> Column:
+        unicode = repair_unicode(x["cell_value_raw"], legacy)
+        return F.struct(*[x[f].alias(f) for f in ("row_index", "column_index", "cell_ref", "cell_value_raw", "indent_level")], unicode.alias("cell_value_unicode"), normalized_cell(unicode).alias("cell_value_normalized"))
+
+    first = lambda field: F.array_min(F.transform("_cells", lambda x: x[field]))
+    warning = F.when(legacy, F.array(F.lit("legacy_tcvn3_font_detected_and_converted"))).when(F.col("detected_text_encoding") != "unicode", F.array(F.lit("possible_legacy_font_low_confidence_not_converted"))).otherwise(F.array().cast("array<string>"))
+    return found.select(
+        *[F.to_json(F.transform("_cells", repaired)).alias(c) if c == "raw_cells_json" else F.col(c) for c in sheets.columns],
+        normalize_name(F.col("sheet_name_raw")).alias("sheet_name_normalized"), F.coalesce(F.size("_cells"), F.lit(0)).alias("non_empty_cell_count"), first("row_index").alias("first_non_empty_row"), first("column_index").alias("first_non_empty_column"),
+        F.to_json(warning).alias("parse_warnings_json"), "detected_text_encoding",
+    )
+
+
 def load_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """Sheets of all .xlsx files under a path, with the detected text encoding."""
-    sheets = read_workbooks(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path))
-    return sheets.withColumn("detected_text_encoding", encoding_from_hits(legacy_hits(F.col("raw_cells_json"))))
+    """Sheets of all .xlsx files under a path, their texts repaired."""
+    return repair_sheets(read_workbooks(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)))

@@ -4,6 +4,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from gridloom.functions import html as H
 from gridloom.sources import pages as P
 from gridloom.sources import xlsx as X
 
@@ -14,8 +15,8 @@ def workbook() -> bytes:
         "xl/workbook.xml": f'<workbook {main} xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"><sheets><sheet name="GDP" sheetId="1" r:id="rId1"/></sheets></workbook>',
         "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId1" Target="worksheets/sheet1.xml"/></Relationships>',
         "xl/sharedStrings.xml": f"<sst {main}><si><t>Tong</t></si><si><r><t>Chi </t></r><r><t>tieu</t></r></si></sst>",
-        "xl/styles.xml": f'<styleSheet {main}><cellXfs><xf/><xf><alignment indent="2"/></xf></cellXfs></styleSheet>',
-        "xl/worksheets/sheet1.xml": f'<worksheet {main}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s" s="1"><v>1</v></c><c r="C1"/></row><row r="2"><c r="AA2"><v>12.0</v></c><c r="AB2"><v>1.5</v></c><c r="AC2" t="b"><v>1</v></c><c r="AD2" t="inlineStr"><is><t> x  y </t></is></c></row></sheetData><mergeCells><mergeCell ref="A1:B1"/></mergeCells></worksheet>',
+        "xl/styles.xml": f'<styleSheet {main}><numFmts><numFmt numFmtId="170" formatCode="dd\\/mm\\/yyyy;@"/><numFmt numFmtId="171" formatCode="[Red]0.0&quot; day&quot;"/></numFmts><cellXfs><xf/><xf><alignment indent="2"/></xf><xf numFmtId="14"/><xf numFmtId="170"/><xf numFmtId="171"/></cellXfs></styleSheet>',
+        "xl/worksheets/sheet1.xml": f'<worksheet {main}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="B1" t="s" s="1"><v>1</v></c><c r="C1"/></row><row r="2"><c r="AA2"><v>12.0</v></c><c r="AB2"><v>1.5</v></c><c r="AC2" t="b"><v>1</v></c><c r="AD2" t="inlineStr"><is><t> x  y </t></is></c></row><row r="3"><c r="A3" s="2"><v>45291</v></c><c r="B3" s="3"><v>45291.5</v></c><c r="C3" s="4"><v>45291</v></c><c r="D3" s="2"><v>0.25</v></c><c r="E3"><v>12345678901234567890</v></c><c r="F3" t="inlineStr"><is><t>{"z" * 20_001}</t></is></c></row></sheetData><mergeCells><mergeCell ref="A1:B1"/></mergeCells></worksheet>',
     }
     out = io.BytesIO()
     with zipfile.ZipFile(out, "w") as z:
@@ -32,8 +33,27 @@ def test_workbooks(spark, tmp_path):
     assert set(rows) == {"a.xlsx", "broken.xlsx"} and rows["broken.xlsx"].parse_status == "failed"
     good = rows["a.xlsx"]
     cells = {c["cell_ref"]: (c["cell_value_raw"], c["indent_level"], c["column_index"]) for c in json.loads(good.raw_cells_json)}
-    assert cells == {"A1": ("Tong", 0, 1), "B1": ("Chi tieu", 2, 2), "AA2": ("12", 0, 27), "AB2": ("1.5", 0, 28), "AC2": ("TRUE", 0, 29), "AD2": ("x y", 0, 30)}
-    assert (good.sheet_name_raw, good.max_row, good.max_column, json.loads(good.merged_ranges_json), good.detected_text_encoding) == ("GDP", 2, 30, ["A1:B1"], "unicode")
+    dates = {"A3": ("2023-12-31T00:00:00", 0, 1), "B3": ("2023-12-31T12:00:00", 0, 2), "C3": ("45291", 0, 3), "D3": ("06:00:00", 0, 4), "E3": ("12345678901234567890", 0, 5), "F3": ("z" * 20_000 + "…[truncated]", 0, 6)}
+    assert cells == {"A1": ("Tong", 0, 1), "B1": ("Chi tieu", 2, 2), "AA2": ("12", 0, 27), "AB2": ("1.5", 0, 28), "AC2": ("TRUE", 0, 29), "AD2": ("x y", 0, 30)} | dates
+    assert (good.sheet_index, good.sheet_name_raw, good.max_row, good.max_column, json.loads(good.merged_ranges_json), good.detected_text_encoding) == (1, "GDP", 3, 30, ["A1:B1"], "unicode")
+    assert (good.sheet_name_normalized, good.non_empty_cell_count, good.first_non_empty_row, good.first_non_empty_column, json.loads(good.parse_warnings_json)) == ("gdp", 12, 1, 1, [])
+
+
+def test_dates_count_from_1904_where_the_workbook_says_so():
+    assert X.date_of(0.0, True) == "1904-01-01T00:00:00" and X.date_of(1.0, False) == "1900-01-01T00:00:00" and X.date_of(61.0, False) == "1900-03-01T00:00:00"
+    assert [X.shows_date(code) for code in ("General", "0.00", "yyyy-mm", '0" mm"', "[h]:mm", "[$-409]d-mmm", "#,##0;[Red]d")] == [False, False, True, False, True, True, False]
+
+
+def test_legacy_sheets_are_repaired_by_their_first_texts(spark):
+    cell = lambda n, text: {"row_index": n, "column_index": 1, "cell_ref": f"A{n}", "cell_value_raw": text, "indent_level": 0}
+    legacy = [cell(1, "N«ng nghiÖp"), cell(2, "Kh¸ch s¹n"), cell(3, "Khách sạn đã"), cell(4, "hua  chat")]
+    late = [cell(n, "plain") for n in range(300)] + [cell(301, "«µ¸¶·¹¨")]
+    rows = [(1, "A", json.dumps(legacy)), (2, "B", json.dumps(late)), (3, "C", json.dumps([cell(1, "dien tich §")])), (4, "D", None)]
+    got = {r.sheet_index: r for r in X.repair_sheets(spark.createDataFrame(rows, "sheet_index int, sheet_name_raw string, raw_cells_json string")).collect()}
+    assert [got[i].detected_text_encoding for i in range(1, 5)] == ["tcvn3", "unicode", "possible_legacy_low_confidence", None]
+    cells = [(x.get("cell_value_raw"), x.get("cell_value_unicode"), x.get("cell_value_normalized")) for x in json.loads(got[1].raw_cells_json)]
+    assert cells == [("N«ng nghiÖp", "Nông nghiệp", "Nong nghiep"), ("Kh¸ch s¹n", "Khách sạn", "Khach san"), ("Khách sạn đã", "Khách sạn đã", "Khach san da"), ("hua  chat", "hua chat", "hoa chat")]
+    assert json.loads(got[1].parse_warnings_json) == ["legacy_tcvn3_font_detected_and_converted"] and json.loads(got[3].parse_warnings_json) == ["possible_legacy_font_low_confidence_not_converted"]
 
 
 def item(n):
@@ -71,6 +91,9 @@ def test_attachments_and_downloads(spark, tmp_path):
 
 
 def test_pending(spark):
-    log = spark.createDataFrame([("a", "xlsx", "success", None), ("b", "pdf", "success", "pending"), ("c", "other", "success", "failed"), ("d", "xls", "failed", None)], "attachment_id string, attachment_type string, download_status string, parse_status string")
+    log = spark.createDataFrame([("a", "XLSX", "success", None), ("b", "pdf", "success", "pending"), ("c", "other", "success", "failed"), ("d", "xls", "failed", None)], "attachment_id string, attachment_type string, download_status string, parse_status string")
     files = spark.createDataFrame([("c", "http://x/y.XLSX?v=1")], "attachment_id string, attachment_url string")
     assert sorted(r.attachment_id for r in P.pending_parses(log, files).collect()) == ["a", "c"]
+    kinds = spark.createDataFrame([("excel", None, None), (None, "A.XLSM", None), (None, "", "http://x/a.xls"), (None, "a.pdf", "http://x/a.xls"), (None, None, "http://x/a.xls?v=1"), (None, None, None)], "k string, n string, u string")
+    got = kinds.select(H.is_workbook_file(F.col("k"), F.col("n"), F.col("u")).alias("strict"), H.is_workbook(F.col("k"), F.col("u"), F.col("n")).alias("wide")).collect()
+    assert [(r.strict, r.wide) for r in got] == [(True, True), (True, True), (True, True), (False, True), (False, True), (False, False)]

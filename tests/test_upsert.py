@@ -81,4 +81,11 @@ def test_stream(spark, tmp_path):
     spark.createDataFrame([(2, "c", 1), (1, "d", 3)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
     run()
     run()
-    assert rows(spark.read.parquet(str(tmp_path / "t"))) == [(1, "d", 3), (2, "c", 1)]
+    table = spark.read.parquet(str(tmp_path / "t"))
+    assert rows(table.drop("key_bucket")) == [(1, "d", 3), (2, "c", 1)]
+    untouched = lambda: {f.name: f.stat().st_mtime for f in (tmp_path / "t").glob("key_bucket=*/*") if f.parent.name != touched}
+    touched = f"key_bucket={table.filter('k = 1').first().key_bucket}"
+    before = untouched()
+    spark.createDataFrame([(1, "e", 4)], schema).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    assert rows(spark.read.parquet(str(tmp_path / "t")).drop("key_bucket")) == [(1, "e", 4), (2, "c", 1)] and untouched() == before and before
