@@ -78,7 +78,8 @@ def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sam
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingle_set(b, width) for b in batch.column(1).to_pylist()]).view(np.int64))], ["h"])
 
     found = rows.mapInArrow(by_batch(run), "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= sample_docs)
-    return np.sort(np.array([r.h for r in found.orderBy(F.desc("n"), "h").limit(most).collect()], np.int64).view(np.uint64))
+    kept = found.orderBy(F.desc("n"), "h").limit(most).select("h").toArrow()
+    return np.sort(kept.column("h").to_numpy().view(np.uint64))
 
 
 BITS = [f"b{i}" for i in range(WORDS)]
@@ -131,8 +132,7 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
     chunks of its own; each pair of chunks is one group of bounded size, and chunks of one root are
     not compared, so a cell in which one root is common costs no square.
     """
-    with_root = nodes.select("node", "n", "bits").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = cut(cells.select("h", "node").join(with_root.select("node", "root"), "node"))
+    rooted = cut(cells.select("h", "node").join(roots, "node"))
     per_root = rooted.groupBy("h", "root").agg(F.count("*").alias("rows"))
     wide = F.col("rows") >= cell_rows
     per_cell = cut(
@@ -155,7 +155,7 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
         .withColumn("own", F.when(mine.isNull(), chunk(none, spread(F.col("k")))).otherwise(chunk(mine["root"], spread(mine["k"]))))
         .withColumn("other", F.explode(F.filter(chunks, lambda x: mine.isNull() | x["root"].isNull() | (x["root"] != mine["root"]))))
         .select("h", "node", "root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-        .join(with_root.select("node", "n", "bits"), "node")
+        .join(nodes.select("node", "n", "bits"), "node")
         .groupBy("h", "a", "b")
         .agg(*(F.collect_list(c).alias(c) for c in ("node", "root", "n", "bits")))
         .select("node", "root", "n", "bits")
@@ -228,9 +228,13 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float
     stars = cells.select(F.col("hub").alias("u"), F.col("node").alias("v"))
     first = _bounded(ordered(stars.unionByName(equal).unionByName(near)), nodes, least)
     edges = _settled(first, docs, nodes, id_col, text_col, width, least)
-    rest = _rest(cells, nodes, connected_components(edges), least, cell_rows).join(first, ["u", "v"], "left_anti")
-    edges = edges.unionByName(_settled(cut(rest), docs, nodes, id_col, text_col, width, least))
-    joined = cut(nodes.select("node", "least").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
+    roots = cut(nodes.select("node").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
+    rest = _rest(cells, nodes, roots, least, cell_rows).join(first, ["u", "v"], "left_anti")
+    more = _settled(cut(rest), docs, nodes, id_col, text_col, width, least)
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    between = more.join(of("u"), "u").join(of("v"), "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))  # links of components
+    merged = connected_components(between).select(F.col("node").alias("root"), F.col("root").alias("final"))
+    joined = cut(nodes.select("node", "least").join(roots, "node").join(merged, "root", "left").select("node", "least", F.coalesce("final", "root").alias("root")))
     smallest = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))
     return rows.select("doc_id", "digest", "node").join(joined.join(smallest, "root").select("node", "root", "component_id"), "node").select("doc_id", "digest", "root", "component_id")
 

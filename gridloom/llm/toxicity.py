@@ -325,8 +325,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     benign = _counted(rows, near).filter(c >= 2 * t + 1).orderBy(F.desc("c"), "term").limit(most_terms).collect()
     second = Scorer(words, stems, frozenset(r.term for r in benign))
-    found = _features(sample, second).collect()
-    model = fit_logistic(np.array([list(r.x) for r in found]), np.array([r.y for r in found], float))
+    found = _features(sample, second).toArrow()  # at most most_rows rows of a few numbers
+    model = fit_logistic(np.array(found.column("x").to_pylist(), float).reshape(-1, len(Scorer.NAMES)), found.column("y").to_numpy().astype(float))
     return Scorer(words, stems, second.benign, model)
 
 
