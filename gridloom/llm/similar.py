@@ -141,7 +141,7 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
         .filter("roots > 1")
         .select("h", "large", F.ceil(F.col("small") / cell_rows).cast("int").alias("k"))
     )
-    own_large = F.element_at(F.filter("large", lambda x: x["root"] == F.col("root")), 1)
+    own_large = F.try_element_at(F.filter("large", lambda x: x["root"] == F.col("root")), F.lit(1))
     spread = lambda k: F.pmod(F.xxhash64("node"), F.greatest(k, F.lit(1))).cast("int")
     chunk = lambda root, i: F.struct(root.alias("root"), i.alias("i"))
     counted = lambda k, root: F.transform(F.sequence(F.lit(1), k), lambda i: chunk(root, i - 1))
