@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bind import let
+from ..settle import settled
 from .quality import GROWTH, total, year_missing
 
 c = F.col
@@ -176,7 +177,11 @@ def check_table(spark: SparkSession) -> DataFrame:
 
 
 def run_checks(curated: DataFrame) -> DataFrame:
-    """indicator_domain, key, category, value, op, threshold, severity, passed: one row per domain and check."""
+    """indicator_domain, key, category, value, op, threshold, severity, passed: one row per domain and check.
+
+    The curated rows are read three times and are therefore settled first.
+    """
+    curated = settled(curated)
     plain, distinct = plain_checks(), distinct_checks()
     wide = curated.groupBy("indicator_domain").agg(*[k.value.cast("double").alias(k.key) for k in plain])
     counted = curated.groupBy("indicator_domain").agg(*[k.value.cast("double").alias(k.key) for k in distinct])

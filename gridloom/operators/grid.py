@@ -97,7 +97,7 @@ def parse_ranges(sheets: DataFrame, json_col: str = "merged_ranges_json") -> Dat
     """sheet_id, n (place in the list), r1, r2, c1, c2 of merged ranges such as "C4:D4"."""
     listed = sheets.select("sheet_id", F.posexplode(F.from_json(json_col, "array<string>")).alias("n", "text"))
     part = lambda i: F.regexp_extract(F.upper(F.trim("text")), r"^([A-Z]+)([0-9]+):([A-Z]+)([0-9]+)$", i)
-    good = listed.filter(F.upper(F.trim("text")).rlike(r"^[A-Z]+[0-9]+:[A-Z]+[0-9]+$")).select("sheet_id", "n", column_index(part(1)).alias("a"), part(2).cast("int").alias("b"), column_index(part(3)).alias("c"), part(4).cast("int").alias("d"))
+    good = listed.filter(F.upper(F.trim("text")).rlike(r"^[A-Z]+[0-9]+:[A-Z]+[0-9]+$")).select("sheet_id", "n", column_index(part(1)).alias("a"), part(2).try_cast("int").alias("b"), column_index(part(3)).alias("c"), part(4).try_cast("int").alias("d"))
     return good.select("sheet_id", "n", F.least("b", "d").alias("r1"), F.greatest("b", "d").alias("r2"), F.least("a", "c").alias("c1"), F.greatest("a", "c").alias("c2"))
 
 
@@ -113,7 +113,9 @@ def expand_headers(zoned: DataFrame, ranges: DataFrame | None = None) -> DataFra
     dense = labels.select("sheet_id", "row").distinct().join(cols, "sheet_id").join(labels, ["sheet_id", "row", "col"], "left")
     if ranges is not None:
         source = labels.filter(F.col("number").isNull() | F.col("year")).select("sheet_id", "row", F.col("col").alias("c1"), F.col("value").alias("merged"))
-        spread = ranges.withColumn("row", F.explode(F.sequence("r1", "r2"))).join(source, ["sheet_id", "row", "c1"]).withColumn("col", F.explode(F.sequence("c1", "c2")))
+        # only header rows and occupied columns, however far a range reaches
+        inside = source.join(ranges, ["sheet_id", "c1"]).filter(F.col("row").between(F.col("r1"), F.col("r2")))
+        spread = inside.join(cols, "sheet_id").filter(F.col("col").between(F.col("c1"), F.col("c2")))
         dense = dense.join(spread.groupBy("sheet_id", "row", "col").agg(F.min_by("merged", "n").alias("merged")), ["sheet_id", "row", "col"], "left")
     else:
         dense = dense.withColumn("merged", F.lit(None).cast("string"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bind import let
+from ..settle import settled
 
 c = F.col
 GROWTH = ("yoy_growth", "mom_growth")
@@ -195,12 +196,21 @@ GATE = [
 ]
 
 
+#: What the gate reads of the curated table.
+GATE_COLUMNS = [
+    "indicator_observation_id", "report_id", "sheet_report_id", "published_date", "indicator_domain", "indicator_name_raw", "metric_name_raw", "metric_measure", "metric_type", "unit_raw",
+    "value_numeric", "value_growth_pct", "source_sheet_name",
+]
+
+
 def gate(observations: DataFrame, curated: DataFrame, as_of: str, thresholds: dict[str, int] | None = None, null_fails: bool = False) -> DataFrame:
     """One row per check: check_name, value, threshold, known_open_issue, status.
 
-    A null value passes unless null_fails. All measures that are sums over the curated rows share one
-    pass; with three more one-row aggregates beside it they are turned into rows.
+    A null value passes unless null_fails. The columns that the checks read are settled once. All
+    measures that are sums over the curated rows share one pass; with three more one-row aggregates
+    beside it they are turned into rows.
     """
+    curated = settled(curated.select(*GATE_COLUMNS))
     missing, rows = total(c("sheet_report_id").isNull()), F.count("*")
     measured = curated.agg(
         _age(as_of).alias("freshness_days_since_publish"), *_semantic(), *_coherence(), *_decomposition(),

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from . import quality as Q
 from .quality import percent, total
 
 c = F.col
@@ -54,9 +56,7 @@ def indicator_profile(curated: DataFrame, domain: str, most: int = 250) -> DataF
 
 def ambiguous_share(curated: DataFrame) -> DataFrame:
     """Rows in ambiguous groups by domain, and their share."""
-    from .quality import ambiguous_groups
-
-    groups = ambiguous_groups(curated, "sheet_report_id", "indicator_name_raw", "metric_name_raw")
+    groups = Q.ambiguous_groups(curated, "sheet_report_id", "indicator_name_raw", "metric_name_raw")
     named = curated.select("sheet_report_id", "indicator_name_raw", "metric_name_raw", "indicator_domain").filter("sheet_report_id is not null AND metric_name_raw is not null")
     inside = named.join(groups, ["sheet_report_id", "indicator_name_raw", "metric_name_raw"]).groupBy("indicator_domain").agg(F.count("*").alias("rows_ambiguous"))
     every = curated.groupBy("indicator_domain").agg(F.count("*").alias("rows"))
@@ -92,11 +92,111 @@ def first_per_sheet(observations: DataFrame, *tie_breakers: str) -> DataFrame:
     return observations.filter("sheet_report_id is not null").groupBy("sheet_report_id").agg(F.count("*").alias("observations"), first.alias("_f")).select("sheet_report_id", "observations", "_f.*")
 
 
-def recent_sample(curated: DataFrame, pattern: str, value: float, tolerance: float = 1e-6, most: int = 60) -> DataFrame:
-    near = F.abs(c("value_numeric") - value) <= tolerance
-    return curated.filter(c("indicator_name_raw").rlike(pattern) & near).orderBy(F.desc("report_year"), "indicator_observation_id").limit(most)
+#: Sheets of the released sample and the labels that it shows; fixed values.
+SAMPLE_SHEETS = r"^(2[. _-]*iip|14[. _-]*xk|15[. _-]*nk)"
+SAMPLE_LABELS = "tong|toan nganh|cong nghiep che bien"
+SAMPLE_VALUES = (109.2, 109.9)
+
+
+def recent_numeric_sample(curated: DataFrame, year: int, month: int, most: int = 60, sheets: str = SAMPLE_SHEETS, labels: str = SAMPLE_LABELS, values: tuple[float, ...] = SAMPLE_VALUES) -> DataFrame:
+    """Up to `most` values of one month from production and trade sheets: headline rows, or values near those that were published."""
+    near = F.lit(False)
+    for v in values:
+        near = near | (F.abs(c("value_numeric") - v) < 0.01)
+    rows = curated.filter(c("value_numeric").isNotNull() & (c("report_year") == year) & (c("report_month") == month) & F.lower(F.trim("source_sheet_name")).rlike(sheets) & (F.lower("indicator_name_raw").rlike(labels) | near))
+    order = [F.asc_nulls_first(k) for k in ("indicator_domain", "source_sheet_name", "indicator_name_raw", "metric_name_raw", "indicator_observation_id")]
+    return rows.orderBy(*order).limit(most).select(
+        c("indicator_domain").alias("domain"), c("indicator_subdomain").alias("subdomain"), c("indicator_name_raw").alias("indicator"), c("metric_name_raw").alias("metric"), c("unit_raw").alias("unit"),
+        "metric_type", "value_numeric", "value_growth_pct", c("source_sheet_name").alias("sheet"),
+    )
+
+
+def quality_bundle(observations: DataFrame, curated: DataFrame, as_of: str, year: int, month: int) -> dict[str, DataFrame]:
+    """The result sets of a release check by name."""
+    return {
+        "dashboard": Q.gate(observations, curated, as_of).orderBy(F.desc("status"), "check_name"), "freshness": Q.freshness(curated, as_of), "semantic_qc": Q.semantic_validation(curated), "quality_summary": Q.quality_summary(curated),
+        "unit_metric_coherence": Q.unit_metric_coherence(curated), "business_key_uniqueness": Q.business_key_uniqueness(curated).orderBy(F.desc("rows_in_ambiguous_groups")), "recent_numeric_sample": recent_numeric_sample(curated, year, month),
+    }
 
 
 def month_histogram(df: DataFrame, month: str) -> DataFrame:
     """Rows by month, unknown months last."""
     return df.groupBy(month).agg(F.count("*").alias("rows")).orderBy(F.asc_nulls_last(month))
+
+
+# --- datasets of the dashboard ----------------------------------------------------------------------
+
+
+def _number(value: Column) -> Column:
+    return F.format_number(value, 0)
+
+
+def dashboard_overview(curated: DataFrame, as_of: str) -> DataFrame:
+    """Headline figures as they are shown: numbers with separators, dates as text."""
+    return curated.agg(
+        _number(F.count("*")).alias("observations"), *[_number(F.count_distinct(k)).alias(n) for k, n in (("report_id", "reports"), ("sheet_report_id", "sheets"), ("indicator_name_raw", "indicators"))],
+        F.max("period_end_date").cast("string").alias("latest_period"), F.date_diff(F.lit(as_of).cast("date"), F.max("published_date")).cast("string").alias("days_since_publish"),
+    )
+
+
+def dashboard_domains(curated: DataFrame) -> DataFrame:
+    return curated.groupBy(c("indicator_domain").alias("domain")).agg(F.count("*").alias("observations"), F.count_distinct("indicator_name_raw").alias("indicators"), F.count_distinct("sheet_report_id").alias("sheets"))
+
+
+def dashboard_timeline(curated: DataFrame) -> DataFrame:
+    return curated.filter("report_year is not null").groupBy("report_year", c("indicator_domain").alias("domain")).agg(F.count("*").alias("observations"))
+
+
+def dashboard_metric_mix(curated: DataFrame) -> DataFrame:
+    return curated.groupBy("metric_type").agg(F.count("*").alias("observations"))
+
+
+def dashboard_fields(curated: DataFrame) -> DataFrame:
+    """Shares of rows, by domain, that lack a field."""
+    lack = lambda condition: percent(total(condition), F.count("*"), 1)
+    return curated.groupBy(c("indicator_domain").alias("domain")).agg(
+        F.count("*").alias("observations"), lack(c("unit_raw").isNull()).alias("pct_no_unit"), lack(c("metric_name_raw").rlike("^column_[0-9]+$")).alias("pct_placeholder_metric"), lack(c("geography_raw").isNull()).alias("pct_no_geography"),
+        lack(c("sector_raw").isNull()).alias("pct_no_sector"), lack(c("needs_review")).alias("pct_needs_review"),
+    )
+
+
+def dashboard_reports(reports: DataFrame, period: str = "period_type") -> DataFrame:
+    return reports.filter("report_year is not null").groupBy("report_year", c(period).alias("period_type")).agg(F.count_distinct("report_id").alias("reports"))
+
+
+def dashboard_periods(curated: DataFrame) -> DataFrame:
+    return curated.filter("period_end_date is not null").groupBy("period_end_date", "period_type").agg(F.count("*").alias("observations"))
+
+
+def domain_kpis(curated: DataFrame, domain: str) -> DataFrame:
+    years = F.concat(F.min("report_year").cast("string"), F.lit(" - "), F.max("report_year").cast("string"))
+    return curated.filter(c("indicator_domain") == domain).agg(_number(F.count("*")).alias("observations"), _number(F.count_distinct("indicator_name_raw")).alias("indicators"), _number(F.count_distinct("sheet_report_id")).alias("sheets"), years.alias("year_range"))
+
+
+def domain_coverage(curated: DataFrame, domain: str) -> DataFrame:
+    return curated.filter((c("indicator_domain") == domain) & c("report_year").isNotNull()).groupBy("report_year").agg(F.count("*").alias("observations"), F.count_distinct("indicator_name_raw").alias("indicators"))
+
+
+def _shown_unit() -> Column:
+    return F.coalesce("unit_raw", F.lit("(no unit)")).alias("unit")
+
+
+def domain_units(curated: DataFrame, domain: str) -> DataFrame:
+    return curated.filter(c("indicator_domain") == domain).groupBy(_shown_unit(), "metric_type").agg(F.count("*").alias("observations"))
+
+
+def domain_indicators(curated: DataFrame, domain: str) -> DataFrame:
+    """Every series of a domain with its exact median, range and periods, numbered by its rows.
+
+    Equal counts are numbered by name, which the original leaves to chance. The exact median holds a
+    series' distinct values in one aggregate; the numbering runs over one row for each series.
+    """
+    breakdown = F.coalesce("sector_raw", "product_raw", "geography_raw", F.lit("")).alias("breakdown")
+    keys = [c("indicator_name_raw").alias("indicator"), c("metric_name_raw").alias("metric"), c("metric_type"), _shown_unit(), breakdown]
+    of = lambda fn: F.round(fn("value_numeric"), 2)
+    series = curated.filter(c("indicator_domain") == domain).groupBy(*keys).agg(
+        F.count("*").alias("observations"), F.round(F.percentile("value_numeric", F.lit(0.5)), 2).alias("median_value"), of(F.min).alias("min_value"), of(F.max).alias("max_value"),
+        F.min("period_end_date").cast("string").alias("first_period"), F.max("period_end_date").cast("string").alias("last_period"),
+    )
+    order = [F.asc_nulls_first(k) for k in ("indicator", "metric", "metric_type", "unit", "breakdown")]
+    return series.withColumn("rn", F.row_number().over(W.orderBy(F.desc("observations"), *order)))

@@ -469,22 +469,11 @@ def strip_accents(spark, sf_dir):
     return S.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5(T.strip_accents(c("text"))).alias("folded"))
 
 
-_GARBLED = "replace(replace(substr(text, 1, 200), ' the ', ' Hang hua '), ' and ', ' bon le ')"
+_GARBLED = "replace(replace(coalesce(text, ''), ' the ', ' Hang hua '), ' and ', ' bon le ')"
 
 
-@query(f"SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CLEAN.format(x=_GARBLED)}, '\\bHang hua\\b', 'Hang hoa', 'g'), '\\bhang hua\\b', 'hang hoa', 'g'), '\\bbon le\\b', 'ban le', 'g'), '\\bhua\\b', 'hoa', 'g')) AS label FROM documents WHERE lang = 'en'")
+@query(f"SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CLEAN.format(x=_GARBLED)}, '\\bHang hua\\b', 'Hang hoa', 'g'), '\\bhang hua\\b', 'hang hoa', 'g'), '\\bbon le\\b', 'ban le', 'g'), '\\bhua\\b', 'hoa', 'g')) AS label FROM documents")
 def artifact_fix(spark, sf_dir):
-    rules = [("Hang hua", "Hang hoa"), ("hang hua", "hang hoa"), ("bon le", "ban le"), ("hua", "hoa")]
-    garbled = F.replace(F.replace(F.substring("text", 1, 200), F.lit(" the "), F.lit(" Hang hua ")), F.lit(" and "), F.lit(" bon le "))
-    rows = S.table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", T.clean_cell(garbled).alias("label"))
-    return T.correct_labels(rows, "label", rules).select("doc_id", F.md5("label").alias("label"))
-
-
-_GARBLED_WHOLE = _GARBLED.replace("substr(text, 1, 200)", "coalesce(text, '')")
-
-
-@query(f"SELECT doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CLEAN.format(x=_GARBLED_WHOLE)}, '\\bHang hua\\b', 'Hang hoa', 'g'), '\\bhang hua\\b', 'hang hoa', 'g'), '\\bbon le\\b', 'ban le', 'g'), '\\bhua\\b', 'hoa', 'g')) AS label FROM documents")
-def artifact_fix_whole(spark, sf_dir):
     """The whole texts of all documents."""
     rules = [("Hang hua", "Hang hoa"), ("hang hua", "hang hoa"), ("bon le", "ban le"), ("hua", "hoa")]
     garbled = F.replace(F.replace("text", F.lit(" the "), F.lit(" Hang hua ")), F.lit(" and "), F.lit(" bon le "))
@@ -548,24 +537,16 @@ def vn_date(spark, sf_dir):
     return S.table(spark, sf_dir, "orders").select("o_orderkey", P.parse_date(text).alias("found"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'monthly_single_month' ELSE 'monthly_cumulative' END AS sub_category, CAST(2000 + o_orderkey % 26 AS INTEGER) AS report_year, CAST(month(o_orderdate) AS INTEGER) AS report_month, CAST(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), CASE WHEN o_orderkey % 2 = 0 THEN month(o_orderdate) ELSE 1 END, 1) AS DATE) AS period_start_date, CAST(last_day(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), month(o_orderdate), 1)) AS DATE) AS period_end_date FROM orders WHERE month(o_orderdate) > 1")
+_SINGLE = "(o_orderkey % 2 = 0 OR month(o_orderdate) = 1)"
+
+
+@query(f"SELECT o_orderkey, CASE WHEN {_SINGLE} THEN 'monthly_single_month' ELSE 'monthly_cumulative' END AS sub_category, CAST(2000 + o_orderkey % 26 AS INTEGER) AS report_year, CAST(month(o_orderdate) AS INTEGER) AS report_month, CAST(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), CASE WHEN {_SINGLE} THEN month(o_orderdate) ELSE 1 END, 1) AS DATE) AS period_start_date, CAST(last_day(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), month(o_orderdate), 1)) AS DATE) AS period_end_date FROM orders")
 def classify_report(spark, sf_dir):
+    """Titles of single and of cumulated months; a title of January and one month covers a single month."""
     month, year = F.month("o_orderdate").cast("string"), (2000 + c("o_orderkey") % 26).cast("string")
     single = F.concat(F.lit("Báo cáo tình hình kinh tế tháng "), month, F.lit(" năm "), year)
     longer = F.concat(F.lit("Báo cáo tình hình kinh tế tháng "), month, F.lit(" và "), month, F.lit(" tháng đầu năm "), year)
-    rows = S.table(spark, sf_dir, "orders").filter(F.month("o_orderdate") > 1)
-    found = rows.select("o_orderkey", P.classify_report(F.when(c("o_orderkey") % 2 == 0, single).otherwise(longer)).alias("p"))
-    return found.select("o_orderkey", "p.sub_category", "p.report_year", "p.report_month", "p.period_start_date", "p.period_end_date")
-
-
-@query("SELECT o_orderkey, 'monthly_single_month' AS sub_category, CAST(2000 + o_orderkey % 26 AS INTEGER) AS report_year, CAST(1 AS INTEGER) AS report_month, CAST(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), 1, 1) AS DATE) AS period_start_date, CAST(make_date(CAST(2000 + o_orderkey % 26 AS BIGINT), 1, 31) AS DATE) AS period_end_date FROM orders WHERE month(o_orderdate) = 1")
-def classify_report_january(spark, sf_dir):
-    """The orders that classify_report leaves out; a title of January and one month covers a single month."""
-    year = (2000 + c("o_orderkey") % 26).cast("string")
-    single = F.concat(F.lit("Báo cáo tình hình kinh tế tháng 1 năm "), year)
-    longer = F.concat(F.lit("Báo cáo tình hình kinh tế tháng 1 và 1 tháng đầu năm "), year)
-    rows = S.table(spark, sf_dir, "orders").filter(F.month("o_orderdate") == 1)
-    found = rows.select("o_orderkey", P.classify_report(F.when(c("o_orderkey") % 2 == 0, single).otherwise(longer)).alias("p"))
+    found = S.table(spark, sf_dir, "orders").select("o_orderkey", P.classify_report(F.when(c("o_orderkey") % 2 == 0, single).otherwise(longer)).alias("p"))
     return found.select("o_orderkey", "p.sub_category", "p.report_year", "p.report_month", "p.period_start_date", "p.period_end_date")
 
 
@@ -750,3 +731,6 @@ def dimension_routing(spark, sf_dir):
     rows = S.observations(spark, sf_dir).select(c("indicator_name_raw").alias("label"), F.element_at(strategies, (c("part_key") % 6 + 1).cast("int")).alias("strategy")).distinct()
     nothing = F.lit(None).cast("string")
     return rows.withColumns(G.route(c("strategy"), c("label"), F.lit("title"), nothing, c("label"))).select("strategy", "label", "geography_raw", "sector_raw", "product_raw")
+
+
+from . import queries_cases, queries_reports  # noqa: E402, F401  they register further queries
