@@ -24,7 +24,7 @@ from .common import by_batch, cut, text_bytes
 from .components import connected_components
 from .simhash import keep_smallest, links, majority, shingle_hashes
 
-WORDS = 8  # 64-bit words of a set's bitmap
+WORDS = 16  # 64-bit words of a set's bitmap
 BROADCAST_ROWS = 200_000  # of 8 to 24 bytes; how a side is joined, not which
 KEPT_SETS = 256  # sets that a task remembers while it settles pairs
 
@@ -43,10 +43,13 @@ def set_digest(own: np.ndarray) -> int:
 
 
 def bitmap(own: np.ndarray) -> np.ndarray:
-    """WORDS 64-bit words; the bits that differ between two sets are no more than the elements that do."""
-    bits = np.zeros(64 * WORDS, bool)
-    bits[((own * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(64 * WORDS)] = True
-    return np.packbits(bits).view(np.uint64)
+    """WORDS 64-bit words: whether an odd number of elements falls into each of as many buckets.
+
+    What two sets share cancels, so the bits that differ are no more than the elements that do.
+    """
+    bucket = (own * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
+    odd = np.bincount((bucket % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
 
 
 def most_difference(n_u, n_v, least: float):

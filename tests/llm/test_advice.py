@@ -68,6 +68,16 @@ def test_components_in_small_cells_equal_all_pairs(spark):
     assert similar.similar_components(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_bitmaps_never_differ_in_more_bits_than_the_sets_do():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 50, 500, 5000):
+        shared = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        for extra in (0, 1, 40, 400):
+            a, b = (np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, extra, dtype=np.uint64)])) for _ in range(2))
+            differ = int(np.bitwise_count(similar.bitmap(a) ^ similar.bitmap(b)).sum())
+            assert differ <= len(np.setxor1d(a, b)) and (differ > 0) == (extra > 0)
+
+
 # --- toxicity --------------------------------------------------------------------------------------
 
 
