@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_of_id, slices, text_bytes
 
-BLOCK = 256  # characters read by one lane at a time; phrases run across its end
+BLOCK = 1024  # characters read by one lane at a time; phrases run across its end
 UNKNOWN = "und"
 BUCKETS = 1024  # the sample takes one document of each hash bucket of a language
 
@@ -72,41 +72,50 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 
 
 class Moves:
-    """(state, code) -> state in a hash table of arrays, so its size follows the moves that exist, whatever the alphabet."""
-
-    MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, int(2 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
-        slot, left = self._slots(keys), np.arange(len(keys))
-        while len(left):
-            at = slot[left]
-            free = self.keys[at] < 0
-            first = np.zeros(len(left), bool)
-            first[np.unique(at, return_index=True)[1]] = True
-            put = free & first
-            self.keys[at[put]], self.values[at[put]] = keys[left[put]], values[left[put]]
-            left = left[~put]
-            slot[left] = (slot[left] + 1) & self.mask
-
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * self.MULTIPLIER) >> self.shift).astype(np.int64)
-
-    def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """The value of each key, -1 where there is none."""
-        slot = self._slots(keys)
-        held = self.keys[slot]
-        out = self.values[slot]
-        lost = np.flatnonzero((held != keys) & (held >= 0))
-        out[held != keys] = -1
-        while len(lost):
-            slot[lost] = (slot[lost] + 1) & self.mask
-            held = self.keys[slot[lost]]
-            hit = held == keys[lost]
-            out[lost[hit]] = self.values[slot[lost[hit]]]
-            lost = lost[~hit & (held >= 0)]
+    """(state, code) -> state for sparse automata: rows of one array, laid over each other so that no two moves share a place.
+
+    A state's moves stand at its base plus their codes, marked with the state that owns them. States
+    with several moves are laid first, at the first base from a moving start that fits; those with
+    one take the places that are left. So the size follows the moves that exist, whatever the alphabet.
+    """
+
+    def __init__(self, step: list[dict[int, int]], size: int, tries: int = 1):
+        several = sorted((s for s, m in enumerate(step) if len(m) > 1), key=lambda s: -len(step[s]))
+        total = sum(map(len, step))
+        room = 2 * total + 4 * size
+        used, self.base = np.zeros(room, bool), np.zeros(len(step), np.int64)
+        owner, to = np.full(room, -1, np.int32), np.full(room, -1, np.int32)
+        start = size
+        for s in several:
+            codes = np.fromiter(step[s], np.int64, len(step[s]))
+            at = start
+            while used[at + codes].any():
+                at += 1
+                if at - start > tries:
+                    start = at = at + 1
+                if at + size >= len(used):
+                    used, owner, to = (np.concatenate([x, np.full(len(x), fill, x.dtype)]) for x, fill in ((used, False), (owner, -1), (to, -1)))
+            used[at + codes] = True
+            self.base[s] = at
+            owner[at + codes], to[at + codes] = s, np.fromiter(step[s].values(), np.int64, len(codes))
+        single = np.array([(s, *next(iter(m.items()))) for s, m in enumerate(step) if len(m) == 1], np.int64).reshape(-1, 3)
+        free = np.flatnonzero(~used[size:]) + size
+        if len(free) < len(single):
+            grown = len(used) + len(single)
+            free = np.concatenate([free, np.arange(len(used), grown)])
+            owner, to = (np.concatenate([x, np.full(len(single), -1, np.int32)]) for x in (owner, to))
+        free = free[: len(single)]
+        self.base[single[:, 0]] = free - single[:, 1]
+        owner[free], to[free] = single[:, 0], single[:, 2]
+        last = int(np.flatnonzero(owner >= 0).max(initial=0)) + size + 1
+        self.owner, self.to = (np.concatenate([x, np.full(size + 1, -1, np.int32)])[: last + 1] for x in (owner, to))
+        self.base = np.minimum(self.base, last - size).astype(np.int32)
+
+    def __call__(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Where the moves lead, -1 where there is none."""
+        at = self.base.take(state) + code
+        out = self.to.take(at)
+        out[self.owner.take(at) != state] = -1
         return out
 
 
@@ -116,23 +125,21 @@ class CrossParser:
 
     languages: list[str]
     letters: str
-    keys: np.ndarray
-    values: np.ndarray
+    moves: Moves
     roots: np.ndarray
     rates: np.ndarray
 
     def __post_init__(self) -> None:
         self.alphabet = Alphabet(self.letters)
-        self.moves = Moves(self.keys, self.values)
-        size = self.alphabet.size
-        self.restart = self.moves((self.roots[:, None] * size + np.arange(size)).ravel()).reshape(len(self.roots), size)
+        size, k = self.alphabet.size, len(self.roots)
+        self.restart = self.moves(np.repeat(self.roots, size), np.tile(np.arange(size), k)).reshape(k, size)
 
     def _walk(self, state: np.ndarray, lang: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Next states, and whether a phrase ended before c."""
-        to = self.moves(state * self.alphabet.size + c)
+        to = self.moves(state, c)
         ended = to < 0
         to[ended] = self.restart[lang[ended], c[ended]]
-        return to.astype(np.int64), ended
+        return to, ended
 
     def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
         """(texts x languages) counts of longest-match phrases of whole texts.
@@ -157,7 +164,7 @@ class CrossParser:
         lanes = np.ascontiguousarray(lanes[order].T)
         owner, within, lengths = owner[order], within[order], lengths[order]
         active = np.searchsorted(-lengths, -np.arange(1, BLOCK + 1), side="right")
-        state = np.repeat(self.roots.astype(np.int64)[:, None], n, axis=1)
+        state = np.repeat(self.roots.astype(np.int32)[:, None], n, axis=1)
         begins = np.zeros((BLOCK, k, n), bool)
         language = np.arange(k)[:, None]
         for i in range(int(lengths[0])):
@@ -253,16 +260,12 @@ def fit_language_parser(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     share = most_characters // len(languages)
     build = {k: " ".join(p for i, p in enumerate(sample[k]) if i % 4 != 3 or len(sample[k]) < 4)[:share] for k in languages}
     letters = "".join(sorted(c for c in set("".join(build.values()).lower()) if c.isalpha()))
-    alphabet, keys, values, roots, total = Alphabet(letters), [], [], [], 0
+    alphabet, steps, roots = Alphabet(letters), [], []
     for k in languages:
-        step = suffix_automaton([*alphabet.codes(build[k]).tolist(), *range(alphabet.size)])  # every code is a phrase at least
-        sizes = np.fromiter(map(len, step), np.int64, len(step))
-        state = np.repeat(np.arange(total, total + len(step)), sizes)
-        keys.append(state * alphabet.size + np.fromiter((c for m in step for c in m), np.int64, int(sizes.sum())))
-        values.append(np.fromiter((to for m in step for to in m.values()), np.int32, int(sizes.sum())) + np.int32(total))
-        roots.append(total)
-        total += len(step)
-    parser = CrossParser(languages, letters, np.concatenate(keys), np.concatenate(values), np.array(roots, np.int64), np.ones(len(languages)))
+        roots.append(len(steps))
+        first = len(steps)  # every code is a phrase at least
+        steps += [{c: to + first for c, to in m.items()} for m in suffix_automaton([*alphabet.codes(build[k]).tolist(), *range(alphabet.size)])]
+    parser = CrossParser(languages, letters, Moves(steps, alphabet.size), np.array(roots, np.int64), np.ones(len(languages)))
     for i, k in enumerate(languages):
         held = [alphabet.codes(p) for j, p in enumerate(sample[k]) if j % 4 == 3 or len(sample[k]) < 4]
         size = sum(map(len, held))
@@ -279,7 +282,7 @@ def predict_languages(docs: DataFrame, parser: CrossParser | None, id_col: str =
     tie, which goes to the first language by name). One narrow pass; the model has a bounded size.
     """
     spark: SparkSession = docs.sparkSession
-    model = spark.sparkContext.broadcast(parser and (parser.languages, parser.letters, parser.keys, parser.values, parser.roots, parser.rates))
+    model = spark.sparkContext.broadcast(parser and (parser.languages, parser.letters, parser.moves, parser.roots, parser.rates))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = CrossParser(*model.value) if model.value else None
