@@ -27,6 +27,12 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="gridloom-checkpoint-")
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Make checkpoint() usable."""
     if spark.sparkContext.getCheckpointDir() is None:

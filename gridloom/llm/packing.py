@@ -145,7 +145,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     shuffled, memory holds the open windows only, and a rerun of a lost task gives the same pieces
     because it reads the same rows. A document is the ids of its text (null: empty) and end_id. All
     windows are full: their sizes are the tiers and, for the last few tokens of a task, smaller
-    powers of two. `tier` is a sequence's size and `step_group` its group of step_tokens tokens.
+    powers of two. `tier` is a sequence's size and `step_group` its group of step_tokens tokens;
+    windows are dealt to the first open group with room, so all groups of a task but its last few
+    hold step_tokens exactly. sequence_id and step_group begin with the number of the input
+    partition: the same splits give the same numbers, other splits give other ones.
     Repeated rows are packed as often as they occur, null ids are kept, an empty table gives no
     pieces, and extra columns are not read.
     """

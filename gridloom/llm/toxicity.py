@@ -294,8 +294,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     The lexicon is counted over all labelled rows; the logistic model is fitted on at most most_rows
     of them (one of each hash bucket of ids, one row of docs for an id). Labels that name an id more
-    than once count as their smallest. At most most_terms
-    terms are kept: those with the largest log-likelihood ratio, of at least least_evidence, in least_docs toxic
+    than once count as their smallest. Terms are words of 3 to 30 characters and beginnings of 4 to 7.
+    At most most_terms terms are kept: those with the largest log-likelihood ratio, of at least least_evidence, in least_docs toxic
     documents with different words around and with odds of least_odds or more. Tokens of clean documents that are only near a term are kept as
     benign. Without labels nothing is known and every score is zero.
     """
@@ -345,8 +345,8 @@ def _features(rows: DataFrame, scorer: Scorer) -> DataFrame:
 def score_toxicity(docs: DataFrame, scorer: Scorer, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of docs with _score (0 to 1) and _predicted (1 from the threshold on); whole texts are read.
 
-    Null and empty texts have no hits and get the model's lowest evidence. Nothing is shuffled; the
-    scorer has a bounded size.
+    Null and empty texts have no hits and get the model's lowest evidence. Columns of docs named
+    _score or _predicted are replaced. Nothing is shuffled; the scorer has a bounded size.
     """
     model = docs.sparkSession.sparkContext.broadcast(scorer.parts())
 
@@ -363,7 +363,8 @@ def score_toxicity(docs: DataFrame, scorer: Scorer, threshold: float = 0.3, id_c
 def classify_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of docs with _held_out, _score, _predicted: learn outside one fold of ids, score all rows.
 
-    Repeated rows are scored as often as they occur; an empty table gives no rows.
+    Repeated rows are scored as often as they occur; an empty table gives no rows. Columns of docs
+    with the three names are replaced.
     """
     fit_on = labels.filter(crc_of_id(F.col(id_col)) % folds != held)
     scorer = fit_toxicity(docs, fit_on, id_col, text_col)

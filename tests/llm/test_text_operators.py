@@ -192,6 +192,65 @@ def test_toxicity_is_learned_and_survives_misspelling(spark):
     assert all(0 <= r._score <= 1 for r in scored)
 
 
+def plain_find(token, words, stems, benign):
+    """(weight, edits) of the best term in a token, by edit distances to every word."""
+    def match(t):
+        exact = [(0, -w) for s, w in stems.items() if t.startswith(s)]
+        near = [(d, -weight) for w, weight in words.items() if (d := distance(w, t)) <= toxicity.edits_allowed(w)]
+        if exact and not any(d == 0 for d, _ in near):
+            return -min(w for _, w in exact), 0
+        best = min(near, default=None)
+        return best and (-best[1], best[0])
+
+    plain = token.strip(toxicity.EDGES)
+    hit = match(plain) if plain else None
+    if hit is None and not plain.isalnum():
+        inner = [h for p in "".join(c if c.isalnum() else " " for c in plain).split() if (h := match(p)) and not h[1]]
+        hit = max(inner, default=None)
+    return None if hit and hit[1] and plain in benign else hit
+
+
+def plain_features(text, words, stems, benign):
+    tokens = text.lower().split()
+    hits = [(i, *h) for i, t in enumerate(tokens) if (h := plain_find(t, words, stems, benign))]
+    if not hits:
+        return [0.0] * 6
+    own, said, fuzzy = [], 0.0, 0.0
+    for i, weight, edits in hits:
+        weight *= 0.5**edits
+        before, behind, at = tokens[max(0, i - 8) : i], tokens[i + 1 : i + 9], tokens[i]
+        opened = sum(c in toxicity.QUOTES for t in before for c in t) + (at[0] in toxicity.QUOTES)
+        closed = sum(c in toxicity.QUOTES for t in behind for c in t) + (at.rstrip(".,;:!?")[-1] in toxicity.QUOTES)
+        if (opened % 2 and closed) or any(t.strip(toxicity.EDGES) in toxicity.REPORTING for t in before[-3:]):
+            said += weight
+        else:
+            own.append((i, weight))
+            fuzzy += weight if edits else 0
+    total = sum(w for _, w in own)
+    window = max((sum(w for j, w in own if i - 16 <= j <= i) for i, _ in own), default=0.0)
+    return [np.log1p(total), min(len(own), 6) / 2, np.log1p(window), np.log1p(said), np.log1p(fuzzy), np.log1p(100 * total / max(20, len(tokens)))]
+
+
+def test_scores_equal_a_plain_version(spark):
+    rng = random.Random(17)
+    words = {"".join(rng.choice("abcdefgh") for _ in range(rng.randrange(4, 12))): rng.uniform(3, 6) for _ in range(40)}
+    stems, benign = {w[:4]: 4.0 for w in list(words)[:4]}, frozenset([list(words)[9][:-1]])
+    model = np.array([1.5, 0.4, 0.7, -0.5, 0.2, 0.3]), -2.0
+    filler = ["plain", "text", "said", '"', "here,", "wrote", "“", "”", "a-b", "x."] + ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)]
+
+    def spelled(w):
+        at = rng.randrange(len(w) - 1)
+        return rng.choice([w, w, w[:at] + w[at + 1 :], w[:at] + "z" + w[at:], w[:at] + w[at + 1] + w[at] + w[at + 2 :], f'"{w}"', f"({w})", f"x-{w}!", w.upper() + "s"])
+
+    texts = [" ".join(spelled(rng.choice(list(words))) if rng.random() < 0.15 else rng.choice(filler) for _ in range(rng.choice([1, 5, 40, 200]))) for _ in range(120)] + [None, "", "   "]
+    scorer = toxicity.Scorer(words, stems, benign, model)
+    got = toxicity.score_toxicity(docs(spark, texts), scorer).collect()
+    for r in got:
+        z = np.array(plain_features(texts[r.doc_id] or "", words, stems, benign)) @ model[0] + model[1]
+        assert r._score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-12), texts[r.doc_id]
+        assert r._predicted == int(r._score >= 0.3)
+
+
 def test_quoted_terms_weigh_less():
     scorer = toxicity.Scorer({"dumbhead": 5.0, "filthmonger": 5.0}, {})
     said = scorer.features('they wrote: "you dumbhead and filthmonger" in the letter')
