@@ -6,13 +6,12 @@ as the next stage's docs. All but the last return the columns of `documents`.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import read_table
+from gridloom.llm.common import delete_folder, read_table, shared_folder
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.queries import vocabulary
 from gridloom.llm.secrets import redact_secrets
@@ -63,14 +62,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared checkpoint folder and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gridloom-corpus-")
-    root = f"{shared}/corpus-{uuid.uuid4().hex}"
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over documents, each written to the shared checkpoint folder and read again.
+
+    A stage's table is deleted when the next one stands; the last is read by the result.
+    """
+    root = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         result = stage(spark, docs, sf_dir)
         if i + 1 == len(STAGES):
             return result
-        result.write.parquet(f"{root}/{i}-{name}")
-        docs = spark.read.parquet(f"{root}/{i}-{name}")
+        path = f"{root}/{i}-{name}"
+        result.write.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
