@@ -292,11 +292,6 @@ def year_gaps_with_source(spark, sf_dir):
     return results.filter("key = 'year_gaps_with_source'").select("indicator_domain", "value")
 
 
-@query()
-def check_suite_all(spark, sf_dir):
-    return K.run_checks(curated(spark, sf_dir))
-
-
 @query("SELECT o_orderpriority, CAST(max(year(o_orderdate)) - min(year(o_orderdate)) + 1 - count(DISTINCT year(o_orderdate)) AS BIGINT) AS gaps, count(DISTINCT year(o_orderdate)) AS years FROM orders GROUP BY 1")
 def year_gaps(spark, sf_dir):
     return R.year_gaps(S.table(spark, sf_dir, "orders"), "o_orderpriority", F.year("o_orderdate"))
@@ -733,4 +728,4 @@ def dimension_routing(spark, sf_dir):
     return rows.withColumns(G.route(c("strategy"), c("label"), F.lit("title"), nothing, c("label"))).select("strategy", "label", "geography_raw", "sector_raw", "product_raw")
 
 
-from . import queries_cases, queries_reports  # noqa: E402, F401  they register further queries
+from . import queries_cases, queries_reports, queries_suite  # noqa: E402, F401  they register further queries

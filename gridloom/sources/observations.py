@@ -30,7 +30,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation per order line, with duplicates of ids and seeded gaps."""
     c = F.col
     lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    places = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation")), c("s_nationkey") == c("n_nationkey")).select("s_suppkey", "n_name")
+    places = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), c("s_nationkey") == c("n_nationkey")).select("s_suppkey", "n_name")
     joined = lines.join(parts, c("l_partkey") == c("p_partkey")).join(places, c("l_suppkey") == c("s_suppkey"))
     order, part, supplier, line, shipped = c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("l_linenumber"), c("l_shipdate")
     two = lambda x: F.lpad(x.cast("string"), 2, "0")

@@ -1,3 +1,5 @@
+import os
+import shutil
 import subprocess
 import sys
 import textwrap
@@ -60,3 +62,23 @@ def test_everything_else_works_without_the_optional_parts(tmp_path):
         assert set(e.oracle_sql()) <= set(e.queries())
     """
     subprocess.run([sys.executable, "-c", textwrap.dedent(code)], cwd=ROOT, check=True, timeout=120)
+
+
+def test_a_copy_without_the_optional_folders_runs(tmp_path):
+    """The folders deleted, the rest imports, lists its queries and answers one."""
+    for part in ("gridloom", "__spark_entry__.py"):
+        source = ROOT / part
+        if source.is_dir():
+            shutil.copytree(source, tmp_path / part, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        else:
+            shutil.copy(source, tmp_path / part)
+    code = f"""
+        from pyspark.sql import SparkSession
+        import __spark_entry__ as e
+        assert len(e.queries()) > 50 and not [q for q in e.queries() if q.startswith("op") or q == "pipeline"]
+        spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+        assert e.queries()["upsert_full"](spark, {DIR!r}).count() > 0
+        assert e.queries()["month_from_title"](spark, {DIR!r}).count() > 0
+    """
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYTHONPATH": str(tmp_path)}
+    subprocess.run([sys.executable, "-c", textwrap.dedent(code)], cwd=tmp_path, env=env, check=True, timeout=240)

@@ -46,6 +46,18 @@ def test_updates_and_deletes(spark):
     assert (left.count(), rows(right)) == (2, [(2, "b", None)])
 
 
+def test_repair_of_misfiled_rows(spark):
+    from gridloom.plans import repair
+
+    names = "indicator_observation_id string, attachment_id string, source_sheet_name string"
+    investment = spark.createDataFrame([("a", "f1", "14.XK"), ("b", "f1", " 15_NK "), ("c", "f2", "12.FDI"), ("d", "f2", None)], names)
+    trade = spark.createDataFrame([("b", "f1", "15_NK")], names)
+    left, right = repair.move_trade_rows(investment, trade)
+    assert sorted(r[0] for r in left.collect()) == ["c", "d"] and sorted(r[0] for r in right.collect()) == ["a", "b"]
+    log = spark.createDataFrame([("f1", 0, "failed"), ("f3", 9, "success")], "attachment_id string, extraction_rows_inserted long, extraction_status string")
+    assert rows(repair.repair_log(log, right)) == [("f1", 2, "success"), ("f3", 0, "empty")]
+
+
 def test_align(spark):
     df = spark.createDataFrame([("1", 5)], "report_year string, other int")
     out = D.align(df, OBSERVATION)
