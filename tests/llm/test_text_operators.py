@@ -183,7 +183,7 @@ def toxic_corpus(spark):
 def test_toxicity_is_learned_and_survives_misspelling(spark):
     texts, labels = toxic_corpus(spark)
     extra = ["plain words only here", "what a dumbhaed and filthmongr you are, filthm0nger", "", None]
-    scored = toxicity.classify_toxicity(clash(docs(spark, texts + extra)).drop("score"), labels).select("doc_id", "_held_out", "_score", "_predicted").collect()
+    scored = toxicity.classify_toxicity(clash(docs(spark, texts + extra)), labels).select("doc_id", "_held_out", "_score", "_predicted").collect()
     got = {r.doc_id: r for r in scored}
     held = [i for i in range(1200) if got[i]._held_out]
     assert 200 < len(held) < 400
