@@ -196,7 +196,7 @@ def _first_balls(ball: int, data: list, centres: dict[int, np.ndarray], least_ro
     return taken
 
 
-def exact_top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", data_rows: int = 2048, query_rows: int = 512, ball_rows: int = 2048, most_balls: int = 1024, sample_rows: int = 4096) -> DataFrame:
+def exact_top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, id_col: str = "vec_id", vector_col: str = "embedding", data_rows: int = 2048, query_rows: int = 512, ball_rows: int = 128, most_balls: int = 1024, sample_rows: int = 4096) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k largest integer inner products with all other rows.
 
     `queries` says which rows are queries. Queries and rows are indexed together: the top of a cover
