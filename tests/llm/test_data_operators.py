@@ -535,10 +535,22 @@ def test_pipeline_stages(spark):
 
 
 def test_pipeline_and_queries_run_on_the_tables(spark):
-    assert corpus_pipeline.run(spark, DIR).count() > 0
+    table = lambda name: spark.read.parquet(f"{DIR}/{name}.parquet")
+    ids = sorted(r.doc_id for r in table("documents").select("doc_id").collect())
+    pieces = corpus_pipeline.run(spark, DIR).collect()
+    assert 0 < len({r.doc_id for r in pieces}) <= len(ids) and {r.doc_id for r in pieces} <= set(ids)
+    vectors_ = table("embeddings").count()
+    asked = {"op6_dual_cover_tree_top_k": (50, 5), "op9_learned_partitions_ann": (20, 20)}
     for name, fn in queries().items():
         rows = fn(spark, DIR)
-        assert rows.count() >= 0 and len(set(rows.columns)) == len(rows.columns), name
+        if name in asked:
+            every, k = asked[name]
+            wanted = table("embeddings").filter(F.col("vec_id") % every == 0).count()
+            assert rows.count() == wanted * min(k, vectors_ - 1), name
+        elif name == "op10_hierarchical_packing":
+            assert {r.doc_id for r in rows.select("doc_id").distinct().collect()} == set(ids)
+        else:
+            assert sorted(r.doc_id for r in rows.select("doc_id").collect()) == ids, name
 
 
 
