@@ -26,6 +26,7 @@ from .simhash import keep_smallest, links, majority, shingle_hashes
 
 WORDS = 16  # 64-bit words of a set's bitmap
 BROADCAST_ROWS = 200_000  # of 8 to 24 bytes; how a side is joined, not which
+BROADCAST_SHINGLES = 4_000_000  # of 8 bytes; whether unshared shingles are dropped before the join or by it
 KEPT_SETS = 256  # sets that a task remembers while it settles pairs
 
 
@@ -112,10 +113,26 @@ def _digests(docs: DataFrame, id_col: str, text_col: str, width: int, least: flo
     return rows.mapInArrow(by_batch(run), f"doc_id long, digest long, node long, n int, fp long, bits struct<{', '.join(b + ': long' for b in BITS)}>, prefix array<long>")
 
 
+def _with(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, h of the prefix shingles that are wanted (h), looked up in a broadcast array."""
+    known = rows.sparkSession.sparkContext.broadcast(np.sort(wanted.select("h").toArrow().column("h").to_numpy()))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        late, prefix = known.value, batch.column(1)
+        h = prefix.flatten().to_numpy(zero_copy_only=False)
+        node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), np.diff(prefix.offsets.to_numpy()))
+        kept = late[np.minimum(np.searchsorted(late, h), len(late) - 1)] == h if len(late) else np.zeros(len(h), bool)
+        return pa.RecordBatch.from_arrays([pa.array(node[kept]), pa.array(h[kept])], ["node", "h"])
+
+    return rows.select("node", "prefix").mapInArrow(by_batch(run), "node long, h long")
+
+
 def _cells(rows: DataFrame) -> DataFrame:
     """h, node, hub of every prefix shingle that several different sets have; the hub is the smallest of them."""
     found = rows.select("node", F.explode("prefix").alias("h"))
     shared = cut(found.groupBy("h").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).filter("hub < _last").select("h", "hub"))
+    if shared.count() <= BROADCAST_SHINGLES:  # what is not shared need not move again
+        found = _with(rows, shared)
     return cut(found.join(_small(shared), "h").groupBy("h", "node").agg(F.first("hub").alias("hub")))
 
 
