@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_batch, cut, text_bytes
@@ -43,16 +43,25 @@ def set_digest(own: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(own.tobytes())
 
 
-def bitmap(own: np.ndarray) -> np.ndarray:
-    """WORDS 64-bit words: whether an odd number of elements falls into each of as many buckets.
+def bitmap(own: np.ndarray, words: int = WORDS) -> np.ndarray:
+    """64-bit words: whether an odd number of elements falls into each of as many buckets as they have bits.
 
-    What two sets share cancels, so the bits that differ are no more than the elements that do.
+    What two sets share cancels, so the bits that differ are no more than the elements that do. The
+    second half of a bitmap, folded onto the first by XOR, is the bitmap of half as many words.
     """
     bucket = (own * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)
-    odd = np.bincount((bucket % np.uint64(64 * WORDS)).astype(np.int64), minlength=64 * WORDS) & 1
+    odd = np.bincount((bucket % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(odd.astype(bool)).view(np.uint64)
 
 
+def wide_words(n: int) -> int:
+    """Words of a bitmap with a bit for each element: WORDS, doubled as often as needed."""
+    words = WORDS
+    while 64 * words < n:
+        words *= 2
+    return words
+
+
 def most_difference(n_u, n_v, least: float):
     """The elements in which sets of these sizes may differ."""
     return (1 - least) / (1 + least) * (n_u + n_v) + 1e-6
@@ -90,11 +99,11 @@ BITS = [f"b{i}" for i in range(WORDS)]
 
 
 def _digests(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, common: np.ndarray) -> DataFrame:
-    """doc_id, digest (of the text), node (digest of the shingle set), n (its size), fp (SimHash), bits, prefix (the shingles by which it is found)."""
+    """doc_id, digest (of the text), node (digest of the shingle set), n (its size), fp (SimHash), bits and wide (bitmaps of the set), prefix (the shingles by which it is found)."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nodes, sizes, fps, bits, prefixes, late = [], [], [], [], [], shared.value
+        nodes, sizes, fps, bits, wide, prefixes, late = [], [], [], [], [], [], shared.value
         for body in batch.column(2).to_pylist():
             hashes = shingle_hashes(body, width)
             own = np.unique(hashes)
@@ -104,13 +113,14 @@ def _digests(docs: DataFrame, id_col: str, text_col: str, width: int, least: flo
             sizes.append(len(own))
             fps.append(majority(hashes))
             bits.append(bitmap(own))
+            wide.append(bitmap(own, wide_words(len(own))))
             prefixes.append(np.concatenate([own[~is_late], own[is_late]])[: prefix_length(len(own), least)])
         words = pa.StructArray.from_arrays([pa.array(c) for c in np.array(bits).view(np.int64).T], BITS)
         signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), signed(nodes), pa.array(sizes, pa.int32()), signed(fps), words, _lists(prefixes)], ["doc_id", "digest", "node", "n", "fp", "bits", "prefix"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), signed(nodes), pa.array(sizes, pa.int32()), signed(fps), words, _lists(wide), _lists(prefixes)], ["doc_id", "digest", "node", "n", "fp", "bits", "wide", "prefix"])
 
     rows = _bodies(docs, id_col, text_col).select("doc_id", F.xxhash64("body").alias("digest"), "body")
-    return rows.mapInArrow(by_batch(run), f"doc_id long, digest long, node long, n int, fp long, bits struct<{', '.join(b + ': long' for b in BITS)}>, prefix array<long>")
+    return rows.mapInArrow(by_batch(run), f"doc_id long, digest long, node long, n int, fp long, bits struct<{', '.join(b + ': long' for b in BITS)}>, wide array<long>, prefix array<long>")
 
 
 def _with(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -137,12 +147,15 @@ def _cells(rows: DataFrame) -> DataFrame:
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
-    """The pairs (u, v) that set sizes and bitmaps allow."""
-    side = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("bits").alias(f"bits_{end}"))
-    differ: Column = sum((F.bit_count(F.col(f"bits_u.{b}").bitwiseXOR(F.col(f"bits_v.{b}"))) for b in BITS), F.lit(0))
+    """The pairs (u, v) that set sizes and the wide bitmaps, of a bit for each element, allow."""
+    side = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("wide").alias(f"wide_{end}"))
     fits = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * F.lit(least) - 1e-9
-    kept = pairs.join(side("u"), "u").join(side("v"), "v").filter(fits & (differ <= most_difference(F.col("n_u"), F.col("n_v"), least)))
-    return cut(kept.select("u", "v"))
+    words = F.least(F.size("wide_u"), F.size("wide_v"))
+    xor = lambda a, b: a.bitwiseXOR(b)
+    folded = lambda x: F.when(F.size(x) > words, F.zip_with(F.slice(x, 1, words), F.slice(x, words + 1, words), xor)).otherwise(F.col(x))
+    differ = F.aggregate(F.zip_with(folded("wide_u"), folded("wide_v"), xor), F.lit(0), lambda total, x: total + F.bit_count(x))
+    joined = pairs.join(side("u"), "u").join(side("v"), "v").filter(fits)
+    return cut(joined.filter(differ <= most_difference(F.col("n_u"), F.col("n_v"), least)).select("u", "v"))
 
 
 def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, cell_rows: int) -> DataFrame:
@@ -238,7 +251,7 @@ def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, t
 def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, cell_rows: int) -> DataFrame:
     """doc_id, digest, root, component_id for every row of docs."""
     rows = cut(_digests(docs, id_col, text_col, width, least, common_shingles(docs, id_col, text_col, width)), batch_rows=1000)
-    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits")))
+    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("wide").alias("wide")))
     cells = _cells(rows)
     ordered = lambda df: df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v").distinct()
     of_fp = cut(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
@@ -250,7 +263,7 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float
     edges = _settled(first, docs, nodes, id_col, text_col, width, least)
     roots = cut(nodes.select("node").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
     rest = _rest(cells, nodes, roots, least, cell_rows).join(first, ["u", "v"], "left_anti")
-    more = _settled(cut(rest), docs, nodes, id_col, text_col, width, least)
+    more = _settled(_bounded(cut(rest), nodes, least), docs, nodes, id_col, text_col, width, least)
     of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
     between = more.join(of("u"), "u").join(of("v"), "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))  # links of components
     merged = connected_components(between).select(F.col("node").alias("root"), F.col("root").alias("final"))

@@ -76,6 +76,8 @@ def test_bitmaps_never_differ_in_more_bits_than_the_sets_do():
             a, b = (np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, extra, dtype=np.uint64)])) for _ in range(2))
             differ = int(np.bitwise_count(similar.bitmap(a) ^ similar.bitmap(b)).sum())
             assert differ <= len(np.setxor1d(a, b)) and (differ > 0) == (extra > 0)
+            wide = similar.bitmap(a, 64)
+            assert (wide[:32] ^ wide[32:] == similar.bitmap(a, 32)).all() and similar.wide_words(len(a)) * 64 >= len(a)
 
 
 # --- toxicity --------------------------------------------------------------------------------------
