@@ -11,6 +11,7 @@ from .ann import nearest_in_partitions
 from .bpe import encode_documents
 from .common import read_table
 from .language import identify_languages
+from .negatives import hard_negatives
 from .packing import pack_documents
 from .secrets import KINDS, with_secrets, written
 from .sharding import shard_rows
@@ -18,6 +19,7 @@ from .simhash import near_duplicate_components
 from .substrings import dedup_substrings
 from .topk import exact_top_k
 from .toxicity import classify_toxicity
+from .whitening import whiten
 
 
 def vocabulary(name: str) -> str:
@@ -75,6 +77,15 @@ def op10_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_randomised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_rotated_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_randomness_secret_scan": op1_randomness_secret_scan,
@@ -87,6 +98,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chunk_dedup": op8_chunk_dedup,
         "op9_learned_partitions_ann": op9_learned_partitions_ann,
         "op10_hierarchical_packing": op10_hierarchical_packing,
+        "op11_randomised_whitening": op11_randomised_whitening,
+        "op13_rotated_hard_negatives": op13_rotated_hard_negatives,
     }
 
 
@@ -97,6 +110,15 @@ TOP_K_SQL = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: flo
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
 
 
+NEGATIVES_SQL = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+ p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ n AS (SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Only the exact search is an SQL query; the others are tested against plain versions of their own."""
-    return {"op6_dual_cover_tree_top_k": TOP_K_SQL}
+    """The exact searches are SQL queries; the others are tested against plain versions of their own."""
+    return {"op6_dual_cover_tree_top_k": TOP_K_SQL, "op13_rotated_hard_negatives": NEGATIVES_SQL}
