@@ -11,6 +11,7 @@ from .ann import nearest_in_partitions
 from .bpe import encode_documents
 from .common import read_table
 from .language import identify_languages
+from .lines import quality_rules
 from .negatives import hard_negatives
 from .packing import pack_documents
 from .secrets import KINDS, with_secrets, written
@@ -81,6 +82,10 @@ def op11_randomised_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_crf_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op13_rotated_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_learned_partitions_ann": op9_learned_partitions_ann,
         "op10_hierarchical_packing": op10_hierarchical_packing,
         "op11_randomised_whitening": op11_randomised_whitening,
+        "op12_crf_line_quality": op12_crf_line_quality,
         "op13_rotated_hard_negatives": op13_rotated_hard_negatives,
     }
 
