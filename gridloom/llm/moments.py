@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from .blocks import matrix
 
 ELEMENTS = 1 << 20  # of a slice of rows that is multiplied at once
+PIECE = 1 << 16  # numbers of a sum that travel together
+SLOTS = 32  # tasks that add up the arrays of a piece before the last one does
 
 
 def by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -29,11 +31,17 @@ def by_length(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def summed(rows: DataFrame, of: Callable[[np.ndarray], np.ndarray], exact: bool = False) -> dict[int, np.ndarray]:
     """Vector length -> the sum of of(matrix of rows) over all rows of that length; rows has the one column v.
 
-    Every task adds up its own rows and hands on one small array for each length; Spark adds these by
-    cell, so the driver gets as many numbers as the result has. exact: integers of up to 38 digits,
-    as an array of Python integers; else doubles.
+    Every task adds up its own rows and hands on one array for each length, in pieces of PIECE numbers;
+    the arrays of a piece are added by SLOTS tasks and then by one, so neither the driver nor a task
+    gets more than the result has. exact: integers of up to 38 digits, as an array of Python integers; else doubles.
     """
     kind = pa.decimal128(38, 0) if exact else pa.float64()
+    schema = f"size int, piece int, value array<{'decimal(38,0)' if exact else 'double'}>"
+
+    def written(totals: dict[tuple[int, int], np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for (size, piece), total in totals.items():
+            value = [Decimal(int(t)) for t in total] if exact else total
+            yield pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), pa.array([piece], pa.int32()), pa.array([value], pa.list_(kind))], ["size", "piece", "value"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -41,15 +49,23 @@ def summed(rows: DataFrame, of: Callable[[np.ndarray], np.ndarray], exact: bool
             for _, x in by_length(batch.column(0)):
                 part = of(x)
                 totals[x.shape[1]] = totals[x.shape[1]] + part if x.shape[1] in totals else part
-        for size, total in totals.items():
-            n = len(total)
-            value = pa.array([Decimal(int(t)) for t in total] if exact else total, kind)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, size, np.int32)), pa.array(np.arange(n, dtype=np.int32)), value], ["size", "cell", "value"])
+        yield from written({(size, at // PIECE): total[at : at + PIECE] for size, total in totals.items() for at in range(0, len(total), PIECE)})
 
-    parts = rows.mapInArrow(run, f"size int, cell int, value {'decimal(38,0)' if exact else 'double'}")
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                key = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                value = batch.column(2)[row].values
+                part = np.array([int(v) for v in value.to_pylist()], object) if exact else value.to_numpy(zero_copy_only=False)
+                totals[key] = totals[key] + part if key in totals else part
+        yield from written(totals)
+
+    parts = rows.mapInArrow(run, schema).withColumn("slot", F.pmod(F.spark_partition_id(), F.lit(SLOTS)))
+    parts = parts.repartition("size", "piece", "slot").select("size", "piece", "value").mapInArrow(add, schema)
     found: dict[int, list] = {}
-    for r in parts.groupBy("size", "cell").agg(F.sum("value").alias("value")).orderBy("size", "cell").collect():  # as many as the result has numbers
-        found.setdefault(r.size, []).append(int(r.value) if exact else r.value)
+    for r in parts.repartition("size", "piece").mapInArrow(add, schema).orderBy("size", "piece").collect():  # as many numbers as the result has
+        found.setdefault(r.size, []).extend(map(int, r.value) if exact else r.value)
     return {size: np.array(values, object if exact else np.float64) for size, values in found.items()}
 
 
