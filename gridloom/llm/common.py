@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,21 +44,54 @@ def use_checkpoints(spark: SparkSession) -> None:
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int | None) -> Iterator[None]:
+    """Arrow batches of at most `most` rows while an action runs."""
+    before = spark.conf.get(BATCH)
+    if most is not None:
+        spark.conf.set(BATCH, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def cut(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Write the rows to the shared checkpoint folder and go on from there.
 
     batch_rows bounds the Arrow batches of Python steps in df while they run.
     """
-    spark = df.sparkSession
-    use_checkpoints(spark)
-    if batch_rows is None:
-        return df.checkpoint(eager=True)
-    before = spark.conf.get(BATCH)
-    spark.conf.set(BATCH, str(batch_rows))
-    try:
+    use_checkpoints(df.sparkSession)
+    with arrow_rows(df.sparkSession, batch_rows):
         return df.checkpoint(eager=True)
-    finally:
-        spark.conf.set(BATCH, before)
+
+
+class Kept:
+    """Tables written to a folder of their own under the shared one, each deleted when it is no longer read.
+
+    As Parquet they are smaller than checkpoints and read by column, and their space is free again as
+    soon as drop() or close() says so.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.root = spark, f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+        self.tables: list[tuple[DataFrame, str]] = []
+
+    def keep(self, df: DataFrame, batch_rows: int | None = None) -> DataFrame:
+        path = f"{self.root}/{len(self.tables)}"
+        with arrow_rows(self.spark, batch_rows):
+            df.write.parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((kept, path))
+        return kept
+
+    def drop(self, *dfs: DataFrame) -> None:
+        for kept, path in self.tables:
+            if any(kept is df for df in dfs):
+                delete_folder(self.spark, path)
+
+    def close(self) -> None:
+        delete_folder(self.spark, self.root)
 
 
 def unused(df: DataFrame, name: str) -> str:

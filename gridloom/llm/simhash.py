@@ -179,11 +179,11 @@ def keep_smallest(docs: DataFrame, parts: DataFrame, id_col: str, text_col: str)
     """
     keys = parts.groupBy("root", "doc_id", "digest").agg(F.count("*").alias("n"))
     leads = cut(keys.groupBy("root").agg(F.min(F.struct("doc_id", "digest")).alias("lead")))
-    named = keys.join(leads, "root").withColumn("leads", F.struct("doc_id", "digest") == F.col("lead"))
-    gone = cut(named.filter("NOT leads OR n > 1").select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_digest"), "leads"))
+    own, digest, first = (unused(docs, name) for name in ("gone", "digest", "leads"))
+    named = keys.join(leads, "root").select(F.col("doc_id").alias(own), F.col("digest").alias(digest), (F.struct("doc_id", "digest") == F.col("lead")).alias(first), "n")
+    gone = cut(named.filter(~F.col(first) | (F.col("n") > 1)).drop("n"))
     small = F.broadcast if gone.count() <= BROADCAST_ROWS else lambda df: df
-    same = (docs[id_col].cast("long") == F.col("_gone")) & (F.xxhash64(text_bytes(docs[text_col])) == F.col("_digest"))
+    same = (docs[id_col].cast("long") == gone[own]) & (F.xxhash64(text_bytes(docs[text_col])) == gone[digest])
     kept = docs.join(small(gone), same, "left_anti")
-    digest = unused(docs, "digest")
-    repeated = docs.join(small(gone.filter("leads")), same, "left_semi").withColumn(digest, F.xxhash64(text_bytes(F.col(text_col))))
+    repeated = docs.join(small(gone.filter(first)), same, "left_semi").withColumn(digest, F.xxhash64(text_bytes(F.col(text_col))))
     return kept.unionByName(repeated.dropDuplicates([id_col, digest]).drop(digest))

@@ -12,7 +12,7 @@ difference of two sets from below and drops most candidates; the texts themselve
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,14 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_batch, cut, text_bytes
+from .common import Kept, by_batch, cut, text_bytes
 from .components import connected_components
 from .simhash import keep_smallest, links, majority, shingle_hashes
 
 WORDS = 16  # 64-bit words of a set's bitmap
 BROADCAST_ROWS = 200_000  # of 8 to 24 bytes; how a side is joined, not which
 BROADCAST_SHINGLES = 4_000_000  # of 8 bytes; whether unshared shingles are dropped before the join or by it
-KEPT_SETS = 256  # sets that a task remembers while it settles pairs
+PARTNERS = 64  # of a text that are compared with one copy of it
 
 
 def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
@@ -137,38 +137,81 @@ def _with(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("node", "prefix").mapInArrow(by_batch(run), "node long, h long")
 
 
-def _cells(rows: DataFrame) -> DataFrame:
+def _cells(rows: DataFrame, kept: Kept) -> DataFrame:
     """h, node, hub of every prefix shingle that several different sets have; the hub is the smallest of them."""
     found = rows.select("node", F.explode("prefix").alias("h"))
-    shared = cut(found.groupBy("h").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).filter("hub < _last").select("h", "hub"))
+    shared = kept.keep(found.groupBy("h").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).filter("hub < _last").select("h", "hub"))
     if shared.count() <= BROADCAST_SHINGLES:  # what is not shared need not move again
         found = _with(rows, shared)
-    return cut(found.join(_small(shared), "h").groupBy("h", "node").agg(F.first("hub").alias("hub")))
+    cells = kept.keep(found.join(_small(shared), "h").groupBy("h", "node").agg(F.first("hub").alias("hub")))
+    kept.drop(shared)
+    return cells
 
 
-def _bounded(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+def _side_by_side(pairs: DataFrame, bodies: DataFrame, unpack: Callable, fits: Callable) -> DataFrame:
+    """The pairs (u, v) whose bodies fit; bodies has one row (node, body) for each node in question.
+
+    Of a pair the end with more pairs is its home; the home's body goes to a task once for PARTNERS of its
+    partners, and each of these follows it, so a body moves once for a pair and not at both its ends. Tasks
+    read the sorted rows as a stream and hold two bodies at a time: unpack(node, body) of the home, then
+    fits(home, partner).
+    """
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).groupBy("node").agg(F.count("*").alias("pairs"))
+    of = lambda end: ends.select(F.col("node").alias(end), F.col("pairs").alias(f"pairs_{end}"))
+    swapped = F.col("pairs_v") > F.col("pairs_u")
+    oriented = pairs.join(of("u"), "u").join(of("v"), "v").select(
+        F.when(swapped, F.col("v")).otherwise(F.col("u")).alias("home"), F.when(swapped, F.col("u")).otherwise(F.col("v")).alias("node"), F.pmod(F.xxhash64("u", "v"), F.ceil(F.greatest("pairs_u", "pairs_v") / PARTNERS)).cast("int").alias("part")
+    )
+    homes = oriented.select("home", F.col("home").alias("node"), "part").distinct().withColumn("guest", F.lit(False))
+    dealt = homes.unionByName(oriented.withColumn("guest", F.lit(True))).join(bodies, "node").select("home", "part", "guest", "node", "body")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, own = None, None
+        for batch in batches:
+            home, part, guest, node = (c.to_pylist() for c in batch.columns[:4])
+            found: list[tuple[int, int]] = []
+            for row, key in enumerate(zip(home, part)):
+                if not guest[row]:
+                    group, own = key, unpack(node[row], batch.column(4)[row])
+                elif key == group and fits(own, unpack(node[row], batch.column(4)[row])):
+                    found.append((min(home[row], node[row]), max(home[row], node[row])))
+            if found:
+                u, v = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return dealt.repartition("home", "part").sortWithinPartitions("home", "part", "guest").mapInArrow(run, "u long, v long")
+
+
+def _bounded(pairs: DataFrame, nodes: DataFrame, least: float, kept: Kept) -> DataFrame:
     """The pairs (u, v) that set sizes and the wide bitmaps, of a bit for each element, allow."""
-    side = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("wide").alias(f"wide_{end}"))
-    fits = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * F.lit(least) - 1e-9
-    words = F.least(F.size("wide_u"), F.size("wide_v"))
-    xor = lambda a, b: a.bitwiseXOR(b)
-    folded = lambda x: F.when(F.size(x) > words, F.zip_with(F.slice(x, 1, words), F.slice(x, words + 1, words), xor)).otherwise(F.col(x))
-    differ = F.aggregate(F.zip_with(folded("wide_u"), folded("wide_v"), xor), F.lit(0), lambda total, x: total + F.bit_count(x))
-    joined = pairs.join(side("u"), "u").join(side("v"), "v").filter(fits)
-    return cut(joined.filter(differ <= most_difference(F.col("n_u"), F.col("n_v"), least)).select("u", "v"))
+    size = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"))
+    near = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * F.lit(least) - 1e-9
+    sized = kept.keep(pairs.join(size("u"), "u").join(size("v"), "v").filter(near).select("u", "v"))
 
+    def unpack(node: int, body: pa.Scalar) -> tuple[int, np.ndarray]:
+        return body["n"].as_py(), body["wide"].values.to_numpy(zero_copy_only=False).view(np.uint64)
 
-def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, cell_rows: int) -> DataFrame:
+    def fits(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> bool:
+        words = min(len(a[1]), len(b[1]))
+        x, y = (w if len(w) == words else w[:words] ^ w[words:] for _, w in (a, b))
+        return int(np.bitwise_count(x ^ y).sum()) <= most_difference(a[0], b[0], least)
+
+    found = kept.keep(_side_by_side(sized, nodes.select("node", F.struct("n", "wide").alias("body")), unpack, fits))
+    kept.drop(sized)
+    return found
+
+
+def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, cell_rows: int, kept: Kept) -> DataFrame:
     """(u, v), u < v: pairs of a cell with different roots that set sizes and bitmaps allow.
 
     A cell is dealt into chunks of about cell_rows rows, a root of cell_rows rows and more having
     chunks of its own; each pair of chunks is one group of bounded size, and chunks of one root are
     not compared, so a cell in which one root is common costs no square.
     """
-    rooted = cut(cells.select("h", "node").join(roots, "node"))
+    rooted = kept.keep(cells.select("h", "node").join(roots, "node"))
     per_root = rooted.groupBy("h", "root").agg(F.count("*").alias("rows"))
     wide = F.col("rows") >= cell_rows
-    per_cell = cut(
+    per_cell = kept.keep(
         per_root.groupBy("h")
         .agg(F.count("*").alias("roots"), F.collect_list(F.when(wide, F.struct("root", F.ceil(F.col("rows") / cell_rows).cast("int").alias("k")))).alias("large"), F.sum(F.when(~wide, F.col("rows")).otherwise(0)).alias("small"))
         .filter("roots > 1")
@@ -213,63 +256,58 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["u", "v"])
 
-    return cut(dealt.mapInArrow(run, "u long, v long").distinct())
+    found = kept.keep(dealt.mapInArrow(run, "u long, v long").distinct())
+    kept.drop(rooted, per_cell)
+    return found
 
 
-def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, least: float) -> DataFrame:
+def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, least: float, kept: Kept) -> DataFrame:
     """The pairs whose whole shingle sets have a similarity of `least` or more, from one text of each set."""
-    wanted = cut(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", F.col("least").alias("doc_id")), "node"))
-    texts = cut(_bodies(docs, id_col, text_col).join(_small(wanted), "doc_id").select("node", "body").distinct())
-    side = lambda end: texts.select(F.col("node").alias(end), F.col("body").alias(f"body_{end}"))
+    first = nodes.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("digest"))
+    wanted = kept.keep(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(first, "node"))
+    named = _bodies(docs, id_col, text_col).join(_small(wanted), "doc_id").filter(F.xxhash64("body") == F.col("digest"))
+    texts = kept.keep(named.groupBy("node").agg(F.first("body").alias("body")))  # of repeated rows one
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, np.ndarray | None] = {}
-        for batch in batches:
-            kept = []
-            for row, ends in enumerate(zip(*(c.to_pylist() for c in batch.columns[:2]))):
-                for at, end in enumerate(ends):
-                    if end not in known:
-                        if len(known) >= KEPT_SETS:
-                            known.pop(next(iter(known)))
-                        own = shingle_set(batch.column(2 + at)[row].as_py(), width)
-                        if np.uint64(set_digest(own)).astype(np.int64) != end:
-                            break  # another text under the same id
-                        known[end] = own
-                else:
-                    a, b = known.get(ends[0]), known.get(ends[1])
-                    a = shingle_set(batch.column(2)[row].as_py(), width) if a is None else a
-                    both = np.intersect1d(a, b, assume_unique=True).size
-                    kept.append(both >= least * (len(a) + len(b) - both) - 1e-9)
-                    continue
-                kept.append(False)
-            yield batch.select([0, 1]).filter(pa.array(kept))
-
-    joined = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "body_u", "body_v")
-    return cut(joined.mapInArrow(run, "u long, v long").distinct(), batch_rows=500)
+    def unpack(node: int, body: pa.Scalar) -> np.ndarray:
+        return shingle_set(body.as_py(), width)
+
+    def fits(a: np.ndarray, b: np.ndarray) -> bool:
+        both = np.intersect1d(a, b, assume_unique=True).size
+        return both >= least * (len(a) + len(b) - both) - 1e-9
+
+    found = kept.keep(_side_by_side(pairs, texts, unpack, fits), batch_rows=500)
+    kept.drop(wanted, texts)
+    return found
 
 
 def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, cell_rows: int) -> DataFrame:
     """doc_id, digest, root, component_id for every row of docs."""
-    rows = cut(_digests(docs, id_col, text_col, width, least, common_shingles(docs, id_col, text_col, width)), batch_rows=1000)
-    nodes = cut(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("wide").alias("wide")))
-    cells = _cells(rows)
+    kept = Kept(docs.sparkSession)
+    rows = kept.keep(_digests(docs, id_col, text_col, width, least, common_shingles(docs, id_col, text_col, width)), batch_rows=1000)
+    nodes = kept.keep(rows.groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("wide").alias("wide")))
+    cells = _cells(rows, kept)
     ordered = lambda df: df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v").distinct()
-    of_fp = cut(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
+    of_fp = kept.keep(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
     equal = nodes.join(of_fp, "fp").select(F.col("hub").alias("u"), F.col("node").alias("v"))
     hub = lambda end: of_fp.select(F.col("fp").alias(f"fp_{end}"), F.col("hub").alias(end))
     near = links(of_fp.select("fp"), cell_rows=cell_rows).toDF("fp_u", "fp_v").join(hub("u"), "fp_u").join(hub("v"), "fp_v").select("u", "v")
     stars = cells.select(F.col("hub").alias("u"), F.col("node").alias("v"))
-    first = _bounded(ordered(stars.unionByName(equal).unionByName(near)), nodes, least)
-    edges = _settled(first, docs, nodes, id_col, text_col, width, least)
-    roots = cut(nodes.select("node").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
-    rest = _rest(cells, nodes, roots, least, cell_rows).join(first, ["u", "v"], "left_anti")
-    more = _settled(_bounded(cut(rest), nodes, least), docs, nodes, id_col, text_col, width, least)
+    first = _bounded(ordered(stars.unionByName(equal).unionByName(near)), nodes, least, kept)
+    edges = _settled(first, docs, nodes, id_col, text_col, width, least, kept)
+    roots = kept.keep(nodes.select("node").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
+    rest = kept.keep(_rest(cells, nodes, roots, least, cell_rows, kept).join(first, ["u", "v"], "left_anti"))
+    kept.drop(cells, first, edges)
+    bounded = _bounded(rest, nodes, least, kept)
+    kept.drop(rest)
+    more = _settled(bounded, docs, nodes, id_col, text_col, width, least, kept)
     of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
     between = more.join(of("u"), "u").join(of("v"), "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))  # links of components
     merged = connected_components(between).select(F.col("node").alias("root"), F.col("root").alias("final"))
-    joined = cut(nodes.select("node", "least").join(roots, "node").join(merged, "root", "left").select("node", "least", F.coalesce("final", "root").alias("root")))
-    smallest = cut(joined.groupBy("root").agg(F.min("least").alias("component_id")))
-    return rows.select("doc_id", "digest", "node").join(joined.join(smallest, "root").select("node", "root", "component_id"), "node").select("doc_id", "digest", "root", "component_id")
+    joined = kept.keep(nodes.select("node", F.col("first.doc_id").alias("least")).join(roots, "node").join(merged, "root", "left").select("node", "least", F.coalesce("final", "root").alias("root")))
+    smallest = kept.keep(joined.groupBy("root").agg(F.min("least").alias("component_id")))
+    named = cut(rows.select("doc_id", "digest", "node").join(joined.join(smallest, "root").select("node", "root", "component_id"), "node").select("doc_id", "digest", "root", "component_id"))
+    kept.close()
+    return named
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, least: float = 0.8, cell_rows: int = 2048) -> DataFrame:

@@ -131,10 +131,10 @@ BLANKS = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x2
 RESULT = pa.struct([("text", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("firsts", pa.list_(pa.int64()))])
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 24) -> DataFrame:
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 24, spans_col: str = "removed_spans", firsts_col: str = "first_doc_ids") -> DataFrame:
     """docs with passages removed that documents with smaller ids hold too.
 
-    Added columns: removed_spans (start, end in characters of the old text) and first_doc_ids (the
+    Added columns: spans_col (start, end in characters of the old text) and firsts_col (the
     first documents that hold what was removed); columns of docs with these names are replaced. A run of
     repeated pairs of neighbouring chunks goes when it holds min_words whole words. Each pair stands
     as it is in one document with a smaller id; a longer run may be made of overlapping pairs of
@@ -145,7 +145,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows without an id stay whole, as do rows that share an id with the keeper of the passage, so
     repeated rows are never emptied against each other. All other columns and all rows are kept.
     """
-    docs = docs.drop("removed_spans", "first_doc_ids")
+    docs = docs.drop(spans_col, firsts_col)
     flags = repeated_pairs(pair_table(docs, id_col, text_col))
     entries = flags.agg(F.sum(F.size("found"))).first()[0] or 0
     row, found, done = (unused(docs, name) for name in ("row", "found", "done"))
@@ -179,6 +179,6 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     cleaned = joined.withColumn(done, F.when(F.col(found).isNotNull(), cut_out(F.col(text_col).cast("binary"), found)))
     return cleaned.select(
         *[F.coalesce(f"{done}.text", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        F.coalesce(f"{done}.spans", F.array().cast("array<struct<start:int,end:int>>")).alias("removed_spans"),
-        F.coalesce(f"{done}.firsts", F.array().cast("array<bigint>")).alias("first_doc_ids"),
+        F.coalesce(f"{done}.spans", F.array().cast("array<struct<start:int,end:int>>")).alias(spans_col),
+        F.coalesce(f"{done}.firsts", F.array().cast("array<bigint>")).alias(firsts_col),
     )

@@ -9,10 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, slices, text_bytes
+from .common import crc_of_id, slices, text_bytes, unused
 
 EDGES = ".,;:!?\"'()[]{}<>«»“”„‘’…*_~`|/\\-–—"
 QUOTES = "\"“”„«»"
@@ -342,12 +342,8 @@ def _features(rows: DataFrame, scorer: Scorer) -> DataFrame:
     return rows.mapInArrow(run, "x array<double>, y int")
 
 
-def score_toxicity(docs: DataFrame, scorer: Scorer, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of docs with _score (0 to 1) and _predicted (1 from the threshold on); whole texts are read.
-
-    Null and empty texts have no hits and get the model's lowest evidence. Columns of docs named
-    _score or _predicted are replaced. Nothing is shuffled; the scorer has a bounded size.
-    """
+def scoring(docs: DataFrame, scorer: Scorer, text_col: str = "text") -> Column:
+    """The score of a whole text, 0 to 1. Null and empty texts have no hits and get the model's lowest evidence."""
     model = docs.sparkSession.sparkContext.broadcast(scorer.parts())
 
     @F.arrow_udf("double")
@@ -356,16 +352,35 @@ def score_toxicity(docs: DataFrame, scorer: Scorer, threshold: float = 0.3, id_c
         for batch in bodies:
             yield pa.array(own.score([own.features(b.decode("utf-8", "replace")) for b in batch.to_pylist()]), pa.float64())
 
-    scored = docs.withColumn("_score", score(text_bytes(F.col(text_col))))
+    return score(text_bytes(F.col(text_col)))
+
+
+def score_toxicity(docs: DataFrame, scorer: Scorer, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of docs with _score (0 to 1) and _predicted (1 from the threshold on); whole texts are read.
+
+    Columns of docs named _score or _predicted are replaced. Nothing is shuffled; the scorer has a bounded size.
+    """
+    scored = docs.withColumn("_score", scoring(docs, scorer, text_col))
     return scored.withColumn("_predicted", (F.col("_score") >= threshold).cast("int"))
 
 
+def learned_scorer(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> Scorer:
+    """A scorer learned outside one fold of ids."""
+    return fit_toxicity(docs, labels.filter(crc_of_id(F.col(id_col)) % folds != held), id_col, text_col)
+
+
+def keep_benign(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that score below the threshold, with all their columns and no others."""
+    own = unused(docs, "score")
+    scored = docs.withColumn(own, scoring(docs, learned_scorer(docs, labels, folds, held, id_col, text_col), text_col))
+    return scored.filter(F.col(own) < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def classify_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int = 4, held: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of docs with _held_out, _score, _predicted: learn outside one fold of ids, score all rows.
 
     Repeated rows are scored as often as they occur; an empty table gives no rows. Columns of docs
     with the three names are replaced.
     """
-    fit_on = labels.filter(crc_of_id(F.col(id_col)) % folds != held)
-    scorer = fit_toxicity(docs, fit_on, id_col, text_col)
+    scorer = learned_scorer(docs, labels, folds, held, id_col, text_col)
     return score_toxicity(docs, scorer, threshold, id_col, text_col).withColumn("_held_out", crc_of_id(F.col(id_col)) % folds == held)
