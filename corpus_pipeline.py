@@ -8,44 +8,69 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import delete_folder, read_table, shared_folder
+from gridloom.llm.common import delete_folder, read_table, shared_folder, unused
 from gridloom.llm.packing import pack_documents
 from gridloom.llm.queries import vocabulary
 from gridloom.llm.secrets import redact_secrets
 from gridloom.llm.similar import drop_similar
 from gridloom.llm.substrings import dedup_substrings
-from gridloom.llm.toxicity import classify_toxicity
+from gridloom.llm.toxicity import keep_benign
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the lexicon model rejects (score of 0.3 or more)."""
-    scored = classify_toxicity(docs, read_table(spark, sf_dir, "labels"))
-    return scored.filter(F.col("_predicted") == 0).select(*docs.columns)
+    """Drop the documents that the lexicon model rejects (score of 0.3 or more).
+
+    The model is learned from the labels of documents that are not held out. Null and empty texts are
+    scored like any other; repeated rows are kept or dropped together; columns of any name come back unchanged.
+    """
+    return keep_benign(docs, read_table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every group linked by a five-word-shingle similarity of 0.8 or more."""
+    """Keep the document with the smallest id of every group linked by a five-word-shingle similarity of 0.8 or more.
+
+    Texts without words, null and empty ones among them, are one group. Rows without an id all stay; of
+    repeated rows one stays; columns of any name come back unchanged.
+    """
     return drop_similar(docs, width=5, least=0.8).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take passages out of a text that a document with a smaller id holds too; n_chars follows the text."""
-    cleaned = dedup_substrings(docs)
-    changed = F.size("removed_spans") > 0
-    return cleaned.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Take passages out of a text that a document with a smaller id holds too; n_chars, if there, follows the text.
+
+    Null and short texts, repeated rows and all other columns, whatever their names, come back unchanged.
+    """
+    spans, firsts = unused(docs, "removed_spans"), unused(docs, "first_doc_ids")
+    cleaned = dedup_substrings(docs, spans_col=spans, firsts_col=firsts)
+    return with_length(cleaned, F.size(spans) > 0).select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace secrets by a mark; n_chars follows the text."""
-    redacted = redact_secrets(docs.withColumn("_old", F.length("text")))
-    return redacted.withColumn("n_chars", F.when(F.length("text") != F.col("_old"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """Replace secrets by a mark; n_chars, if there, follows the text.
+
+    Null texts stay null; repeated rows and all other columns, whatever their names, come back unchanged.
+    """
+    old = unused(docs, "old_text")
+    redacted = redact_secrets(docs.withColumn(old, F.col("text")))
+    return with_length(redacted, ~F.col("text").eqNullSafe(F.col(old))).select(*docs.columns)
+
+
+def with_length(docs: DataFrame, changed: Column) -> DataFrame:
+    """docs with n_chars set to the text's length where it changed."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of at most 1024 tokens."""
+    """Pack what is left into sequences of at most 1024 tokens.
+
+    One row for each piece of a document, as pack_documents gives them; null texts count as empty,
+    repeated rows are packed as often as they occur, other columns are not returned.
+    """
     return pack_documents(docs, vocabulary("byte_bpe_50k.json"))
 
 
