@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Kept, by_batch, cut, text_bytes
@@ -27,6 +28,7 @@ from .simhash import keep_smallest, links, majority, shingle_hashes
 WORDS = 16  # 64-bit words of a set's bitmap
 BROADCAST_ROWS = 200_000  # of 8 to 24 bytes; how a side is joined, not which
 BROADCAST_SHINGLES = 4_000_000  # of 8 bytes; whether unshared shingles are dropped before the join or by it
+FIRST_HUBS = 2  # of a set that are settled first; all other pairs of its cells follow where these leave them apart
 PARTNERS = 64  # of a text that are compared with one copy of it
 
 
@@ -82,9 +84,13 @@ def _bodies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(F.col(text_col)).alias("body"))
 
 
-def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sample_rows: int = 4096, sample_docs: int = 3, most: int = 100_000) -> np.ndarray:
-    """Sorted shingles of sample_docs or more of about sample_rows documents; they only order the others."""
-    every = max(1, docs.count() // sample_rows)
+def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sample_rows: int = 4096, one_in: int = 16, sample_docs: int = 3, most: int = 1_000_000) -> np.ndarray:
+    """Sorted shingles of sample_docs or more of the documents of a sample; they only order the others.
+
+    The sample is one document in one_in, or more where that gives fewer than sample_rows, so what counts
+    as common does not change with the table, and cells of other shingles keep their size as it grows.
+    """
+    every = min(one_in, max(1, docs.count() // sample_rows))
     rows = _bodies(docs, id_col, text_col).filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -291,7 +297,9 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float
     equal = nodes.join(of_fp, "fp").select(F.col("hub").alias("u"), F.col("node").alias("v"))
     hub = lambda end: of_fp.select(F.col("fp").alias(f"fp_{end}"), F.col("hub").alias(end))
     near = links(of_fp.select("fp"), cell_rows=cell_rows).toDF("fp_u", "fp_v").join(hub("u"), "fp_u").join(hub("v"), "fp_v").select("u", "v")
-    stars = cells.select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    often = W.partitionBy("node").orderBy(F.desc("cells"), "hub")  # at most as many hubs as the node has prefix shingles
+    hubs = cells.filter("hub <> node").groupBy("node", "hub").agg(F.count("*").alias("cells")).withColumn("place", F.row_number().over(often))
+    stars = hubs.filter(F.col("place") <= FIRST_HUBS).select(F.col("hub").alias("u"), F.col("node").alias("v"))
     first = _bounded(ordered(stars.unionByName(equal).unionByName(near)), nodes, least, kept)
     edges = _settled(first, docs, nodes, id_col, text_col, width, least, kept)
     roots = kept.keep(nodes.select("node").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))

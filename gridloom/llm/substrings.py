@@ -17,6 +17,7 @@ WINDOW = 16  # characters that decide on a boundary
 LEAST = 8  # characters between boundaries
 MOST = 2048  # a longer stretch without a boundary is cut
 BROADCAST_ENTRIES = 200_000  # of 16 bytes; how repeated chunks are joined, not which
+BROADCAST_KEYS = 4_000_000  # of 8 bytes; whether other pairs are left out before the join or by it
 
 
 def _gear(size: int = 1 << 16) -> np.ndarray:
@@ -72,13 +73,20 @@ def pair_keys(digests: np.ndarray) -> np.ndarray:
     return (x ^ (x >> np.uint64(29))).view(np.int64)
 
 
-def pair_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """own (the document), row (a digest of id and text), key for every distinct pair of neighbouring chunks of a row."""
+def pair_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wanted: np.ndarray | None = None) -> DataFrame:
+    """own (the document), row (a digest of id and text), key for every distinct pair of neighbouring chunks of a row; wanted: only these keys, sorted."""
+    looked_for = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def kept(keys: np.ndarray) -> np.ndarray:
+        if looked_for is None or not len(keys):
+            return keys
+        known = looked_for.value
+        return keys[known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys] if len(known) else keys[:0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 2):
-                keys = [np.unique(pair_keys(chunks(t)[2])) for t in part.column(2).to_pylist()]
+                keys = [kept(np.unique(pair_keys(chunks(t)[2]))) for t in part.column(2).to_pylist()]
                 sizes = [len(k) for k in keys]
                 if not sum(sizes):
                     continue
@@ -94,16 +102,21 @@ def row_digest(docs: DataFrame, id_col: str, text_col: str) -> Column:
     return F.xxhash64(docs[id_col].cast("long"), text_bytes(docs[text_col]))
 
 
-def repeated_pairs(table: DataFrame) -> DataFrame:
+def repeated_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """row, found (array of key, first) of the rows whose pairs stand in a document with a smaller id.
 
     The aggregate keeps two ids for a key and combines on the map side, so a passage that all
-    documents share costs a row per task. The repeated keys are written down: few are broadcast;
-    many are joined by exchanges of both sides, whose hot keys adaptive execution splits. `found`
+    documents share costs a row per task. The repeated keys are written down; where they are few enough
+    to be sent to every task, pairs that no other document has are left out before they move. They are
+    then joined: few by broadcast, many by exchanges of both sides, whose hot keys adaptive execution splits. `found`
     is bounded by the row's own text, and equal rows fold into one.
     """
+    table = pair_table(docs, id_col, text_col)
     spread = cut(table.groupBy("key").agg(F.min("own").alias("first"), F.max("own").alias("_last")).filter("first < _last").drop("_last"))
-    small = F.broadcast if spread.count() <= BROADCAST_ENTRIES else lambda df: df
+    n = spread.count()
+    small = F.broadcast if n <= BROADCAST_ENTRIES else lambda df: df
+    if n <= BROADCAST_KEYS:
+        table = pair_table(docs, id_col, text_col, np.sort(spread.select("key").toArrow().column("key").to_numpy()))
     return cut(table.join(small(spread), "key").filter("own > first").groupBy("row").agg(F.collect_set(F.struct("key", "first")).alias("found")))
 
 
@@ -146,7 +159,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     repeated rows are never emptied against each other. All other columns and all rows are kept.
     """
     docs = docs.drop(spans_col, firsts_col)
-    flags = repeated_pairs(pair_table(docs, id_col, text_col))
+    flags = repeated_pairs(docs, id_col, text_col)
     entries = flags.agg(F.sum(F.size("found"))).first()[0] or 0
     row, found, done = (unused(docs, name) for name in ("row", "found", "done"))
     flags = flags.toDF(row, found)
