@@ -9,28 +9,28 @@ from pyspark.sql import functions as F
 
 from ..functions.bind import let
 
-#: domain, subdomain, dimension strategy and keywords of the rules, in order; fixed values.
+#: domain, subdomain, keywords and dimension strategy of the rules, in order; fixed values.
 RULES = [
-    ("national_accounts", "gdp_current_price", "sector", ["gdp-hh", "gdp", "tong san pham trong nuoc theo gia hien hanh", "gia hien hanh"]),
-    ("national_accounts", "gdp_constant_price", "sector", ["gdp-ss", "gdp", "gia so sanh", "tong san pham trong nuoc"]),
-    ("agriculture_forestry_fishery", "agriculture", "mixed_agri", ["nong", "nn", "nong nghiep", "lua", "gieo cay", "thu hoach", "dong xuan", "channuoi", "lam nghiep", "thuy san", "nuoi trong"]),
-    ("industry", "industrial_production_index", "sector", ["iip", "chi so san xuat cong nghiep", "gtcn", "gia tri san xuat cong nghiep", "cong nghiep"]),
-    ("industry", "industrial_products", "product", ["sp cn", "spcn", "san pham chu yeu", "san pham cong nghiep"]),
-    ("industry", "industrial_labor", "mixed_geo_sector", ["ld cn", "ldcn", "lao dong cua doanh nghiep cong nghiep"]),
-    ("investment_construction", "investment", "mixed_geo_sector", ["vdt", "von dau tu", "von nsnn", "xd", "xay dung", "dtnn", "fdi", "dt nn"]),
-    ("enterprise_business_registration", "enterprise_registration", "indicator", ["dn", "doanh nghiep", "dang ky thanh lap", "quay lai", "ngung", "giai the"]),
-    ("retail_services_tourism", "retail_services", "sector", ["tongmuc", "tong muc", "tong muc ban le", "ban le", "dich vu", "luu tru", "an uong"]),
-    ("retail_services_tourism", "tourism", "geography", ["du lich", "khach quoc te", "kqt"]),
-    ("trade_prices", "exports", "product", ["xuat khau", "xk", "export"]),
-    ("trade_prices", "imports", "product", ["nhap khau", "nk", "import"]),
-    ("trade_prices", "consumer_price_index", "price_group", ["cpi", "gia tieu dung", "lam phat"]),
-    ("trade_prices", "producer_price_index", "price_group", ["gia sx", "gia san xuat", "gia van tai", "gia nvl", "gia xk", "gia nk", "tygia", "ty gia"]),
-    ("transport_post_telecom", "transport_passenger", "transport_mode", ["van tai hk", "van tai hanh khach", "hanh khach", "vt hk", "vthk"]),
-    ("transport_post_telecom", "transport_freight", "transport_mode", ["van tai hh", "van tai hang hoa", "vt hh", "vthh"]),
-    ("transport_post_telecom", "transport_freight", "transport_mode", ["van tai", "vantai", "vt", "cuoc van tai", "buu chinh", "vien thong"]),
-    ("population_labor_social", "labor_social", "indicator", ["laodong", "lao dong", "thatnghiep", "that nghiep", "danso", "dan so", "vieclam", "viec lam"]),
-    ("environment_safety_disaster", "social_environment", "indicator",
-     ["xhmt", "moi truong", "thien tai", "tai nan", "chay", "chay no", "vu no", "giao duc", "hoc sinh", "tot nghiep", "thpt", "y te", "benh vien", "van hoa", "the thao"]),
+    ("national_accounts", "gdp_current_price", ["gdp-hh", "gdp", "tong san pham trong nuoc theo gia hien hanh", "gia hien hanh"], "sector"),
+    ("national_accounts", "gdp_constant_price", ["gdp-ss", "gdp", "gia so sanh", "tong san pham trong nuoc"], "sector"),
+    ("agriculture_forestry_fishery", "agriculture", ["nong", "nn", "nong nghiep", "lua", "gieo cay", "thu hoach", "dong xuan", "channuoi", "lam nghiep", "thuy san", "nuoi trong"], "mixed_agri"),
+    ("industry", "industrial_production_index", ["iip", "chi so san xuat cong nghiep", "gtcn", "gia tri san xuat cong nghiep", "cong nghiep"], "sector"),
+    ("industry", "industrial_products", ["sp cn", "spcn", "san pham chu yeu", "san pham cong nghiep"], "product"),
+    ("industry", "industrial_labor", ["ld cn", "ldcn", "lao dong cua doanh nghiep cong nghiep"], "mixed_geo_sector"),
+    ("investment_construction", "investment", ["vdt", "von dau tu", "von nsnn", "xd", "xay dung", "dtnn", "fdi", "dt nn"], "mixed_geo_sector"),
+    ("enterprise_business_registration", "enterprise_registration", ["dn", "doanh nghiep", "dang ky thanh lap", "quay lai", "ngung", "giai the"], "indicator"),
+    ("retail_services_tourism", "retail_services", ["tongmuc", "tong muc", "tong muc ban le", "ban le", "dich vu", "luu tru", "an uong"], "sector"),
+    ("retail_services_tourism", "tourism", ["du lich", "khach quoc te", "kqt"], "geography"),
+    ("trade_prices", "exports", ["xuat khau", "xk", "export"], "product"),
+    ("trade_prices", "imports", ["nhap khau", "nk", "import"], "product"),
+    ("trade_prices", "consumer_price_index", ["cpi", "gia tieu dung", "lam phat"], "price_group"),
+    ("trade_prices", "producer_price_index", ["gia sx", "gia san xuat", "gia van tai", "gia nvl", "gia xk", "gia nk", "tygia", "ty gia"], "price_group"),
+    ("transport_post_telecom", "transport_passenger", ["van tai hk", "van tai hanh khach", "hanh khach", "vt hk", "vthk"], "transport_mode"),
+    ("transport_post_telecom", "transport_freight", ["van tai hh", "van tai hang hoa", "vt hh", "vthh"], "transport_mode"),
+    ("transport_post_telecom", "transport_freight", ["van tai", "vantai", "vt", "cuoc van tai", "buu chinh", "vien thong"], "transport_mode"),
+    ("population_labor_social", "labor_social", ["laodong", "lao dong", "thatnghiep", "that nghiep", "danso", "dan so", "vieclam", "viec lam"], "indicator"),
+    ("environment_safety_disaster", "social_environment",
+     ["xhmt", "moi truong", "thien tai", "tai nan", "chay", "chay no", "vu no", "giao duc", "hoc sinh", "tot nghiep", "thpt", "y te", "benh vien", "van hoa", "the thao"], "indicator"),
 ]
 #: Patterns on folded sheet names that decide alone; fixed values.
 OVERRIDES = [
@@ -71,7 +71,7 @@ def classification(name: Column, title: Column, body: Column) -> Column:
 
     def decide(texts: Column) -> Column:
         hits = []
-        for i, (*_, keywords) in enumerate(RULES):
+        for i, (_, _, keywords, _) in enumerate(RULES):
             for k in keywords:
                 p = keyword_pattern(k)
                 tier = F.when(texts["name"].rlike(p), 3).when(texts["title"].rlike(p), 2).when(texts["body"].rlike(p), 1)
@@ -88,7 +88,7 @@ def classification(name: Column, title: Column, body: Column) -> Column:
         place = F.when(best["tier"] == 3, "name").when(best["tier"] == 2, "title").otherwise("body")
         sure = F.when(best["tier"] == 3, 0.95).when(best["tier"] == 2, 0.90).otherwise(0.70)
         method = F.concat(F.lit("sheet_rule:"), pick(1), F.lit(":"), place)
-        ruled = F.struct(*[c.alias(k) for k, c in zip(fields, (pick(0), pick(1), pick(2), method, sure, best["tier"] == 1))])
+        ruled = F.struct(*[c.alias(k) for k, c in zip(fields, (pick(0), pick(1), pick(3), method, sure, best["tier"] == 1))])
         return F.when(best.isNotNull(), ruled).otherwise(fixed("other_or_unknown", "unknown", "indicator", "sheet_rule:fallback", 0.35, True))
 
     texts = F.struct(F.coalesce(name, F.lit("")).alias("name"), F.coalesce(title, F.lit("")).alias("title"), F.coalesce(body, F.lit("")).alias("body"))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..settle import settled
 from . import quality as Q
 from .quality import percent, total
+from .ranks import exact_median, numbered
 
 c = F.col
 
@@ -188,15 +189,20 @@ def domain_units(curated: DataFrame, domain: str) -> DataFrame:
 def domain_indicators(curated: DataFrame, domain: str) -> DataFrame:
     """Every series of a domain with its exact median, range and periods, numbered by its rows.
 
-    Equal counts are numbered by name, which the original leaves to chance. The exact median holds a
-    series' distinct values in one aggregate; the numbering runs over one row for each series.
+    Equal counts are numbered by name, which the original leaves to chance. Medians are found by rank and
+    rows are numbered by ranges, so neither a series nor the list of series is held by one task. Values
+    are rounded as decimals, halves away from zero.
     """
     breakdown = F.coalesce("sector_raw", "product_raw", "geography_raw", F.lit("")).alias("breakdown")
     keys = [c("indicator_name_raw").alias("indicator"), c("metric_name_raw").alias("metric"), c("metric_type"), _shown_unit(), breakdown]
-    of = lambda fn: F.round(fn("value_numeric"), 2)
-    series = curated.filter(c("indicator_domain") == domain).groupBy(*keys).agg(
-        F.count("*").alias("observations"), F.round(F.percentile("value_numeric", F.lit(0.5)), 2).alias("median_value"), of(F.min).alias("min_value"), of(F.max).alias("max_value"),
+    names = ["indicator", "metric", "metric_type", "unit", "breakdown"]
+    rows = settled(curated.filter(c("indicator_domain") == domain).select(*keys, "value_numeric", "period_end_date"))
+    shown = lambda value: F.round(value.cast("decimal(38,6)"), 2).cast("double")
+    series = rows.groupBy(*names).agg(
+        F.count("*").alias("observations"), shown(F.min("value_numeric")).alias("min_value"), shown(F.max("value_numeric")).alias("max_value"),
         F.min("period_end_date").cast("string").alias("first_period"), F.max("period_end_date").cast("string").alias("last_period"),
     )
-    order = [F.asc_nulls_first(k) for k in ("indicator", "metric", "metric_type", "unit", "breakdown")]
-    return series.withColumn("rn", F.row_number().over(W.orderBy(F.desc("observations"), *order)))
+    medians = exact_median(rows, names, "value_numeric", "median_value").withColumn("median_value", shown(c("median_value")))
+    same = [series[k].eqNullSafe(medians[k]) for k in names]
+    joined = series.join(medians, same, "left").select(*[series[k] for k in series.columns], "median_value")
+    return numbered(settled(joined), [-c("observations"), *map(c, names)])

@@ -9,6 +9,7 @@ from .sources import observations as S
 
 COUNT = "format('{:,}', count(*))"
 DISTINCT = "format('{{:,}}', count(DISTINCT {}))"
+ROUNDED = "CAST(round(CAST({} AS DECIMAL(38,6)), 2) AS DOUBLE)"
 SHOWN_UNIT = "coalesce(unit_raw, '(no unit)')"
 
 
@@ -67,9 +68,9 @@ def domain_units(spark, sf_dir):
     return R.domain_units(curated(spark, sf_dir), "industry")
 
 
-@query(O.over_curated(f"""SELECT *, CAST(row_number() OVER (ORDER BY observations DESC, indicator NULLS FIRST, metric NULLS FIRST, metric_type NULLS FIRST, unit NULLS FIRST, breakdown NULLS FIRST) AS INTEGER) AS rn FROM (
- SELECT indicator_name_raw AS indicator, metric_name_raw AS metric, metric_type, {SHOWN_UNIT} AS unit, coalesce(sector_raw, product_raw, geography_raw, '') AS breakdown, count(*) AS observations, round(quantile_cont(value_numeric, 0.5), 2) AS median_value,
- round(min(value_numeric), 2) AS min_value, round(max(value_numeric), 2) AS max_value, CAST(min(period_end_date) AS VARCHAR) AS first_period, CAST(max(period_end_date) AS VARCHAR) AS last_period FROM curated WHERE indicator_domain = 'trade_prices' GROUP BY 1, 2, 3, 4, 5)"""))
+@query(O.over_curated(f"""SELECT *, row_number() OVER (ORDER BY observations DESC, indicator NULLS FIRST, metric NULLS FIRST, metric_type NULLS FIRST, unit NULLS FIRST, breakdown NULLS FIRST) AS rn FROM (
+ SELECT indicator_name_raw AS indicator, metric_name_raw AS metric, metric_type, {SHOWN_UNIT} AS unit, coalesce(sector_raw, product_raw, geography_raw, '') AS breakdown, count(*) AS observations, {ROUNDED.format('quantile_cont(value_numeric, 0.5)')} AS median_value,
+ {ROUNDED.format('min(value_numeric)')} AS min_value, {ROUNDED.format('max(value_numeric)')} AS max_value, CAST(min(period_end_date) AS VARCHAR) AS first_period, CAST(max(period_end_date) AS VARCHAR) AS last_period FROM curated WHERE indicator_domain = 'trade_prices' GROUP BY 1, 2, 3, 4, 5)"""))
 def domain_indicators(spark, sf_dir):
     return R.domain_indicators(curated(spark, sf_dir), "trade_prices")
 
