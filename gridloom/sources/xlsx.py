@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import encoding_from_hits, legacy_hits, normalize_name, normalized_cell, repair_unicode
+from .xls import SIGNATURE, read_old_workbook
 
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -123,20 +124,28 @@ def read_workbook(content: bytes) -> Iterator[dict]:
         }
 
 
+def sheets_of(content: bytes) -> Iterator[dict]:
+    """The sheets of a workbook of either format, told apart by its first bytes."""
+    if content[:8] == SIGNATURE:
+        dated = lambda number, code: shows_date(code) if code is not None else number in DATE_FORMATS
+        return read_old_workbook(content, dated, date_of, trimmed)
+    return read_workbook(content)
+
+
 def read_workbooks(files: DataFrame) -> DataFrame:
-    """files (path, content) -> one row per sheet; a file that cannot be read gives one row with its error."""
+    """files (path, content) -> one row per sheet of .xlsx and .xls files; a file that cannot be read gives one row with its error."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [f.split(" ")[0] for f in SCHEMA.split(", ")]
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 try:
-                    rows = [s | {"path": path, "parse_status": "success", "parse_error": None} for s in read_workbook(bytes(content))]
+                    rows = [s | {"path": path, "parse_status": "success", "parse_error": None} for s in sheets_of(bytes(content))]
                 except Exception as e:  # noqa: BLE001  one broken file must not end the job
                     rows = [{"path": path, "sheet_index": None, "sheet_name_raw": None, "max_row": None, "max_column": None, "raw_cells_json": None, "merged_ranges_json": None, "parse_status": "failed", "parse_error": str(e)[:500]}]
                 yield pd.DataFrame(rows, columns=names).astype({k: "Int32" for k in ("sheet_index", "max_row", "max_column")})
 
-    return files.filter(sniff(F.col("content"), F.col("path")) == "xlsx").select("path", "content").mapInPandas(run, SCHEMA)
+    return files.filter(sniff(F.col("content"), F.col("path")).isin("xlsx", "xls")).select("path", "content").mapInPandas(run, SCHEMA)
 
 
 CELL = "struct<row_index:int,column_index:int,cell_ref:string,cell_value_raw:string,indent_level:int>"
@@ -170,5 +179,5 @@ def repair_sheets(sheets: DataFrame) -> DataFrame:
 
 
 def load_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """Sheets of all .xlsx files under a path, their texts repaired."""
+    """Sheets of all .xlsx and .xls files under a path, their texts repaired."""
     return repair_sheets(read_workbooks(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)))

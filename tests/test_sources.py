@@ -30,7 +30,7 @@ def test_workbooks(spark, tmp_path):
     (tmp_path / "broken.xlsx").write_bytes(b"PK\x03\x04nothing")
     (tmp_path / "old.xls").write_bytes(bytes.fromhex("D0CF11E0A1B11AE1"))
     rows = {r.path.rsplit("/", 1)[1]: r for r in X.load_workbooks(spark, str(tmp_path)).collect()}
-    assert set(rows) == {"a.xlsx", "broken.xlsx"} and rows["broken.xlsx"].parse_status == "failed"
+    assert set(rows) == {"a.xlsx", "broken.xlsx", "old.xls"} and {rows[n].parse_status for n in ("broken.xlsx", "old.xls")} == {"failed"}
     good = rows["a.xlsx"]
     cells = {c["cell_ref"]: (c["cell_value_raw"], c["indent_level"], c["column_index"]) for c in json.loads(good.raw_cells_json)}
     dates = {"A3": ("2023-12-31T00:00:00", 0, 1), "B3": ("2023-12-31T12:00:00", 0, 2), "C3": ("45291", 0, 3), "D3": ("06:00:00", 0, 4), "E3": ("12345678901234567890", 0, 5), "F3": ("z" * 20_000 + "…[truncated]", 0, 6)}
