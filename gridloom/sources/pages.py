@@ -36,18 +36,32 @@ def parse_archive(pages: DataFrame, title_prefix: str = TITLE_PREFIX) -> DataFra
     )
 
 
-def crawl(pages: DataFrame, empty_pages: int = 2, **options) -> DataFrame:
-    """Reports of the pages up to the stop: a missing page, or empty_pages pages in a row without a new report.
+def _listed(pages: DataFrame, **options) -> DataFrame:
+    """Reports, each from the first page that lists it."""
+    return keep_first(parse_archive(pages, **options), ["report_url"], F.asc("source_page"), F.asc("place"))
 
-    A report is new on the first page that lists it. The running counts are over one row per page.
-    """
-    listed = keep_first(parse_archive(pages, **options), ["report_url"], F.asc("source_page"), F.asc("place"))
+
+def _stops(pages: DataFrame, listed: DataFrame, empty_pages: int) -> DataFrame:
+    """One row: the page at which a loop over the pages ends, or null. The running counts are over one row per page."""
     fresh = pages.select("page_no").distinct().join(listed.groupBy(F.col("source_page").alias("page_no")).agg(F.count("*").alias("n")), "page_no", "left")
     order = W.orderBy("page_no")
     window = order.rowsBetween(-(empty_pages - 1), 0)
     dry = (F.sum(F.coalesce("n", F.lit(0))).over(window) == 0) & (F.count("*").over(window) == empty_pages)
     gap = F.col("page_no") != F.lag("page_no", 1).over(order) + 1
-    stops = fresh.withColumn("dry", dry).withColumn("gap", gap).filter(F.col("dry") | F.coalesce("gap", F.lit(False))).agg(F.min("page_no").alias("stop"))
+    return fresh.withColumn("dry", dry).withColumn("gap", gap).filter(F.col("dry") | F.coalesce("gap", F.lit(False))).agg(F.min("page_no").alias("stop"))
+
+
+def stop_page(pages: DataFrame, empty_pages: int = 2, **options) -> int | None:
+    return _stops(pages, _listed(pages, **options), empty_pages).first().stop
+
+
+def crawl(pages: DataFrame, empty_pages: int = 2, **options) -> DataFrame:
+    """Reports of the pages up to the stop: a missing page, or empty_pages pages in a row without a new report.
+
+    A report is new on the first page that lists it.
+    """
+    listed = _listed(pages, **options)
+    stops = _stops(pages, listed, empty_pages)
     return listed.join(stops, F.col("stop").isNull() | (F.col("source_page") < F.col("stop"))).drop("stop", "place")
 
 
