@@ -11,10 +11,13 @@ import json
 import re
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,14 +88,42 @@ def trimmed(text: str) -> str:
     return text[:MOST_TEXT] + MARK if len(text) > MOST_TEXT else text
 
 
-def read_workbook(content: bytes) -> Iterator[dict]:
-    """The sheets of one workbook, numbered from 1, with their non-empty cells and merged ranges."""
+@dataclass
+class Book:
+    """What the cells of all sheets of an .xlsx file refer to."""
+
+    file: zipfile.ZipFile
+    shared: list[str]
+    styles: list[tuple[int, bool]]  # indent, shows a date
+    sheets: list[tuple[str, str]]  # name, place in the file
+    from_1904: bool
+
+
+def _joined(node: ElementTree.Element) -> str:
+    return "".join(t.text or "" for t in node.iter(f"{MAIN}t"))
+
+
+def _elements(book: zipfile.ZipFile, name: str, wanted: str) -> Iterator[ElementTree.Element]:
+    """The wanted elements of a file as its stream is read; what has been read is let go of."""
+    with book.open(name) as stream:
+        path: list[ElementTree.Element] = []
+        for event, node in ElementTree.iterparse(stream, ("start", "end")):
+            if event == "start":
+                path.append(node)
+                continue
+            path.pop()
+            if node.tag == wanted:
+                yield node
+            if path and not any(p.tag == wanted for p in path):
+                path[-1].remove(node)
+
+
+def open_book(content: bytes) -> Book:
     book = zipfile.ZipFile(io.BytesIO(content))
     files = set(book.namelist())
     xml = lambda name: ElementTree.fromstring(book.read(name))
-    joined = lambda node: "".join(t.text or "" for t in node.iter(f"{MAIN}t"))
-    shared = [joined(si) for si in xml("xl/sharedStrings.xml").iter(f"{MAIN}si")] if "xl/sharedStrings.xml" in files else []
-    styles: list[tuple[int, bool]] = []  # indent, shows a date
+    shared = [_joined(si) for si in _elements(book, "xl/sharedStrings.xml", f"{MAIN}si")] if "xl/sharedStrings.xml" in files else []
+    styles: list[tuple[int, bool]] = []
     if "xl/styles.xml" in files:
         sheet = xml("xl/styles.xml")
         own = {int(f.get("numFmtId")): shows_date(f.get("formatCode", "")) for f in sheet.iter(f"{MAIN}numFmt")}
@@ -103,24 +134,36 @@ def read_workbook(content: bytes) -> Iterator[dict]:
     targets = {r.get("Id"): r.get("Target") for r in xml("xl/_rels/workbook.xml.rels")}
     root = xml("xl/workbook.xml")
     settings = root.find(f"{MAIN}workbookPr")
-    from_1904 = settings is not None and settings.get("date1904") in ("1", "true")
-    for index, sheet in enumerate(root.iter(f"{MAIN}sheet"), start=1):
-        target = targets[sheet.get(f"{REL}id")]
-        body = xml(target.lstrip("/") if target.startswith("/") else f"xl/{target}")
-        cells = []
-        for c in body.iter(f"{MAIN}c"):
-            inline, v = c.find(f"{MAIN}is"), c.find(f"{MAIN}v")
-            raw = joined(inline) if inline is not None else v.text if v is not None else None
-            indent, dated = styles[style] if (style := int(c.get("s", 0))) < len(styles) else (0, False)
-            text = None if raw is None else text_of(raw, c.get("t", "n"), shared, dated, from_1904)
-            text = " ".join((text or "").split())
-            if not text:
-                continue
+    sheets = [(sheet.get("name"), targets[sheet.get(f"{REL}id")]) for sheet in root.iter(f"{MAIN}sheet")]
+    places = [(name, target.lstrip("/") if target.startswith("/") else f"xl/{target}") for name, target in sheets]
+    return Book(book, shared, styles, places, settings is not None and settings.get("date1904") in ("1", "true"))
+
+
+def cells_of(book: Book, place_in_file: str) -> Iterator[dict]:
+    """The non-empty cells of a sheet, one at a time."""
+    for c in _elements(book.file, place_in_file, f"{MAIN}c"):
+        inline, v = c.find(f"{MAIN}is"), c.find(f"{MAIN}v")
+        raw = _joined(inline) if inline is not None else v.text if v is not None else None
+        indent, dated = book.styles[style] if (style := int(c.get("s", 0))) < len(book.styles) else (0, False)
+        text = None if raw is None else text_of(raw, c.get("t", "n"), book.shared, dated, book.from_1904)
+        text = " ".join((text or "").split())
+        if text:
             row, column = place(c.get("r"))
-            cells.append({"row_index": row, "column_index": column, "cell_ref": c.get("r"), "cell_value_raw": trimmed(text), "indent_level": indent})
+            yield {"row_index": row, "column_index": column, "cell_ref": c.get("r"), "cell_value_raw": trimmed(text), "indent_level": indent}
+
+
+def merged_of(book: Book, place_in_file: str) -> list[str]:
+    return [m.get("ref") for m in _elements(book.file, place_in_file, f"{MAIN}mergeCell")]
+
+
+def read_workbook(content: bytes) -> Iterator[dict]:
+    """The sheets of one workbook, numbered from 1, with their non-empty cells and merged ranges."""
+    book = open_book(content)
+    for index, (name, at) in enumerate(book.sheets, start=1):
+        cells = list(cells_of(book, at))
         yield {
-            "sheet_index": index, "sheet_name_raw": sheet.get("name"), "max_row": max((c["row_index"] for c in cells), default=0), "max_column": max((c["column_index"] for c in cells), default=0),
-            "raw_cells_json": json.dumps(cells, ensure_ascii=False), "merged_ranges_json": json.dumps([m.get("ref") for m in body.iter(f"{MAIN}mergeCell")]),
+            "sheet_index": index, "sheet_name_raw": name, "max_row": max((c["row_index"] for c in cells), default=0), "max_column": max((c["column_index"] for c in cells), default=0),
+            "raw_cells_json": json.dumps(cells, ensure_ascii=False), "merged_ranges_json": json.dumps(merged_of(book, at)),
         }
 
 
@@ -148,6 +191,50 @@ def read_workbooks(files: DataFrame) -> DataFrame:
     return files.filter(sniff(F.col("content"), F.col("path")).isin("xlsx", "xls")).select("path", "content").mapInPandas(run, SCHEMA)
 
 
+CELLS = "path string, sheet_index int, sheet_name_raw string, row_index int, column_index int, cell_ref string, cell_value_raw string, indent_level int, merged_range string, parse_error string"
+BATCH_CELLS = 10_000
+
+
+def _streamed(content: bytes) -> Iterator[dict]:
+    """Rows of CELLS without the path: cells as they are read, then the sheet's merged ranges."""
+    if content[:8] == SIGNATURE:
+        for sheet in sheets_of(content):
+            own = {k: sheet[k] for k in ("sheet_index", "sheet_name_raw")}
+            yield from (own | cell for cell in json.loads(sheet["raw_cells_json"]))
+        return
+    book = open_book(content)
+    for index, (name, at) in enumerate(book.sheets, start=1):
+        own = {"sheet_index": index, "sheet_name_raw": name}
+        yield from (own | cell for cell in cells_of(book, at))
+        yield from (own | {"merged_range": ref} for ref in merged_of(book, at))
+
+
+def read_cells(files: DataFrame) -> DataFrame:
+    """files (path, content) -> one row for each non-empty cell and each merged range, for sheets of any size.
+
+    An .xlsx sheet is read as a stream and handed on in batches of BATCH_CELLS rows, so no sheet is held
+    as a document or as one text; only the file's bytes and its shared strings are. A row has either a
+    cell or a merged_range; a file that breaks off gives a row with its parse_error after the cells before it.
+    """
+    names = [c.split(" ")[0] for c in CELLS.split(", ")]
+    kinds = pa.schema([(n, pa.int32() if n in ("sheet_index", "row_index", "column_index", "indent_level") else pa.string()) for n in names])
+
+    def rows(path: str, content: bytes) -> Iterator[dict]:
+        try:
+            yield from ({"path": path} | r for r in _streamed(content))
+        except Exception as e:  # noqa: BLE001  one broken file must not end the job
+            yield {"path": path, "parse_error": str(e)[:500]}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                found = rows(path.as_py(), content.as_py())
+                while some := list(islice(found, BATCH_CELLS)):
+                    yield pa.RecordBatch.from_pylist([{n: r.get(n) for n in names} for r in some], kinds)
+
+    return files.filter(sniff(F.col("content"), F.col("path")).isin("xlsx", "xls")).select("path", "content").mapInArrow(run, CELLS)
+
+
 CELL = "struct<row_index:int,column_index:int,cell_ref:string,cell_value_raw:string,indent_level:int>"
 SAMPLE = 300  # texts of a sheet that settle its encoding
 

@@ -1,5 +1,6 @@
 import io
 import json
+import tracemalloc
 import zipfile
 
 from pyspark.sql import functions as F
@@ -39,6 +40,45 @@ def test_workbooks(spark, tmp_path):
     assert (good.sheet_name_normalized, good.non_empty_cell_count, good.first_non_empty_row, good.first_non_empty_column, json.loads(good.parse_warnings_json)) == ("gdp", 12, 1, 1, [])
 
 
+def test_cells_are_streamed(spark, tmp_path):
+    (tmp_path / "a.xlsx").write_bytes(workbook())
+    (tmp_path / "broken.xlsx").write_bytes(b"PK\x03\x04nothing")
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    rows = X.read_cells(files).collect()
+    (sheet,) = [r for r in X.read_workbooks(files).collect() if r.parse_status == "success"]
+    names = ["row_index", "column_index", "cell_ref", "cell_value_raw", "indent_level"]
+    assert [[r[n] for n in names] for r in rows if r.cell_ref] == [[c[n] for n in names] for c in json.loads(sheet.raw_cells_json)]
+    assert [(r.sheet_index, r.sheet_name_raw, r.merged_range) for r in rows if r.merged_range] == [(1, "GDP", "A1:B1")]
+    assert [r.path.rsplit("/", 1)[1] for r in rows if r.parse_error] == ["broken.xlsx"] and len(rows) == 12 + 2
+
+
+def test_a_large_sheet_needs_little_memory():
+    """The peak does not grow with the rows of a sheet."""
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+
+    def peak(rows):
+        small = io.BytesIO(workbook())
+        out = io.BytesIO()
+        with zipfile.ZipFile(small) as old, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as new:
+            for name in old.namelist():
+                if "sheet1" not in name:
+                    new.writestr(name, old.read(name))
+            with new.open("xl/worksheets/sheet1.xml", "w") as f:
+                f.write(f"<worksheet {main}><sheetData>".encode())
+                for r in range(1, rows + 1):
+                    f.write(f'<row r="{r}"><c r="A{r}" t="s"><v>0</v></c><c r="B{r}"><v>{r}</v></c><c r="C{r}"/></row>'.encode())
+                f.write(b"</sheetData></worksheet>")
+        book = X.open_book(out.getvalue())
+        tracemalloc.start()
+        count = sum(1 for _ in X.cells_of(book, book.sheets[0][1]))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert count == 2 * rows
+        return most
+
+    assert peak(40_000) < 1.2 * peak(4_000) + 100_000
+
+
 def test_dates_count_from_1904_where_the_workbook_says_so():
     assert X.date_of(0.0, True) == "1904-01-01T00:00:00" and X.date_of(1.0, False) == "1900-01-01T00:00:00" and X.date_of(61.0, False) == "1900-03-01T00:00:00"
     assert [X.shows_date(code) for code in ("General", "0.00", "yyyy-mm", '0" mm"', "[h]:mm", "[$-409]d-mmm", "#,##0;[Red]d")] == [False, False, True, False, True, True, False]
