@@ -15,7 +15,7 @@ from .common import crc_of_id, slices, text_bytes
 
 BLOCK = 1024  # characters read by one lane at a time; phrases run across its end
 UNKNOWN = "und"
-BUCKETS = 1024  # the sample takes one document of each hash bucket of a language
+BUCKETS = 1024  # the sample takes one document of each hash bucket of a language; more where more are asked for
 
 
 def code_points(text: str) -> np.ndarray:
@@ -234,8 +234,8 @@ def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang
     """Language -> up to per_language pieces of labelled texts, each of at most `characters`; the fit's only sample."""
     known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), F.col(lang_col).cast("string").alias("lang")).filter("lang is not null and length(body) > 0")
     h = F.xxhash64(F.lit(7), "id")
-    best = known.select("id", "lang", h.alias("h")).groupBy("lang", F.pmod("h", F.lit(BUCKETS)).alias("bucket")).agg(F.min(F.struct("h", "id")).alias("best"))
-    ranked = best.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("best")))  # at most BUCKETS rows of a language
+    best = known.select("id", "lang", h.alias("h")).groupBy("lang", F.pmod("h", F.lit(max(BUCKETS, 4 * per_language))).alias("bucket")).agg(F.min(F.struct("h", "id")).alias("best"))
+    ranked = best.withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("best")))  # as many rows of a language as it has buckets, at most
     chosen = ranked.filter(F.col("place") <= per_language).select("lang", "place", "best.*")
     start = F.pmod("h", F.greatest(F.lit(1), F.length("body") - characters)) + 1
     pieces = known.join(F.broadcast(chosen), ["id", "lang"]).groupBy("lang", "place").agg(F.min(F.substring("body", start.cast("int"), F.lit(characters))).alias("piece"))  # one row of an id

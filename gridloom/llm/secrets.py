@@ -5,8 +5,8 @@ randomness: character frequencies against the uniform distribution (chi-squared)
 below the middle of the alphabet, runs of capitals, small letters, digits and signs, and serial
 correlation of neighbours. Tokens that fail are text.
 Which p-values count as failures is settled by false-discovery control within each encoding and
-length class, so that of the tokens cleared as text a share of `rate` at most is random. Short tokens
-without digits are not tested, because no test can tell them from words.
+length class, so that of the tokens cleared as text a share of `rate` at most is random. From which length
+on tokens without digits are tested is a parameter.
 """
 
 from __future__ import annotations
@@ -28,13 +28,16 @@ KINDS = ["assign", "access", "hex", "random"]
 #: Alphabets of the encodings, in the order in which they are tried; fixed values.
 ENCODINGS = [
     ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", "0123456789abcdef"),
+    ("letters of one case", r"^(?:[a-z]+|[A-Z]+)$", "abcdefghijklmnopqrstuvwxyz"),
     ("base32", r"^[A-Z2-7]+$", "abcdefghijklmnopqrstuvwxyz234567"),
     ("base36", r"^(?:[a-z0-9]+|[A-Z0-9]+)$", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("letters", r"^[A-Za-z]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base62", r"^[A-Za-z0-9]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", r"", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 ]
 #: Where the classes of characters begin in each alphabet, four classes at most; 99 for none.
-CLASS_STARTS = [(10, 99, 99), (26, 99, 99), (10, 99, 99), (26, 52, 99), (26, 52, 62)]
+CLASS_STARTS = [(10, 99, 99), (99, 99, 99), (26, 99, 99), (10, 99, 99), (26, 99, 99), (26, 52, 99), (26, 52, 62)]
+ONE_CASE = 4  # encodings before this one do not tell capitals from small letters
 
 
 def class_changes(encoding: int) -> tuple[float, float]:
@@ -47,7 +50,7 @@ def class_changes(encoding: int) -> tuple[float, float]:
 
 
 BIN = 0.05  # width of a p-value class, in powers of ten
-LEAST_WITHOUT_DIGITS = 40
+LEAST_WITHOUT_DIGITS = 40  # default of the parameter; see with_secrets
 
 
 def blocks_of(items: Column) -> Column:
@@ -103,7 +106,7 @@ def encoding_of(token: Column) -> Column:
     return out.otherwise(len(ENCODINGS) - 1)
 
 
-def candidates(text: Column) -> Column:
+def candidates(text: Column, least_without_digits: int = LEAST_WITHOUT_DIGITS) -> Column:
     """array<struct<start, kind, end, encoding, length_class, bin>> of the tokens that the battery tests.
 
     bin is -log10 of the battery's p-value in classes of BIN. The work goes in stages, an array of
@@ -114,14 +117,14 @@ def candidates(text: Column) -> Column:
     named = lambda **columns: [c.alias(k) for k, c in columns.items()]
 
     def testable(s: Column) -> Column:
-        return (s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]")) | (F.length(s["token"]) >= LEAST_WITHOUT_DIGITS)
+        return (s["token"].rlike("[0-9]") & s["token"].rlike("[A-Za-z]")) | (F.length(s["token"]) >= least_without_digits)
 
     def infer(s: Column) -> Column:
         return F.struct(*keep(s), *named(token=s["token"], encoding=encoding_of(s["token"])))
 
     def number(s: Column) -> Column:
         alphabet = F.element_at(alphabets, s["encoding"] + 1)
-        plain = F.when(s["encoding"] < 3, F.lower(s["token"])).otherwise(s["token"])
+        plain = F.when(s["encoding"] < ONE_CASE, F.lower(s["token"])).otherwise(s["token"])
         codes = F.transform(F.split(plain, ""), lambda c: F.instr(alphabet, c).cast("double") - 1)
         starts = F.element_at(F.array(*[F.array(*map(F.lit, x)) for x in CLASS_STARTS]), s["encoding"] + 1)
         return F.struct(*keep(s), *named(encoding=s["encoding"], k=F.length(alphabet).cast("double"), codes=codes, starts=starts))
@@ -151,7 +154,7 @@ def candidates(text: Column) -> Column:
             encoding=s["encoding"], n=n,
             chi=(F.pow(chi, F.lit(1 / 3)) - (1 - spread)) / F.sqrt(spread),
             runs=F.when(variance > 0, F.abs(s["runs"] - product / n - 1) / F.sqrt(variance)).otherwise(F.lit(9.0)),
-            changes=F.abs(s["changes"] - (n - 1) * share) / F.sqrt((n - 1) * share * (1 - share) + 2 * (n - 2) * tie),
+            changes=F.when(share == 0, 0.0).otherwise(F.abs(s["changes"] - (n - 1) * share) / F.sqrt((n - 1) * share * (1 - share) + 2 * (n - 2) * tie)),
             serial=F.abs(s["serial"] / ((k * k - 1) / 12) / F.sqrt(n - 1)),
         ))
 
@@ -180,30 +183,32 @@ def cutoffs_of(counts: DataFrame, rate: float) -> dict[tuple[int, int], int]:
     return {(r.encoding, r.length_class): r.bin for r in rejected.groupBy("encoding", "length_class").agg(F.min("bin").alias("bin")).collect()}
 
 
-def cutoffs(docs: DataFrame, rate: float = 0.05, text_col: str = "text") -> dict[tuple[int, int], int]:
+def cutoffs(docs: DataFrame, rate: float = 0.05, text_col: str = "text", least_without_digits: int = LEAST_WITHOUT_DIGITS) -> dict[tuple[int, int], int]:
     """cutoffs_of all tested tokens of all documents; at most one row per encoding and length class reaches the driver."""
-    found = docs.select(F.explode(candidates(F.coalesce(F.col(text_col), F.lit("")))).alias("c"))
+    found = docs.select(F.explode(candidates(F.coalesce(F.col(text_col), F.lit("")), least_without_digits)).alias("c"))
     return cutoffs_of(found.groupBy("c.encoding", "c.length_class", "c.bin").agg(F.count("*").alias("n")), rate)
 
 
-def secret_spans(text: Column, rejected: dict[tuple[int, int], int]) -> tuple[Column, Column]:
+def secret_spans(text: Column, rejected: dict[tuple[int, int], int], least_without_digits: int = LEAST_WITHOUT_DIGITS) -> tuple[Column, Column]:
     """(base spans, added spans), each array<struct<start, kind, end>> in order."""
     base = F.array_sort(F.concat(spans_of(text, ASSIGN, 0, 6), spans_of(text, ACCESS, 1), spans_of(text, HEX, 2)))
     never, group = F.lit(1 << 30), lambda c: c["encoding"] * 100 + c["length_class"]
     first = F.create_map(*[F.lit(x) for (e, n), bin_ in sorted(rejected.items()) for x in (e * 100 + n, bin_)]) if rejected else None
-    random = F.filter(candidates(text), lambda c: c["bin"] < (F.coalesce(F.element_at(first, group(c)), never) if rejected else never))
+    random = F.filter(candidates(text, least_without_digits), lambda c: c["bin"] < (F.coalesce(F.element_at(first, group(c)), never) if rejected else never))
     return base, F.transform(random, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
 
 
-def with_secrets(docs: DataFrame, rate: float = 0.05, text_col: str = "text", base_name: str = "_base", spans_name: str = "_spans") -> DataFrame:
+def with_secrets(docs: DataFrame, rate: float = 0.05, text_col: str = "text", base_name: str = "_base", spans_name: str = "_spans", least_without_digits: int = LEAST_WITHOUT_DIGITS) -> DataFrame:
     """docs with _base (spans of the fixed patterns) and _spans (those and the random tokens outside them).
 
     Spans are struct<start, kind, end> in code points, end exclusive, by start, then kind. Null and
     empty texts have none. Rows are neither dropped nor merged; nothing is shuffled but the counts
-    of p-value classes. Columns of docs with the two names are replaced.
+    of p-value classes. Columns of docs with the two names are replaced. Tokens without a digit are
+    tested from least_without_digits characters on, in an alphabet of letters alone: in shorter ones the tests cannot tell
+    all words from keys, so a lower value finds shorter keys of letters at the price of long words.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base, random = secret_spans(text, cutoffs(docs, rate, text_col))
+    base, random = secret_spans(text, cutoffs(docs, rate, text_col, least_without_digits), least_without_digits)
     added = unused(docs, "random")
     both = docs.withColumn(base_name, base).withColumn(added, random)
     ranges = F.transform(blocks_of(F.col(base_name)), lambda b: F.struct(F.array_min(F.transform(b, lambda s: s["start"])).alias("lo"), F.array_max(F.transform(b, lambda s: s["end"])).alias("hi"), b.alias("spans")))
