@@ -207,12 +207,14 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, least: float, kept: Kept) -> Da
     return found
 
 
-def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, cell_rows: int, kept: Kept) -> DataFrame:
+def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, cell_rows: int, kept: Kept, spanning: bool = False) -> DataFrame:
     """(u, v), u < v: pairs of a cell with different roots that set sizes and bitmaps allow.
 
     A cell is dealt into chunks of about cell_rows rows, a root of cell_rows rows and more having
     chunks of its own; each pair of chunks is one group of bounded size, and chunks of one root are
-    not compared, so a cell in which one root is common costs no square.
+    not compared, so a cell in which one root is common costs no square. spanning: of the pairs of a group
+    only as many as join all roots that its pairs join; where most of them hold, few pairs are left for a
+    second look at all of them.
     """
     rooted = kept.keep(cells.select("h", "node").join(roots, "node"))
     per_root = rooted.groupBy("h", "root").agg(F.count("*").alias("rows"))
@@ -254,9 +256,24 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
                 node, root, n, bits = node[order], root[order], n[order], bits[order]
                 ends = np.searchsorted(n, n / least + 1e-6, side="right")
                 found = []
+                parent: dict[int, int] = {}
+
+                def top(x: int, parent=parent) -> int:
+                    while x in parent:
+                        x = parent[x]
+                    return x
+
                 for i, end in enumerate(ends):
                     at = np.flatnonzero(root[i + 1 : end] != root[i]) + i + 1
                     at = at[np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most_difference(n[at].astype(float), float(n[i]), least)]
+                    if spanning and len(at):
+                        chosen = []
+                        for j in at.tolist():
+                            a, b = top(int(root[i])), top(int(root[j]))
+                            if a != b:
+                                parent[max(a, b)] = min(a, b)
+                                chosen.append(j)
+                        at = np.array(chosen, np.int64)
                     if len(at):
                         found.append((np.minimum(node[at], node[i]), np.maximum(node[at], node[i])))
                 if found:
@@ -303,14 +320,19 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float
     first = _bounded(ordered(stars.unionByName(equal).unionByName(near)), nodes, least, kept)
     edges = _settled(first, docs, nodes, id_col, text_col, width, least, kept)
     roots = kept.keep(nodes.select("node").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
-    rest = kept.keep(_rest(cells, nodes, roots, least, cell_rows, kept).join(first, ["u", "v"], "left_anti"))
-    kept.drop(cells, first, edges)
+    second = _bounded(_rest(cells, nodes, roots, least, cell_rows, kept, spanning=True).join(first, ["u", "v"], "left_anti"), nodes, least, kept)
+    links_ = _settled(second, docs, nodes, id_col, text_col, width, least, kept)
+    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    joined_by = lambda found: found.join(of("u"), "u").join(of("v"), "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))  # noqa: E731  links of components
+    again = connected_components(joined_by(links_)).select(F.col("node").alias("root"), F.col("root").alias("wider"))
+    roots, narrow = kept.keep(roots.join(again, "root", "left").select("node", F.coalesce("wider", "root").alias("root"))), roots
+    tried = first.unionByName(second)
+    rest = kept.keep(_rest(cells, nodes, roots, least, cell_rows, kept).join(tried, ["u", "v"], "left_anti"))
+    kept.drop(cells, first, second, edges, links_, narrow)
     bounded = _bounded(rest, nodes, least, kept)
     kept.drop(rest)
     more = _settled(bounded, docs, nodes, id_col, text_col, width, least, kept)
-    of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-    between = more.join(of("u"), "u").join(of("v"), "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))  # links of components
-    merged = connected_components(between).select(F.col("node").alias("root"), F.col("root").alias("final"))
+    merged = connected_components(joined_by(more)).select(F.col("node").alias("root"), F.col("root").alias("final"))
     joined = kept.keep(nodes.select("node", F.col("first.doc_id").alias("least")).join(roots, "node").join(merged, "root", "left").select("node", "least", F.coalesce("final", "root").alias("root")))
     smallest = kept.keep(joined.groupBy("root").agg(F.min("least").alias("component_id")))
     named = cut(rows.select("doc_id", "digest", "node").join(joined.join(smallest, "root").select("node", "root", "component_id"), "node").select("doc_id", "digest", "root", "component_id"))
