@@ -70,7 +70,7 @@ def test_known_sheet_names(spark):
     rows = spark.createDataFrame(C.KNOWN_NAMES, "name string, domain string")
     got = rows.select("name", "domain", C.classification(norm(F.col("name")), F.lit(""), F.lit("")).alias("k")).collect()
     assert [(r.name, r.k.domain) for r in got if r.k.domain != r.domain] == []
-    assert all(len(k) >= 2 for *_, words in C.RULES for k in words)
+    assert all(len(k) >= 2 for _, _, words, _ in C.RULES for k in words)
     one = spark.range(1).select(C.classification(F.lit("14. xk hang"), F.lit(""), F.lit("")).alias("k"), C.classification(F.lit(""), F.lit(""), F.lit("bang lao dong")).alias("b"), C.classification(F.lit("z"), F.lit(""), F.lit("")).alias("z")).first()
     assert (one.k.method, one.k.confidence, one.b.confidence, one.b.needs_review, one.z.domain) == ("sheet_name_override:exports", 1.0, 0.70, True, "other_or_unknown")
 
