@@ -13,18 +13,21 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..operators import quality as Q
-from ..operators.curated import curate, keep_first
-from ..operators.upsert import align, insert_only, reconcile_counts, sweep_stale, update_matched, upsert
+from ..operators.curated import curate, dim_geography, dim_indicator, keep_first
+from ..operators.upsert import align, insert_only, reconcile_counts, sweep_stale, update_in, update_matched, upsert
 from ..settle import settled
 from ..sources import pages as P
 from ..sources.xlsx import read_workbooks, repair_sheets
-from .extract import extract_observations
-from .tables import OBSERVATION, exists, qualified, write_observations, write_swapped
+from .extract import extract_observations, extracted_cells, inventory, number_sheets
+from .tables import OBSERVATION, exists, merge_buckets, qualified, write_observations, write_swapped
 
 c = F.col
 PARSE_STATUS = ("parse_status", "parse_error_message", "extraction_status", "updated_at")
 LOG_COLUMNS = "attachment_id string, report_id string, attachment_type string, attachment_role string, download_status string, download_attempts int, download_error_message string, parse_status string, parse_error_message string, extraction_status string, extraction_rows_inserted long, updated_at timestamp"
 
+#: Dimensions that outlive a run, with their keys.
+DIMENSIONS = {"dim_indicator": (dim_indicator, ["indicator_name_normalized", "indicator_domain", "indicator_subdomain"]), "dim_geography": (dim_geography, ["geography_normalized"])}
+
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}")
@@ -37,6 +40,13 @@ def _merge(fresh: DataFrame, root: str, name: str, keys: list[str], merge: Calla
     write_swapped(merge(spark.read.parquet(path), fresh, keys) if exists(spark, path) else fresh, path)
 
 
+def merge_listed(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    """attachments with what a crawl lists: known files take what their page says now and keep what their download found."""
+    found = ("local_path", "file_size_bytes", "content_hash")
+    columns = {k: F.coalesce(f"s.{k}", f"t.{k}") if k in found else k for k in target.columns if k not in keys}
+    return insert_only(update_matched(target, source, keys, columns), source, keys)
+
+
 def crawl_reports(pages: DataFrame, root: str, get: Callable[[str], bytes], run_ts: str, **options) -> None:
     """Reports of the archive pages, the files that their pages link, and log rows for files not seen before."""
     reports = settled(P.crawl(pages, **options))
@@ -44,14 +54,17 @@ def crawl_reports(pages: DataFrame, root: str, get: Callable[[str], bytes], run_
     bodies = P.fetch(asked, get).filter("download_status = 'success'").select(c("attachment_id").alias("report_id"), c("content").cast("string").alias("html"))
     linked = settled(P.attachments(reports, reports.select("report_id", "report_url").join(bodies, "report_id").select("report_url", "html")))
     _merge(reports, root, "reports", ["report_id"])
-    _merge(linked.drop("download_status").withColumn("local_path", F.lit(None).cast("string")), root, "attachments", ["attachment_id"], insert_only)
+    _merge(linked.drop("download_status").withColumn("local_path", F.lit(None).cast("string")), root, "attachments", ["attachment_id"], merge_listed)
     log = linked.filter("attachment_role <> 'inline_html'").select("attachment_id", "report_id", "attachment_type", "attachment_role", F.lit("pending").alias("download_status"), F.lit(run_ts).cast("timestamp").alias("updated_at"))
     schema = log.sparkSession.createDataFrame([], LOG_COLUMNS).schema
     _merge(align(log, schema), root, "log", ["attachment_id"], insert_only)
 
 
 def download_files(spark: SparkSession, root: str, get: Callable[[str], bytes], run_ts: str, refresh: bool = False, **options) -> None:
-    """Fetch the files that the log has not as downloaded and present; their paths go to `attachments`, their status to `log`."""
+    """Fetch the files that the log has not as downloaded and present; their paths go to `attachments`, their status to `log`.
+
+    A file is parsed anew only if its content changed; one that cannot be fetched again keeps what was parsed.
+    """
     store = qualified(spark, f"{root}/files")
     files, log, reports = (read(spark, root, name) for name in ("attachments", "log", "reports"))
     known = log.join(files.select("attachment_id", "local_path"), "attachment_id")
@@ -60,9 +73,11 @@ def download_files(spark: SparkSession, root: str, get: Callable[[str], bytes],
     wanted = P.pending_downloads(P.reuse_downloads(candidates, known, present, refresh))
     path = H.storage_path(c("report_year"), c("report_month"), c("period_type"), c("attachment_id"), c("filename"))
     got = settled(P.download(wanted.withColumn("storage_path", path), get, store, **options))
-    stamped = got.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
-    again = c("s.download_status") == "success"  # a file fetched anew is parsed anew
-    columns = {k: k for k in ("download_status", "download_attempts", "download_error_message", "updated_at")} | {"parse_status": F.when(again, F.lit("pending")).otherwise(c("t.parse_status"))}
+    held = files.select("attachment_id", F.coalesce("content_hash", F.lit("")).alias("held_hash"))
+    stamped = got.join(held, "attachment_id").withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
+    again = c("s.download_status") == "success"
+    changed = again & (F.coalesce("s.content_hash", F.lit("")) != c("s.held_hash"))
+    columns = {k: k for k in ("download_status", "download_attempts", "download_error_message", "updated_at")} | {"parse_status": F.when(changed, F.lit("pending")).otherwise(c("t.parse_status"))}
     write_swapped(update_matched(log, stamped, ["attachment_id"], columns), f"{root}/log")
     write_swapped(update_matched(files, got, ["attachment_id"], {k: k for k in ("local_path", "file_size_bytes", "content_hash")}, again), f"{root}/attachments")
 
@@ -83,7 +98,7 @@ def parse_files(spark: SparkSession, root: str, run_ts: str) -> None:
     sheets = repair_sheets(read_workbooks(spark.read.format("binaryFile").load(paths))).join(waiting, c("path") == c("local_path")).drop("path", "local_path")
     parsed = settled(sheets.withColumn("parsed_timestamp", F.lit(run_ts).cast("timestamp")))
     good = parsed.filter("parse_status = 'success'")
-    _merge(good.drop("parse_status", "parse_error"), root, "parsed", ["attachment_id", "sheet_index"])
+    merge_buckets(good.drop("parse_status", "parse_error"), f"{root}/parsed", ["attachment_id"], lambda old, new: upsert(old, new, ["attachment_id", "sheet_index"]))
     done = parsed.groupBy("attachment_id").agg(F.min("parse_status").alias("parse_status"), F.max("parse_error").alias("parse_error_message"))
     unread = waiting.join(done, "attachment_id", "left_anti").select("attachment_id", F.lit("failed").alias("parse_status"), F.lit("not a workbook that can be read").alias("parse_error_message"))
     status = done.unionByName(unread).withColumn("extraction_status", F.when(c("parse_status") == "success", "pending")).withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
@@ -98,6 +113,27 @@ def processed_keys(*parts: DataFrame) -> DataFrame:
     return every.filter("attachment_id is not null").distinct()
 
 
+def reset_extraction(spark: SparkSession, root: str, run_ts: str, attachments: DataFrame | None = None) -> int:
+    """Let parsed workbooks be extracted again, all or those that `attachments` names; how many there are."""
+    log = read(spark, root, "log")
+    wanted = log.filter("parse_status = 'success'").select("attachment_id").join(read(spark, root, "parsed").select("attachment_id"), "attachment_id", "left_semi")
+    if attachments is not None:
+        wanted = wanted.join(attachments.select("attachment_id"), "attachment_id", "left_semi")
+    wanted = settled(wanted)
+    write_swapped(update_in(log, "attachment_id", wanted, {"extraction_status": F.lit("pending"), "updated_at": F.lit(run_ts).cast("timestamp")}), f"{root}/log")
+    return wanted.count()
+
+
+def write_sheets(waiting: DataFrame, root: str) -> None:
+    """Inventory and cells of the waiting sheets, in place of what the tables had of these sheets."""
+    where = waiting.select("attachment_id", "sheet_index", "report_id", "parsed_timestamp")
+    listed = number_sheets(where).drop("table_id").join(inventory(waiting), "sheet_id")
+    sheets = lambda old, new: upsert(old, new, ["sheet_id"])
+    merge_buckets(listed, f"{root}/sheets", ["attachment_id"], sheets)
+    by_sheet = lambda old, new: old.join(new.select("sheet_id").distinct(), "sheet_id", "left_anti").select(*new.columns).unionByName(new)
+    merge_buckets(extracted_cells(waiting), f"{root}/cells", ["attachment_id"], by_sheet)
+
+
 def extract_tables(spark: SparkSession, root: str, run_ts: str) -> None:
     """Observations of the sheets that wait for it; rows that an earlier run had of them and this one has not go."""
     log = read(spark, root, "log")
@@ -106,6 +142,7 @@ def extract_tables(spark: SparkSession, root: str, run_ts: str) -> None:
     waiting = settled(P.pending_sheets(read(spark, root, "parsed"), read(spark, root, "reports"), log))
     keys = processed_keys(waiting, log.filter("extraction_status = 'failed'"))
     fresh = settled(keep_first(align(extract_observations(waiting, run_ts), OBSERVATION), ["indicator_observation_id"], F.asc("source_row_index"), F.asc("source_column_index")))
+    write_sheets(waiting, root)
     path = f"{root}/observations"
     every = upsert(spark.read.parquet(path).select(*fresh.columns), fresh, ["indicator_observation_id"]) if exists(spark, path) else fresh
     kept = settled(sweep_stale(every, "attachment_id", keys, "extracted_timestamp", F.lit(run_ts).cast("timestamp")))
@@ -114,17 +151,38 @@ def extract_tables(spark: SparkSession, root: str, run_ts: str) -> None:
     _merge(counted.withColumn("updated_at", F.lit(run_ts).cast("timestamp")), root, "log", ["attachment_id"])
 
 
-def curate_and_gate(spark: SparkSession, root: str, as_of: str, thresholds: dict[str, int] | None = None) -> DataFrame:
-    """Write the curated table and give the gate's rows."""
+def keep_dimensions(observations: DataFrame, root: str) -> dict[str, DataFrame]:
+    """The lasting dimensions with the keys that the observations add; rows that are there, such as ones mapped by hand, stay as they are."""
+    spark = observations.sparkSession
+    for name, (derive, keys) in DIMENSIONS.items():
+        path, derived = f"{root}/{name}", settled(derive(observations))
+        if not exists(spark, path):
+            write_swapped(derived, path)
+            continue
+        old = spark.read.parquet(path)
+        both = settled(insert_only(old, align(derived, old.schema), keys))
+        if both.count() > old.count():
+            write_swapped(both, path)
+    return {name: read(spark, root, name) for name in DIMENSIONS}
+
+
+def curate_and_gate(spark: SparkSession, root: str, as_of: str, thresholds: dict[str, int] | None = None, lasting_dimensions: bool = False) -> DataFrame:
+    """Write the curated table and give the gate's rows.
+
+    Dimensions are derived anew, or with lasting_dimensions kept from run to run, so that names and
+    codes put in by hand survive; units are always derived, as their scale follows the rows.
+    """
     observations = read(spark, root, "observations")
-    write_swapped(curate(observations, read(spark, root, "reports")), f"{root}/curated", ["indicator_domain"])
+    dims = keep_dimensions(observations, root) if lasting_dimensions else {}
+    curated = curate(observations, read(spark, root, "reports"), dims.get("dim_indicator"), dims.get("dim_geography"))
+    write_swapped(curated, f"{root}/curated", ["indicator_domain"])
     return Q.gate(observations, read(spark, root, "curated"), as_of, thresholds)
 
 
-def run_month(spark: SparkSession, root: str, pages: DataFrame, get: Callable[[str], bytes], run_ts: str, thresholds: dict[str, int] | None = None, **options) -> DataFrame:
-    """All steps in order; the gate's rows, to be looked at or enforced."""
+def run_month(spark: SparkSession, root: str, pages: DataFrame, get: Callable[[str], bytes], run_ts: str, thresholds: dict[str, int] | None = None, lasting_dimensions: bool = False, refresh: bool = False, **options) -> DataFrame:
+    """All steps in order; the gate's rows, to be looked at or enforced. With refresh all files are fetched again."""
     crawl_reports(pages, root, get, run_ts, **options)
-    download_files(spark, root, get, run_ts)
+    download_files(spark, root, get, run_ts, refresh)
     parse_files(spark, root, run_ts)
     extract_tables(spark, root, run_ts)
-    return curate_and_gate(spark, root, run_ts[:10], thresholds)
+    return curate_and_gate(spark, root, run_ts[:10], thresholds, lasting_dimensions)

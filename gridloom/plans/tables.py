@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.upsert import align
+from ..settle import settled
+
+BUCKET = "key_bucket"  # partition column of tables that are merged by bucket
 
 #: Columns of the observation table; everything that writes one aligns to this.
 OBSERVATION = T.StructType([
@@ -79,6 +83,24 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def merge_buckets(fresh: DataFrame, path: str, bucket_by: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64) -> None:
+    """Merge rows into a table that is partitioned by a hash of bucket_by; only buckets that they fall into are read and rewritten.
+
+    merge(old, fresh) gives the new rows of those buckets and keeps some of the fresh ones, so that no
+    bucket is left empty. A run that is repeated after a failure gives the same table if merge is idempotent.
+    """
+    spark = fresh.sparkSession
+    rows = settled(fresh.withColumn(BUCKET, F.pmod(F.xxhash64(*bucket_by), F.lit(buckets)).cast("int")))
+    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most `buckets`
+    if not touched:
+        return
+    if not exists(spark, path):
+        write_partitions(rows, path, [BUCKET])
+        return
+    old = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
+    write_partitions(settled(merge(old, rows.select(*old.columns))), path, [BUCKET])  # settled: it reads what it replaces
+
+
 def write_observations(df: DataFrame, path: str) -> None:
     """Observations by domain: one table that serves all topic views by partition pruning.
 

@@ -8,11 +8,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.curated import keep_first
 from ..operators.upsert import upsert
-from ..plans.tables import write_partitions
+from ..plans.tables import BUCKET, write_partitions
 from ..settle import settled
 
-BUCKET = "key_bucket"  # partition column of the target
-
 
 def upsert_stream(spark: SparkSession, source: str, schema: StructType, target: str, keys: list[str], newest: str, checkpoint: str, buckets: int = 64) -> None:
     """Merge files that arrived since the last run into a table and stop.

@@ -77,6 +77,67 @@ def test_monthly_run(spark, tmp_path):
     assert len(stored) == 4 and all("/report_year=2024/report_month=0" in r.local_path and r.content_hash for r in stored)
 
 
+def test_second_month(spark, tmp_path):
+    """Unchanged files are not parsed again, a changed one is; names put in by hand stay; buckets without new rows stay as files."""
+    root = str(tmp_path)
+    pages = spark.createDataFrame([(1, "https://a.example/list", item(1, 3) + item(2, 4))], "page_no int, url string, html string")
+    get = web()
+    job.run_month(spark, root, pages, get, "2024-05-01 00:00:00", lasting_dimensions=True)
+    stamps = lambda: {r.attachment_id: (r.parsed_timestamp.month, r.sheet_name_raw) for r in job.read(spark, root, "parsed").filter("sheet_index = 1").collect()}
+    files = lambda name: {p.relative_to(tmp_path).as_posix() for p in (tmp_path / name).rglob("*.parquet")}
+    by_hand = job.read(spark, root, "dim_indicator").withColumn("indicator_name_en", F.when(F.col("indicator_name_raw") == "Khai khoang", "Mining").otherwise(F.col("indicator_name_en"))).withColumn("code", F.lit("B"))
+    tables.write_swapped(by_hand, f"{root}/dim_indicator")
+    assert {m for m, _ in stamps().values()} == {5} and job.read(spark, root, "sheets").count() == 4 and job.read(spark, root, "cells").filter("cell_value_clean = 'Khai khoang'").count() == 2
+    before = {name: files(name) for name in ("parsed", "cells")}
+
+    job.download_files(spark, root, get, "2024-06-01 00:00:00", refresh=True)  # the same bytes
+    job.parse_files(spark, root, "2024-06-01 00:00:00")
+    assert {m for m, _ in stamps().values()} == {5} and {name: files(name) for name in before} == before
+    assert {r.updated_at.month for r in job.read(spark, root, "log").filter("download_status = 'success'").collect()} == {6}
+    assert {r.parse_status for r in job.read(spark, root, "log").filter("attachment_type = 'xlsx'").collect()} == {"success"}
+
+    fresh = book({"2. IIP": [*sheet(7.0), ["Dien", 1.5, 2.5]], "Ghi chu": [["note"]]})
+    changed = lambda url: fresh if url.endswith("2.xlsx") else get(url)
+    job.run_month(spark, root, pages, changed, "2024-07-01 00:00:00", lasting_dimensions=True, refresh=True)
+    assert sorted(m for m, _ in stamps().values()) == [5, 7]
+    for name in before:
+        folders = lambda paths: {p.split("/")[1]: p for p in sorted(paths)}
+        old, new = folders(before[name]), folders(files(name))
+        assert len(old) == 2 and [old[k] == new[k] for k in sorted(old)].count(True) == 1
+    assert job.read(spark, root, "observations").count() == 10 and job.read(spark, root, "cells").filter("cell_value_clean = 'Dien'").count() == 1
+    curated = {(r.indicator_name_raw, r.indicator_name_en) for r in job.read(spark, root, "curated").collect()}
+    assert {("Khai khoang", "Mining"), ("Dien", "Dien"), ("Toan nganh", "Toan nganh")} == curated
+    dims = {r.indicator_name_raw: r.code for r in job.read(spark, root, "dim_indicator").collect()}
+    assert dims == {"Khai khoang": "B", "Toan nganh": "B", "Dien": None}
+
+    one = job.read(spark, root, "parsed").limit(1).select("attachment_id")
+    assert job.reset_extraction(spark, root, "2024-08-01 00:00:00", one) == 1
+    assert sorted(r.extraction_status for r in job.read(spark, root, "log").filter("attachment_type = 'xlsx'").collect()) == ["pending", "success"]
+    assert job.reset_extraction(spark, root, "2024-08-01 00:00:00") == 2
+
+
+def test_a_page_that_lists_a_file_anew(spark):
+    schema = "attachment_id string, link_label string, local_path string, file_size_bytes long, content_hash string"
+    held = spark.createDataFrame([("a", "old", "/f/a", 5, "h"), ("b", "kept", "/f/b", 6, "i"), ("page", None, None, 7, "j")], schema)
+    listed = spark.createDataFrame([("a", "new", None, None, None), ("page", None, None, 8, "k"), ("c", "added", None, None, None)], schema)
+    got = sorted(tuple(r) for r in job.merge_listed(held, listed, ["attachment_id"]).collect())
+    assert got == [("a", "new", "/f/a", 5, "h"), ("b", "kept", "/f/b", 6, "i"), ("c", "added", None, None, None), ("page", None, None, 8, "k")]
+
+
+def test_merge_by_bucket(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    merge = lambda old, new: job.upsert(old, new, ["k"])
+    tables.merge_buckets(rows(), path, ["k"], merge)
+    assert not tables.exists(spark, path)
+    tables.merge_buckets(rows(*[(str(i), i) for i in range(200)], (None, -1)), path, ["k"], merge, 8)
+    tables.merge_buckets(rows(), path, ["k"], merge, 8)
+    for _ in range(2):  # a repeated run changes nothing
+        tables.merge_buckets(rows(("7", 70), (None, -2), ("new", 1)), path, ["k"], merge, 8)
+    want = {str(i): i for i in range(200)} | {"7": 70, None: -2, "new": 1}
+    assert spark.read.parquet(path).count() == 202 and {r.k: r.v for r in spark.read.parquet(path).collect()} == want
+
+
 def test_parse_status_leaves_extraction_alone_on_failure(spark):
     schema = "attachment_id string, parse_status string, parse_error_message string, extraction_status string, updated_at timestamp"
     log = spark.createDataFrame([("a", "pending", None, "success", None), ("b", "failed", "x", None, None), ("c", "pending", None, "empty", None)], schema)
