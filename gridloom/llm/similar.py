@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Kept, by_batch, cut, text_bytes
+from .common import Kept, arrow_rows, by_batch, cut, text_bytes
 from .components import connected_components
 from .simhash import keep_smallest, links, majority, shingle_hashes
 
@@ -30,6 +30,8 @@ BROADCAST_ROWS = 200_000  # of 8 to 24 bytes; how a side is joined, not which
 BROADCAST_SHINGLES = 4_000_000  # of 8 bytes; whether unshared shingles are dropped before the join or by it
 FIRST_HUBS = 2  # of a set that are settled first; all other pairs of its cells follow where these leave them apart
 PARTNERS = 64  # of a text that are compared with one copy of it
+BATCH_ROWS = 1_000  # texts, sets or their prefixes that an Arrow batch holds
+BATCH_GROUPS = 256  # pairs of chunks that one holds, each of up to 2 * cell_rows sets
 
 
 def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
@@ -97,7 +99,8 @@ def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sam
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate([shingle_set(b, width) for b in batch.column(1).to_pylist()]).view(np.int64))], ["h"])
 
     found = rows.mapInArrow(by_batch(run), "h long").groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") >= sample_docs)
-    kept = found.orderBy(F.desc("n"), "h").limit(most).select("h").toArrow()
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        kept = found.orderBy(F.desc("n"), "h").limit(most).select("h").toArrow()
     return np.sort(kept.column("h").to_numpy().view(np.uint64))
 
 
@@ -149,7 +152,7 @@ def _cells(rows: DataFrame, kept: Kept) -> DataFrame:
     shared = kept.keep(found.groupBy("h").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).filter("hub < _last").select("h", "hub"))
     if shared.count() <= BROADCAST_SHINGLES:  # what is not shared need not move again
         found = _with(rows, shared)
-    cells = kept.keep(found.join(_small(shared), "h").groupBy("h", "node").agg(F.first("hub").alias("hub")))
+    cells = kept.keep(found.join(_small(shared), "h").groupBy("h", "node").agg(F.first("hub").alias("hub")), BATCH_ROWS)
     kept.drop(shared)
     return cells
 
@@ -202,7 +205,7 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, least: float, kept: Kept) -> Da
         x, y = (w if len(w) == words else w[:words] ^ w[words:] for _, w in (a, b))
         return int(np.bitwise_count(x ^ y).sum()) <= most_difference(a[0], b[0], least)
 
-    found = kept.keep(_side_by_side(sized, nodes.select("node", F.struct("n", "wide").alias("body")), unpack, fits))
+    found = kept.keep(_side_by_side(sized, nodes.select("node", F.struct("n", "wide").alias("body")), unpack, fits), BATCH_ROWS)
     kept.drop(sized)
     return found
 
@@ -279,7 +282,7 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["u", "v"])
 
-    found = kept.keep(dealt.mapInArrow(run, "u long, v long").distinct())
+    found = kept.keep(dealt.mapInArrow(run, "u long, v long").distinct(), BATCH_GROUPS)
     kept.drop(rooted, per_cell)
     return found
 
