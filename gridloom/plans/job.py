@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import html as H
+from ..functions.text import norm
 from ..operators import quality as Q
 from ..operators.curated import curate, dim_geography, dim_indicator, keep_first
 from ..operators.upsert import align, insert_only, reconcile_counts, sweep_stale, update_in, update_matched, upsert
@@ -19,25 +20,42 @@ from ..settle import settled
 from ..sources import pages as P
 from ..sources.xlsx import read_workbooks, repair_sheets
 from .extract import extract_observations, extracted_cells, inventory, number_sheets
+from .schemas import conform, required, schema
 from .tables import OBSERVATION, exists, merge_buckets, qualified, write_observations, write_swapped
 
 c = F.col
 PARSE_STATUS = ("parse_status", "parse_error_message", "extraction_status", "updated_at")
-LOG_COLUMNS = "attachment_id string, report_id string, attachment_type string, attachment_role string, download_status string, download_attempts int, download_error_message string, parse_status string, parse_error_message string, extraction_status string, extraction_rows_inserted long, updated_at timestamp"
 
 #: Dimensions that outlive a run, with their keys.
 DIMENSIONS = {"dim_indicator": (dim_indicator, ["indicator_name_normalized", "indicator_domain", "indicator_subdomain"]), "dim_geography": (dim_geography, ["geography_normalized"])}
 
 
+#: Tables of which a run rewrites some buckets only, so that older files may lack columns.
+BUCKETED = ("parsed", "sheets", "cells", "sheet_reports", "sheet_log")
+
+
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    return spark.read.option("mergeSchema", name in BUCKETED).parquet(f"{root}/{name}")
+
+
+def _put(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> None:
+    """Put df in the place of a table, whose schema it takes; nulls in required columns are refused."""
+    write_swapped(conform(df, name), f"{root}/{name}", partition_by, required(name))
 
 
 def _merge(fresh: DataFrame, root: str, name: str, keys: list[str], merge: Callable[..., DataFrame] = upsert) -> None:
-    """Put fresh rows into a table, which they begin if there is none."""
+    """Put fresh rows into a table, which they begin if there is none; both sides take the table's schema first, so tables of older runs still merge."""
     spark, path = fresh.sparkSession, f"{root}/{name}"
-    fresh = settled(fresh)
-    write_swapped(merge(spark.read.parquet(path), fresh, keys) if exists(spark, path) else fresh, path)
+    fresh = settled(conform(fresh, name))
+    if exists(spark, path):
+        old = conform(spark.read.parquet(path), name)
+        fresh = merge(old, align(fresh, old.schema), keys)
+    _put(fresh, root, name)
+
+
+def _merge_buckets(fresh: DataFrame, root: str, name: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+    """Put fresh rows into a table that is kept by buckets of the attachment."""
+    merge_buckets(conform(fresh, name), f"{root}/{name}", ["attachment_id"], merge, required=required(name))
 
 
 def merge_listed(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -56,8 +74,7 @@ def crawl_reports(pages: DataFrame, root: str, get: Callable[[str], bytes], run_
     _merge(reports, root, "reports", ["report_id"])
     _merge(linked.drop("download_status").withColumn("local_path", F.lit(None).cast("string")), root, "attachments", ["attachment_id"], merge_listed)
     log = linked.filter("attachment_role <> 'inline_html'").select("attachment_id", "report_id", "attachment_type", "attachment_role", F.lit("pending").alias("download_status"), F.lit(run_ts).cast("timestamp").alias("updated_at"))
-    schema = log.sparkSession.createDataFrame([], LOG_COLUMNS).schema
-    _merge(align(log, schema), root, "log", ["attachment_id"], insert_only)
+    _merge(align(log, schema("log")), root, "log", ["attachment_id"], insert_only)
 
 
 def download_files(spark: SparkSession, root: str, get: Callable[[str], bytes], run_ts: str, refresh: bool = False, **options) -> None:
@@ -78,8 +95,8 @@ def download_files(spark: SparkSession, root: str, get: Callable[[str], bytes],
     again = c("s.download_status") == "success"
     changed = again & (F.coalesce("s.content_hash", F.lit("")) != c("s.held_hash"))
     columns = {k: k for k in ("download_status", "download_attempts", "download_error_message", "updated_at")} | {"parse_status": F.when(changed, F.lit("pending")).otherwise(c("t.parse_status"))}
-    write_swapped(update_matched(log, stamped, ["attachment_id"], columns), f"{root}/log")
-    write_swapped(update_matched(files, got, ["attachment_id"], {k: k for k in ("local_path", "file_size_bytes", "content_hash")}, again), f"{root}/attachments")
+    _put(update_matched(log, stamped, ["attachment_id"], columns), root, "log")
+    _put(update_matched(files, got, ["attachment_id"], {k: k for k in ("local_path", "file_size_bytes", "content_hash")}, again), root, "attachments")
 
 
 def update_parse_status(log: DataFrame, status: DataFrame) -> DataFrame:
@@ -98,11 +115,11 @@ def parse_files(spark: SparkSession, root: str, run_ts: str) -> None:
     sheets = repair_sheets(read_workbooks(spark.read.format("binaryFile").load(paths))).join(waiting, c("path") == c("local_path")).drop("path", "local_path")
     parsed = settled(sheets.withColumn("parsed_timestamp", F.lit(run_ts).cast("timestamp")))
     good = parsed.filter("parse_status = 'success'")
-    merge_buckets(good.drop("parse_status", "parse_error"), f"{root}/parsed", ["attachment_id"], lambda old, new: upsert(old, new, ["attachment_id", "sheet_index"]))
+    _merge_buckets(good.drop("parse_status", "parse_error"), root, "parsed", lambda old, new: upsert(old, new, ["attachment_id", "sheet_index"]))
     done = parsed.groupBy("attachment_id").agg(F.min("parse_status").alias("parse_status"), F.max("parse_error").alias("parse_error_message"))
     unread = waiting.join(done, "attachment_id", "left_anti").select("attachment_id", F.lit("failed").alias("parse_status"), F.lit("not a workbook that can be read").alias("parse_error_message"))
     status = done.unionByName(unread).withColumn("extraction_status", F.when(c("parse_status") == "success", "pending")).withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
-    write_swapped(update_parse_status(log, settled(status)), f"{root}/log")
+    _put(update_parse_status(log, settled(status)), root, "log")
 
 
 def processed_keys(*parts: DataFrame) -> DataFrame:
@@ -120,18 +137,41 @@ def reset_extraction(spark: SparkSession, root: str, run_ts: str, attachments: D
     if attachments is not None:
         wanted = wanted.join(attachments.select("attachment_id"), "attachment_id", "left_semi")
     wanted = settled(wanted)
-    write_swapped(update_in(log, "attachment_id", wanted, {"extraction_status": F.lit("pending"), "updated_at": F.lit(run_ts).cast("timestamp")}), f"{root}/log")
+    _put(update_in(log, "attachment_id", wanted, {"extraction_status": F.lit("pending"), "updated_at": F.lit(run_ts).cast("timestamp")}), root, "log")
     return wanted.count()
 
 
-def write_sheets(waiting: DataFrame, root: str) -> None:
-    """Inventory and cells of the waiting sheets, in place of what the tables had of these sheets."""
+def sheet_reports(listed: DataFrame, waiting: DataFrame, observations: DataFrame, run_ts: str) -> DataFrame:
+    """One row for each sheet of the inventory: where it is filed, its period, how many observations it gave.
+
+    A sheet without observations is "empty" and has no period, file name or count but zero.
+    """
+    counted = observations.groupBy(c("sheet_report_id").alias("sheet_id")).agg(F.count("*").cast("int").alias("n"))
+    period = ("report_year", "report_month", "report_quarter", "period_type", "period_start_date", "period_end_date")
+    of_sheet = number_sheets(waiting).select("sheet_id", c("sheet_name_raw"), c("filename").alias("source_filename"), *period)
+    found = listed.join(of_sheet, "sheet_id").join(counted, "sheet_id", "left")
+    now = F.lit(run_ts).cast("timestamp")
+    return found.select(
+        c("sheet_id").alias("sheet_report_id"), "report_id", "attachment_id", "sheet_index", "sheet_name_raw", norm(c("sheet_name_raw")).alias("sheet_name_normalized"),
+        *[F.when(c("n") > 0, c(k)).alias(k) for k in ("source_filename", *period)],
+        c("domain").alias("indicator_domain"), c("subdomain").alias("indicator_subdomain"), "table_title_raw", F.lit("success").alias("parse_status"),
+        F.when(c("n") > 0, F.lit("success")).otherwise(F.lit("empty")).alias("extraction_status"), F.coalesce("n", F.lit(0)).alias("observation_count"),
+        F.coalesce("needs_review", F.lit(False)).alias("needs_review"), now.alias("created_at"), now.alias("updated_at"),
+    )
+
+
+def write_sheets(waiting: DataFrame, observations: DataFrame, root: str, run_ts: str) -> None:
+    """Inventory, cells, reports and log rows of the waiting sheets, in place of what the tables had of these sheets."""
     where = waiting.select("attachment_id", "sheet_index", "report_id", "parsed_timestamp")
-    listed = number_sheets(where).drop("table_id").join(inventory(waiting), "sheet_id")
-    sheets = lambda old, new: upsert(old, new, ["sheet_id"])
-    merge_buckets(listed, f"{root}/sheets", ["attachment_id"], sheets)
+    listed = settled(number_sheets(where).drop("table_id").join(inventory(waiting), "sheet_id"))
+    by = lambda key: lambda old, new: upsert(old, new, [key])
+    _merge_buckets(listed, root, "sheets", by("sheet_id"))
     by_sheet = lambda old, new: old.join(new.select("sheet_id").distinct(), "sheet_id", "left_anti").select(*new.columns).unionByName(new)
-    merge_buckets(extracted_cells(waiting), f"{root}/cells", ["attachment_id"], by_sheet)
+    _merge_buckets(extracted_cells(waiting), root, "cells", by_sheet)
+    reported = settled(sheet_reports(listed, waiting, observations, run_ts))
+    _merge_buckets(reported, root, "sheet_reports", by("sheet_report_id"))
+    logged = reported.select("sheet_report_id", "report_id", "attachment_id", "sheet_index", "parse_status", "extraction_status", c("observation_count").alias("rows_extracted"), c("updated_at").alias("run_timestamp"), "updated_at")
+    _merge_buckets(logged, root, "sheet_log", by("sheet_report_id"))
 
 
 def extract_tables(spark: SparkSession, root: str, run_ts: str) -> None:
@@ -142,11 +182,11 @@ def extract_tables(spark: SparkSession, root: str, run_ts: str) -> None:
     waiting = settled(P.pending_sheets(read(spark, root, "parsed"), read(spark, root, "reports"), log))
     keys = processed_keys(waiting, log.filter("extraction_status = 'failed'"))
     fresh = settled(keep_first(align(extract_observations(waiting, run_ts), OBSERVATION), ["indicator_observation_id"], F.asc("source_row_index"), F.asc("source_column_index")))
-    write_sheets(waiting, root)
+    write_sheets(waiting, fresh, root, run_ts)
     path = f"{root}/observations"
     every = upsert(spark.read.parquet(path).select(*fresh.columns), fresh, ["indicator_observation_id"]) if exists(spark, path) else fresh
     kept = settled(sweep_stale(every, "attachment_id", keys, "extracted_timestamp", F.lit(run_ts).cast("timestamp")))
-    write_observations(kept, path)
+    write_observations(kept, path, required("observations"))
     counted = reconcile_counts(log.join(keys, "attachment_id", "left_semi"), kept, "attachment_id", "extraction_rows_inserted", "extraction_status")
     _merge(counted.withColumn("updated_at", F.lit(run_ts).cast("timestamp")), root, "log", ["attachment_id"])
 
@@ -157,12 +197,12 @@ def keep_dimensions(observations: DataFrame, root: str) -> dict[str, DataFrame]:
     for name, (derive, keys) in DIMENSIONS.items():
         path, derived = f"{root}/{name}", settled(derive(observations))
         if not exists(spark, path):
-            write_swapped(derived, path)
+            _put(derived, root, name)
             continue
-        old = spark.read.parquet(path)
+        old = conform(spark.read.parquet(path), name)
         both = settled(insert_only(old, align(derived, old.schema), keys))
         if both.count() > old.count():
-            write_swapped(both, path)
+            _put(both, root, name)
     return {name: read(spark, root, name) for name in DIMENSIONS}
 
 
@@ -175,7 +215,7 @@ def curate_and_gate(spark: SparkSession, root: str, as_of: str, thresholds: dict
     observations = read(spark, root, "observations")
     dims = keep_dimensions(observations, root) if lasting_dimensions else {}
     curated = curate(observations, read(spark, root, "reports"), dims.get("dim_indicator"), dims.get("dim_geography"))
-    write_swapped(curated, f"{root}/curated", ["indicator_domain"])
+    _put(curated, root, "curated", ["indicator_domain"])
     return Q.gate(observations, read(spark, root, "curated"), as_of, thresholds)
 
 

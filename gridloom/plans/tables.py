@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,18 +53,37 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
-def write_swapped(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+class NullsRefused(ValueError):
+    """Rows with nulls in required columns; `counts` has how many by column, `path` the table that stays as it was."""
+
+    def __init__(self, path: str, counts: dict[str, int]):
+        self.path, self.counts = path, {k: n for k, n in counts.items() if n}
+        super().__init__(f"{path} refused: nulls in " + ", ".join(f"{k} ({n} rows)" for k, n in self.counts.items()))
+
+
+def _nulls(required: tuple[str, ...]) -> list[Column]:
+    return [F.count_if(F.col(k).isNull()).alias(k) for k in required]
+
+
+def write_swapped(df: DataFrame, path: str, partition_by: list[str] | None = None, required: tuple[str, ...] = ()) -> None:
     """Replace the table at path: write the whole new one beside it, then swap folders.
 
+    The write itself counts the nulls of the required columns; if there are any the new rows are deleted,
+    the old table stays and NullsRefused is raised.
+
     df may read the table that it replaces. Until the new rows are complete the old table is not
     touched; if they cannot be put in its place it is put back, and it is deleted last of all. Between the two
     renames there is no table for a moment, so readers that must not see that need a catalog.
     """
     spark, mark = df.sparkSession, uuid.uuid4().hex
     fresh, old = f"{path}.{mark}.new", f"{path}.{mark}.old"
-    writer = df.write.mode("errorifexists")
+    seen = Observation()
+    writer = (df.observe(seen, *_nulls(required)) if required else df).write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(fresh)
     files, name = _files(spark, path)
+    if required and any(seen.get.values()):
+        files.delete(name(fresh), True)
+        raise NullsRefused(path, seen.get)
     had = files.exists(name(path))
     if had:
         rename(spark, path, old)
@@ -83,32 +102,39 @@ def write_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def merge_buckets(fresh: DataFrame, path: str, bucket_by: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64) -> None:
+def merge_buckets(fresh: DataFrame, path: str, bucket_by: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int = 64, required: tuple[str, ...] = ()) -> None:
     """Merge rows into a table that is partitioned by a hash of bucket_by; only buckets that they fall into are read and rewritten.
 
     merge(old, fresh) gives the new rows of those buckets and keeps some of the fresh ones, so that no
     bucket is left empty. A run that is repeated after a failure gives the same table if merge is idempotent.
+    Fresh rows with nulls in required columns raise NullsRefused before anything is written. Columns that
+    only the old or only the fresh rows have are null in the others.
     """
     spark = fresh.sparkSession
     rows = settled(fresh.withColumn(BUCKET, F.pmod(F.xxhash64(*bucket_by), F.lit(buckets)).cast("int")))
-    touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]  # at most `buckets`
+    found = rows.groupBy(BUCKET).agg(F.count("*").alias("_rows"), *_nulls(required)).collect()  # at most `buckets` rows
+    touched = [r[BUCKET] for r in found]
+    counts = {k: sum(r[k] for r in found) for k in required}
+    if any(counts.values()):
+        raise NullsRefused(path, counts)
     if not touched:
         return
     if not exists(spark, path):
         write_partitions(rows, path, [BUCKET])
         return
-    old = spark.read.parquet(path).filter(F.col(BUCKET).isin(touched))
-    write_partitions(settled(merge(old, rows.select(*old.columns))), path, [BUCKET])  # settled: it reads what it replaces
+    old = spark.read.option("mergeSchema", "true").parquet(path).filter(F.col(BUCKET).isin(touched))  # buckets of older runs may lack columns
+    every = T.StructType([*(f for f in rows.schema if f.name != BUCKET), *(f for f in old.schema if f.name != BUCKET and f.name not in rows.columns), rows.schema[BUCKET]])
+    write_partitions(settled(merge(align(old, every), align(rows, every))), path, [BUCKET])  # settled: it reads what it replaces
 
 
-def write_observations(df: DataFrame, path: str) -> None:
+def write_observations(df: DataFrame, path: str, required: tuple[str, ...] = ()) -> None:
     """Observations by domain: one table that serves all topic views by partition pruning.
 
     Rows are dealt by domain and year where adaptive execution may split a large share, so no
     domain-year is one task or one file.
     """
     dealt = align(df, OBSERVATION).hint("rebalance", F.col("indicator_domain"), F.col("report_year"))
-    write_swapped(dealt, path, ["indicator_domain"])
+    write_swapped(dealt, path, ["indicator_domain"], required)
 
 
 def topic_views(spark: SparkSession, path: str, domains: list[str]) -> None:
