@@ -101,6 +101,20 @@ def parse_ranges(sheets: DataFrame, json_col: str = "merged_ranges_json") -> Dat
     return good.select("sheet_id", "n", F.least("b", "d").alias("r1"), F.greatest("b", "d").alias("r2"), F.least("a", "c").alias("c1"), F.greatest("a", "c").alias("c2"))
 
 
+def columns_inside(ranges: DataFrame, cols: DataFrame) -> DataFrame:
+    """The rows of ranges (sheet_id, c1, c2 and more), each with every one of the sheet's cols (sheet_id, col) from c1 to c2.
+
+    A range is filed under the one or two blocks of 2^level columns, as wide as itself or up to twice as
+    wide, that it touches, a column under its block at every level that its sheet has. So a range meets only
+    columns near it, at most four times as many as it holds, and not all columns of its sheet.
+    """
+    level = F.length(F.bin(F.col("c2") - F.col("c1")))
+    filed = ranges.withColumn("level", level).withColumn("block", F.explode(F.expr("array_distinct(array(shiftright(c1, level), shiftright(c2, level)))")))
+    levels = ranges.select("sheet_id", level.alias("level")).distinct()
+    placed = cols.join(levels, "sheet_id").withColumn("block", F.expr("shiftright(col, level)"))
+    return filed.join(placed, ["sheet_id", "level", "block"]).filter(F.col("col").between(F.col("c1"), F.col("c2"))).drop("level", "block")
+
+
 def expand_headers(zoned: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
     """Header cells carried over the columns that they span: sheet_id, row, col, value, number.
 
@@ -115,7 +129,7 @@ def expand_headers(zoned: DataFrame, ranges: DataFrame | None = None) -> DataFra
         source = labels.filter(F.col("number").isNull() | F.col("year")).select("sheet_id", "row", F.col("col").alias("c1"), F.col("value").alias("merged"))
         # only header rows and occupied columns, however far a range reaches
         inside = source.join(ranges, ["sheet_id", "c1"]).filter(F.col("row").between(F.col("r1"), F.col("r2")))
-        spread = inside.join(cols, "sheet_id").filter(F.col("col").between(F.col("c1"), F.col("c2")))
+        spread = columns_inside(inside, cols)
         dense = dense.join(spread.groupBy("sheet_id", "row", "col").agg(F.min_by("merged", "n").alias("merged")), ["sheet_id", "row", "col"], "left")
     else:
         dense = dense.withColumn("merged", F.lit(None).cast("string"))

@@ -187,3 +187,15 @@ def test_headers_equal_loops_over_random_grids(spark):
     given = spark.createDataFrame(ranges, "sheet_id string, n int, r1 int, r2 int, c1 int, c2 int")
     got = {(r.sheet_id, r.col): r.metric_name for r in G.header_names(G.expand_headers(zoned, given), zoned).collect()}
     assert set(got) == set(want) and [(k, got[k], want[k]) for k in want if got[k] != want[k]] == []
+
+
+def test_columns_inside_ranges_equal_loops(spark):
+    rng = random.Random(7)
+    cols = {"wide": sorted(rng.sample(range(1, 16_385), 6_000)), "small": [1, 2, 3, 8], "no ranges": [1, 2]}
+    ranges = [("wide", i, a, min(16_384, a + rng.choice([0, 1, 2, 3, 7, 8, 40]))) for i, a in enumerate(rng.choices(range(1, 16_385), k=4_000))]
+    ranges += [("wide", 4_000, 1, 16_384), ("small", 0, 1, 8), ("small", 1, 2, 3), ("small", 2, 3, 3), ("small", 2, 3, 3), ("small", 3, 4, 7), ("no columns", 0, 1, 2)]
+    given = spark.createDataFrame(ranges, "sheet_id string, n int, c1 int, c2 int")
+    placed = spark.createDataFrame([(s, k) for s, ks in cols.items() for k in ks], "sheet_id string, col int")
+    got = sorted((r.sheet_id, r.n, r.col) for r in G.columns_inside(given, placed).collect())
+    assert got == sorted((s, n, k) for s, n, c1, c2 in ranges for k in cols.get(s, ()) if c1 <= k <= c2)
+    assert G.columns_inside(given.limit(0), placed).count() == 0
