@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.bind import let
-from ..settle import settled
+from ..settle import settled_columns
 from .quality import GROWTH, total, year_missing
 
 c = F.col
@@ -176,17 +176,31 @@ def check_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "key string, category string, op string, threshold double, severity string")
 
 
-def run_checks(curated: DataFrame) -> DataFrame:
+#: What the checks read of the curated table.
+COLUMNS = [
+    "indicator_observation_id", "report_id", "sheet_report_id", "report_year", "report_month", "report_quarter", "period_type", "period_start_date", "period_end_date", "indicator_domain", "indicator_subdomain",
+    "indicator_name_raw", "indicator_name_normalized", "metric_name_raw", "metric_basis", "metric_measure", "metric_ref_month", "metric_ref_year", "metric_ref_quarter", "metric_cumulative_months", "metric_comparison",
+    "metric_period_grain", "metric_type", "unit_raw", "value_numeric", "value_numeric_base_scale", "value_growth_pct", "analytical_unit", "currency", "geography_raw", "sector_raw", "product_raw",
+    "extraction_confidence", "source_filename", "source_sheet_name",
+]
+
+
+def run_checks(curated: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """indicator_domain, key, category, value, op, threshold, severity, passed: one row per domain and check.
 
-    The curated rows are read three times and are therefore settled first.
+    With keys only those checks are made. Up to three groups of checks read the curated rows, which are
+    settled first where there are several, only with the columns that the suite reads.
     """
-    curated = settled(curated)
-    plain, distinct = plain_checks(), distinct_checks()
-    wide = curated.groupBy("indicator_domain").agg(*[k.value.cast("double").alias(k.key) for k in plain])
-    counted = curated.groupBy("indicator_domain").agg(*[k.value.cast("double").alias(k.key) for k in distinct])
-    joined = wide.join(counted, "indicator_domain").join(_by_name(curated), "indicator_domain")
-    every = [k for k in [*plain, *distinct, *NAME_CHECKS]]
+    chosen = lambda checks: [k for k in checks if not keys or k.key in keys]
+    plain, distinct, by_name = chosen(plain_checks()), chosen(distinct_checks()), chosen(NAME_CHECKS)
+    if bool(plain) + bool(distinct) + bool(by_name) > 1:
+        curated = settled_columns(curated.select(*COLUMNS))
+    parts = [curated.groupBy("indicator_domain").agg(*[k.value.cast("double").alias(k.key) for k in checks]) for checks in (plain, distinct) if checks]
+    parts += [_by_name(curated)] if by_name else []
+    joined = parts[0]
+    for part in parts[1:]:
+        joined = joined.join(part, "indicator_domain")
+    every = [*plain, *distinct, *by_name]
     fields = F.array(*[F.struct(F.lit(k.key).alias("key"), F.lit(k.category).alias("category"), c(k.key).alias("value"), F.lit(k.op).alias("op"), F.lit(float(k.threshold)).alias("threshold"), F.lit(k.severity).alias("severity")) for k in every])
     rows = joined.select("indicator_domain", F.explode(fields).alias("k")).select("indicator_domain", "k.*")
     wanted = F.create_map(*[F.lit(x) for d, column in DIMENSION.items() for x in (d, f"{column}_coverage" if column else "any_dimension_coverage")])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bind import let
-from ..settle import settled
+from ..settle import settled_columns
 
 c = F.col
 GROWTH = ("yoy_growth", "mom_growth")
@@ -40,6 +40,13 @@ def review_queue(curated: DataFrame) -> DataFrame:
     return curated.filter("needs_review = true")
 
 
+#: What quality_summary reads of the curated table.
+SUMMARY_COLUMNS = [
+    "indicator_observation_id", "report_id", "attachment_id", "sheet_report_id", "needs_review", "value_numeric", "source_sheet_name", "indicator_name_raw", "metric_name_raw", "unit_raw",
+    "geography_raw", "sector_raw", "product_raw", "period_start_date", "period_end_date", "extracted_timestamp",
+]
+
+
 def quality_summary(curated: DataFrame) -> DataFrame:
     broken = None
     for name in ("source_sheet_name", "indicator_name_raw", "metric_name_raw", "unit_raw", "geography_raw", "sector_raw", "product_raw"):
@@ -91,9 +98,14 @@ def freshness(curated: DataFrame, as_of: str) -> DataFrame:
     return curated.agg(F.max("published_date").alias("latest_published"), F.max("period_end_date").alias("latest_period_end"), _age(as_of).alias("days_since_publish"), F.count_distinct("report_id").alias("reports"), F.count("*").alias("curated_rows"))
 
 
+def extremes(value: str) -> list[Column]:
+    """_least and _most of a column: they differ if it holds several distinct values, which needs no exchange by value."""
+    return [F.min(value).alias("_least"), F.max(value).alias("_most")]
+
+
 def ambiguous_groups(curated: DataFrame, *keys: str) -> DataFrame:
     """Business keys with several rows and several values, with their row counts n."""
-    return curated.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("value_numeric").alias("_values")).filter("n > 1 AND _values > 1").drop("_values")
+    return curated.groupBy(*keys).agg(F.count("*").alias("n"), *extremes("value_numeric")).filter("n > 1 AND _least <> _most").drop("_least", "_most")
 
 
 def business_key_uniqueness(curated: DataFrame) -> DataFrame:
@@ -210,7 +222,7 @@ def gate(observations: DataFrame, curated: DataFrame, as_of: str, thresholds: di
     measures that are sums over the curated rows share one pass; with three more one-row aggregates
     beside it they are turned into rows.
     """
-    curated = settled(curated.select(*GATE_COLUMNS))
+    curated = settled_columns(curated.select(*GATE_COLUMNS))
     missing, rows = total(c("sheet_report_id").isNull()), F.count("*")
     measured = curated.agg(
         _age(as_of).alias("freshness_days_since_publish"), *_semantic(), *_coherence(), *_decomposition(),

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..settle import settled
+from ..settle import settled, settled_columns
 from . import quality as Q
 from .quality import percent, total
 from .ranks import exact_median, numbered
@@ -56,12 +57,20 @@ def indicator_profile(curated: DataFrame, domain: str, most: int = 250) -> DataF
 
 
 def ambiguous_share(curated: DataFrame) -> DataFrame:
-    """Rows in ambiguous groups by domain, and their share."""
-    groups = Q.ambiguous_groups(curated, "sheet_report_id", "indicator_name_raw", "metric_name_raw")
-    named = curated.select("sheet_report_id", "indicator_name_raw", "metric_name_raw", "indicator_domain").filter("sheet_report_id is not null AND metric_name_raw is not null")
-    inside = named.join(groups, ["sheet_report_id", "indicator_name_raw", "metric_name_raw"]).groupBy("indicator_domain").agg(F.count("*").alias("rows_ambiguous"))
-    every = curated.groupBy("indicator_domain").agg(F.count("*").alias("rows"))
-    return every.join(inside, "indicator_domain", "left").withColumn("rows_ambiguous", F.coalesce("rows_ambiguous", F.lit(0))).withColumn("share_pct", percent(c("rows_ambiguous"), c("rows"), 2))
+    """Rows in ambiguous groups by domain, and their share.
+
+    The rows are dealt by business key once; the groups and their domains are counted where they lie.
+    """
+    keys = ["sheet_report_id", "indicator_name_raw", "metric_name_raw"]
+    dealt = curated.select(*keys, "indicator_domain", "value_numeric").repartition(*keys)
+    parts = dealt.groupBy(*keys, "indicator_domain").agg(F.count("*").alias("n"), *Q.extremes("value_numeric"))
+    group = W.partitionBy(*keys)
+    several = (F.sum("n").over(group) > 1) & (F.min("_least").over(group) != F.max("_most").over(group))
+    inside = F.coalesce(several, F.lit(False)) & c(keys[0]).isNotNull() & c(keys[1]).isNotNull() & c(keys[2]).isNotNull()
+    counted = parts.withColumn("_inside", inside).groupBy("indicator_domain").agg(F.sum("n").alias("rows"), F.sum(F.when(c("_inside"), c("n")).otherwise(0)).alias("rows_ambiguous"))
+    # rows without a domain match no group by domain
+    found = counted.withColumn("rows_ambiguous", F.when(c("indicator_domain").isNotNull(), c("rows_ambiguous")).otherwise(0))
+    return found.withColumn("share_pct", percent(c("rows_ambiguous"), c("rows"), 2))
 
 
 def residual_artifacts(tables: list[tuple[DataFrame, str, str]], words: list[str], most: int = 100) -> DataFrame:
@@ -186,6 +195,10 @@ def domain_units(curated: DataFrame, domain: str) -> DataFrame:
     return curated.filter(c("indicator_domain") == domain).groupBy(_shown_unit(), "metric_type").agg(F.count("*").alias("observations"))
 
 
+#: What domain_indicators reads of the curated table.
+SERIES_COLUMNS = ["indicator_domain", "indicator_name_raw", "metric_name_raw", "metric_type", "unit_raw", "sector_raw", "product_raw", "geography_raw", "value_numeric", "period_end_date"]
+
+
 def domain_indicators(curated: DataFrame, domain: str) -> DataFrame:
     """Every series of a domain with its exact median, range and periods, numbered by its rows.
 
@@ -196,7 +209,7 @@ def domain_indicators(curated: DataFrame, domain: str) -> DataFrame:
     breakdown = F.coalesce("sector_raw", "product_raw", "geography_raw", F.lit("")).alias("breakdown")
     keys = [c("indicator_name_raw").alias("indicator"), c("metric_name_raw").alias("metric"), c("metric_type"), _shown_unit(), breakdown]
     names = ["indicator", "metric", "metric_type", "unit", "breakdown"]
-    rows = settled(curated.filter(c("indicator_domain") == domain).select(*keys, "value_numeric", "period_end_date"))
+    rows = settled_columns(curated.filter(c("indicator_domain") == domain).select(*keys, "value_numeric", "period_end_date"))
     shown = lambda value: F.round(value.cast("decimal(38,6)"), 2).cast("double")
     series = rows.groupBy(*names).agg(
         F.count("*").alias("observations"), shown(F.min("value_numeric")).alias("min_value"), shown(F.max("value_numeric")).alias("max_value"),

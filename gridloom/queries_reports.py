@@ -24,17 +24,17 @@ def dashboard_overview(spark, sf_dir):
 
 @query(O.over_curated("SELECT indicator_domain AS domain, count(*) AS observations, count(DISTINCT indicator_name_raw) AS indicators, count(DISTINCT sheet_report_id) AS sheets FROM curated GROUP BY 1"))
 def dashboard_domains(spark, sf_dir):
-    return R.dashboard_domains(curated(spark, sf_dir))
+    return R.dashboard_domains(curated(spark, sf_dir, "indicator_domain", "indicator_name_raw", "sheet_report_id"))
 
 
 @query(O.over_curated("SELECT report_year, indicator_domain AS domain, count(*) AS observations FROM curated WHERE report_year IS NOT NULL GROUP BY 1, 2"))
 def dashboard_timeline(spark, sf_dir):
-    return R.dashboard_timeline(curated(spark, sf_dir))
+    return R.dashboard_timeline(curated(spark, sf_dir, "report_year", "indicator_domain"))
 
 
 @query(O.over_curated("SELECT metric_type, count(*) AS observations FROM curated GROUP BY 1"))
 def dashboard_metric_mix(spark, sf_dir):
-    return R.dashboard_metric_mix(curated(spark, sf_dir))
+    return R.dashboard_metric_mix(curated(spark, sf_dir, "metric_type"))
 
 
 @query(O.over_curated(f"""SELECT indicator_domain AS domain, count(*) AS observations, {_lack('unit_raw IS NULL')} AS pct_no_unit, {_lack("regexp_matches(metric_name_raw, '^column_[0-9]+$')")} AS pct_placeholder_metric, {_lack('geography_raw IS NULL')} AS pct_no_geography,
@@ -50,7 +50,7 @@ def dashboard_reports(spark, sf_dir):
 
 @query(O.over_curated("SELECT period_end_date, period_type, count(*) AS observations FROM curated WHERE period_end_date IS NOT NULL GROUP BY 1, 2"))
 def dashboard_periods(spark, sf_dir):
-    return R.dashboard_periods(curated(spark, sf_dir))
+    return R.dashboard_periods(curated(spark, sf_dir, "period_end_date", "period_type"))
 
 
 @query(O.over_curated(f"SELECT {COUNT} AS observations, {DISTINCT.format('indicator_name_raw')} AS indicators, {DISTINCT.format('sheet_report_id')} AS sheets, min(report_year) || ' - ' || max(report_year) AS year_range FROM curated WHERE indicator_domain = 'industry'"))
@@ -72,7 +72,7 @@ def domain_units(spark, sf_dir):
  SELECT indicator_name_raw AS indicator, metric_name_raw AS metric, metric_type, {SHOWN_UNIT} AS unit, coalesce(sector_raw, product_raw, geography_raw, '') AS breakdown, count(*) AS observations, {ROUNDED.format('quantile_cont(value_numeric, 0.5)')} AS median_value,
  {ROUNDED.format('min(value_numeric)')} AS min_value, {ROUNDED.format('max(value_numeric)')} AS max_value, CAST(min(period_end_date) AS VARCHAR) AS first_period, CAST(max(period_end_date) AS VARCHAR) AS last_period FROM curated WHERE indicator_domain = 'trade_prices' GROUP BY 1, 2, 3, 4, 5)"""))
 def domain_indicators(spark, sf_dir):
-    return R.domain_indicators(curated(spark, sf_dir), "trade_prices")
+    return R.domain_indicators(curated(spark, sf_dir, *R.SERIES_COLUMNS), "trade_prices")
 
 
 @query(O.over_curated("""SELECT indicator_domain AS domain, indicator_subdomain AS subdomain, indicator_name_raw AS indicator, metric_name_raw AS metric, unit_raw AS unit, metric_type, value_numeric, value_growth_pct, source_sheet_name AS sheet FROM curated

@@ -122,4 +122,4 @@ SQL = f"WITH {O.ALL}, named AS (SELECT *, lower(source_sheet_name) AS nm FROM cu
 
 @query(SQL)
 def check_suite_all(spark, sf_dir):
-    return K.run_checks(curated(spark, sf_dir))
+    return K.run_checks(curated(spark, sf_dir, *K.COLUMNS))
