@@ -22,7 +22,7 @@ def to_number(c: Column) -> Column:
     A cell counts only if it is digits, blanks, dots and commas altogether, after a sign, brackets
     for negatives and percent signs are taken off. A final comma with other than three digits behind
     it is a decimal comma, and dots before it are separators; otherwise commas are separators. Plain
-    numbers and cells without a digit, which are nearly all, are settled by a pattern each.
+    numbers and cells without a digit or with a letter, which are nearly all, are settled by a pattern each.
     """
 
     def unwrap(s: Column) -> Column:
@@ -42,7 +42,7 @@ def to_number(c: Column) -> Column:
         return F.when(s["negative"], -value).otherwise(value)
 
     careful = let(let(let(clean_cell(c), unwrap), unsign), read)
-    return F.when(c.rlike(r"^[0-9]+(\.[0-9]+)?$"), c.try_cast("double")).when(c.rlike("[0-9]"), careful)
+    return F.when(c.rlike(r"^[0-9]+(\.[0-9]+)?$"), c.try_cast("double")).when(c.rlike(r"^[^A-Za-z]*[0-9][^A-Za-z]*$"), careful)
 
 
 def column_index(letters: Column) -> Column:

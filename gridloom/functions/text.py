@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .bind import let
 
+#: White space but the plain blank, as `(?U)\s` has it; runs of one plain blank need no replacement.
+_RARE = r"\t-\r\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 NBSP = " "
 
 #: Legacy single-byte glyphs and the letters they stand for; fixed values.
@@ -42,12 +44,13 @@ def _folding() -> tuple[str, str]:
 
 def clean_cell(c: Column) -> Column:
     """Collapse white space, no-break spaces included, and trim; null becomes empty."""
-    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), rf"[{_RARE}][ {_RARE}]*| [ {_RARE}]+", " "))
 
 
 def strip_accents(c: Column) -> Column:
     source, base = _folding()
-    return F.regexp_replace(F.translate(c, source, base), r"\p{Mn}+", "")
+    # a text of as many bytes as characters is plain ASCII and has none
+    return let(c, lambda t: F.when(F.octet_length(t) == F.length(t), t).otherwise(F.regexp_replace(F.translate(t, source, base), r"\p{Mn}+", "")))
 
 
 def norm(c: Column) -> Column:
