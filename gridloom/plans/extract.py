@@ -10,7 +10,7 @@ from ..functions.ids import md5_16
 from ..functions.text import CORRECTIONS, correct_labels, norm
 from ..operators import grid as G
 from ..operators.classify import classification
-from ..settle import settled
+from ..settle import dealt_by, settled_by
 
 
 def number_sheets(parsed: DataFrame) -> DataFrame:
@@ -33,11 +33,13 @@ def extract_observations(parsed: DataFrame, run_ts: str, period_columns: tuple[s
     parsed: attachment_id, report_id, sheet_index, sheet_name_raw, filename, raw_cells_json,
     merged_ranges_json and those of period_columns that it has. Sheets without data rows give none.
     """
-    sheets = number_sheets(parsed)
-    zoned = settled(G.with_zones(G.parse_cells(sheets)))  # read by everything below
+    numbered = number_sheets(parsed)
+    # sheets are dealt while their cells are one text; all below is read back by bucket and not dealt again
+    zoned = settled_by(G.with_zones(G.parse_cells(dealt_by(numbered.select("sheet_id", "raw_cells_json"), "sheet_id"))), "sheet_id")
+    sheets = settled_by(numbered.drop("raw_cells_json"), "sheet_id")
     names = sheets.select("sheet_id", F.col("sheet_name_raw").alias("sheet_name")).distinct()
     filed = classify_sheets(zoned, names)
-    spans = settled(G.expand_headers(zoned, G.parse_ranges(sheets)))
+    spans = settled_by(G.expand_headers(zoned, G.parse_ranges(sheets)), "sheet_id")
     metric = G.header_names(spans, zoned).withColumn("kind", U.metric_type(F.col("metric_name")))
     context = G.context_units(zoned, spans, filed)
     labels = G.row_context(zoned, G.unit_columns(zoned)).filter(G.keeps_row(F.col("label")))

@@ -48,3 +48,12 @@ def test_ambiguous_groups_by_extremes(spark):
     groups = Q.ambiguous_groups(table, "sheet_report_id", "indicator_name_raw").collect()
     assert {(r.sheet_report_id, r.indicator_name_raw): r.n for r in groups} == {("s", "a"): 2, ("s", "d"): 2, (None, "a"): 2, ("s", "f"): 2}
     assert plan(R.ambiguous_share(table)).count("Exchange hashpartitioning") == 2
+
+
+def test_extraction_deals_cells_while_they_are_one_text(spark):
+    rows = queries.queries()["extract_pipeline"](spark, DIR)
+    text = plan(rows)
+    assert "Exchange hashpartitioning" not in text and "Bucketed: true" in text
+    lines = spark.read.parquet(f"{DIR}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct()
+    assert rows.count() == 3 * lines.count() == rows.select("report_id", "source_row_index", "source_column_index").distinct().count()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("settled_")]
