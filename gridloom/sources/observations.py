@@ -14,6 +14,8 @@ DOMAIN_OF_TYPE = {"ECONOMY": "national_accounts", "LARGE": "industry", "MEDIUM":
 CONFIDENCES = [1.0, 0.95, 0.90, 0.70, 0.35]
 UNITS = ["%", "Million USD", "Thousand tonnes", " million usd "]
 SCALES = ["percent", "million", "thousand", "million"]
+#: Suppliers, each a key and the name of a nation, that are broadcast; more are left to the optimiser.
+BROADCAST_PLACES = 2_000_000
 METRIC_TYPES = ["value", "ytd_value", "yoy_growth", "mom_growth", "index", "index_yoy_base100", "share"]
 
 
@@ -33,13 +35,20 @@ def observations(spark: SparkSession, sf_dir: str, by_id: bool = False) -> DataF
     windows over the id then need no exchange of their own.
     """
     c = F.col
-    lines, parts = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
-    places = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), c("s_nationkey") == c("n_nationkey")).select("s_suppkey", "n_name")
-    joined = lines.join(parts, c("l_partkey") == c("p_partkey")).join(places, c("l_suppkey") == c("s_suppkey"))
+    suppliers = table(spark, sf_dir, "supplier")
+    places = suppliers.join(table(spark, sf_dir, "nation"), c("s_nationkey") == c("n_nationkey")).select("s_suppkey", "n_name")
+    if suppliers.count() <= BROADCAST_PLACES:
+        places = F.broadcast(places)
+    metric_type = _nth(METRIC_TYPES, c("l_partkey") % 7)
+    value = F.when(c("l_returnflag") == "A", c("l_quantity")).when(metric_type.rlike("growth|index"), 100 + c("l_discount") * 100).otherwise(c("l_extendedprice"))
+    # of the three amounts of a line only the one that is read moves
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate", value.alias("value"))
+    joined = lines.join(table(spark, sf_dir, "part"), c("l_partkey") == c("p_partkey"))
     order, part, supplier, line, shipped = c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("l_linenumber"), c("l_shipdate")
     observation = md5_16(order, line)
     if by_id:
         joined = joined.repartition(observation)
+    joined = joined.join(places, c("l_suppkey") == c("s_suppkey"))  # names of nations do not move with the lines
     two = lambda x: F.lpad(x.cast("string"), 2, "0")
     year, month = F.year(shipped), F.month(shipped)
     quarterly = line == 3
@@ -56,10 +65,8 @@ def observations(spark: SparkSession, sf_dir: str, by_id: bool = False) -> DataF
         .otherwise(F.concat(basis, F.lit(" / nam")))
     )
     metric = F.when(kind == 4, F.concat(F.lit("column_"), line.cast("string"))).otherwise(F.concat(header, suffix))
-    metric_type = _nth(METRIC_TYPES, part % 7)
     unit = _nth(UNITS, supplier % 5)
     money = unit.rlike("(?i)usd") & ((order * 7 + line) % 100 != 0)
-    value = F.when(c("l_returnflag") == "A", c("l_quantity")).when(metric_type.rlike("growth|index"), 100 + c("l_discount") * 100).otherwise(c("l_extendedprice"))
     confidence = _nth(CONFIDENCES, order % 5)
     domain = F.element_at(F.create_map(*[F.lit(x) for pair in DOMAIN_OF_TYPE.items() for x in pair]), c("p_type"))
     traded = F.when(c("l_returnflag") == "R", "exports").otherwise("imports")
@@ -73,7 +80,7 @@ def observations(spark: SparkSession, sf_dir: str, by_id: bool = False) -> DataF
         F.when(line == 1, "annual").when(quarterly, "quarterly").otherwise("monthly_single_month").alias("sub_category"),
         domain.alias("indicator_domain"), F.when(c("p_type") == "PROMO", traded).otherwise(F.lower("p_type")).alias("indicator_subdomain"),
         c("p_name").alias("indicator_name_raw"), F.lower(F.trim("p_name")).alias("indicator_name_normalized"), metric.alias("metric_name_raw"), metric_type.alias("metric_type"),
-        unit.alias("unit_raw"), _nth(SCALES, supplier % 5).alias("scale"), F.when(money, "USD").alias("currency"), F.when(order % 101 != 0, value).alias("value_numeric"), c("l_returnflag").alias("value_text"),
+        unit.alias("unit_raw"), _nth(SCALES, supplier % 5).alias("scale"), F.when(money, "USD").alias("currency"), F.when(order % 101 != 0, c("value")).alias("value_numeric"), c("l_returnflag").alias("value_text"),
         F.when(part % 11 != 0, c("n_name")).alias("geography_raw"), F.when(supplier % 7 != 0, c("p_type")).alias("sector_raw"), F.when(order % 5 != 0, c("p_brand")).alias("product_raw"),
         F.lit("rule").alias("extraction_method"), confidence.alias("extraction_confidence"), (confidence <= 0.70).alias("needs_review"),
         F.concat(F.lit("file_"), supplier.cast("string"), F.lit(".xlsx")).alias("source_filename"), _nth(SHEET_NAMES, order % len(SHEET_NAMES)).alias("source_sheet_name"),

@@ -57,3 +57,16 @@ def test_extraction_deals_cells_while_they_are_one_text(spark):
     lines = spark.read.parquet(f"{DIR}/lineitem.parquet").select("l_orderkey", "l_linenumber").distinct()
     assert rows.count() == 3 * lines.count() == rows.select("report_id", "source_row_index", "source_column_index").distinct().count()
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("settled_")]
+
+
+def test_lines_move_for_parts_and_ids_only_and_with_one_amount(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(queries.curated(spark, DIR, "value_numeric", "geography_raw"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange hashpartitioning(l_suppkey" not in text and text.count("Exchange hashpartitioning(l_partkey") == 1
+    for moved in re.findall(r"Exchange hashpartitioning.*?\n.*?Project \[(.*?)\]\n", text, re.S):
+        names = {re.sub("#.*", "", x.split(" AS ")[-1].strip()) for x in moved.split(",")}
+        assert "l_orderkey" not in names or not {"l_quantity", "l_extendedprice", "l_discount", "n_name"} & names
