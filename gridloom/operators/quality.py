@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.bind import let
@@ -51,9 +52,12 @@ def quality_summary(curated: DataFrame) -> DataFrame:
     broken = None
     for name in ("source_sheet_name", "indicator_name_raw", "metric_name_raw", "unit_raw", "geography_raw", "sector_raw", "product_raw"):
         broken = c(name).contains("�") if broken is None else broken | c(name).contains("�")
-    distinct = F.count_distinct("indicator_observation_id")
+    # the curated rows are dealt by id already: the first of an id is found where it is, and ids are not dealt again to count them
+    found = c("indicator_observation_id")
+    first = found.isNotNull() & F.lag(F.lit(1)).over(W.partitionBy(found).orderBy(found)).isNull()
+    distinct = F.count(F.when(c("_first"), 1))
     review = total(c("needs_review"))
-    return curated.agg(
+    return curated.withColumn("_first", first).agg(
         F.count("*").alias("curated_rows"), distinct.alias("distinct_observation_ids"), (F.count("*") - distinct).alias("duplicate_observation_extra_rows"),
         F.count_distinct("report_id").alias("reports"), F.count_distinct("attachment_id").alias("attachments"), F.count_distinct("sheet_report_id").alias("sheet_reports"),
         total(c("sheet_report_id").isNull()).alias("rows_missing_sheet_report_id"), review.alias("rows_needing_review"), percent(review, F.count("*"), 2).alias("rows_needing_review_pct"),

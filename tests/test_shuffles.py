@@ -70,3 +70,15 @@ def test_lines_move_for_parts_and_ids_only_and_with_one_amount(spark):
     for moved in re.findall(r"Exchange hashpartitioning.*?\n.*?Project \[(.*?)\]\n", text, re.S):
         names = {re.sub("#.*", "", x.split(" AS ")[-1].strip()) for x in moved.split(",")}
         assert "l_orderkey" not in names or not {"l_quantity", "l_extendedprice", "l_discount", "n_name"} & names
+
+
+def test_ids_are_counted_where_they_are(spark):
+    table = queries.curated(spark, DIR, *Q.SUMMARY_COLUMNS)
+    text = plan(Q.quality_summary(table))
+    assert not [x for x in re.findall(r"Expand \[(.*?)\n", text) if "indicator_observation_id" in x]
+    some = table.limit(5)
+    rows = some.unionByName(some.limit(2)).unionByName(some.limit(3).withColumn("indicator_observation_id", F.lit(None).cast("string")))
+    got = Q.quality_summary(rows).first()
+    assert (got.curated_rows, got.distinct_observation_ids, got.duplicate_observation_extra_rows) == (10, 5, 5)
+    none = Q.quality_summary(table.filter("false")).first()
+    assert (none.curated_rows, none.distinct_observation_ids, none.duplicate_observation_extra_rows) == (0, 0, 0)
