@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .quality import GROWTH, ambiguous_groups, percent, total
+from .quality import GROWTH, ambiguous_groups, extremes, percent, total
 
 c = F.col
 
@@ -21,8 +21,8 @@ def growth_gaps(curated: DataFrame) -> DataFrame:
 def ambiguous_overall(curated: DataFrame) -> DataFrame:
     """Ambiguous business keys of the whole table; the table's size comes from the same groups."""
     keys = ["sheet_report_id", "indicator_name_raw", "metric_name_raw"]
-    groups = curated.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("value_numeric").alias("values"))
-    bad = (c("n") > 1) & (c("values") > 1)
+    groups = curated.groupBy(*keys).agg(F.count("*").alias("n"), *extremes("value_numeric"))
+    bad = (c("n") > 1) & (c("_least") != c("_most"))
     rows = F.coalesce(F.sum(F.when(bad, c("n"))), F.lit(0)).cast("long")
     return groups.agg(F.count(F.when(bad, 1)).alias("ambiguous_groups"), rows.alias("rows_in_ambiguous_groups"), F.count_distinct(F.when(bad, c("sheet_report_id"))).alias("sheets_affected"), percent(rows, F.sum("n"), 2).alias("pct_of_corpus"))
 

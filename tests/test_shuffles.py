@@ -4,6 +4,7 @@ import re
 
 from gridloom import queries
 from gridloom.operators import checks as K
+from gridloom.operators import gaps as X
 from gridloom.operators import quality as Q
 from gridloom.operators import reports as R
 from pyspark.sql import functions as F
@@ -82,3 +83,11 @@ def test_ids_are_counted_where_they_are(spark):
     assert (got.curated_rows, got.distinct_observation_ids, got.duplicate_observation_extra_rows) == (10, 5, 5)
     none = Q.quality_summary(table.filter("false")).first()
     assert (none.curated_rows, none.distinct_observation_ids, none.duplicate_observation_extra_rows) == (0, 0, 0)
+
+
+def test_ambiguous_overall_deals_rows_once_by_their_keys(spark):
+    nan = float("nan")
+    rows = [("s", "a", "m", 1.0), ("s", "a", "m", 2.0), ("s", "b", "m", 0.0), ("s", "b", "m", -0.0), ("t", "c", "m", nan), ("t", "c", "m", nan), ("s", "d", "m", nan), ("s", "d", "m", 1.0), (None, "a", "m", 1.0), (None, "a", "m", 2.0), ("u", "e", "m", None), ("u", "e", "m", 3.0)]
+    table = spark.createDataFrame(rows, "sheet_report_id string, indicator_name_raw string, metric_name_raw string, value_numeric double")
+    assert X.ambiguous_overall(table).first().asDict() == {"ambiguous_groups": 3, "rows_in_ambiguous_groups": 6, "sheets_affected": 1, "pct_of_corpus": 50.0}
+    assert "value_numeric" not in " ".join(re.findall(r"Exchange hashpartitioning\(.*?\)", plan(X.ambiguous_overall(table))))
