@@ -51,6 +51,8 @@ def settled_by(df: DataFrame, key: str) -> DataFrame:
 
     Groups, windows and joins on the key need no exchange of the rows read back, as after settled, and the
     written rows are as small as those of settled_columns. The table is known to the catalog only while it is written.
+    Joins on the key and more columns need no exchange either: for that the session is told, from here on, that rows
+    which are dealt by a part of a join's keys need not be dealt by all of them.
     """
     spark = df.sparkSession
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -59,5 +61,6 @@ def settled_by(df: DataFrame, key: str) -> DataFrame:
     name = f"settled_{uuid.uuid4().hex}"
     dealt_by(df, key).write.bucketBy(buckets_of(spark), key).option("path", f"{shared}/{name}").format("parquet").saveAsTable(name)
     rows = spark.table(name)
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     spark.sql(f"DROP TABLE {name}")  # the files stay: the table is external
     return rows
