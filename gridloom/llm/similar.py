@@ -7,6 +7,8 @@ shares one of the first n - ceil(least * n) + 1 shingles of both, so documents t
 these are candidates and no pair is lost. The order puts the commonest shingles of a bounded sample last; any
 order gives the same links, this one keeps the candidates few. A bitmap of every set bounds the
 difference of two sets from below and drops most candidates; the texts themselves settle the rest.
+Sets that share a shingle are compared by one task, which names them as families and not as pairs, and
+of a family only the links that join it are rows.
 """
 
 from __future__ import annotations
@@ -25,13 +27,15 @@ from .common import Kept, arrow_rows, by_batch, cut, text_bytes
 from .components import connected_components
 from .simhash import keep_smallest, links, majority, shingle_hashes
 
-WORDS = 16  # 64-bit words of a set's bitmap
+WORDS = 16  # 64-bit words of a set's bitmap at least
+MOST_WORDS = 256  # and at most, so that a group of sets stays small; texts of more than 16,384 shingles have fewer bits than these
 BROADCAST_ROWS = 200_000  # of 8 to 24 bytes; how a side is joined, not which
 BROADCAST_SHINGLES = 4_000_000  # of 8 bytes; whether unshared shingles are dropped before the join or by it
+FAMILY_SHINGLES = 2_000_000  # of 8 bytes, of the sets of a family that one task holds; larger families go as pairs of parts
 FIRST_HUBS = 2  # of a set that are settled first; all other pairs of its cells follow where these leave them apart
 PARTNERS = 64  # of a text that are compared with one copy of it
 BATCH_ROWS = 1_000  # texts, sets or their prefixes that an Arrow batch holds
-BATCH_GROUPS = 256  # pairs of chunks that one holds, each of up to 2 * cell_rows sets
+BATCH_SETS = 200  # whole shingle sets that one holds
 
 
 def shingle_set(text: bytes, width: int = 5) -> np.ndarray:
@@ -66,6 +70,17 @@ def wide_words(n: int) -> int:
     return words
 
 
+def wide_bitmap(own: np.ndarray) -> np.ndarray:
+    return bitmap(own, min(wide_words(len(own)), MOST_WORDS))
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bitmap of fewer words."""
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def most_difference(n_u, n_v, least: float):
     """The elements in which sets of these sizes may differ."""
     return (1 - least) / (1 + least) * (n_u + n_v) + 1e-6
@@ -104,15 +119,12 @@ def common_shingles(docs: DataFrame, id_col: str, text_col: str, width: int, sam
     return np.sort(kept.column("h").to_numpy().view(np.uint64))
 
 
-BITS = [f"b{i}" for i in range(WORDS)]
-
-
 def _digests(docs: DataFrame, id_col: str, text_col: str, width: int, least: float, common: np.ndarray) -> DataFrame:
-    """doc_id, digest (of the text), node (digest of the shingle set), n (its size), fp (SimHash), bits and wide (bitmaps of the set), prefix (the shingles by which it is found)."""
+    """doc_id, digest (of the text), node (digest of the shingle set), n (its size), fp (SimHash), wide (bitmap of the set), prefix (the shingles by which it is found)."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nodes, sizes, fps, bits, wide, prefixes, late = [], [], [], [], [], [], shared.value
+        nodes, sizes, fps, wide, prefixes, late = [], [], [], [], [], shared.value
         for body in batch.column(2).to_pylist():
             hashes = shingle_hashes(body, width)
             own = np.unique(hashes)
@@ -121,15 +133,13 @@ def _digests(docs: DataFrame, id_col: str, text_col: str, width: int, least: flo
             nodes.append(set_digest(own))
             sizes.append(len(own))
             fps.append(majority(hashes))
-            bits.append(bitmap(own))
-            wide.append(bitmap(own, wide_words(len(own))))
+            wide.append(wide_bitmap(own))
             prefixes.append(np.concatenate([own[~is_late], own[is_late]])[: prefix_length(len(own), least)])
-        words = pa.StructArray.from_arrays([pa.array(c) for c in np.array(bits).view(np.int64).T], BITS)
         signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), signed(nodes), pa.array(sizes, pa.int32()), signed(fps), words, _lists(wide), _lists(prefixes)], ["doc_id", "digest", "node", "n", "fp", "bits", "wide", "prefix"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), signed(nodes), pa.array(sizes, pa.int32()), signed(fps), _lists(wide), _lists(prefixes)], ["doc_id", "digest", "node", "n", "fp", "wide", "prefix"])
 
     rows = _bodies(docs, id_col, text_col).select("doc_id", F.xxhash64("body").alias("digest"), "body")
-    return rows.mapInArrow(by_batch(run), f"doc_id long, digest long, node long, n int, fp long, bits struct<{', '.join(b + ': long' for b in BITS)}>, wide array<long>, prefix array<long>")
+    return rows.mapInArrow(by_batch(run), "doc_id long, digest long, node long, n int, fp long, wide array<long>, prefix array<long>")
 
 
 def _with(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -192,7 +202,7 @@ def _side_by_side(pairs: DataFrame, bodies: DataFrame, unpack: Callable, fits: C
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame, least: float, kept: Kept) -> DataFrame:
-    """The pairs (u, v) that set sizes and the wide bitmaps, of a bit for each element, allow."""
+    """The pairs (u, v) that set sizes and bitmaps allow."""
     size = lambda end: nodes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"))
     near = F.least("n_u", "n_v") >= F.greatest("n_u", "n_v") * F.lit(least) - 1e-9
     sized = kept.keep(pairs.join(size("u"), "u").join(size("v"), "v").filter(near).select("u", "v"))
@@ -202,22 +212,106 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, least: float, kept: Kept) -> Da
 
     def fits(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> bool:
         words = min(len(a[1]), len(b[1]))
-        x, y = (w if len(w) == words else w[:words] ^ w[words:] for _, w in (a, b))
-        return int(np.bitwise_count(x ^ y).sum()) <= most_difference(a[0], b[0], least)
+        return int(np.bitwise_count(folded(a[1], words) ^ folded(b[1], words)).sum()) <= most_difference(a[0], b[0], least)
 
     found = kept.keep(_side_by_side(sized, nodes.select("node", F.struct("n", "wide").alias("body")), unpack, fits), BATCH_ROWS)
     kept.drop(sized)
     return found
 
 
-def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, cell_rows: int, kept: Kept, spanning: bool = False) -> DataFrame:
-    """(u, v), u < v: pairs of a cell with different roots that set sizes and bitmaps allow.
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """node, root, n and a list of each, in order of n, for the rows (key, node, root, n, list) of one key after another."""
+
+    def whole(held: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+        columns = [c.chunk(0) for c in pa.Table.from_batches(held).combine_chunks().columns]
+        node, root, n = (c.to_numpy(zero_copy_only=False) for c in columns[1:4])
+        ends = np.cumsum(columns[4].value_lengths().to_numpy(zero_copy_only=False))
+        lists = np.split(columns[4].flatten().to_numpy(zero_copy_only=False).view(np.uint64), ends[:-1])
+        order = np.argsort(n, kind="stable")
+        return node[order], root[order], n[order], [lists[i] for i in order]
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        key = batch.column(0).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        for lo, hi in zip(edges, edges[1:]):
+            if held and hi > lo and key[lo] != last:
+                yield whole(held)
+                held = []
+            if hi > lo:
+                held.append(batch.slice(lo, hi - lo))
+                last = key[lo]
+    if held:
+        yield whole(held)
+
+
+def _near(n: np.ndarray, root: np.ndarray, wide: list[np.ndarray], least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Of sets in order of size: one and those after it with another root that set sizes and bitmaps allow."""
+    words = np.array([len(w) for w in wide])
+    ends = np.searchsorted(n, n / least + 1e-6, side="right")
+    for w in np.unique(words):
+        lo, hi = np.searchsorted(words, w), np.searchsorted(words, w, side="right")
+        bits = np.stack([folded(x, w) for x in wide[lo : ends[hi - 1]]])
+        for i in range(lo, hi):
+            at = np.flatnonzero(root[i + 1 : ends[i]] != root[i]) + i + 1
+            if len(at):
+                at = at[np.bitwise_count(bits[at - lo] ^ bits[i - lo]).sum(axis=1, dtype=np.int64) <= most_difference(n[at].astype(float), float(n[i]), least)]
+            if len(at):
+                yield i, at
+
+
+def _top(parent: dict[int, int], x: int) -> int:
+    while x in parent:
+        parent[x] = parent.get(parent[x], parent[x])
+        x = parent[x]
+    return x
+
+
+def _families(node: np.ndarray, root: np.ndarray, n: np.ndarray, wide: list[np.ndarray], least: float, most: int) -> Iterator[list[int]]:
+    """Nodes that near pairs join, the sets of a list having about 2 * most shingles at most; each near pair is in a list."""
+    parent: dict[int, int] = {}
+    for i, at in _near(n, root, wide, least):
+        for j in at.tolist():
+            a, b = _top(parent, i), _top(parent, j)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    families: dict[int, list[int]] = {}
+    for i in sorted({*parent, *parent.values()}):
+        families.setdefault(_top(parent, i), []).append(i)
+    for family in families.values():
+        part = (np.cumsum(n[family], dtype=np.int64) - n[family]) // most
+        parts = [node[family][part == p] for p in np.unique(part)]
+        for p, own in enumerate(parts):
+            for other in parts[p + 1 :] if len(parts) > 1 else [own[:0]]:
+                yield sorted(np.concatenate([own, other]).tolist())
+
+
+def _joining(node: np.ndarray, root: np.ndarray, n: np.ndarray, sets: list[np.ndarray], least: float) -> Iterator[tuple[int, int]]:
+    """(u, v), u < v: pairs with a similarity of `least` or more that join all roots that such pairs join; never all pairs."""
+    parent: dict[int, int] = {}
+    for i, at in _near(n, root, [wide_bitmap(x) for x in sets], least):
+        for j in at.tolist():
+            a, b = _top(parent, int(root[i])), _top(parent, int(root[j]))
+            if a != b and similar(sets[i], sets[j], least):
+                parent[max(a, b)] = min(a, b)
+                yield min(int(node[i]), int(node[j])), max(int(node[i]), int(node[j]))
+
+
+def _members(lists: DataFrame) -> DataFrame:
+    """key, node of every different list (members); lists of one key by chance are compared together, which loses nothing."""
+    return lists.select("members").distinct().select(F.xxhash64("members").alias("key"), F.explode("members").alias("node"))
+
+
+def _rest(cells: DataFrame, docs: DataFrame, nodes: DataFrame, roots: DataFrame, id_col: str, text_col: str, width: int, least: float, cell_rows: int, kept: Kept) -> DataFrame:
+    """(u, v), u < v: links that join all roots that the links of all cells join.
 
     A cell is dealt into chunks of about cell_rows rows, a root of cell_rows rows and more having
     chunks of its own; each pair of chunks is one group of bounded size, and chunks of one root are
-    not compared, so a cell in which one root is common costs no square. spanning: of the pairs of a group
-    only as many as join all roots that its pairs join; where most of them hold, few pairs are left for a
-    second look at all of them.
+    not compared, so a cell in which one root is common costs no square. Groups of the same sets, as
+    cells of one passage give them, are one. A group's task says which of its sets set sizes and
+    bitmaps allow to link, as families; those of a family are then settled by one task from their whole
+    shingle sets. So neither step makes more rows than a group has sets, however many pairs they form.
     """
     rooted = kept.keep(cells.select("h", "node").join(roots, "node"))
     per_root = rooted.groupBy("h", "root").agg(F.count("*").alias("rows"))
@@ -241,68 +335,65 @@ def _rest(cells: DataFrame, nodes: DataFrame, roots: DataFrame, least: float, ce
         .withColumn("_large", F.when(F.size("large") > 0, own_large))
         .withColumn("own", F.when(mine.isNull(), chunk(none, spread(F.col("k")))).otherwise(chunk(mine["root"], spread(mine["k"]))))
         .withColumn("other", F.explode(F.filter(chunks, lambda x: mine.isNull() | x["root"].isNull() | (x["root"] != mine["root"]))))
-        .select("h", "node", "root", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
-        .join(nodes.select("node", "n", "bits"), "node")
-        .groupBy("h", "a", "b")
-        .agg(*(F.collect_list(c).alias(c) for c in ("node", "root", "n", "bits")))
-        .select("node", "root", "n", "bits")
+        .groupBy("h", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"))
+        .agg(F.sort_array(F.collect_list("node")).alias("members"))
+        .filter(F.size("members") > 1)
     )
+    known = nodes.select("node", "n", "wide").join(roots, "node").select("node", "root", "n", F.col("wide").alias("body"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            offsets = batch.column(0).offsets.to_pylist()
-            columns = [c.values.to_numpy(zero_copy_only=False) for c in batch.columns[:3]]
-            words = np.stack([batch.column(3).values.field(b).to_numpy(zero_copy_only=False).view(np.uint64) for b in BITS], axis=1)
-            for lo, hi in zip(offsets, offsets[1:]):
-                node, root, n, bits = (c[lo:hi] for c in (*columns, words))
-                order = np.argsort(n, kind="stable")
-                node, root, n, bits = node[order], root[order], n[order], bits[order]
-                ends = np.searchsorted(n, n / least + 1e-6, side="right")
-                found = []
-                parent: dict[int, int] = {}
-
-                def top(x: int, parent=parent) -> int:
-                    while x in parent:
-                        x = parent[x]
-                    return x
-
-                for i, end in enumerate(ends):
-                    at = np.flatnonzero(root[i + 1 : end] != root[i]) + i + 1
-                    at = at[np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most_difference(n[at].astype(float), float(n[i]), least)]
-                    if spanning and len(at):
-                        chosen = []
-                        for j in at.tolist():
-                            a, b = top(int(root[i])), top(int(root[j]))
-                            if a != b:
-                                parent[max(a, b)] = min(a, b)
-                                chosen.append(j)
-                        at = np.array(chosen, np.int64)
-                    if len(at):
-                        found.append((np.minimum(node[at], node[i]), np.maximum(node[at], node[i])))
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["u", "v"])
-
-    found = kept.keep(dealt.mapInArrow(run, "u long, v long").distinct(), BATCH_GROUPS)
+    def dealt_by_key(lists: DataFrame, bodies: DataFrame) -> DataFrame:
+        return _members(lists).join(bodies, "node").select("key", "node", "root", "n", "body").repartition("key").sortWithinPartitions("key")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches):
+            found = list(_families(*group, least, FAMILY_SHINGLES))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64()))], ["members"])
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _runs(batches):
+            found = list(_joining(*group, least))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
+
+    families = kept.keep(dealt_by_key(dealt, known).mapInArrow(name, "members array<long>").distinct(), BATCH_ROWS)
     kept.drop(rooted, per_cell)
-    return found
+    texts = _texts(families.select(F.explode("members").alias("node")), docs, nodes, id_col, text_col, kept)
+
+    def shingles(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingle_set(body, width) for body in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int32()), _lists(sets)], ["node", "n", "body"])
+
+    sets = kept.keep(texts.select("node", "body").mapInArrow(by_batch(shingles), "node long, n int, body array<long>").join(roots, "node"), BATCH_SETS)
+    links_ = kept.keep(dealt_by_key(families, sets).mapInArrow(settle, "u long, v long").distinct(), BATCH_SETS)
+    kept.drop(families, texts, sets)
+    return links_
+
+
+def similar(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    both = np.intersect1d(a, b, assume_unique=True).size
+    return both >= least * (len(a) + len(b) - both) - 1e-9
+
+
+def _texts(wanted: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, kept: Kept) -> DataFrame:
+    """node, body: one text of every wanted set."""
+    first = nodes.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("digest"))
+    named = kept.keep(wanted.distinct().join(first, "node"))
+    bodies = _bodies(docs, id_col, text_col).join(_small(named), "doc_id").filter(F.xxhash64("body") == F.col("digest"))
+    texts = kept.keep(bodies.groupBy("node").agg(F.first("body").alias("body")))  # of repeated rows one
+    kept.drop(named)
+    return texts
 
 
 def _settled(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, least: float, kept: Kept) -> DataFrame:
     """The pairs whose whole shingle sets have a similarity of `least` or more, from one text of each set."""
-    first = nodes.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.digest").alias("digest"))
-    wanted = kept.keep(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(first, "node"))
-    named = _bodies(docs, id_col, text_col).join(_small(wanted), "doc_id").filter(F.xxhash64("body") == F.col("digest"))
-    texts = kept.keep(named.groupBy("node").agg(F.first("body").alias("body")))  # of repeated rows one
+    texts = _texts(pairs.select(F.explode(F.array("u", "v")).alias("node")), docs, nodes, id_col, text_col, kept)
 
     def unpack(node: int, body: pa.Scalar) -> np.ndarray:
         return shingle_set(body.as_py(), width)
 
-    def fits(a: np.ndarray, b: np.ndarray) -> bool:
-        both = np.intersect1d(a, b, assume_unique=True).size
-        return both >= least * (len(a) + len(b) - both) - 1e-9
-
-    found = kept.keep(_side_by_side(pairs, texts, unpack, fits), batch_rows=500)
-    kept.drop(wanted, texts)
+    found = kept.keep(_side_by_side(pairs, texts, unpack, lambda a, b: similar(a, b, least)), batch_rows=500)
+    kept.drop(texts)
     return found
 
 
@@ -310,7 +401,7 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float
     """doc_id, digest, root, component_id for every row of docs."""
     kept = Kept(docs.sparkSession)
     rows = kept.keep(_digests(docs, id_col, text_col, width, least, common_shingles(docs, id_col, text_col, width)), batch_rows=1000)
-    nodes = kept.keep(rows.groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("wide").alias("wide")))
+    nodes = kept.keep(rows.groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("first"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("wide").alias("wide")))
     cells = _cells(rows, kept)
     ordered = lambda df: df.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).filter("u < v").distinct()
     of_fp = kept.keep(nodes.groupBy("fp").agg(F.min("node").alias("hub")))
@@ -323,19 +414,11 @@ def _parts(docs: DataFrame, id_col: str, text_col: str, width: int, least: float
     first = _bounded(ordered(stars.unionByName(equal).unionByName(near)), nodes, least, kept)
     edges = _settled(first, docs, nodes, id_col, text_col, width, least, kept)
     roots = kept.keep(nodes.select("node").join(connected_components(edges), "node", "left").withColumn("root", F.coalesce("root", "node")))
-    second = _bounded(_rest(cells, nodes, roots, least, cell_rows, kept, spanning=True).join(first, ["u", "v"], "left_anti"), nodes, least, kept)
-    links_ = _settled(second, docs, nodes, id_col, text_col, width, least, kept)
+    more = _rest(cells, docs, nodes, roots, id_col, text_col, width, least, cell_rows, kept)
+    kept.drop(cells, first, edges)
     of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-    joined_by = lambda found: found.join(of("u"), "u").join(of("v"), "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))  # noqa: E731  links of components
-    again = connected_components(joined_by(links_)).select(F.col("node").alias("root"), F.col("root").alias("wider"))
-    roots, narrow = kept.keep(roots.join(again, "root", "left").select("node", F.coalesce("wider", "root").alias("root"))), roots
-    tried = first.unionByName(second)
-    rest = kept.keep(_rest(cells, nodes, roots, least, cell_rows, kept).join(tried, ["u", "v"], "left_anti"))
-    kept.drop(cells, first, second, edges, links_, narrow)
-    bounded = _bounded(rest, nodes, least, kept)
-    kept.drop(rest)
-    more = _settled(bounded, docs, nodes, id_col, text_col, width, least, kept)
-    merged = connected_components(joined_by(more)).select(F.col("node").alias("root"), F.col("root").alias("final"))
+    joined_roots = more.join(of("u"), "u").join(of("v"), "v").select(F.col("root_u").alias("u"), F.col("root_v").alias("v"))
+    merged = connected_components(joined_roots).select(F.col("node").alias("root"), F.col("root").alias("final"))
     joined = kept.keep(nodes.select("node", F.col("first.doc_id").alias("least")).join(roots, "node").join(merged, "root", "left").select("node", "least", F.coalesce("final", "root").alias("root")))
     smallest = kept.keep(joined.groupBy("root").agg(F.min("least").alias("component_id")))
     named = cut(rows.select("doc_id", "digest", "node").join(joined.join(smallest, "root").select("node", "root", "component_id"), "node").select("doc_id", "digest", "root", "component_id"))
