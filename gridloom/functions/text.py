@@ -121,6 +121,12 @@ def normalized_cell(c: Column) -> Column:
     return let(strip_accents(c), lambda t: F.nullif(F.when(t.rlike(suspicious), clean_cell(apply_corrections(t, rules))).otherwise(clean_cell(t)), F.lit("")))
 
 
+def corrected_label(c: Column, rules: list[tuple[str, str]]) -> Column:
+    """As correct_labels, where each value is read once or twice only: the rules run over suspicious values."""
+    check_corrections(rules)
+    return F.when(c.rlike("|".join(wrong for wrong, _ in rules)), let(clean_cell(c), lambda t: apply_corrections(t, rules))).otherwise(c)
+
+
 def correct_labels(df: DataFrame, column: str, rules: list[tuple[str, str]]) -> DataFrame:
     """df with a column's known artefacts corrected.
 

@@ -176,8 +176,13 @@ def split_caption(caption: Column, measure: str) -> Column:
 
 def observation_unit(label: Column, row_unit: Column, kind: Column, explicit: Column, metric: Column, header_unit: Column, title_unit: Column) -> Column:
     """A row's unit by precedence; the row's own unit column says nothing about comparisons, and a title's % is not inherited."""
+    return chosen_unit(unit_from_label(label), row_unit, kind, explicit, unit_from_text(metric), header_unit, title_unit)
+
+
+def chosen_unit(label_unit: Column, row_unit: Column, kind: Column, explicit: Column, metric_unit: Column, header_unit: Column, title_unit: Column) -> Column:
+    """As observation_unit, from the units of the label and of the metric."""
     own = F.when(~kind.isin(COMPARISONS), _empty_to_null(row_unit))
-    return F.coalesce(unit_from_label(label), own, explicit, unit_from_text(metric), header_unit, F.when(F.trim(title_unit) != "%", title_unit))
+    return F.coalesce(label_unit, own, explicit, metric_unit, header_unit, F.when(F.trim(title_unit) != "%", title_unit))
 
 
 def settle_semantics(sheet_name: Column, subdomain: Column, metric: Column, unit: Column, kind: Column, scale_: Column, combined: Column, explicit: Column, title: Column) -> Column:
@@ -188,9 +193,10 @@ def settle_semantics(sheet_name: Column, subdomain: Column, metric: Column, unit
     def side(caption: Column) -> Column:
         return let(split_caption(caption, "quantity"), lambda x: F.coalesce(unit_phrase(x), x))
 
+    index = (subdomain == "industrial_production_index") | norm(sheet_name).rlike(r"^\s*2\s*[._-]?\s*iip")
+    trade = subdomain.isin("exports", "imports")
+
     def of(key: Column) -> Column:
-        index = (subdomain == "industrial_production_index") | norm(sheet_name).rlike(r"^\s*2\s*[._-]?\s*iip")
-        trade = subdomain.isin("exports", "imports")
         forced = out(F.lit("Index (comparison period=100)"), F.when(key.rlike("cung ky|nam truoc"), "index_yoy_base100").otherwise("index"), F.lit("index"))
         against = out(F.lit("Index (same period previous year=100)"), F.lit("index_yoy_base100"), F.lit("index"))
         measured = F.coalesce(usable(unit_phrase(metric)), usable(F.coalesce(*map(side, (combined, unit, explicit, title)))))
@@ -201,7 +207,7 @@ def settle_semantics(sheet_name: Column, subdomain: Column, metric: Column, unit
             .when(trade & key.rlike("luong|quantity"), quantity).otherwise(out(unit, kind, scale_))
         )
 
-    return let(norm(metric), of)
+    return F.when(index | trade, let(norm(metric), of)).otherwise(out(unit, kind, scale_))
 
 
 def reconcile_type(kind: Column, unit: Column, value: Column, metric: Column) -> Column:

@@ -53,6 +53,7 @@ KNOWN_NAMES = [
 ]
 
 SHORT = 3
+FALLBACK = "sheet_rule:fallback"
 
 
 def keyword_pattern(keyword: str) -> str:
@@ -89,7 +90,7 @@ def classification(name: Column, title: Column, body: Column) -> Column:
         sure = F.when(best["tier"] == 3, 0.95).when(best["tier"] == 2, 0.90).otherwise(0.70)
         method = F.concat(F.lit("sheet_rule:"), pick(1), F.lit(":"), place)
         ruled = F.struct(*[c.alias(k) for k, c in zip(fields, (pick(0), pick(1), pick(3), method, sure, best["tier"] == 1))])
-        return F.when(best.isNotNull(), ruled).otherwise(fixed("other_or_unknown", "unknown", "indicator", "sheet_rule:fallback", 0.35, True))
+        return F.when(best.isNotNull(), ruled).otherwise(fixed("other_or_unknown", "unknown", "indicator", FALLBACK, 0.35, True))
 
     texts = F.struct(F.coalesce(name, F.lit("")).alias("name"), F.coalesce(title, F.lit("")).alias("title"), F.coalesce(body, F.lit("")).alias("body"))
     return let(texts, decide)
